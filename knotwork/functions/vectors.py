@@ -36,6 +36,15 @@ def unit_rows(batch: pa.Array, dim: int) -> np.ndarray:
     return rows / lengths[:, None]
 
 
+def similarities(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Cosines of unit rows and unit queries (a vector or a matrix).
+
+    Rounded far below the precision of the stored floats, so copies of one vector
+    score the same in whatever batch they arrive and ties break by record id.
+    """
+    return np.round(rows @ queries.T, 12)
+
+
 def has_width(embedding: Column, dim: int) -> Column:
     """Only embeddings of the configured width are searchable."""
     return F.coalesce(F.size(embedding) == dim, F.lit(False))
@@ -51,7 +60,7 @@ def cosine(embedding: Column, query: Sequence[float]) -> Column:
 
     @F.arrow_udf("double")
     def score(batch: pa.Array) -> pa.Array:
-        return pa.array(unit_rows(batch, dim) @ direction, from_pandas=True)
+        return pa.array(similarities(unit_rows(batch, dim), direction), from_pandas=True)
 
     return score(embedding)
 

@@ -236,12 +236,17 @@ def resolve_relations(graph: PropertyGraph, relations: DataFrame) -> DataFrame:
     return relations.join(source, "source_id").join(target, "target_id")
 
 
+def fold_relations(relations: DataFrame) -> DataFrame:
+    """Relation properties as they are stored: folded, without empty ones."""
+    kept = F.map_filter(F.coalesce("props", no_props()), lambda _, v: v.isNotNull())
+    return relations.withColumn("props", fold_values(kept))
+
+
 def upsert_relations(graph: PropertyGraph, batch: DataFrame) -> PropertyGraph:
     """Add relations whose endpoints exist; a stored edge keeps its properties."""
     usable = separate_labels(graph, usable_relations(batch))
-    resolved = resolve_relations(graph, usable)
-    folded = resolved.withColumn("props", fold_values(without(F.coalesce("props", no_props()), ())))
-    return graph.with_edges(add_edges(graph.edges, first_edges(folded)))
+    resolved = fold_relations(resolve_relations(graph, usable))
+    return graph.with_edges(add_edges(graph.edges, first_edges(resolved)))
 
 
 def connect_matches(graph: PropertyGraph, requests: DataFrame, column: str = "name") -> PropertyGraph:

@@ -6,10 +6,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window, functions as F
 
 from knotwork.functions.text import BASE_ENTITY, TEXT_CHUNK
-from knotwork.functions.vectors import check_vector, cosine, has_width, score_of, unit, unit_rows
+from knotwork.functions.vectors import check_vector, cosine, has_width, score_of, similarities, unit, unit_rows
 from knotwork.model import PropertyGraph
 from knotwork.operators.ranking import first_rows, top_per_group
 
@@ -89,57 +90,57 @@ def _blocks(prepared: list[tuple]) -> Iterator[list[tuple]]:
             yield group[at:at + size]
 
 
+def _best(vids: pa.Array, scores: np.ndarray, k: int) -> tuple[pa.Array, np.ndarray]:
+    """The ``k`` best rows by score, then record id."""
+    at = np.flatnonzero(~np.isnan(scores))
+    if len(at) > k:
+        edge = np.partition(scores[at], len(at) - k)[len(at) - k]
+        at = at[scores[at] >= edge]
+    names = vids.take(pa.array(at))
+    order = np.lexsort((np.array(names.to_pylist(), dtype=str), -scores[at]))[:k]
+    return names.take(pa.array(order)), scores[at][order]
+
+
 def _search_block(graph: PropertyGraph, block: list[tuple]) -> DataFrame:
     width = len(block[0][2])
-    wanted = sorted({name for _, name, _, _ in block})
-    by_type = {
-        name: (
-            np.array([i for i, n, _, _ in block if n == name], dtype="int64"),
-            np.stack([q for _, n, q, _ in block if n == name]),
-            np.array([k for _, n, _, k in block if n == name]),
-        )
-        for name in wanted
+    limits = {number: k for number, _, _, k in block}
+    by_type: dict[str, tuple[list[int], np.ndarray]] = {
+        name: ([i for i, n, _, _ in block if n == name], np.stack([q for _, n, q, _ in block if n == name]))
+        for name in sorted({name for _, name, _, _ in block})
     }
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = {number: (pa.array([], pa.string()), np.empty(0)) for number in limits}
         for batch in batches:
-            labels = np.array(batch.column("label").to_pylist(), dtype=object)
             rows = unit_rows(batch.column("embedding"), width)
-            vids = np.array(batch.column("vid").to_pylist(), dtype=object)
-            for name, (numbers, queries, limits) in by_type.items():
-                at = np.flatnonzero(labels == name)
-                scores = np.maximum(0.0, rows[at] @ queries.T)
-                for column, (number, k) in enumerate(zip(numbers, limits)):
-                    values = scores[:, column]
-                    usable = np.flatnonzero(~np.isnan(values))
-                    if len(usable) > k:
-                        # Keep everything at least as good as the k-th best, so ties
-                        # are decided later, by record id.
-                        edge = np.partition(values[usable], len(usable) - k)[len(usable) - k]
-                        usable = usable[values[usable] >= edge]
-                    if len(usable):
-                        yield pa.RecordBatch.from_pydict({
-                            "search": pa.array(np.full(len(usable), number), pa.int64()),
-                            "vid": pa.array(vids[at[usable]].tolist(), pa.string()),
-                            "score": pa.array(values[usable], pa.float64()),
-                        })
+            for name, (numbers, queries) in by_type.items():
+                at = np.flatnonzero(pc.equal(batch.column("label"), name).to_numpy(zero_copy_only=False))
+                vids = batch.column("vid").take(pa.array(at))
+                scores = similarities(rows[at], queries)
+                for column, number in enumerate(numbers):
+                    more = _best(vids, scores[:, column], limits[number])
+                    old = kept[number]
+                    kept[number] = _best(
+                        pa.concat_arrays([old[0], more[0]]), np.concatenate([old[1], more[1]]), limits[number]
+                    )
+        for number, (vids, scores) in kept.items():
+            yield pa.RecordBatch.from_pydict({
+                "search": pa.array(np.full(len(vids), number), pa.int64()),
+                "vid": vids, "score": pa.array(np.maximum(0.0, scores), pa.float64()),
+            })
 
     rows = graph.vertices.where(
-        F.col("label").isin(*wanted) & has_width(F.col("embedding"), width)
+        F.col("label").isin(*by_type) & has_width(F.col("embedding"), width)
     ).select("vid", "label", "embedding")
     partial = rows.mapInArrow(best, "search bigint, vid string, score double")
-    limits = F.create_map(*[F.lit(x) for i, _, _, k in block for x in (i, k)])
-    largest = max(k for _, _, _, k in block)
-    ranked = top_per_group(partial, ["search"], [F.desc("score"), F.col("vid")], largest)
-    if len({k for _, _, _, k in block}) == 1:
-        return ranked
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("search").orderBy(F.desc("score"), "vid")
-    return (
-        ranked.withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= F.element_at(limits, F.col("search"))).drop("_rank")
-    )
+    order = [F.desc("score"), F.col("vid")]
+    if len(set(limits.values())) == 1:
+        return top_per_group(partial, ["search"], order, next(iter(limits.values())))
+    # Every task holds at most top_k rows per search, so this group stays small.
+    wanted = F.element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), F.col("search"))
+    rank = F.row_number().over(Window.partitionBy("search").orderBy(*order))
+    best_rows = top_per_group(partial, ["search"], order, max(limits.values()))
+    return best_rows.withColumn("_rank", rank).where(F.col("_rank") <= wanted).drop("_rank")
 
 
 def vector_similarity(graph: PropertyGraph, vid: str, query: Sequence[float]) -> DataFrame:
