@@ -6,7 +6,7 @@ the tables behind that label.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,6 +16,7 @@ from knotwork.model import PropertyGraph, shape_edges, shape_vertices, vertex_id
 from knotwork.operators.merge import mentions
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -48,7 +49,9 @@ def chunk_vertices(documents: DataFrame) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=8)
 def tables_graph(spark: SparkSession, folder: str) -> PropertyGraph:
+    """The graph as a lazy plan; the plan, not the data, is kept per session."""
     t = {
         n: table(spark, folder, n)
         for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
