@@ -1 +1,75 @@
-"""Not yet."""
+"""Similarity search."""
+
+from pyspark.sql import functions as F
+
+from knotwork.operators import vector
+from workload.registry import TOPIC, VECTOR, Tables, query, vector_literal, with_
+
+COS = "list_cosine_similarity(embedding, {0})"
+SCORED = with_(TOPIC, f"s AS (SELECT *, greatest(0, {COS.format(vector_literal())}) AS score FROM topic)")
+
+
+def rounded(found, *columns: str):
+    return found.select(*columns, F.round("score", 6).alias("score"))
+
+
+@query("V1 V5 L5", SCORED + "SELECT vid, label, round(score, 6) AS score FROM s ORDER BY s.score DESC, vid LIMIT 10")
+def vector_topk(t: Tables):
+    return rounded(vector.vector_query(t.graph, VECTOR), "vid", "label")
+
+
+@query("V2 L1", SCORED + """SELECT vid, label, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vid) AS r FROM s) WHERE r <= 5""")
+def vector_topk_per_label(t: Tables):
+    return rounded(vector.vector_query_per_type(t.graph, VECTOR, 5), "vid", "label")
+
+
+@query("V2", SCORED + "SELECT vid, round(score, 6) AS score FROM s WHERE label = 'TOPIC_3' ORDER BY s.score DESC, vid LIMIT 8")
+def vector_neighbors(t: Tables):
+    return rounded(vector.vector_query(t.graph, VECTOR, 8, "TOPIC_3"), "vid")
+
+
+@query("V5", SCORED + "SELECT vid, label, name, round(score, 6) AS score FROM s")
+def vector_scores(t: Tables):
+    return rounded(vector.scored(t.graph, VECTOR), "vid", "label", "name")
+
+
+def searches() -> list[dict]:
+    """Three searches per topic type: the vector, its reverse and its negative."""
+    forms = [VECTOR, VECTOR[::-1], [-x for x in VECTOR]]
+    return [
+        {"type_name": f"TOPIC_{i}", "query_embedding": q, "top_k": 5} for i in range(10) for q in forms
+    ]
+
+
+BATCH = with_(TOPIC) + ",\nq AS (" + "\nUNION ALL ".join(
+    f"SELECT {i} AS search, '{s['type_name']}' AS type, {vector_literal(s['query_embedding'])} AS q"
+    for i, s in enumerate(searches())
+) + """)
+SELECT CAST(search AS BIGINT) AS search, vid, round(score, 6) AS score FROM (
+  SELECT search, vid, score, row_number() OVER (PARTITION BY search ORDER BY score DESC, vid) AS r FROM (
+    SELECT search, vid, greatest(0, list_cosine_similarity(embedding, q.q)) AS score FROM q JOIN topic ON topic.label = q.type))
+WHERE r <= 5"""
+
+
+@query("V3 V2", BATCH)
+def batch_vector_search(t: Tables):
+    return rounded(vector.batch_vector_search(t.graph, searches()), "search", "vid")
+
+
+@query("V4", SCORED + f"SELECT vid, round({COS.format(vector_literal())}, 6) AS similarity FROM topic WHERE name = 'vec_40'")
+def vector_similarity(t: Tables):
+    row = t("embeddings").where(F.col("vec_id") == 40).first()
+    found = vector.vector_similarity(t.graph, f"TOPIC_{row.label}/vec_40", VECTOR)
+    return found.select("vid", F.round("similarity", 6).alias("similarity"))
+
+
+@query("A7", SCORED + """SELECT label, CAST(count(*) AS BIGINT) AS count FROM (
+  SELECT label FROM s ORDER BY score DESC, vid LIMIT 50) GROUP BY label""")
+def hit_types(t: Tables):
+    return vector.hit_types(vector.vector_query(t.graph, VECTOR, 50))
+
+
+@query("V7", None)
+def vector_topk_lsh(t: Tables):
+    return rounded(vector.LshIndex(t.graph, 64).search(VECTOR), "vid", "label")
