@@ -66,14 +66,21 @@ def fold_literal(value: str) -> str:
 
 
 def _ending() -> str:
-    return " (" + "|".join(s.replace(".", r"\.") for s in COMPANY_SUFFIXES) + r")\z"
+    """At least three characters, then one company suffix at the very end."""
+    blank, solid = r"[\s\x1c-\x1f]", r"[^\s\x1c-\x1f]"
+    suffix = "|".join(x.replace(".", r"\.") for x in COMPANY_SUFFIXES)
+    return rf"(?Us)\A({solid}.+{solid}){blank}* (?:{suffix})\z"
+
+
+def without_metadata(name: Column) -> Column:
+    """The trimmed name without a trailing ``({...})``."""
+    return strip(F.regexp_replace(strip(name), r"(?U)\s*\(\{[^}]+\}\)\z", ""))
 
 
 def normalize_name(name: Column) -> Column:
-    """Entity identity: trimmed, without a trailing ``({...})`` and one company suffix."""
-    plain = strip(F.regexp_replace(strip(name), r"(?U)\s*\(\{[^}]+\}\)\z", ""))
-    base = strip(F.regexp_replace(plain, _ending(), ""))
-    return F.when(F.length(base) > 2, base).otherwise(plain)
+    """Entity identity: trimmed, without metadata, and without one company suffix if
+    more than two characters remain."""
+    return F.regexp_replace(without_metadata(name), _ending(), "$1")
 
 
 def _any_of(words: list[str]) -> str:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -124,9 +123,3 @@ class PropertyGraph:
                 return False
             label = parent
         return True
-
-    @cached_property
-    def known_vertex_labels(self) -> list[str] | None:
-        """Distinct vertex labels, or None when there are too many for a list."""
-        rows = self.vertices.select("label").distinct().limit(MAX_LABEL_LIST + 1).collect()
-        return None if len(rows) > MAX_LABEL_LIST else sorted(r.label for r in rows)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from knotwork.functions.props import all_equal, prop
 from knotwork.functions.text import TEXT_CHUNK, fold_literal, fold_punctuation, normalize_name
 from knotwork.model import PropertyGraph
+from knotwork.session import cut_lineage
 
 # Longer id lists become a table and a join instead of a literal IN list.
 MAX_LITERALS = 1_000
@@ -19,6 +20,38 @@ def type_rank(*more: str) -> Column:
     return F.struct((F.col("label") != TEXT_CHUNK).alias("later"), "label", *more)
 
 
+def settle(limited: DataFrame, bound: int | None) -> DataFrame:
+    """A result that is used several times, computed once.
+
+    Up to ``MAX_LITERALS`` rows (guaranteed by a LIMIT or a caller's list) become a
+    local table; anything else is checkpointed.
+    """
+    if bound is not None and bound <= MAX_LITERALS:
+        return limited.sparkSession.createDataFrame(limited.collect(), limited.schema)
+    return cut_lineage(limited)
+
+
+def literal_ids(settled: DataFrame, bound: int | None, *columns: str) -> list[str] | None:
+    """Distinct ids of a settled result as literals, or None when it is too long."""
+    if bound is None or bound * len(columns) > MAX_LITERALS:
+        return None
+    return sorted({value for row in settled.select(*columns).collect() for value in row if value is not None})
+
+
+def vertices_of(graph: PropertyGraph, settled: DataFrame, bound: int | None, *columns: str) -> DataFrame:
+    """Vertices whose record id stands in one of the columns of a settled result.
+
+    A short list is a predicate on label and record id, which prunes partitions and
+    Parquet row groups; a long one is a join.
+    """
+    ids = literal_ids(settled, bound, *columns)
+    if ids is not None:
+        labels = sorted({i.split("/", 1)[0] for i in ids})
+        return graph.vertices.where(F.col("label").isin(*labels) & F.col("vid").isin(*ids))
+    wanted = settled.select(F.explode(F.array(*columns)).alias("vid")).distinct()
+    return graph.vertices.join(wanted, "vid", "left_semi")
+
+
 def nodes_by_properties(graph: PropertyGraph, properties: Mapping[str, object]) -> DataFrame:
     """Vertices of any type that satisfy every property equality."""
     return graph.vertices.where(all_equal(properties))

@@ -11,7 +11,7 @@ from knotwork.functions.props import (
 )
 from knotwork.functions.text import (
     MENTIONS, TEXT_CHUNK, entity_label, fold_punctuation, is_blank, normalize_name, relation_name,
-    strip,
+    strip, without_metadata,
 )
 from knotwork.model import (
     EDGE_SCHEMA, VERTEX_SCHEMA, PropertyGraph, shape_edges, shape_vertices, vertex_id,
@@ -65,7 +65,11 @@ def prepare_nodes(batch: DataFrame, max_property_length: int | None = None) -> D
 
     own_id = F.when(chunk, F.coalesce("id", F.sha2("text", 256))).when(kind == "generic", F.col("id"))
     own_name = F.when(entity, normalize_name(F.col("name")))
-    typed = batch.select(
+    # Tested on the given columns, so the rules below are evaluated once per row.
+    nameless = entity & is_blank(without_metadata(F.col("name")))
+    unusable = is_blank(F.col("label")) | F.col("label").contains("/")
+    unkeyed = (kind == "generic") & (is_blank(F.col("id")) | unusable)
+    typed = batch.where(~nameless & ~unkeyed & ~(chunk & is_blank(own_id))).select(
         "seq", "kind",
         F.when(entity, entity_label(F.col("label"), F.coalesce("name", F.lit(""))))
         .when(chunk, F.lit(TEXT_CHUNK)).otherwise(strip(F.col("label"))).alias("label"),
@@ -79,9 +83,8 @@ def prepare_nodes(batch: DataFrame, max_property_length: int | None = None) -> D
     )
     if max_property_length is not None:
         typed = typed.withColumn("props", drop_large(F.col("props"), max_property_length))
-    kept = typed.where(~is_blank(F.col("key")) & ~is_blank(F.col("label")))
     columns = [f.name for f in VERTEX_SCHEMA.fields if f.name != "vid"]
-    return kept.select("seq", "kind", vertex_id(F.col("label"), F.col("key")).alias("vid"), *columns)
+    return typed.select("seq", "kind", vertex_id(F.col("label"), F.col("key")).alias("vid"), *columns)
 
 
 def _last(column: str) -> Column:
@@ -97,18 +100,20 @@ def collapse_nodes(prepared: DataFrame, property_names: Sequence[str] | None = N
     third of the batch costs one row per task.  Otherwise property maps are
     aggregated per entry and put together again.
     """
-    identity = ["label", "key", "vid"]
     scalars = [_last(c) for c in SCALARS]
+    # The record id holds label and key, so it is the only grouping column.
+    label = F.substring_index("vid", "/", 1)
+    identity = [label.alias("label"), F.substr("vid", F.length(label) + 2).alias("key"), F.col("vid")]
     if property_names is not None:
         wide = prepared.select(
-            *identity, *SCALARS, "seq",
+            "vid", *SCALARS, "seq",
             *[F.try_element_at("props", F.lit(p)).alias(f"p_{p}") for p in property_names],
         )
-        merged = wide.groupBy(*identity).agg(*scalars, *[_last(f"p_{p}") for p in property_names])
+        merged = wide.groupBy("vid").agg(*scalars, *[_last(f"p_{p}") for p in property_names])
         pairs = [x for p in property_names for x in (F.lit(p), F.col(f"p_{p}"))]
         props = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()) if pairs else no_props()
         return merged.select(*identity, *SCALARS, props.alias("props"))
-    merged = prepared.groupBy(*identity).agg(*scalars)
+    merged = prepared.groupBy("vid").agg(*scalars)
     entries = (
         prepared.select("vid", "seq", F.explode("props").alias("prop", "value"))
         .groupBy("vid", "prop").agg(F.max_by("value", "seq").alias("value"))
@@ -187,21 +192,22 @@ def usable_relations(batch: DataFrame) -> DataFrame:
     return batch.where(~is_blank(F.col("label")))
 
 
-def separate_labels(graph: PropertyGraph, relations: DataFrame) -> DataFrame:
+def separate_labels(graph: PropertyGraph, relations: DataFrame,
+                    labels: DataFrame | Sequence[str] | None = None) -> DataFrame:
     """Vertex and edge types share one namespace: a relation label that is already
-    a vertex label gets the suffix ``_REL``."""
-    labels = graph.known_vertex_labels
-    if labels is not None:
-        taken = F.col("label").isin(*labels) if labels else F.lit(False)
-        renamed = relations
+    a vertex label gets the suffix ``_REL``.
+
+    ``labels`` are the vertex labels if the caller has them at hand.
+    """
+    if labels is None:
+        labels = graph.vertices.select("label").distinct()
+    if isinstance(labels, DataFrame):
+        marked = relations.join(labels.select("label", F.lit(True).alias("_taken")), "label", "left")
+        taken = F.coalesce("_taken", F.lit(False))
     else:
-        renamed = relations.join(
-            graph.vertices.select("label", F.lit(True).alias("taken")).distinct(), "label", "left"
-        )
-        taken = F.coalesce("taken", F.lit(False))
-    return renamed.withColumn(
-        "label", F.when(taken, F.concat("label", F.lit("_REL"))).otherwise(F.col("label"))
-    ).select(*relations.columns)
+        marked, taken = relations, F.col("label").isin(*labels)
+    renamed = F.when(taken, F.concat("label", F.lit("_REL"))).otherwise(F.col("label"))
+    return marked.withColumn("label", renamed).select(*relations.columns)
 
 
 def endpoints(graph: PropertyGraph, refs: DataFrame) -> DataFrame:
@@ -242,9 +248,10 @@ def fold_relations(relations: DataFrame) -> DataFrame:
     return relations.withColumn("props", fold_values(kept))
 
 
-def upsert_relations(graph: PropertyGraph, batch: DataFrame) -> PropertyGraph:
+def upsert_relations(graph: PropertyGraph, batch: DataFrame,
+                     labels: DataFrame | Sequence[str] | None = None) -> PropertyGraph:
     """Add relations whose endpoints exist; a stored edge keeps its properties."""
-    usable = separate_labels(graph, usable_relations(batch))
+    usable = separate_labels(graph, usable_relations(batch), labels)
     resolved = fold_relations(resolve_relations(graph, usable))
     return graph.with_edges(add_edges(graph.edges, first_edges(resolved)))
 

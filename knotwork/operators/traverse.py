@@ -9,22 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from knotwork.functions.props import all_equal
 from knotwork.functions.text import TEXT_CHUNK
 from knotwork.model import PropertyGraph, edge_id
-from knotwork.operators.lookup import start_vertices
+from knotwork.operators.lookup import literal_ids, settle, start_vertices, vertices_of
 from knotwork.operators.ranking import first_rows, top_per_group
 from knotwork.session import cut_lineage
 
 EDGE_ORDER = ("label", "src", "dst")
 
-# A result cut to at most this many rows may be broadcast.
-MAX_BROADCAST_ROWS = 10_000
-
-
-def small(limited: DataFrame, limit: int | None) -> DataFrame:
-    """Broadcast a result only if its LIMIT bounds it; otherwise leave the join to
-    the optimiser."""
-    return F.broadcast(limited) if limit is not None and limit <= MAX_BROADCAST_ROWS else limited
-
-
 def display_name() -> Column:
     """What a triplet shows for a vertex: its name, else its id."""
     return F.coalesce(F.nullif(F.col("name"), F.lit("")), F.nullif(F.col("id"), F.lit("")))
@@ -107,14 +97,18 @@ NODE_FIELDS = ["vid", "label", "name", "id", "text", "ref_doc_id", "doc_id", "tr
 def rich_triplets(graph: PropertyGraph, edges: DataFrame, limit: int | None = None) -> DataFrame:
     """Edges with full nodes on both ends: (source, relation, target) structs.
 
-    When ``edges`` was cut to ``limit`` rows it is the broadcast side and the
-    vertices are streamed past it without a shuffle.
+    Edges cut to ``limit`` rows are settled first, so only the vertices they name
+    are read; without a limit both ends are joined.
     """
+    nodes = graph.vertices
+    if limit is not None:
+        edges = settle(edges, limit)
+        nodes = vertices_of(graph, edges, limit, "src", "dst")
+
     def node(vid: str, name: str) -> DataFrame:
-        return graph.vertices.select(F.col("vid").alias(vid), F.struct(*NODE_FIELDS).alias(name))
+        return nodes.select(F.col("vid").alias(vid), F.struct(*NODE_FIELDS).alias(name))
 
-    with_source = node("src", "source").join(small(edges, limit), "src")
-    both = node("dst", "target").join(small(with_source, limit), "dst")
+    both = edges.join(node("src", "source"), "src").join(node("dst", "target"), "dst")
     relation = F.struct(edge_id().alias("eid"), "label", "src", "dst", "props")
     return both.select("source", relation.alias("relation"), "target")
 
@@ -143,12 +137,16 @@ def _hop(graph: PropertyGraph, starts: DataFrame, here: str, there: str, relatio
     )
 
 
-def touching(edges: DataFrame, starts: DataFrame) -> DataFrame:
+def touching(edges: DataFrame, starts: DataFrame, bound: int | None = None) -> DataFrame:
     """Rows with ``src`` or ``dst`` among the start vertices, each once.
 
     One pass over the edges: both membership tests are existence flags, so an edge
-    inside the start set is not produced twice and needs no de-duplication.
+    inside the start set is not produced twice and needs no de-duplication.  A
+    settled start set of at most ``bound`` rows is a plain predicate instead.
     """
+    ids = literal_ids(starts, bound, "vid")
+    if ids is not None:
+        return edges.where(F.col("src").isin(*ids) | F.col("dst").isin(*ids))
     wanted = starts.select(F.col("vid").alias("_vid"), F.lit(True).alias("_hit")).distinct()
     flagged = (
         edges.join(wanted.withColumnRenamed("_hit", "_out"), F.col("src") == F.col("_vid"), "left").drop("_vid")
@@ -165,18 +163,21 @@ def incident_edges(graph: PropertyGraph, starts: DataFrame, limit: int | None =
 
 def rel_map(graph: PropertyGraph, refs: DataFrame, depth: int = 2, limit: int = 30,
             ignore_rels: Sequence[str] | None = None, limit_first: bool = True,
-            one_hop: bool = True) -> DataFrame:
+            one_hop: bool = True, bound: int | None = None) -> DataFrame:
     """Relationship map around nodes given by name or id (column ``ref``).
 
     As in the modelled store, one hop is expanded whatever ``depth`` says, and the
     limit applies before relations are ignored.  ``one_hop=False`` honours
-    ``depth``; ``limit_first=False`` ignores relations first.
+    ``depth``; ``limit_first=False`` ignores relations first.  ``bound`` is the
+    number of references when the caller knows it.
     """
     starts = start_vertices(graph, refs).select("vid").distinct()
     if not one_hop and depth > 1:
-        starts = k_hop(graph, starts, depth - 1).select("vid")
+        starts, bound = k_hop(graph, starts, depth - 1).select("vid"), None
+    else:
+        starts = settle(starts, bound)
     wanted = None if not ignore_rels else ~F.col("label").isin(*ignore_rels)
-    edges = touching(graph.edges, starts)
+    edges = touching(graph.edges, starts, bound)
     if wanted is not None and not limit_first:
         edges = edges.where(wanted)
     edges = first_rows(edges, EDGE_ORDER, limit)
@@ -192,23 +193,29 @@ def k_hop(graph: PropertyGraph, starts: DataFrame, depth: int) -> DataFrame:
     each join, visited vertices are removed, and every level is written to the
     checkpoint folder so the plan does not grow with the number of hops.
     """
-    around = graph.edges.select(F.col("src").alias("vid"), F.col("dst").alias("neighbor")).union(
-        graph.edges.select(F.col("dst").alias("vid"), F.col("src").alias("neighbor"))
-    )
-    frontier = starts.select("vid").distinct()
+    around = both_ways(graph.edges)
+    frontier = cut_lineage(starts.select("vid").distinct())
     reached = frontier.withColumn("depth", F.lit(0))
     for level in range(1, depth + 1):
         step = around.join(frontier, "vid", "left_semi").select(F.col("neighbor").alias("vid")).distinct()
-        frontier = step.join(reached, "vid", "left_anti")
-        if level < depth:
-            frontier = cut_lineage(frontier)
+        frontier = cut_lineage(step.join(reached, "vid", "left_anti"))
         reached = reached.union(frontier.withColumn("depth", F.lit(level)))
     return reached
 
 
+def both_ways(edges: DataFrame) -> DataFrame:
+    """Every edge seen from either end, out of one scan."""
+    ends = F.array(
+        F.struct(F.col("src").alias("vid"), F.col("dst").alias("neighbor")),
+        F.struct(F.col("dst").alias("vid"), F.col("src").alias("neighbor")),
+    )
+    return edges.select(F.inline(ends))
+
+
 def k_hop_neighbors(graph: PropertyGraph, starts: DataFrame, depth: int) -> DataFrame:
     """Neighbours of everything within ``depth`` hops, each once."""
-    return both_neighbors(graph, k_hop(graph, starts, depth)).select(
+    reached = k_hop(graph, starts, depth).select("vid")
+    return both_ways(graph.edges).join(reached, "vid", "left_semi").select(
         F.col("neighbor").alias("vid")
     ).distinct()
 
@@ -230,10 +237,12 @@ def paths(graph: PropertyGraph, starts: DataFrame, depth: int = 2, limit: int |
     )
     levels = []
     for level in range(1, depth + 1):
-        ends = walks.select(F.col("end").alias("src")).distinct()
-        nearby = edges.join(ends, "src", "left_semi")
+        nearby = edges
         if limit is not None:
-            nearby = top_per_group(nearby, ["src"], [F.col("label"), F.col("dst")], limit + depth)
+            ends = walks.select(F.col("end").alias("src")).distinct()
+            nearby = top_per_group(
+                edges.join(ends, "src", "left_semi"), ["src"], [F.col("label"), F.col("dst")], limit + depth
+            )
         step = F.concat_ws("|", "label", "src", "dst")
         walks = walks.join(nearby, walks["end"] == nearby["src"]).where(
             ~F.array_contains("used", step)

@@ -61,8 +61,10 @@ class PropertyStore:
 
     def get_rel_map(self, graph_nodes: Sequence[str] | DataFrame, depth: int = 2, limit: int = 30,
                     ignore_rels: Sequence[str] | None = None, one_hop: bool = True) -> DataFrame:
-        refs = graph_nodes if isinstance(graph_nodes, DataFrame) else lookup.ids_table(self.graph, graph_nodes)
-        return traverse.rel_map(self.graph, refs, depth, limit, ignore_rels, one_hop=one_hop)
+        graph, bound = self.graph, None
+        if not isinstance(graph_nodes, DataFrame):
+            graph_nodes, bound = lookup.ids_table(graph, graph_nodes), len(graph_nodes)
+        return traverse.rel_map(graph, graph_nodes, depth, limit, ignore_rels, one_hop=one_hop, bound=bound)
 
     def get_chunk_nodes(self, node_ids: Sequence[str]) -> DataFrame:
         """Chunk text and file fields, in request order."""
@@ -138,9 +140,7 @@ class PropertyStore:
         batch = relations if isinstance(relations, DataFrame) else relation_batch(self.spark, relations)
         graph = self.graph
         usable = merge.usable_relations(batch)
-        taken = self.disk.labels("vertices")
-        hit = F.col("label").isin(*taken) if taken else F.lit(False)
-        renamed = usable.withColumn("label", F.when(hit, F.concat("label", F.lit("_REL"))).otherwise(F.col("label")))
+        renamed = merge.separate_labels(graph, usable, self.disk.labels("vertices"))
         fresh = merge.first_edges(merge.fold_relations(merge.resolve_relations(graph, renamed)))
         self.disk.change(append={"edges": fresh.join(graph.edges, ["label", "src", "dst"], "left_anti")})
 

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from knotwork.functions.text import TEXT_CHUNK
 from knotwork.model import PropertyGraph
-from knotwork.operators.merge import upsert_nodes, upsert_relations
+from knotwork.operators.lookup import literal_ids, settle, vertices_of
+from knotwork.operators.merge import prepare_nodes, upsert_nodes, upsert_relations
 from knotwork.operators.ranking import first_rows
-from knotwork.operators.traverse import EDGE_ORDER, display_name, small, touching
+from knotwork.operators.traverse import EDGE_ORDER, display_name, touching
 from knotwork.operators.vector import DEFAULT_TOP_K, vector_query
 
 
@@ -19,34 +20,36 @@ def retrieve(graph: PropertyGraph, query: Sequence[float], top_k: int = DEFAULT_
     """Best entities for a query vector, the relations around them and the text
     they come from.
 
-    One row per relation, scored by its better end.  The hits and the cut relation
-    list are bounded by ``top_k`` and ``limit``, so they are the broadcast side of
-    every join and neither edges nor vertices are shuffled.
+    One row per relation, scored by its better end.  The hits and the relations
+    around them are bounded by ``top_k`` and ``limit`` and settled in turn, so every
+    table is read once: vectors for the hits, edges around them, the vertices and
+    chunks those name.
     """
-    hits = vector_query(graph, query, top_k).select("vid", "score")
-    around = first_rows(touching(graph.edges.select(*EDGE_ORDER), small(hits, top_k)), EDGE_ORDER, limit)
-
-    def best(vid: str) -> DataFrame:
-        return small(hits.select(F.col("vid").alias(vid), F.col("score").alias(f"{vid}_score")), top_k)
-
-    named = around
-    for vid, shown in (("src", "subject"), ("dst", "object")):
-        ends = graph.vertices.select(F.col("vid").alias(vid), display_name().alias(shown),
-                                     F.col("triplet_source_id").alias(f"{vid}_source"))
-        named = ends.join(small(named, limit), vid)
-    scored = small(named, limit).join(best("src"), "src", "left").join(best("dst"), "dst", "left")
-    found = scored.select(
+    hits = settle(vector_query(graph, query, top_k).select("vid", "score"), top_k)
+    around = settle(first_rows(touching(graph.edges.select(*EDGE_ORDER), hits, top_k), EDGE_ORDER, limit), limit)
+    ends = vertices_of(graph, around, limit, "src", "dst").select(
+        "vid", display_name().alias("shown"), F.col("triplet_source_id").alias("source")
+    )
+    ends = settle(ends, 2 * limit).join(hits, "vid", "left")
+
+    def end(vid: str, shown: str) -> DataFrame:
+        return ends.select(F.col("vid").alias(vid), F.col("shown").alias(shown),
+                           F.col("score").alias(f"{vid}_score"), F.col("source").alias(f"{vid}_source"))
+
+    src_score, dst_score = (F.coalesce(c, F.lit(-1.0)) for c in ("src_score", "dst_score"))
+    found = around.join(end("src", "subject"), "src").join(end("dst", "object"), "dst").select(
         "subject", F.col("label").alias("relation"), "object",
         F.greatest("src_score", "dst_score").alias("score"),
-        F.when(F.coalesce("src_score", F.lit(-1.0)) >= F.coalesce("dst_score", F.lit(-1.0)), F.col("src_source"))
-        .otherwise(F.col("dst_source")).alias("source_id"),
+        F.when(src_score >= dst_score, F.col("src_source")).otherwise(F.col("dst_source")).alias("source_id"),
     )
     if not include_text:
         return found
-    chunks = graph.vertices.where(F.col("label") == TEXT_CHUNK).select(
-        F.col("id").alias("source_id"), F.col("text").alias("source_text")
-    )
-    text = chunks.join(small(found.select("source_id").distinct(), limit), "source_id", "left_semi")
+    found = settle(found, limit)
+    chunks = graph.vertices.where(F.col("label") == TEXT_CHUNK)
+    ids = literal_ids(found, limit, "source_id")
+    if ids is not None:
+        chunks = chunks.where(F.col("id").isin(*ids))
+    text = chunks.select(F.col("id").alias("source_id"), F.col("text").alias("source_text"))
     return found.join(text, "source_id", "left").select(
         "subject", "relation", "object", "score", "source_id", "source_text"
     )
@@ -60,4 +63,5 @@ def ingest(graph: PropertyGraph, chunks: DataFrame, entities: DataFrame, relatio
     relations resolve their ends against the result.
     """
     batch = chunks.unionByName(entities)
-    return upsert_relations(upsert_nodes(graph, batch, property_names), relations)
+    labels = graph.vertices.select("label").union(prepare_nodes(batch).select("label")).distinct()
+    return upsert_relations(upsert_nodes(graph, batch, property_names), relations, labels)

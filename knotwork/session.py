@@ -18,11 +18,20 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Graphs are often unions (several tables, or stored rows plus new ones).  This
+# rule copies a semi or anti join into every branch of a union, and with it the
+# whole plan of the other side; one join above the union is what we want.
+EXCLUDED_RULE = "org.apache.spark.sql.catalyst.optimizer.PushDownLeftSemiAntiJoin"
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    excluded = spark.conf.get("spark.sql.optimizer.excludedRules", None) or ""
+    rules = [r.strip() for r in excluded.split(",") if r.strip()]
+    if EXCLUDED_RULE not in rules:
+        spark.conf.set("spark.sql.optimizer.excludedRules", ",".join([*rules, EXCLUDED_RULE]))
     return spark
 
 
