@@ -124,19 +124,40 @@ def collapse_nodes(prepared: DataFrame, property_names: Sequence[str] | None = N
     )
 
 
-def merge_vertices(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+def merge_vertices(stored: DataFrame, incoming: DataFrame, fits_memory: bool = False) -> DataFrame:
     """Stored vertices with the collapsed batch laid over them.
 
-    Both sides hold a vertex once, so the full outer join has no hot key.
+    Both sides hold a vertex once, so the full outer join has no hot key.  With
+    ``fits_memory`` (the caller measured the batch, see ``batch_bytes``) the batch is
+    broadcast and the stored rows are merged where they are, without a shuffle.
     """
-    old, new = stored.alias("old"), incoming.alias("new")
-    merged = old.join(new, F.col("old.vid") == F.col("new.vid"), "full_outer")
     columns = []
     for f in VERTEX_SCHEMA.fields:
         before, after = F.col(f"old.{f.name}"), F.col(f"new.{f.name}")
         value = overlay(before, after) if f.name == "props" else F.coalesce(after, before)
         columns.append(value.alias(f.name))
-    return merged.select(*columns)
+    same = F.col("old.vid") == F.col("new.vid")
+    if not fits_memory:
+        return stored.alias("old").join(incoming.alias("new"), same, "full_outer").select(*columns)
+    small = F.broadcast(incoming)
+    updated = stored.alias("old").join(small.alias("new"), same, "left").select(*columns)
+    known = stored.select("vid").join(F.broadcast(incoming.select("vid")), "vid", "left_semi")
+    inserted = incoming.join(known, "vid", "left_anti")
+    return updated.unionByName(inserted.select(*VERTEX_SCHEMA.fieldNames()))
+
+
+# A measured batch up to this size is broadcast.
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def batch_bytes(collapsed: DataFrame) -> int:
+    """Size of a collapsed batch in memory, by measuring its text and vectors."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c in (
+        "vid", "key", "name", "id", "text", "ref_doc_id", "doc_id", "triplet_source_id")]
+    total = F.lit(200) + F.octet_length(F.to_json("props")) + 4 * F.greatest(F.size("embedding"), F.lit(0))
+    for t in texts:
+        total = total + t
+    return collapsed.agg(F.sum(total.cast("long"))).first()[0] or 0
 
 
 def mentions(entities: DataFrame, chunk_ids: DataFrame) -> DataFrame:

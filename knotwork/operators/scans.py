@@ -106,18 +106,20 @@ def catalogue(graph: PropertyGraph, basic: bool = False) -> DataFrame:
     )
 
 
+def property_names(df: DataFrame, declared: Sequence[str] = ()) -> Column:
+    """Names of the properties a row has, as an array (NULL entries stand for none)."""
+    used = [F.when(F.col(c).isNotNull(), F.lit(c)) for c in declared if c in df.columns]
+    return F.array_union(F.array(*used, F.lit(None).cast("string")), F.map_keys("props"))
+
+
 def type_properties(graph: PropertyGraph) -> DataFrame:
     """Property names in use per type."""
-    used = F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in DECLARED],
-                   F.when(F.col("embedding").isNotNull(), F.lit("embedding")))
-    of_vertices = graph.vertices.select(
-        F.lit("vertex").alias("kind"), "label",
-        F.explode(F.array_union(used, F.map_keys("props"))).alias("property"),
-    )
-    of_edges = graph.edges.select(
-        F.lit("edge").alias("kind"), "label", F.explode(F.map_keys("props")).alias("property")
-    )
-    return of_vertices.union(of_edges).where(F.col("property").isNotNull()).distinct()
+    found = [
+        df.select(F.lit(kind).alias("kind"), "label",
+                  F.explode(property_names(df, [*DECLARED, "embedding"])).alias("property"))
+        for kind, df in (("vertex", graph.vertices), ("edge", graph.edges))
+    ]
+    return found[0].union(found[1]).where(F.col("property").isNotNull()).distinct()
 
 
 def sample_names(graph: PropertyGraph, per_type: int = 5) -> DataFrame:
@@ -151,17 +153,23 @@ def count_of(graph: PropertyGraph, base: str) -> DataFrame:
     return polymorphic_scan(graph, base).agg(F.count(F.lit(1)).alias("count"))
 
 
-def schema_summary(graph: PropertyGraph, basic: bool = False, per_type: int = 5) -> dict:
+def schema_summary(graph: PropertyGraph, basic: bool = False, per_type: int = 5,
+                   known: dict[tuple[str, str], list[str]] | None = None) -> dict:
     """Types with properties and sample names, as one dictionary.
 
     Collects schema-sized results only: one row per (type, property) and at most
-    ``per_type`` names per type.
+    ``per_type`` names per type.  ``known`` gives the types and properties when a
+    stored catalogue has them.
     """
-    properties: dict[tuple[str, str], list[str]] = {
-        (r.kind, r.label): [] for r in type_names(graph, basic).collect()
-    }
-    for r in type_properties(graph).collect():
-        properties[(r.kind, r.label)].append(r.property)
+    properties: dict[tuple[str, str], list[str]] = {("vertex", t): [] for t in CORE_TYPES}
+    properties |= {("vertex", t): [] for t in (BASIC_TYPES if basic else [])}
+    properties |= {("edge", t): [] for t in CORE_RELATIONS}
+    if known is None:
+        properties |= {(r.kind, r.label): [] for r in type_names(graph, basic).collect()}
+        for r in type_properties(graph).collect():
+            properties[(r.kind, r.label)].append(r.property)
+    else:
+        properties |= known
     samples = [r.asDict() for r in sample_names(graph, per_type).orderBy("type", "name").collect()]
 
     def listing(kind: str) -> list[dict]:

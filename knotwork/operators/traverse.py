@@ -62,32 +62,30 @@ def triplet_listing(graph: PropertyGraph, entity_names: Sequence[str] | None = N
                     relation_names: Sequence[str] | None = None, properties: dict | None = None,
                     ids: Sequence[str] | None = None, per_type: int | None = 100) -> DataFrame:
     """Triplets that satisfy every given filter; name, id and property filters hold
-    when either end satisfies them."""
-    base = triplets(graph, relation_names, per_type=None if entity_names or properties or ids else per_type)
+    when either end satisfies them.  Edges are cut down before names are joined."""
+    edges = graph.edges.select("label", "src", "dst")
+    if relation_names:
+        edges = edges.where(F.col("label").isin(*relation_names))
     for wanted in (
         F.col("name").isin(*entity_names) if entity_names else None,
         F.col("id").isin(*ids) | F.col("name").isin(*ids) if ids else None,
         all_equal(properties) if properties else None,
     ):
         if wanted is not None:
-            hits = graph.vertices.where(F.coalesce(wanted, F.lit(False))).select("vid")
-            base = touching(base, hits)
-    if per_type is not None and (entity_names or properties or ids):
-        base = top_per_group(base, ["relation"], [F.col("src"), F.col("dst")], per_type)
-    return base
+            edges = touching(edges, graph.vertices.where(F.coalesce(wanted, F.lit(False))))
+    return triplets(graph.with_edges(edges), per_type=per_type)
 
 
 def subject_triplets(graph: PropertyGraph, node_label: str, subject: str) -> DataFrame:
-    """Outgoing triplets of one subject id in the triple store."""
-    start = graph.vertices.where((F.col("label") == node_label) & (F.col("id") == subject)).select(
-        F.col("vid").alias("src")
-    )
-    out = graph.edges.join(start, "src", "left_semi")
-    ends = graph.vertices.where(F.col("label") == node_label).select(
-        F.col("vid").alias("dst"), F.col("id").alias("object")
-    )
-    return out.join(ends, "dst").select(
-        F.lit(subject).alias("subject"), F.col("label").alias("relation"), "object"
+    """Outgoing triplets of one subject id in the triple store.
+
+    Record ids hold the id, so this is a filtered scan of the edges without a join.
+    """
+    prefix = f"{node_label}/"
+    out = graph.edges.where((F.col("src") == prefix + subject) & F.col("dst").startswith(prefix))
+    return out.select(
+        F.lit(subject).alias("subject"), F.col("label").alias("relation"),
+        F.substr("dst", F.lit(len(prefix) + 1)).alias("object"),
     )
 
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from knotwork.model import MAX_LABEL_LIST, PropertyGraph
+from knotwork.functions.text import MENTIONS
+from knotwork.model import MAX_LABEL_LIST, PropertyGraph, shape_vertices
 from knotwork.operators import delete as deletes, lookup, merge, scans, traverse, vector
 from knotwork.plans import retrieval, sql
 from knotwork.plans.nodes import Relation, node_batch, relation_batch
-from knotwork.session import cut_lineage, shared_dir
-from knotwork.sources.store import GraphStore
+from knotwork.session import cut_lineage, shared_dir, tune
+from knotwork.sources.store import GraphStore, Part
 
 
 class PropertyStore:
@@ -23,13 +25,12 @@ class PropertyStore:
 
     def __init__(self, spark: SparkSession, path: str | None = None, create: bool = True,
                  include_basic_schema: bool = True, embedding_dimension: int | None = None,
-                 parents: Mapping[str, str | None] | None = None) -> None:
-        import uuid
-
-        self.spark = spark
+                 parents: Mapping[str, str | None] | None = None, buckets: int = 1) -> None:
+        self.spark = tune(spark)
         self.basic = include_basic_schema
         self.dimension = embedding_dimension
-        self.disk = GraphStore(spark, path or f"{shared_dir(spark)}/graph-{uuid.uuid4().hex}", create, parents)
+        path = path or f"{shared_dir(spark)}/graph-{uuid.uuid4().hex}"
+        self.disk = GraphStore(spark, path, create, parents, buckets)
 
     @property
     def graph(self) -> PropertyGraph:
@@ -75,7 +76,8 @@ class PropertyStore:
         return scans.records(self.graph, types, where, limit)
 
     def get_schema(self) -> dict:
-        return scans.schema_summary(self.graph, self.basic)
+        """Types, properties and sample names; only the samples need a scan."""
+        return scans.schema_summary(self.graph, self.basic, known=self.disk.properties())
 
     def get_entity_names(self, limit: int | None = 100) -> DataFrame:
         return scans.entity_names(self.graph, limit)
@@ -99,84 +101,93 @@ class PropertyStore:
         return retrieval.retrieve(self.graph, query_embedding, similarity_top_k, include_text)
 
     def structured_query(self, query: str, param_map: Mapping[str, object] | None = None) -> DataFrame:
-        """Spark SQL over one view per type; edge views have ``src`` and ``dst``."""
-        graph = self.graph
-        labels = {c: "vertex" for c in self.disk.labels("vertices")}
-        labels |= {c: "edge" for c in self.disk.labels("edges")}
-        labels |= {c: "vertex" for c in ("Entity", "TextChunk")}
-        properties: dict[str, list[str]] = {}
-        for r in scans.type_properties(graph).collect():
-            properties.setdefault(r.label, []).append(r.property)
-        sql.register_views(graph, properties, labels)
+        """Spark SQL over one view per type.
+
+        Properties are columns of the views; edge views have ``src`` and ``dst``.
+        The views come from the stored catalogue, no data is read for them.
+        """
+        known = self.disk.properties()
+        labels = {label: kind for kind, label in known} | {c: "vertex" for c in ("Entity", "TextChunk")}
+        sql.register_views(self.graph, {label: names for (_, label), names in known.items()}, labels)
         return sql.run_sql(self.spark, query, param_map)
 
     # Writes -------------------------------------------------------------------
 
-    def _labels_of(self, rows: DataFrame) -> list[str] | None:
-        """Labels in a batch, or None when a change has to treat all labels."""
-        found = rows.select("label").distinct().limit(MAX_LABEL_LIST + 1).collect()
-        return None if len(found) > MAX_LABEL_LIST else [r.label for r in found]
+    def _parts_of(self, kind: str, rows: DataFrame) -> list[Part] | None:
+        """(label, bucket) parts of some rows, or None when there are too many to list
+        and a change has to treat everything."""
+        found = rows.select("label", self.disk.bucket(kind).alias("bucket")).distinct()
+        parts = [(r.label, r.bucket) for r in found.limit(MAX_LABEL_LIST + 1).collect()]
+        return None if len(parts) > MAX_LABEL_LIST else parts
+
+    def _merge(self, collapsed: DataFrame) -> dict[str, tuple[list[Part] | None, DataFrame]]:
+        """The replacement that lays a collapsed batch over the parts it touches."""
+        parts = self._parts_of("vertices", collapsed)
+        small = merge.batch_bytes(collapsed) <= merge.MAX_BROADCAST_BYTES
+        return {"vertices": (parts, merge.merge_vertices(self.disk.part("vertices", parts), collapsed, small))}
 
     def upsert_nodes(self, nodes: Sequence[object] | DataFrame, property_names: Sequence[str] | None = None,
                      max_property_length: int | None = None) -> None:
-        """Merge nodes; only labels that occur in the batch are rewritten."""
+        """Merge nodes; only the parts that hold a node of the batch are rewritten."""
         batch = nodes if isinstance(nodes, DataFrame) else node_batch(self.spark, nodes)
-        prepared = cut_lineage(merge.prepare_nodes(batch, max_property_length))
+        prepared = merge.prepare_nodes(batch, max_property_length)
         if self.dimension:
             fits = F.size("embedding") == self.dimension
             prepared = prepared.withColumn("embedding", F.when(fits, F.col("embedding")))
-        labels = self._labels_of(prepared)
-        if labels == []:
+        prepared = cut_lineage(prepared)
+        collapsed = cut_lineage(merge.collapse_nodes(prepared, property_names))
+        if collapsed.isEmpty():
             return
-        part = self.disk.graph(labels)
-        merged = merge.merge_vertices(part.vertices, merge.collapse_nodes(prepared, property_names))
         chunks = merge.chunk_ids(self.graph.vertices).union(merge.chunk_ids(prepared))
         fresh = merge.mentions(prepared.where(F.col("kind") == "entity"), chunks)
-        new = fresh.join(self.disk.graph(edge_labels=["MENTIONS"]).edges, ["label", "src", "dst"], "left_anti")
-        self.disk.change(replace={"vertices": (labels, merged)}, append={"edges": new})
+        stored = self.disk.graph(edge_labels=[MENTIONS]).edges
+        new = fresh.join(stored, ["label", "src", "dst"], "left_anti")
+        self.disk.change(replace=self._merge(collapsed), append={"edges": new})
 
     def upsert_relations(self, relations: Sequence[Relation] | DataFrame) -> None:
         """Add relations with known ends; stored edges are read by key only and kept."""
         batch = relations if isinstance(relations, DataFrame) else relation_batch(self.spark, relations)
         graph = self.graph
-        usable = merge.usable_relations(batch)
-        renamed = merge.separate_labels(graph, usable, self.disk.labels("vertices"))
-        fresh = merge.first_edges(merge.fold_relations(merge.resolve_relations(graph, renamed)))
-        self.disk.change(append={"edges": fresh.join(graph.edges, ["label", "src", "dst"], "left_anti")})
+        renamed = merge.separate_labels(graph, merge.usable_relations(batch), self.disk.labels("vertices"))
+        fresh = cut_lineage(merge.first_edges(merge.fold_relations(merge.resolve_relations(graph, renamed))))
+        labels = [r.label for r in fresh.select("label").distinct().limit(MAX_LABEL_LIST + 1).collect()]
+        stored = self.disk.graph(edge_labels=None if len(labels) > MAX_LABEL_LIST else labels).edges
+        self.disk.change(append={"edges": fresh.join(stored, ["label", "src", "dst"], "left_anti")})
 
     def bulk_insert(self, label: str, rows: DataFrame, key: Column, props: Column, **columns: Column) -> int:
         """Append rows of a type; returns how many."""
-        added = merge.shape_vertices(rows, label, key, props=props, **columns)
+        added = shape_vertices(rows, label, key, props=props, **columns)
         self.disk.change(append={"vertices": added})
         return rows.count()
 
     def bulk_upsert(self, label: str, rows: DataFrame, key: Column, seq: Column, props: Column,
                     **columns: Column) -> int:
         """Insert or update rows of a type by key; returns the number of rows given."""
-        part = self.disk.graph([label])
-        self.disk.change(replace={
-            "vertices": ([label], merge.bulk_upsert(part, label, rows, key, seq, props, **columns).vertices)
-        })
+        ordered = shape_vertices(rows, label, key, extra=[seq.alias("seq")], props=props, **columns)
+        self.disk.change(replace=self._merge(cut_lineage(merge.collapse_nodes(ordered))))
         return rows.count()
 
     def update_where(self, label: str, where: Column, props: dict[str, Column]) -> None:
-        part = self.disk.graph([label])
-        self.disk.change(replace={"vertices": ([label], merge.update_where(part, label, where, props).vertices)})
+        graph = self.disk.graph([label])
+        parts = self._parts_of("vertices", graph.vertices.where(where))
+        part = graph.with_vertices(self.disk.part("vertices", parts))
+        self.disk.change(replace={"vertices": (parts, merge.update_where(part, label, where, props).vertices)})
 
     def _apply_delete(self, before: PropertyGraph, after: PropertyGraph) -> None:
-        """Write a deletion: only labels that lose rows are rewritten."""
+        """Write a deletion: only parts that lose rows are rewritten."""
         replace = {}
         for kind, old, new, key in (
-            ("vertices", before.vertices, after.vertices, ["vid"]),
+            ("vertices", before.vertices, after.vertices, ["label", "vid"]),
             ("edges", before.edges, after.edges, ["label", "src", "dst"]),
         ):
-            columns = list(dict.fromkeys([*key, "label"]))
-            lost = old.select(*columns).join(new.select(*key), key, "left_anti")
-            labels = self._labels_of(lost)
-            if labels is None:
+            parts = self._parts_of(kind, old.select(*key).join(new.select(*key), key, "left_anti"))
+            if parts is None:
                 replace[kind] = (None, new)
-            elif labels:
-                replace[kind] = (labels, new.where(F.col("label").isin(*labels)))
+            elif parts:
+                hit = F.struct("label", self.disk.bucket(kind).alias("bucket")).isin(*[
+                    F.struct(F.lit(label).alias("label"), F.lit(b).alias("bucket")) for label, b in parts
+                ])
+                replace[kind] = (parts, new.where(hit))
         if replace:
             self.disk.change(replace=replace)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +11,7 @@ from knotwork.functions.text import BASE_ENTITY
 from knotwork.model import PropertyGraph
 from knotwork.operators import delete as deletes, merge, scans, traverse
 from knotwork.plans import sql
-from knotwork.session import shared_dir
+from knotwork.session import shared_dir, tune
 from knotwork.sources.store import GraphStore
 
 TRIPLE = "subject string, relation string, object string"
@@ -21,9 +22,7 @@ class TripleStore:
 
     def __init__(self, spark: SparkSession, path: str | None = None, node_label: str = BASE_ENTITY,
                  create: bool = True) -> None:
-        import uuid
-
-        self.spark = spark
+        self.spark = tune(spark)
         self.node_label = node_label
         self.schema = ""
         self.disk = GraphStore(spark, path or f"{shared_dir(spark)}/triples-{uuid.uuid4().hex}", create)

@@ -1,10 +1,11 @@
-"""A graph kept as Parquet, partitioned by label and version.
+"""A graph kept as Parquet, partitioned by label, bucket and version.
 
 Nothing is changed in place: a write adds files under a new version and then one
-small snapshot that names the versions in force.  A change to one label leaves
-the files of all other labels alone, appended edges leave stored edges alone, and
-a job that dies half way leaves the last snapshot as it was.  Two writers that
-start from the same snapshot collide on its successor, and the second one fails.
+small snapshot that names the versions in force and the properties seen per type.
+A change rewrites only the (label, bucket) parts it touches, appended rows leave
+all stored files alone, and a job that dies half way leaves the last snapshot as
+it was.  Two writers that start from the same snapshot collide on its successor,
+and the second one fails.
 """
 
 from __future__ import annotations
@@ -13,75 +14,130 @@ import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from knotwork.functions.props import DECLARED
 from knotwork.model import EDGE_SCHEMA, VERTEX_SCHEMA, PropertyGraph
+from knotwork.operators.scans import property_names
 
 KINDS = {"vertices": VERTEX_SCHEMA, "edges": EDGE_SCHEMA}
+# The column whose hash gives the bucket of a row.
+BUCKET_KEY = {"vertices": "vid", "edges": "src"}
 SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("kind", T.StringType()),
     T.StructField("label", T.StringType()),
-    T.StructField("version", T.StringType()),
+    T.StructField("bucket", T.IntegerType()),
+    T.StructField("value", T.StringType()),
     T.StructField("snapshot", T.LongType()),
 ])
+PLACE = [T.StructField("bucket", T.IntegerType()), T.StructField("version", T.StringType())]
 
-# (kind, label) -> versions in force; kind "parent" keeps the type hierarchy.
-State = dict[tuple[str, str], list[str]]
+# Stored kinds map (label, bucket) to the versions in force.  Further kinds keep
+# the type hierarchy ("parent"), properties per type and the number of buckets.
+Part = tuple[str, int]
+State = dict[tuple[str, str, int], list[str]]
+
+
+def _missing(error: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(error)
 
 
 class GraphStore:
+    """``buckets`` splits every label by the hash of its ids.  It is fixed when the
+    store is created; choose it so that one bucket of the largest label is small
+    enough to be rewritten for an update."""
+
     def __init__(self, spark: SparkSession, path: str, create: bool = True,
-                 parents: Mapping[str, str | None] | None = None) -> None:
+                 parents: Mapping[str, str | None] | None = None, buckets: int = 1) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.number, self.state = self._latest()
         if self.number < 0:
             if not create:
                 raise FileNotFoundError(f"no graph is stored at {path}")
-            self._commit({("parent", c): [p or ""] for c, p in (parents or {}).items()})
+            state: State = {("buckets", "", 0): [str(buckets)]}
+            self._commit(state | self._parent_rows(parents or {}))
+
+    @staticmethod
+    def _parent_rows(parents: Mapping[str, str | None]) -> State:
+        return {("parent", child, 0): [parent or ""] for child, parent in parents.items()}
 
     # Reading ------------------------------------------------------------------
 
     def _latest(self) -> tuple[int, State]:
         try:
             rows = self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{self.path}/snapshots")
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
+        except AnalysisException as error:
+            if not _missing(error):
                 raise
             return -1, {}
         number = rows.agg(F.max("snapshot")).first()[0]
         if number is None:
             return -1, {}
         state: State = {}
-        # One row per label and version in force: the size of the schema.
+        # One row per label, bucket and version in force: the size of the schema.
         for r in rows.where(F.col("snapshot") == number).collect():
-            if r.kind != "none":
-                state.setdefault((r.kind, r.label), []).append(r.version)
+            state.setdefault((r.kind, r.label, r.bucket), []).append(r.value)
         return number, state
 
-    def _read(self, kind: str, labels: Iterable[str] | None = None) -> DataFrame:
-        schema = KINDS[kind]
-        by_version: dict[str, list[str]] = {}
-        for (k, label), versions in self.state.items():
-            if k == kind and (labels is None or label in set(labels)):
-                for version in versions:
-                    by_version.setdefault(version, []).append(label)
-        if not by_version:
-            return self.spark.createDataFrame([], schema)
+    def _files(self, kind: str) -> DataFrame | None:
+        full = T.StructType([*KINDS[kind].fields, *PLACE])
+        try:
+            return self.spark.read.schema(full).parquet(f"{self.path}/{kind}")
+        except AnalysisException as error:
+            if not _missing(error):
+                raise
+            return None
+
+    def _read(self, kind: str, labels: Iterable[str] | None = None,
+              parts: Iterable[Part] | None = None) -> DataFrame:
+        labels = None if labels is None else set(labels)
+        parts = None if parts is None else set(parts)
+        by_version: dict[str, dict[str, list[int]]] = {}
+        for (k, label, bucket), versions in self.state.items():
+            if k != kind or (labels is not None and label not in labels):
+                continue
+            if parts is not None and (label, bucket) not in parts:
+                continue
+            for version in versions:
+                by_version.setdefault(version, {}).setdefault(label, []).append(bucket)
+        files = self._files(kind) if by_version else None
+        if files is None:
+            return self.spark.createDataFrame([], KINDS[kind])
+        # Partition columns only, so this decides which folders are read at all.
         in_force = F.lit(False)
-        for version, names in by_version.items():
-            in_force = in_force | ((F.col("version") == version) & F.col("label").isin(*names))
-        full = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
-        rows = self.spark.read.schema(full).parquet(f"{self.path}/{kind}").where(in_force)
-        return rows.select(*schema.fieldNames())
+        for version, held in by_version.items():
+            by_buckets: dict[tuple[int, ...], list[str]] = {}
+            for label, numbers in held.items():
+                by_buckets.setdefault(tuple(sorted(numbers)), []).append(label)
+            for numbers, names in by_buckets.items():
+                in_force = in_force | (
+                    (F.col("version") == version) & F.col("label").isin(*names) & F.col("bucket").isin(*numbers)
+                )
+        return files.where(in_force).select(*KINDS[kind].fieldNames())
 
     @property
     def parents(self) -> dict[str, str | None]:
-        return {label: v[0] or None for (kind, label), v in self.state.items() if kind == "parent"}
+        return {label: v[0] or None for (kind, label, _), v in self.state.items() if kind == "parent"}
+
+    @property
+    def buckets(self) -> int:
+        return int(self.state[("buckets", "", 0)][0])
+
+    def bucket(self, kind: str) -> Column:
+        return F.pmod(F.xxhash64(BUCKET_KEY[kind]), F.lit(self.buckets)).cast("int")
 
     def labels(self, kind: str) -> list[str]:
         """Stored labels, from the snapshot alone."""
-        return sorted(label for k, label in self.state if k == kind)
+        return sorted({label for k, label, _ in self.state if k == kind})
+
+    def properties(self) -> dict[tuple[str, str], list[str]]:
+        """(vertex or edge, type) to the properties seen so far, from the snapshot."""
+        known: dict[tuple[str, str], list[str]] = {}
+        for kind, name in (("vertices", "vertex"), ("edges", "edge")):
+            known |= {(name, label): [] for label in self.labels(kind)}
+            known |= {(name, label): v for (k, label, _), v in self.state.items() if k == f"{kind} properties"}
+        return known
 
     def graph(self, vertex_labels: Iterable[str] | None = None,
               edge_labels: Iterable[str] | None = None) -> PropertyGraph:
@@ -89,57 +145,67 @@ class GraphStore:
         return PropertyGraph(self._read("vertices", vertex_labels), self._read("edges", edge_labels),
                              self.parents)
 
+    def part(self, kind: str, parts: Iterable[Part] | None) -> DataFrame:
+        """Rows of some (label, bucket) parts; None for all."""
+        return self._read(kind, parts=parts)
+
     # Writing ------------------------------------------------------------------
 
-    def _write(self, kind: str, rows: DataFrame) -> tuple[str, list[str]]:
-        """Write rows under a new version; returns it and the labels it holds."""
+    def _write(self, kind: str, rows: DataFrame) -> tuple[str, set[Part], dict[str, set[str]]]:
+        """Write rows under a new version; returns it, the parts it holds and the
+        properties per label."""
         version = uuid.uuid4().hex
-        columns = KINDS[kind].fieldNames()
-        # Rebalancing keeps files of one label together and splits a label that
-        # holds most of the rows over several tasks.
-        shaped = rows.select(*columns).hint("rebalance", "label")
-        shaped.withColumn("version", F.lit(version)).write.mode("append").partitionBy(
-            "label", "version"
-        ).parquet(f"{self.path}/{kind}")
-        full = T.StructType([*KINDS[kind].fields, T.StructField("version", T.StringType())])
-        try:
-            found = self.spark.read.schema(full).parquet(f"{self.path}/{kind}")
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return version, []
-        labels = found.where(F.col("version") == version).select("label").distinct().collect()
-        return version, [r.label for r in labels]
+        shaped = rows.select(*KINDS[kind].fieldNames()).withColumn("bucket", self.bucket(kind))
+        # Rebalancing keeps files of one part together and splits a part that holds
+        # most of the rows over several tasks.
+        shaped.hint("rebalance", "label", "bucket").withColumn("version", F.lit(version)).write.mode(
+            "append"
+        ).partitionBy("label", "bucket", "version").parquet(f"{self.path}/{kind}")
+        files = self._files(kind)
+        if files is None:
+            return version, set(), {}
+        written = files.where(F.col("version") == version)
+        names = F.explode(property_names(written, [*DECLARED, "embedding"])).alias("property")
+        found = written.select("label", "bucket", names).distinct().collect()
+        properties: dict[str, set[str]] = {}
+        for r in found:
+            properties.setdefault(r.label, set()).update([r.property] if r.property else [])
+        return version, {(r.label, r.bucket) for r in found}, properties
 
     def _commit(self, state: State) -> None:
-        rows = [(k, label, v) for (k, label), versions in state.items() for v in versions]
+        rows = [(*key, value) for key, values in state.items() for value in values]
         number = self.number + 1
-        frame = self.spark.createDataFrame(rows or [("none", "", "")], "kind string, label string, version string")
-        frame.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/snapshots/snapshot={number}")
+        columns = "kind string, label string, bucket int, value string"
+        self.spark.createDataFrame(rows, columns).coalesce(1).write.mode("errorifexists").parquet(
+            f"{self.path}/snapshots/snapshot={number}"
+        )
         self.number, self.state = number, state
 
-    def change(self, replace: Mapping[str, tuple[Iterable[str] | None, DataFrame]] | None = None,
+    def change(self, replace: Mapping[str, tuple[Iterable[Part] | None, DataFrame]] | None = None,
                append: Mapping[str, DataFrame] | None = None) -> None:
         """One atomic change.
 
-        ``replace`` gives, per kind, the labels whose rows are replaced (None: all)
-        and their new rows; ``append`` gives rows that are added.
+        ``replace`` gives, per kind, the (label, bucket) parts whose rows are
+        replaced (None: all) and their new rows; ``append`` gives rows to add.
         """
-        state = {key: list(versions) for key, versions in self.state.items()}
+        state = {key: list(values) for key, values in self.state.items()}
         written = []
-        for kind, (labels, rows) in (replace or {}).items():
+        for kind, (parts, rows) in (replace or {}).items():
             written.append((kind, *self._write(kind, rows)))
-            dropped = None if labels is None else set(labels)
+            dropped = None if parts is None else set(parts)
             state = {
-                (k, label): v for (k, label), v in state.items()
-                if k != kind or (dropped is not None and label not in dropped)
+                (k, label, b): v for (k, label, b), v in state.items()
+                if k != kind or (dropped is not None and (label, b) not in dropped)
             }
         for kind, rows in (append or {}).items():
             written.append((kind, *self._write(kind, rows)))
-        for kind, version, labels in written:
-            for label in labels:
-                state.setdefault((kind, label), []).append(version)
-        self._commit(state)
+        for kind, version, parts, properties in written:
+            for label, bucket in parts:
+                state.setdefault((kind, label, bucket), []).append(version)
+            for label, names in properties.items():
+                key = (f"{kind} properties", label, 0)
+                state[key] = sorted(set(state.get(key, [])) | names)
+        self._commit({key: values for key, values in state.items() if values})
 
     def overwrite(self, graph: PropertyGraph) -> None:
         """Replace everything by another graph."""
@@ -147,20 +213,18 @@ class GraphStore:
 
     def declare(self, parents: Mapping[str, str | None]) -> None:
         """Add types to the hierarchy."""
-        state = {key: list(v) for key, v in self.state.items()}
-        state.update({("parent", c): [p or ""] for c, p in parents.items()})
-        self._commit(state)
+        self._commit(self.state | self._parent_rows(parents))
 
     def truncate(self) -> None:
         """Remove all vertices and edges; the type hierarchy stays."""
-        self._commit({key: v for key, v in self.state.items() if key[0] == "parent"})
+        self._commit({key: v for key, v in self.state.items() if key[0] in ("parent", "buckets")})
 
     def compact(self) -> None:
-        """Rewrite labels that are spread over several versions."""
+        """Rewrite parts that are spread over several versions."""
         replace = {}
         for kind in KINDS:
-            spread = [label for (k, label), v in self.state.items() if k == kind and len(v) > 1]
+            spread = [(label, b) for (k, label, b), v in self.state.items() if k == kind and len(v) > 1]
             if spread:
-                replace[kind] = (spread, self._read(kind, spread))
+                replace[kind] = (spread, self.part(kind, spread))
         if replace:
             self.change(replace=replace)

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from conftest import column
 from knotwork.functions.props import prop
 from knotwork.model import PropertyGraph, shape_edges, shape_vertices
+from knotwork.operators import merge
 from knotwork.operators.merge import upsert_nodes
+from knotwork.plans.nodes import EntityNode
+from knotwork.plans.property_store import PropertyStore
 from knotwork.plans.sql import run_sql
 from knotwork.sources.documents import chunk_batch, json_vertices, read_text
 from knotwork.sources.store import GraphStore
@@ -26,23 +29,42 @@ def test_missing_graph(spark, tmp_path):
     assert GraphStore(spark, str(tmp_path / "new"), create=False).graph().vertices.count() == 0
 
 
-def test_only_touched_labels_change(spark, tmp_path):
+def test_only_touched_parts_change(spark, tmp_path):
     path = str(tmp_path / "g")
-    store = GraphStore(spark, path, parents={"N": "Base"})
-    store.overwrite(small(spark, ["a", "b"]))
-    store.change(append={"vertices": small(spark, ["c"], "odd label/=%").vertices})
+    store = GraphStore(spark, path, parents={"N": "Base"}, buckets=4)
+    names = [f"n{i}" for i in range(20)]
+    store.overwrite(small(spark, names))
+    odd = "odd label/=%"
+    store.change(append={"vertices": small(spark, ["c"], odd).vertices})
     before = dict(store.state)
-    store.change(replace={"vertices": (["odd label/=%"], small(spark, ["d"], "odd label/=%").vertices)})
-    assert store.state[("vertices", "N")] == before[("vertices", "N")]
-    assert store.state[("edges", "LOOP")] == before[("edges", "LOOP")]
+    part = next((label, b) for k, label, b in store.state if k == "vertices" and label == odd)
+    store.change(replace={"vertices": ([part], small(spark, ["c"], odd).vertices)})
+    changed = {key for key in store.state if store.state[key] != before.get(key)}
+    assert changed == {("vertices", *part)}
     again = GraphStore(spark, path, create=False)
-    assert column(again.graph().vertices, "key") == ["a", "b", "d"]
-    assert again.parents == {"N": "Base"}
-    assert column(again.graph(["N"]).vertices, "key") == ["a", "b"]
-    store.change(append={"edges": small(spark, ["z"]).edges})
-    assert len(store.state[("edges", "LOOP")]) == 2
+    assert again.buckets == 4 and again.parents == {"N": "Base"}
+    assert column(again.graph().vertices, "key") == sorted([*names, "c"])
+    assert column(again.graph(["N"]).vertices, "key") == sorted(names)
+    one = again.part("vertices", [("N", 2)])
+    assert one.count() == one.where(F.pmod(F.xxhash64("vid"), F.lit(4)) == 2).count() > 0
+    assert again.properties()[("vertex", odd)] == ["name"]
+    store.change(append={"edges": small(spark, ["n1"]).edges})
+    assert max(len(v) for (k, _, _), v in store.state.items() if k == "edges") == 2
     store.compact()
-    assert len(store.state[("edges", "LOOP")]) == 1 and store.graph().edges.count() == 3
+    assert max(len(v) for (k, _, _), v in store.state.items() if k == "edges") == 1
+    assert store.graph().edges.count() == 21
+
+
+def test_small_and_large_batches_merge_alike(spark, tmp_path, monkeypatch):
+    states = []
+    for i, limit in enumerate((merge.MAX_BROADCAST_BYTES, 0)):
+        monkeypatch.setattr(merge, "MAX_BROADCAST_BYTES", limit)
+        store = PropertyStore(spark, str(tmp_path / f"g{i}"), buckets=3)
+        store.upsert_nodes([EntityNode(f"n{k}", "N", {"a": k}) for k in range(9)])
+        store.upsert_nodes([EntityNode(f"n{k}", "N", {"b": k}) for k in range(6, 12)] + [EntityNode("n1", "M")])
+        store.delete(ids=["n3"])
+        states.append(sorted((r.vid, sorted(r.props.items())) for r in store.graph.vertices.collect()))
+    assert states[0] == states[1] and len(states[0]) == 12
 
 
 def test_unfinished_writes_stay_invisible(spark, tmp_path):
