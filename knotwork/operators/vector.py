@@ -153,40 +153,3 @@ def vector_similarity(graph: PropertyGraph, vid: str, query: Sequence[float]) ->
 def hit_types(hits: DataFrame) -> DataFrame:
     """Histogram of the types in a search result."""
     return hits.groupBy("label").agg(F.count(F.lit(1)).alias("count"))
-
-
-class LshIndex:
-    """Approximate search: random-projection buckets on unit vectors.
-
-    Rows that share a bucket with the query are scored exactly.  The share of the
-    true top-k that is found grows with ``tables``; exact search stays the default.
-    """
-
-    def __init__(self, graph: PropertyGraph, dim: int, tables: int = 8,
-                 bucket_length: float = 0.5, seed: int = 7) -> None:
-        from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-        from pyspark.ml.functions import array_to_vector
-
-        rows = searchable(graph, dim).select(
-            "vid", "label", "name", array_to_vector(F.col("embedding").cast("array<double>")).alias("raw")
-        )
-        self.dim = dim
-        self.rows = Normalizer(inputCol="raw", outputCol="unit", p=2.0).transform(rows).drop("raw")
-        lsh = BucketedRandomProjectionLSH(
-            inputCol="unit", outputCol="buckets", numHashTables=tables, bucketLength=bucket_length, seed=seed
-        )
-        self.model = lsh.fit(self.rows)
-        self.indexed = self.model.transform(self.rows)
-
-    def search(self, query: Sequence[float], top_k: int = DEFAULT_TOP_K) -> DataFrame:
-        from pyspark.ml.linalg import Vectors
-
-        values = check_vector(query)
-        if len(values) != self.dim:
-            raise ValueError(f"the query must have {self.dim} elements")
-        direction = Vectors.dense(unit(values).tolist())
-        near = self.model.approxNearestNeighbors(self.indexed, direction, top_k, distCol="distance")
-        # On unit vectors the squared distance is twice the cosine distance.
-        return near.select(
-            "vid", "label", "name", score_of(1 - F.col("distance") * F.col("distance") / 2).alias("score")
-        )

@@ -138,11 +138,13 @@ class PropertyStore:
         collapsed = cut_lineage(merge.collapse_nodes(prepared, property_names))
         if collapsed.isEmpty():
             return
-        chunks = merge.chunk_ids(self.graph.vertices).union(merge.chunk_ids(prepared))
-        fresh = merge.mentions(prepared.where(F.col("kind") == "entity"), chunks)
-        stored = self.disk.graph(edge_labels=[MENTIONS]).edges
-        new = fresh.join(stored, ["label", "src", "dst"], "left_anti")
-        self.disk.change(replace=self._merge(collapsed), append={"edges": new})
+        sourced = prepared.where((F.col("kind") == "entity") & F.col("triplet_source_id").isNotNull())
+        append = {}
+        if not sourced.isEmpty():
+            chunks = merge.chunk_ids(self.graph.vertices).union(merge.chunk_ids(prepared))
+            stored = self.disk.graph(edge_labels=[MENTIONS]).edges
+            append["edges"] = merge.mentions(sourced, chunks).join(stored, ["label", "src", "dst"], "left_anti")
+        self.disk.change(replace=self._merge(collapsed), append=append)
 
     def upsert_relations(self, relations: Sequence[Relation] | DataFrame) -> None:
         """Add relations with known ends; stored edges are read by key only and kept."""
