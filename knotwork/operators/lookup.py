@@ -105,16 +105,17 @@ def nodes_in_list(graph: PropertyGraph, column: str, values: Sequence[str] | Dat
 def start_vertices(graph: PropertyGraph, refs: DataFrame) -> DataFrame:
     """``ref`` to ``vid`` of the node a caller means: a chunk by id, any other
     node by its raw or normalised name; the first type wins."""
+    raw = fold_punctuation(F.col("ref"))
     wanted = refs.select("ref").where(F.col("ref").isNotNull()).distinct().select(
-        "ref",
+        "ref", raw.alias("raw"),
         F.explode(F.array_distinct(F.array(
-            "ref", fold_punctuation(normalize_name(F.col("ref")))
+            raw, fold_punctuation(normalize_name(F.col("ref")))
         ))).alias("form"),
     )
     chunk = F.col("label") == TEXT_CHUNK
     known = graph.vertices.select("vid", "label", F.when(chunk, F.col("id")).otherwise(
         F.col("name")).alias("form"))
-    hits = wanted.join(known, "form").where(~chunk | (F.col("form") == F.col("ref")))
+    hits = wanted.join(known, "form").where(~chunk | (F.col("form") == F.col("raw")))
     best = F.min(type_rank("vid")).alias("best")
     return hits.groupBy("ref").agg(best).select("ref", "best.vid")
 

@@ -17,6 +17,7 @@ from knotwork.model import (
     EDGE_SCHEMA, VERTEX_SCHEMA, PropertyGraph, shape_edges, shape_vertices, vertex_id,
 )
 from knotwork.operators.lookup import type_rank
+from knotwork.operators.sizes import mark, not_stored
 
 # Nodes to write.  ``kind`` is entity, chunk or generic; ``seq`` orders the batch
 # and must be unique in it.
@@ -124,12 +125,12 @@ def collapse_nodes(prepared: DataFrame, property_names: Sequence[str] | None = N
     )
 
 
-def merge_vertices(stored: DataFrame, incoming: DataFrame, fits_memory: bool = False) -> DataFrame:
+def merge_vertices(stored: DataFrame, incoming: DataFrame, fits: bool = False) -> DataFrame:
     """Stored vertices with the collapsed batch laid over them.
 
-    Both sides hold a vertex once, so the full outer join has no hot key.  With
-    ``fits_memory`` (the caller measured the batch, see ``batch_bytes``) the batch is
-    broadcast and the stored rows are merged where they are, without a shuffle.
+    Both sides hold a vertex once, so the full outer join has no hot key.  When the
+    batch was measured to fit in memory it is broadcast and the stored rows are
+    merged where they are, without a shuffle.
     """
     columns = []
     for f in VERTEX_SCHEMA.fields:
@@ -137,29 +138,13 @@ def merge_vertices(stored: DataFrame, incoming: DataFrame, fits_memory: bool = F
         value = overlay(before, after) if f.name == "props" else F.coalesce(after, before)
         columns.append(value.alias(f.name))
     same = F.col("old.vid") == F.col("new.vid")
-    if not fits_memory:
+    if not fits:
         return stored.alias("old").join(incoming.alias("new"), same, "full_outer").select(*columns)
-    small = F.broadcast(incoming)
-    updated = stored.alias("old").join(small.alias("new"), same, "left").select(*columns)
-    known = stored.select("vid").join(F.broadcast(incoming.select("vid")), "vid", "left_semi")
-    inserted = incoming.join(known, "vid", "left_anti")
+    updated = stored.alias("old").join(F.broadcast(incoming).alias("new"), same, "left").select(*columns)
+    inserted = not_stored(incoming, stored, ["vid"], fits)
     return updated.unionByName(inserted.select(*VERTEX_SCHEMA.fieldNames()))
 
 
-# A measured batch up to this size is broadcast.
-MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-
-
-def batch_bytes(collapsed: DataFrame) -> int:
-    """Size of a collapsed batch in memory, by measuring its text and vectors."""
-    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c in (
-        "vid", "key", "name", "id", "text", "ref_doc_id", "doc_id", "triplet_source_id")]
-    total = F.lit(200) + F.octet_length(F.to_json("props")) + 4 * F.greatest(F.size("embedding"), F.lit(0))
-    for t in texts:
-        total = total + t
-    return collapsed.agg(F.sum(total.cast("long"))).first()[0] or 0
-
-
 def mentions(entities: DataFrame, chunk_ids: DataFrame) -> DataFrame:
     """Provenance edges from a chunk to every entity that names it as its source.
 
@@ -197,8 +182,7 @@ def upsert_nodes(graph: PropertyGraph, batch: DataFrame,
 
 def add_edges(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     """Stored edges win: only (label, src, dst) combinations not yet there are added."""
-    key = ["label", "src", "dst"]
-    added = fresh.join(stored.select(*key), key, "left_anti")
+    added = not_stored(fresh, stored, ["label", "src", "dst"])
     columns = [f.name for f in EDGE_SCHEMA.fields]
     return stored.select(*columns).unionByName(added.select(*columns))
 
@@ -231,17 +215,24 @@ def separate_labels(graph: PropertyGraph, relations: DataFrame,
     return marked.withColumn("label", renamed).select(*relations.columns)
 
 
-def endpoints(graph: PropertyGraph, refs: DataFrame) -> DataFrame:
+def endpoints(graph: PropertyGraph, refs: DataFrame, fits: bool = False) -> DataFrame:
     """``ref`` to ``vid``: a text chunk by its raw id, any other vertex by its
-    normalised name; the first type in search order wins."""
+    normalised name; the first type in search order wins.
+
+    Vertices are cut to the wanted names before types are compared.  ``fits`` says
+    that the references were measured and may be broadcast.
+    """
     wanted = refs.select("ref").where(F.col("ref").isNotNull()).distinct().select(
         "ref", fold_punctuation(F.col("ref")).alias("raw"),
         fold_punctuation(normalize_name(F.col("ref"))).alias("name"),
     )
     chunk = F.col("label") == TEXT_CHUNK
-    by_id = graph.vertices.where(chunk).select(F.col("id").alias("raw"), F.col("vid").alias("chunk"))
+    by_id = graph.vertices.where(chunk).select(F.col("id").alias("raw"), F.col("vid").alias("chunk")).join(
+        mark(wanted.select("raw"), fits), "raw", "left_semi"
+    )
     by_name = (
-        graph.vertices.where(~chunk & F.col("name").isNotNull())
+        graph.vertices.where(~chunk & F.col("name").isNotNull()).select("name", "label", "vid")
+        .join(mark(wanted.select("name"), fits), "name", "left_semi")
         .groupBy("name").agg(F.min(type_rank("vid")).alias("best"))
         .select("name", F.col("best.vid").alias("entity"))
     )
@@ -250,14 +241,19 @@ def endpoints(graph: PropertyGraph, refs: DataFrame) -> DataFrame:
     return found.select("ref", vid.alias("vid")).where(F.col("vid").isNotNull())
 
 
-def resolve_relations(graph: PropertyGraph, relations: DataFrame) -> DataFrame:
+def references(relations: DataFrame) -> DataFrame:
+    """Every endpoint named by some relations, once."""
+    return relations.select(F.explode(F.array("source_id", "target_id")).alias("ref")).distinct()
+
+
+def resolve_relations(graph: PropertyGraph, relations: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Relations with ``src`` and ``dst``; those with a missing endpoint are skipped.
 
     References are resolved once each (distinct before any join), whatever number
     of relations shares them.
     """
-    refs = relations.select(F.explode(F.array("source_id", "target_id")).alias("ref"))
-    known = endpoints(graph, refs)
+    if known is None:
+        known = endpoints(graph, references(relations))
     source = known.select(F.col("ref").alias("source_id"), F.col("vid").alias("src"))
     target = known.select(F.col("ref").alias("target_id"), F.col("vid").alias("dst"))
     return relations.join(source, "source_id").join(target, "target_id")

@@ -11,6 +11,7 @@ from knotwork.functions.text import TEXT_CHUNK
 from knotwork.model import PropertyGraph, edge_id
 from knotwork.operators.lookup import literal_ids, settle, start_vertices, vertices_of
 from knotwork.operators.ranking import first_rows, top_per_group
+from knotwork.operators.sizes import mark
 from knotwork.session import cut_lineage
 
 EDGE_ORDER = ("label", "src", "dst")
@@ -135,21 +136,22 @@ def _hop(graph: PropertyGraph, starts: DataFrame, here: str, there: str, relatio
     )
 
 
-def touching(edges: DataFrame, starts: DataFrame, bound: int | None = None) -> DataFrame:
+def touching(edges: DataFrame, starts: DataFrame, bound: int | None = None, fits: bool = False) -> DataFrame:
     """Rows with ``src`` or ``dst`` among the start vertices, each once.
 
     One pass over the edges: both membership tests are existence flags, so an edge
     inside the start set is not produced twice and needs no de-duplication.  A
-    settled start set of at most ``bound`` rows is a plain predicate instead.
+    settled start set of at most ``bound`` rows is a plain predicate instead, and one
+    that was measured (``fits``) is broadcast.
     """
     ids = literal_ids(starts, bound, "vid")
     if ids is not None:
         return edges.where(F.col("src").isin(*ids) | F.col("dst").isin(*ids))
-    wanted = starts.select(F.col("vid").alias("_vid"), F.lit(True).alias("_hit")).distinct()
-    flagged = (
-        edges.join(wanted.withColumnRenamed("_hit", "_out"), F.col("src") == F.col("_vid"), "left").drop("_vid")
-        .join(wanted.withColumnRenamed("_hit", "_in"), F.col("dst") == F.col("_vid"), "left").drop("_vid")
-    )
+    wanted = starts.select(F.col("vid").alias("_vid")).distinct()
+    flagged = edges
+    for end, flag in (("src", "_out"), ("dst", "_in")):
+        side = mark(wanted.withColumn(flag, F.lit(True)), fits)
+        flagged = flagged.join(side, F.col(end) == F.col("_vid"), "left").drop("_vid")
     return flagged.where(F.col("_out") | F.col("_in")).drop("_out", "_in")
 
 

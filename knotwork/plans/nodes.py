@@ -45,6 +45,11 @@ class Relation:
     properties: dict = field(default_factory=dict)
 
 
+def reference(node: object) -> str:
+    """The id a caller's node goes by: its name, else its id, or the string itself."""
+    return node if isinstance(node, str) else getattr(node, "name", None) or node.id
+
+
 def as_text(value: object) -> str:
     """Property text: nested values as JSON, everything else as its string."""
     return json.dumps(value) if isinstance(value, (list, dict)) else str(value)

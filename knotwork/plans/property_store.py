@@ -7,11 +7,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from knotwork.functions.text import MENTIONS
 from knotwork.model import MAX_LABEL_LIST, PropertyGraph, shape_vertices
 from knotwork.operators import delete as deletes, lookup, merge, scans, traverse, vector
+from knotwork.operators.sizes import fits_memory, not_stored
 from knotwork.plans import retrieval, sql
-from knotwork.plans.nodes import Relation, node_batch, relation_batch
+from knotwork.plans.nodes import Relation, node_batch, reference, relation_batch
 from knotwork.session import cut_lineage, shared_dir, tune
 from knotwork.sources.store import GraphStore, Part
 
@@ -60,11 +60,13 @@ class PropertyStore:
         found = traverse.triplets_by_type(self.graph, subject_types, relation_types, object_types)
         return found.select("subject", "relation", "object")
 
-    def get_rel_map(self, graph_nodes: Sequence[str] | DataFrame, depth: int = 2, limit: int = 30,
+    def get_rel_map(self, graph_nodes: Sequence[object] | DataFrame, depth: int = 2, limit: int = 30,
                     ignore_rels: Sequence[str] | None = None, one_hop: bool = True) -> DataFrame:
+        """Relations around nodes, given as nodes, as names or ids, or as a table."""
         graph, bound = self.graph, None
         if not isinstance(graph_nodes, DataFrame):
-            graph_nodes, bound = lookup.ids_table(graph, graph_nodes), len(graph_nodes)
+            refs = [reference(n) for n in graph_nodes]
+            graph_nodes, bound = lookup.ids_table(graph, refs), len(refs)
         return traverse.rel_map(graph, graph_nodes, depth, limit, ignore_rels, one_hop=one_hop, bound=bound)
 
     def get_chunk_nodes(self, node_ids: Sequence[str]) -> DataFrame:
@@ -113,18 +115,11 @@ class PropertyStore:
 
     # Writes -------------------------------------------------------------------
 
-    def _parts_of(self, kind: str, rows: DataFrame) -> list[Part] | None:
-        """(label, bucket) parts of some rows, or None when there are too many to list
-        and a change has to treat everything."""
-        found = rows.select("label", self.disk.bucket(kind).alias("bucket")).distinct()
-        parts = [(r.label, r.bucket) for r in found.limit(MAX_LABEL_LIST + 1).collect()]
-        return None if len(parts) > MAX_LABEL_LIST else parts
-
     def _merge(self, collapsed: DataFrame) -> dict[str, tuple[list[Part] | None, DataFrame]]:
         """The replacement that lays a collapsed batch over the parts it touches."""
-        parts = self._parts_of("vertices", collapsed)
-        small = merge.batch_bytes(collapsed) <= merge.MAX_BROADCAST_BYTES
-        return {"vertices": (parts, merge.merge_vertices(self.disk.part("vertices", parts), collapsed, small))}
+        parts = self.disk.parts_of("vertices", collapsed)
+        stored = self.disk.part("vertices", parts)
+        return {"vertices": (parts, merge.merge_vertices(stored, collapsed, fits_memory(collapsed)))}
 
     def upsert_nodes(self, nodes: Sequence[object] | DataFrame, property_names: Sequence[str] | None = None,
                      max_property_length: int | None = None) -> None:
@@ -142,19 +137,26 @@ class PropertyStore:
         append = {}
         if not sourced.isEmpty():
             chunks = merge.chunk_ids(self.graph.vertices).union(merge.chunk_ids(prepared))
-            stored = self.disk.graph(edge_labels=[MENTIONS]).edges
-            append["edges"] = merge.mentions(sourced, chunks).join(stored, ["label", "src", "dst"], "left_anti")
+            append["edges"] = self._new_edges(merge.mentions(sourced, chunks))
         self.disk.change(replace=self._merge(collapsed), append=append)
 
     def upsert_relations(self, relations: Sequence[Relation] | DataFrame) -> None:
         """Add relations with known ends; stored edges are read by key only and kept."""
         batch = relations if isinstance(relations, DataFrame) else relation_batch(self.spark, relations)
         graph = self.graph
-        renamed = merge.separate_labels(graph, merge.usable_relations(batch), self.disk.labels("vertices"))
-        fresh = cut_lineage(merge.first_edges(merge.fold_relations(merge.resolve_relations(graph, renamed))))
+        usable = merge.separate_labels(graph, merge.usable_relations(batch), self.disk.labels("vertices"))
+        usable = cut_lineage(usable)
+        refs = cut_lineage(merge.references(usable))
+        known = merge.endpoints(graph, refs, fits_memory(refs))
+        fresh = merge.first_edges(merge.fold_relations(merge.resolve_relations(graph, usable, known)))
+        self.disk.change(append={"edges": self._new_edges(fresh)})
+
+    def _new_edges(self, edges: DataFrame) -> DataFrame:
+        """Edges that are not stored yet, compared with stored edges of their labels."""
+        fresh = cut_lineage(edges)
         labels = [r.label for r in fresh.select("label").distinct().limit(MAX_LABEL_LIST + 1).collect()]
         stored = self.disk.graph(edge_labels=None if len(labels) > MAX_LABEL_LIST else labels).edges
-        self.disk.change(append={"edges": fresh.join(stored, ["label", "src", "dst"], "left_anti")})
+        return not_stored(fresh, stored, ["label", "src", "dst"], fits_memory(fresh))
 
     def bulk_insert(self, label: str, rows: DataFrame, key: Column, props: Column, **columns: Column) -> int:
         """Append rows of a type; returns how many."""
@@ -171,48 +173,29 @@ class PropertyStore:
 
     def update_where(self, label: str, where: Column, props: dict[str, Column]) -> None:
         graph = self.disk.graph([label])
-        parts = self._parts_of("vertices", graph.vertices.where(where))
+        parts = self.disk.parts_of("vertices", graph.vertices.where(where))
         part = graph.with_vertices(self.disk.part("vertices", parts))
         self.disk.change(replace={"vertices": (parts, merge.update_where(part, label, where, props).vertices)})
 
-    def _apply_delete(self, before: PropertyGraph, after: PropertyGraph) -> None:
-        """Write a deletion: only parts that lose rows are rewritten."""
-        replace = {}
-        for kind, old, new, key in (
-            ("vertices", before.vertices, after.vertices, ["label", "vid"]),
-            ("edges", before.edges, after.edges, ["label", "src", "dst"]),
-        ):
-            parts = self._parts_of(kind, old.select(*key).join(new.select(*key), key, "left_anti"))
-            if parts is None:
-                replace[kind] = (None, new)
-            elif parts:
-                hit = F.struct("label", self.disk.bucket(kind).alias("bucket")).isin(*[
-                    F.struct(F.lit(label).alias("label"), F.lit(b).alias("bucket")) for label, b in parts
-                ])
-                replace[kind] = (parts, new.where(hit))
-        if replace:
-            self.disk.change(replace=replace)
-
     def delete(self, entity_names: Sequence[str] | None = None, relation_names: Sequence[str] | None = None,
                properties: Mapping[str, object] | None = None, ids: Sequence[str] | None = None) -> None:
-        graph = self.graph
-        self._apply_delete(graph, deletes.delete(graph, entity_names, relation_names, properties, ids))
+        self.disk.remove(deletes.plan(self.graph, entity_names, relation_names, properties, ids))
+
+    def delete_records(self, vids: Sequence[str] | DataFrame) -> None:
+        self.disk.remove(deletes.plan_records(self.graph, vids))
 
     def delete_all_of(self, label: str) -> int:
-        graph = self.graph
-        left, removed = deletes.delete_all_of(graph, label)
-        self._apply_delete(graph, left)
+        removed = deletes.count_of_type(self.graph, label)
+        self.disk.remove(deletes.plan_types([label]))
         return removed
 
     def bulk_delete(self, label: str, conditions: Sequence[Mapping[str, object]], safe_mode: bool = True) -> None:
-        graph = self.graph
-        self._apply_delete(graph, deletes.bulk_delete(graph, label, conditions, safe_mode))
+        self.disk.remove(deletes.plan_bulk(label, conditions, safe_mode))
 
     def refresh_documents(self, documents: Sequence[str], nodes: Sequence[object] | DataFrame,
                           relations: Sequence[Relation] | DataFrame = ()) -> None:
         """Drop what came from documents, then write their new content."""
-        graph = self.graph
-        self._apply_delete(graph, deletes.drop_document(graph, documents))
+        self.disk.remove(deletes.plan_documents(self.graph, documents))
         self.upsert_nodes(nodes)
         if isinstance(relations, DataFrame) or len(relations):
             self.upsert_relations(relations)

@@ -65,7 +65,7 @@ class TripleStore:
         self.delete_triplets([(subject, relation, obj)])
 
     def delete_triplets(self, triples: Sequence[tuple[str, str, str]] | DataFrame) -> None:
-        self.disk.overwrite(deletes.delete_triples(self.graph, self._table(triples), self.node_label))
+        self.disk.remove(deletes.plan_triples(self.graph, self._table(triples), self.node_label))
 
     def refresh_schema(self) -> None:
         self.schema = scans.schema_text(self.graph)

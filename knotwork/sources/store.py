@@ -17,8 +17,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from knotwork.functions.props import DECLARED
-from knotwork.model import EDGE_SCHEMA, VERTEX_SCHEMA, PropertyGraph
+from knotwork.model import EDGE_SCHEMA, MAX_LABEL_LIST, VERTEX_SCHEMA, PropertyGraph
+from knotwork.operators.delete import Removal
 from knotwork.operators.scans import property_names
+from knotwork.operators.sizes import fits_memory, mark
+from knotwork.session import cut_lineage
 
 KINDS = {"vertices": VERTEX_SCHEMA, "edges": EDGE_SCHEMA}
 # The column whose hash gives the bucket of a row.
@@ -207,6 +210,27 @@ class GraphStore:
                 state[key] = sorted(set(state.get(key, [])) | names)
         self._commit({key: values for key, values in state.items() if values})
 
+    def parts_of(self, kind: str, rows: DataFrame) -> list[Part] | None:
+        """(label, bucket) parts of some rows, or None when there are too many to list
+        and a change has to treat everything."""
+        found = rows.select("label", self.bucket(kind).alias("bucket")).distinct()
+        parts = [(r.label, r.bucket) for r in found.limit(MAX_LABEL_LIST + 1).collect()]
+        return None if len(parts) > MAX_LABEL_LIST else parts
+
+    def remove(self, removal: Removal) -> None:
+        """Write a deletion: only parts that lose rows are rewritten."""
+        graph = self.graph()
+        gone = cut_lineage(removal.doomed_vertices(graph))
+        lost = cut_lineage(removal.doomed_edges(graph, gone, fits_memory(gone)))
+        replace = {}
+        for kind, doomed, key in (("vertices", gone, ["label", "vid"]), ("edges", lost, ["label", "src", "dst"])):
+            parts = self.parts_of(kind, doomed)
+            if parts is None or parts:
+                kept = self.part(kind, parts).join(mark(doomed, fits_memory(doomed)), key, "left_anti")
+                replace[kind] = (parts, kept)
+        if replace:
+            self.change(replace=replace)
+
     def overwrite(self, graph: PropertyGraph) -> None:
         """Replace everything by another graph."""
         self.change(replace={"vertices": (None, graph.vertices), "edges": (None, graph.edges)})

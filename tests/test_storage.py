@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from conftest import column
 from knotwork.functions.props import prop
 from knotwork.model import PropertyGraph, shape_edges, shape_vertices
-from knotwork.operators import merge
+from knotwork.operators import sizes
 from knotwork.operators.merge import upsert_nodes
-from knotwork.plans.nodes import EntityNode
+from knotwork.plans.nodes import EntityNode, Relation
 from knotwork.plans.property_store import PropertyStore
 from knotwork.plans.sql import run_sql
 from knotwork.sources.documents import chunk_batch, json_vertices, read_text
@@ -57,12 +57,15 @@ def test_only_touched_parts_change(spark, tmp_path):
 
 def test_small_and_large_batches_merge_alike(spark, tmp_path, monkeypatch):
     states = []
-    for i, limit in enumerate((merge.MAX_BROADCAST_BYTES, 0)):
-        monkeypatch.setattr(merge, "MAX_BROADCAST_BYTES", limit)
+    for i, limit in enumerate((sizes.MAX_BROADCAST_BYTES, 0)):
+        monkeypatch.setattr(sizes, "MAX_BROADCAST_BYTES", limit)
         store = PropertyStore(spark, str(tmp_path / f"g{i}"), buckets=3)
         store.upsert_nodes([EntityNode(f"n{k}", "N", {"a": k}) for k in range(9)])
         store.upsert_nodes([EntityNode(f"n{k}", "N", {"b": k}) for k in range(6, 12)] + [EntityNode("n1", "M")])
+        store.upsert_relations([Relation("KNOWS", f"n{k}", " n5") for k in range(9)])
+        store.upsert_relations([Relation("KNOWS", "n1", "n5"), Relation("KNOWS", "n3", "n4")])
         store.delete(ids=["n3"])
+        assert store.graph.edges.count() == 8
         states.append(sorted((r.vid, sorted(r.props.items())) for r in store.graph.vertices.collect()))
     assert states[0] == states[1] and len(states[0]) == 12
 
