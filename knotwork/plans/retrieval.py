@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 from knotwork.functions.text import TEXT_CHUNK
 from knotwork.model import PropertyGraph
 from knotwork.operators.lookup import literal_ids, settle, vertices_of
-from knotwork.operators.merge import prepare_nodes, upsert_nodes, upsert_relations
+from knotwork.operators.merge import upsert_nodes, upsert_relations
 from knotwork.operators.ranking import first_rows
 from knotwork.operators.traverse import EDGE_ORDER, display_name, touching
 from knotwork.operators.vector import DEFAULT_TOP_K, vector_query
+from knotwork.session import cut_lineage
 
 
 def retrieve(graph: PropertyGraph, query: Sequence[float], top_k: int = DEFAULT_TOP_K,
@@ -60,8 +61,9 @@ def ingest(graph: PropertyGraph, chunks: DataFrame, entities: DataFrame, relatio
     """Chunks, extracted entities and extracted relations into a graph.
 
     Chunks and entities merge as one node batch, provenance edges included; then
-    relations resolve their ends against the result.
+    relations resolve their ends against the result, which is therefore computed
+    once and kept.
     """
-    batch = chunks.unionByName(entities)
-    labels = graph.vertices.select("label").union(prepare_nodes(batch).select("label")).distinct()
-    return upsert_relations(upsert_nodes(graph, batch, property_names), relations, labels)
+    merged = upsert_nodes(graph, chunks.unionByName(entities), property_names)
+    merged = merged.with_vertices(cut_lineage(merged.vertices))
+    return upsert_relations(merged, relations)
