@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 # Fixed values ---------------------------------------------------------------
@@ -83,22 +85,28 @@ def normalize_name(name: Column) -> Column:
     return F.regexp_replace(without_metadata(name), _ending(), "$1")
 
 
-def _any_of(words: list[str]) -> str:
-    return "|".join(words)
+def has_any(text: Column, words: list[str]) -> Column:
+    """Whether a text contains one of several words.
+
+    Plain substring tests are several times faster here than one regular expression
+    of alternatives; words that contain another word of the list need no test.
+    """
+    needed = [w for w in words if not any(v != w and v in w for v in words)]
+    return reduce(Column.__or__, [text.contains(w) for w in needed])
 
 
 def classify_name(name: Column) -> Column:
     """Type of an entity that carries no usable label, by substrings of its name."""
     lowered = F.lower(name)
+    shouted = (F.upper(name) == name) & (lowered != name) & (F.length(name) >= 2)
     one_word = (strip(name) != "") & ~strip(name).rlike(r"(?U)\s")
-    shouted = (F.upper(name) == name) & (lowered != name)
     several_words = strip(name).rlike(r"(?U)\S\s+\S")
     return (
-        F.when(lowered.rlike(_any_of(ORGANIZATION_SUFFIXES + ORGANIZATION_WORDS)), "ORGANIZATION")
-        .when(one_word & shouted & (F.length(name) >= 2), "ORGANIZATION")
-        .when(lowered.rlike(_any_of(TECHNOLOGY_WORDS)), "TECHNOLOGY")
-        .when(several_words & lowered.rlike(_any_of(PROJECT_WORDS)), "PROJECT")
-        .when(lowered.rlike(_any_of(LOCATION_WORDS)), "LOCATION")
+        F.when(has_any(lowered, ORGANIZATION_SUFFIXES + ORGANIZATION_WORDS), "ORGANIZATION")
+        .when(shouted & one_word, "ORGANIZATION")
+        .when(has_any(lowered, TECHNOLOGY_WORDS), "TECHNOLOGY")
+        .when(has_any(lowered, PROJECT_WORDS) & several_words, "PROJECT")
+        .when(has_any(lowered, LOCATION_WORDS), "LOCATION")
         .otherwise(BASE_ENTITY)
     )
 
