@@ -16,25 +16,25 @@ def triplet_set(store, **filters):
 
 def test_get_by_id(store):
     store.upsert_nodes([
-        EntityNode("John Newton", "PERSON"), ChunkNode("Alfresco was founded.", "chunk-1"),
+        EntityNode("John Norton", "PERSON"), ChunkNode("Alder was founded.", "chunk-1"),
     ])
-    assert column(store.get(ids=["John Newton"]), "label") == ["PERSON"]
+    assert column(store.get(ids=["John Norton"]), "label") == ["PERSON"]
     found = store.get(ids=["chunk-1"]).collect()
-    assert [(r.label, r.text) for r in found] == [("TextChunk", "Alfresco was founded.")]
+    assert [(r.label, r.text) for r in found] == [("TextChunk", "Alder was founded.")]
     assert store.get(ids=["nobody"]).count() == 0
 
 
 def test_ids_are_not_normalised_on_read(store):
-    store.upsert_nodes([EntityNode("Alfresco Software", "ORGANIZATION")])
-    assert store.get(ids=["Alfresco"]).count() == 1
-    assert store.get(ids=["Alfresco Software"]).count() == 0
+    store.upsert_nodes([EntityNode("Alder Software", "ORGANIZATION")])
+    assert store.get(ids=["Alder"]).count() == 1
+    assert store.get(ids=["Alder Software"]).count() == 0
 
 
 def test_get_by_properties(store):
     store.upsert_nodes([
         EntityNode("John", "PERSON", {"age": 40, "active": True}),
         EntityNode("Jane", "PERSON", {"age": 40.0, "active": False}),
-        EntityNode("Alfresco", "ORGANIZATION", {"age": 12}),
+        EntityNode("Alder", "ORGANIZATION", {"age": 12}),
     ])
     assert column(store.get(properties={"name": "John"}), "name") == ["John"]
     assert column(store.get(properties={"age": 40}), "name") == ["Jane", "John"]
@@ -69,17 +69,17 @@ def test_generic_nodes_and_reserved_properties(store):
 
 
 def test_relations(store):
-    store.upsert_nodes([EntityNode("John", "PERSON"), EntityNode("Alfresco Software", "ORGANIZATION"), ChunkNode("t", "c1")])
+    store.upsert_nodes([EntityNode("John", "PERSON"), EntityNode("Alder Software", "ORGANIZATION"), ChunkNode("t", "c1")])
     store.upsert_relations([
-        Relation("WORKS_FOR", "John", "Alfresco Software", {"role": "founder"}),
-        Relation("WORKS_FOR", "John", "Alfresco", {"role": "later"}),
-        Relation("MENTIONS", "c1", "Alfresco"),
-        Relation("KNOWS", "John", "missing"), Relation("  ", "John", "Alfresco"), Relation(None, "John", "Alfresco"),
-        Relation("PERSON", "John", "Alfresco"),
+        Relation("WORKS_FOR", "John", "Alder Software", {"role": "founder"}),
+        Relation("WORKS_FOR", "John", "Alder", {"role": "later"}),
+        Relation("MENTIONS", "c1", "Alder"),
+        Relation("KNOWS", "John", "missing"), Relation("  ", "John", "Alder"), Relation(None, "John", "Alder"),
+        Relation("PERSON", "John", "Alder"),
     ])
-    store.upsert_relations([Relation("WORKS_FOR", "John", "Alfresco", {"role": "again"})])
+    store.upsert_relations([Relation("WORKS_FOR", "John", "Alder", {"role": "again"})])
     assert triplet_set(store) == {
-        ("John", "WORKS_FOR", "Alfresco"), ("c1", "MENTIONS", "Alfresco"), ("John", "PERSON_REL", "Alfresco"),
+        ("John", "WORKS_FOR", "Alder"), ("c1", "MENTIONS", "Alder"), ("John", "PERSON_REL", "Alder"),
     }
     props = store.graph.edges.where("label = 'WORKS_FOR'").first().props
     assert props == {"role": "founder"}
@@ -97,33 +97,33 @@ def test_provenance_edges(store):
 
 def network(store):
     store.upsert_nodes([
-        EntityNode("John Newton", "PERSON"), EntityNode("Alfresco", "ORGANIZATION"), EntityNode("CMIS", "PROJECT"),
-        EntityNode("OASIS", "ORGANIZATION"),
+        EntityNode("John Norton", "PERSON"), EntityNode("Alder", "ORGANIZATION"), EntityNode("Cedar", "PROJECT"),
+        EntityNode("Ostara", "ORGANIZATION"),
     ])
     store.upsert_relations([
-        Relation("WORKS_FOR", "John Newton", "Alfresco"), Relation("CREATED", "John Newton", "CMIS"),
-        Relation("STANDARDIZED_BY", "CMIS", "OASIS"), Relation("MEMBER_OF", "Alfresco", "OASIS"),
+        Relation("WORKS_FOR", "John Norton", "Alder"), Relation("CREATED", "John Norton", "Cedar"),
+        Relation("STANDARDIZED_BY", "Cedar", "Ostara"), Relation("MEMBER_OF", "Alder", "Ostara"),
     ])
 
 
 def test_triplet_filters(store):
     network(store)
     assert {t[1] for t in triplet_set(store)} == {"WORKS_FOR", "CREATED", "STANDARDIZED_BY", "MEMBER_OF"}
-    assert triplet_set(store, relation_names=["CREATED"]) == {("John Newton", "CREATED", "CMIS")}
-    assert {t[1] for t in triplet_set(store, entity_names=["OASIS"])} == {"STANDARDIZED_BY", "MEMBER_OF"}
-    assert triplet_set(store, ids=["CMIS"], relation_names=["CREATED"]) == {("John Newton", "CREATED", "CMIS")}
+    assert triplet_set(store, relation_names=["CREATED"]) == {("John Norton", "CREATED", "Cedar")}
+    assert {t[1] for t in triplet_set(store, entity_names=["Ostara"])} == {"STANDARDIZED_BY", "MEMBER_OF"}
+    assert triplet_set(store, ids=["Cedar"], relation_names=["CREATED"]) == {("John Norton", "CREATED", "Cedar")}
     typed = store.get_triplets_by_type(["ORGANIZATION"], None, ["ORGANIZATION"])
-    assert [tuple(r) for r in typed.collect()] == [("Alfresco", "MEMBER_OF", "OASIS")]
+    assert [tuple(r) for r in typed.collect()] == [("Alder", "MEMBER_OF", "Ostara")]
 
 
 def test_rel_map(store):
     network(store)
 
     def shown(**options):
-        rows = store.get_rel_map(["John Newton", "absent"], **options).collect()
+        rows = store.get_rel_map(["John Norton", "absent"], **options).collect()
         return sorted((r.source.name, r.relation.label, r.target.name) for r in rows)
 
-    one = [("John Newton", "CREATED", "CMIS"), ("John Newton", "WORKS_FOR", "Alfresco")]
+    one = [("John Norton", "CREATED", "Cedar"), ("John Norton", "WORKS_FOR", "Alder")]
     assert shown() == one
     assert shown(depth=5) == one
     assert shown(ignore_rels=["CREATED"]) == one[1:]
@@ -132,18 +132,18 @@ def test_rel_map(store):
 
 
 def test_dynamic_types_and_schema(store):
-    store.upsert_nodes([EntityNode("CMIS Specification", "PROJECT", {"year": 2010}), EntityNode("Acme Corp", "")])
-    assert column(store.get(properties={"name": "CMIS Specification"}), "label") == ["PROJECT"]
+    store.upsert_nodes([EntityNode("Cedar Specification", "PROJECT", {"year": 2010}), EntityNode("Acme Corp", "")])
+    assert column(store.get(properties={"name": "Cedar Specification"}), "label") == ["PROJECT"]
     schema = store.get_schema()
     types = {t["name"]: t["properties"] for t in schema["vertex_types"]}
     assert set(types) == {"Entity", "TextChunk", "PERSON", "ORGANIZATION", "LOCATION", "PLACE", "PROJECT"}
     assert types["PROJECT"] == ["name", "year"]
     assert [t["name"] for t in schema["edge_types"]] == ["MENTIONS"]
     assert schema["sample_entities"] == [
-        {"type": "ORGANIZATION", "name": "Acme"}, {"type": "PROJECT", "name": "CMIS Specification"},
+        {"type": "ORGANIZATION", "name": "Acme"}, {"type": "PROJECT", "name": "Cedar Specification"},
     ]
     assert schema["entity_count"] == 2
-    assert column(store.get_entity_names(), "name") == ["Acme", "CMIS Specification"]
+    assert column(store.get_entity_names(), "name") == ["Acme", "Cedar Specification"]
 
 
 def test_minimal_schema(spark, tmp_path):
@@ -193,7 +193,7 @@ def test_structured_query(store):
     found = store.structured_query("""
         SELECT person.name AS who, org.name AS org FROM PERSON person, ORGANIZATION org, WORKS_FOR rel
         WHERE rel.src = person.vid AND rel.dst = org.vid""").collect()
-    assert [tuple(r) for r in found] == [("John Newton", "Alfresco")]
+    assert [tuple(r) for r in found] == [("John Norton", "Alder")]
     chunk = store.structured_query("SELECT id FROM TextChunk WHERE ref_doc_id = 'd1'").collect()
     assert [r.id for r in chunk] == ["k1"]
     adults = store.structured_query("SELECT name FROM PERSON WHERE CAST(age AS INT) > :age", {"age": 18})

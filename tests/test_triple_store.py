@@ -3,25 +3,25 @@ from conftest import column
 
 def fill(triples):
     triples.upsert_triplets([
-        ("John", "works for", "Alfresco"), ("John", "CREATED", "CMIS"), ("John", "lives in", "Boston"),
-        ("Alfresco", "LOCATED_IN", "Boston"),
+        ("John", "works for", "Alder"), ("John", "CREATED", "Cedar"), ("John", "lives in", "Boston"),
+        ("Alder", "LOCATED_IN", "Boston"),
     ])
 
 
 def test_get(triples):
     fill(triples)
-    triples.upsert_triplet("John", "works for", "Alfresco")
+    triples.upsert_triplet("John", "works for", "Alder")
     found = sorted(tuple(r) for r in triples.get("John").collect())
-    assert found == [("John", "CREATED", "CMIS"), ("John", "LIVES_IN", "Boston"), ("John", "WORKS_FOR", "Alfresco")]
+    assert found == [("John", "CREATED", "Cedar"), ("John", "LIVES_IN", "Boston"), ("John", "WORKS_FOR", "Alder")]
     assert triples.get("NonExistentSubject").count() == 0
-    assert column(triples.graph.vertices, "id") == ["Alfresco", "Boston", "CMIS", "John"]
+    assert column(triples.graph.vertices, "id") == ["Alder", "Boston", "Cedar", "John"]
 
 
 def test_rel_map(triples):
     fill(triples)
     rows = triples.get_rel_map(["John"], depth=2).collect()
     assert sorted((r.subject, list(r.path)) for r in rows) == [
-        ("John", ["CREATED", "CMIS"]), ("John", ["LIVES_IN", "Boston"]), ("John", ["WORKS_FOR", "Alfresco"]),
+        ("John", ["CREATED", "Cedar"]), ("John", ["LIVES_IN", "Boston"]), ("John", ["WORKS_FOR", "Alder"]),
         ("John", ["WORKS_FOR", "Boston", "LOCATED_IN", "Boston"]),
     ]
     assert triples.get_rel_map(["John"], depth=1).count() == 3
@@ -31,8 +31,8 @@ def test_rel_map(triples):
 
 def test_delete_removes_orphans_only(triples):
     fill(triples)
-    triples.delete("John", "created", "CMIS")
-    assert column(triples.graph.vertices, "id") == ["Alfresco", "Boston", "John"]
+    triples.delete("John", "created", "Cedar")
+    assert column(triples.graph.vertices, "id") == ["Alder", "Boston", "John"]
     triples.delete("John", "lives in", "Boston")
     assert "Boston" in column(triples.graph.vertices, "id")
     triples.delete("John", "no such", "Boston")
