@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from knotwork.llm import bpe
+from knotwork.llm import bpe, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +42,9 @@ def bpe_digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
 @query
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(spark, read(spark, folder, "documents"))
+
+
+@query
+def op6_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, folder, "documents"))
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken", "rate", "copies")
