@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from knotwork.llm import bpe, mixing
+from knotwork.llm import bpe, mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,11 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op6_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(read(spark, folder, "documents"))
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
+@query
+def op5_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rules(read(spark, folder, "documents")).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_words_left",
+    )
