@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from knotwork.llm import bpe, mixing, quality
+from knotwork.llm import bpe, jaccard, mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,8 @@ def op5_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_words_left",
     )
+
+
+@query
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join(read(spark, folder, "documents"))
