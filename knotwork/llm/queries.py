@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from knotwork.llm import bpe, jaccard, mixing, quality
+from knotwork.llm import bpe, jaccard, mixing, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,18 @@ def op5_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(read(spark, folder, "documents"))
+
+
+@query
+def op1_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.detect(read(spark, folder, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    everything = F.when(F.size("added") > 0, pii.in_order(F.concat("base", "added"))).otherwise(F.col("base"))
+    return found.select(
+        "row.doc_id", *[count(kind) for kind in pii.KINDS],
+        F.sha2(pii.as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.as_text(everything).alias("spans"), F.size("added").cast("long").alias("n_added"),
+    )
