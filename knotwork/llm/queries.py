@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from knotwork.llm import bpe, jaccard, mixing, pii, quality
+from knotwork.llm import bpe, jaccard, langid, mixing, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,15 @@ def op1_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(pii.as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         pii.as_text(everything).alias("spans"), F.size("added").cast("long").alias("n_added"),
     )
+
+
+@query
+def op10_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    held_out = F.coalesce(langid.fold(F.col("doc_id")) == 0, F.lit(False))
+    languages, model = langid.train(docs.filter(~held_out).select("lang", "text"))
+    found = langid.predict(docs, languages, model)
+    return found.select(
+        "row.doc_id", F.coalesce(langid.fold(F.col("row.doc_id")) == 0, F.lit(False)).alias("held_out"),
+        F.col("mixture.lang").alias("lang_pred"), "mixture.score", F.array_join("mixture.langs", ",").alias("langs"),
+    )
