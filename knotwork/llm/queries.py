@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from knotwork.llm import bpe, jaccard, langid, mixing, pii, quality
+from knotwork.llm import bpe, jaccard, langid, mixing, pii, quality, vptree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,11 @@ def op10_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
         "row.doc_id", F.coalesce(langid.fold(F.col("row.doc_id")) == 0, F.lit(False)).alias("held_out"),
         F.col("mixture.lang").alias("lang_pred"), "mixture.score", F.array_join("mixture.langs", ",").alias("langs"),
     )
+
+
+@query
+def op9_vantage_points(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings").select(
+        F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("vector"))
+    found = vptree.search(vectors, vectors.filter(F.col("id") % 100 == 0), k=10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
