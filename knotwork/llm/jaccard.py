@@ -251,6 +251,7 @@ def buckets(classes: DataFrame) -> DataFrame:
             else F.transform("sig.path1", lambda p: F.struct(p.alias("path")))).alias("at")).select("cid", "at.*").distinct()
         if above is not None:
             rows = rows.join(hinted(above.withColumnRenamed("path", "up"), above.count()), "up", "left_semi").drop("up")
+            rows = cut_lineage(rows)
         held = cut_lineage(rows.groupBy("path").agg(F.count("*").alias("held")).filter("held > 1"))
         members = rows.join(hinted(held, held.count()), "path")
         if level < DEPTH:
