@@ -37,7 +37,7 @@ RUNS, DEPTH, RATE = 10, 3, 0.75
 BINS = 256
 # Sets compared at once: paths held by more are split, or compared in blocks at full depth.
 BUCKET, BLOCK, BLOCK_SHINGLES = 64, 512, 2_000_000
-CHUNK = 1 << 16
+CHUNK = 1 << 12
 SEEDS = [(0x9E3779B97F4A7C15 * (2 * run + 1)) % 2**64 for run in range(RUNS)]
 
 LONGS = ArrayType(LongType())
@@ -56,23 +56,47 @@ def _mix(x):
     return x ^ (x >> np.uint64(33))
 
 
-@functools.lru_cache(maxsize=1 << 17)
-def _word(word: bytes) -> int:
-    import xxhash
+@functools.lru_cache(maxsize=4)
+def _tables(longest: int):
+    """A number for each byte, white space 0, and powers up to the longest word."""
+    import numpy as np
+
+    numbers = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    numbers[list(b" \t\n\x0b\x0c\r")] = 0
+    return numbers, np.cumprod(np.full(longest, 0xD1342543DE82EF95, np.uint64))
 
-    return xxhash.xxh64_intdigest(word)
+
+def word_hashes(text: bytes):
+    """A 64-bit hash of each word, in order: a polynomial over its bytes."""
+    import numpy as np
+
+    codes = np.frombuffer(text, np.uint8)
+    numbers = _tables(1 << 10)[0][codes]
+    inside = numbers != 0
+    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, ends = edge[::2], edge[1::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lengths = ends - starts
+    longest = int(lengths.max())
+    powers = _tables(1 << max(10, longest.bit_length()))[1]
+    # Bytes from the first word on, each with its distance from the start of its word.
+    numbers = numbers[starts[0]:]
+    starts = starts - starts[0]
+    at = np.arange(len(numbers)) - np.repeat(starts, np.diff(starts, append=len(numbers)))
+    numbers *= powers[np.minimum(at, longest - 1)]
+    return _mix(np.add.reduceat(numbers, starts) + lengths.astype(np.uint64))
 
 
 def shingle_hashes(text: bytes):
     """Distinct 64-bit hashes of the five-word shingles, ascending."""
     import numpy as np
 
-    words = text.split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    numbers = np.fromiter(map(_word, words), np.uint64, len(words))
-    width = min(SHINGLE, len(words))
-    last = len(words) - width + 1
+    numbers = word_hashes(text)
+    if not len(numbers):
+        return numbers
+    width = min(SHINGLE, len(numbers))
+    last = len(numbers) - width + 1
     out = np.full(last, width, np.uint64)
     for i in range(width):
         out = out * np.uint64(0xD6E8FEB86659FD93) + numbers[i:i + last]
@@ -84,11 +108,15 @@ def _extend(paths, tokens, limit):
     import numpy as np
 
     parents, children = [], []
+    odd = (paths | np.uint64(1))[:, None]
     for start in range(0, len(tokens), CHUNK):
-        hashed = _mix(paths[:, None] ^ tokens[None, start:start + CHUNK])
+        # In place and in short pieces: the hashes stay in the processor's cache.
+        hashed = odd * tokens[None, start:start + CHUNK]
+        hashed ^= hashed >> np.uint64(32)
+        hashed *= np.uint64(0x9FB21C651E98DF25)
         at, token = np.nonzero(hashed <= limit)
         parents.append(at)
-        children.append(_mix(hashed[at, token] ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+        children.append(_mix(hashed[at, token] ^ odd[at, 0]))
     return np.concatenate(parents), np.concatenate(children)
 
 
