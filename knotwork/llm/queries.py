@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from knotwork.llm import bpe, jaccard, langid, mixing, pii, quality, vptree
+from knotwork.llm import bpe, jaccard, langid, mixing, pii, quality, vptree, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,9 @@ def op9_vantage_points(spark: SparkSession, folder: str) -> DataFrame:
         F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("vector"))
     found = vptree.search(vectors, vectors.filter(F.col("id") % 100 == 0), k=10)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query
+def op3_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    made = warc.page_records(read(spark, folder, "pages"))
+    return made.select("row.page_id", *[f.name for f in warc.RECORD])
