@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from knotwork.llm import bpe, jaccard, langid, mixing, pii, quality, vptree, warc
+from knotwork.llm import bpe, jaccard, langid, mixing, pii, quality, vptree, warc, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,3 +102,8 @@ def op9_vantage_points(spark: SparkSession, folder: str) -> DataFrame:
 def op3_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     made = warc.page_records(read(spark, folder, "pages"))
     return made.select("row.page_id", *[f.name for f in warc.RECORD])
+
+
+@query
+def op4_compact_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return windows.repeated(read(spark, folder, "documents"))
