@@ -86,7 +86,7 @@ def _matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def _located(text: Column, pattern: str) -> Column:
+def located(text: Column, pattern: str) -> Column:
     """array<struct<value, before, start, end>> of all matches; ``before`` ends where the match
     starts, begins after the match before it and is cut to its last CONTEXT characters."""
     values, gaps = _matches(text, pattern), F.split(text, pattern, -1)
@@ -109,7 +109,7 @@ def base_spans(text: Column) -> Column:
     found = []
     for kind, pattern in KINDS.items():
         spans = F.transform(
-            F.filter(_located(text, pattern), lambda m: _valid(kind, m["value"])),
+            F.filter(located(text, pattern), lambda m: _valid(kind, m["value"])),
             lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end")))
         found.append(F.when(F.contains(text, F.lit(NEEDS[kind])), spans).otherwise(none) if NEEDS[kind] else spans)
     return F.concat(*found)
@@ -157,7 +157,7 @@ def edges(texts: DataFrame) -> DataFrame:
     masked = texts.filter(F.rlike("text", F.lit("[0-9@]")))
     for kind in KINDS:
         masked = masked.select(_mask(F.col("text"), kind).alias("text"))
-    tokens = masked.select(_located(F.col("text"), TOKEN).alias("found")).select(
+    tokens = masked.select(located(F.col("text"), TOKEN).alias("found")).select(
         F.explode(_preceded(F.col("found"))).alias("m"))
     seed = F.regexp_extract(F.col("m.value"), r"\x01([a-z])[a-p]{32}\x01", 1)
     kind = F.element_at(F.create_map(*[x for k in KINDS for x in (F.lit(k[0]), F.lit(k))]), seed)
@@ -199,7 +199,7 @@ def learn(texts: DataFrame) -> DataFrame:
 def discovered(texts: DataFrame, accepted: DataFrame) -> DataFrame:
     """(key, added): spans that accepted patterns find in the texts of (key, text)."""
     candidates = texts.filter(F.rlike("text", F.lit("[0-9@]"))).select(
-        "key", base_spans(F.col("text")).alias("base"), _located(F.col("text"), TOKEN).alias("found"))
+        "key", base_spans(F.col("text")).alias("base"), located(F.col("text"), TOKEN).alias("found"))
     tokens = candidates.select("key", "base", F.explode(_preceded(F.col("found"))).alias("m")).select(
         "key", "base", "m", F.explode(_patterns(F.col("m.before"))).alias("pattern"))
     hits = tokens.join(hinted(accepted, accepted.count()), "pattern")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from knotwork.llm import bpe, jaccard, langid, mixing, pii, quality, vptree, warc, windows
+from knotwork.llm import bpe, jaccard, langid, mixing, pii, quality, secrets, vptree, warc, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,10 @@ def op3_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_compact_windows(spark: SparkSession, folder: str) -> DataFrame:
     return windows.repeated(read(spark, folder, "documents"))
+
+
+@query
+def op8_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(read(spark, folder, "documents"), secrets.vocabulary(spark, rank_file()[0]))
+    return found.select("row.doc_id", "start", "end", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
+                        "label", "score", "secret")
