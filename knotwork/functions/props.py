@@ -27,7 +27,11 @@ def property_equals(key: str, value: object) -> Column:
     if isinstance(value, bool):
         return F.lower(stored) == str(value).lower()
     if isinstance(value, int):
-        return stored.try_cast("decimal(38,6)") == F.lit(value).cast("decimal(38,6)")
+        # Plain notation digit by digit, so that nothing is rounded; powers as numbers.
+        sign = "-" if value < 0 else "[+-]?" if value == 0 else r"\+?"
+        plain = F.rlike(stored, F.lit(rf"^\s*{sign}0*{abs(value)}(\.0*)?\s*$"))
+        power = F.rlike(stored, F.lit("[eE]")) & (stored.try_cast("double") == F.lit(float(value)))
+        return plain | F.coalesce(power, F.lit(False))
     if isinstance(value, float):
         return stored.try_cast("double") == F.lit(value)
     return stored == F.lit(fold_literal(value))

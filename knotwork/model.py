@@ -35,9 +35,6 @@ CORE_TYPES = [BASE_ENTITY, TEXT_CHUNK]
 BASIC_TYPES = ["PERSON", "ORGANIZATION", "LOCATION", "PLACE"]
 CORE_RELATIONS = ["MENTIONS"]
 
-# More distinct labels than this are never turned into a literal list.
-MAX_LABEL_LIST = 10_000
-
 
 def vertex_id(label: Column, key: Column) -> Column:
     """Deterministic record id.  Labels hold no slash, so it is unambiguous."""
@@ -45,8 +42,13 @@ def vertex_id(label: Column, key: Column) -> Column:
 
 
 def edge_id(label: str = "label", src: str = "src", dst: str = "dst") -> Column:
-    """Deterministic edge id; computed only where a query asks for it."""
-    return F.sha2(F.concat_ws("|", F.col(label), F.col(src), F.col(dst)), 256)
+    """Deterministic edge id; computed only where a query asks for it.
+
+    Every part goes in with its length, so no two edges share an id whatever their
+    names hold.
+    """
+    parts = [x for c in (label, src, dst) for x in (F.length(c).cast("string"), F.lit(":"), F.col(c))]
+    return F.sha2(F.concat(*parts), 256)
 
 
 def shape_vertices(df: DataFrame, label: Column | str, key: Column,
@@ -111,6 +113,10 @@ class PropertyGraph:
             below |= more
         return label.isin(*sorted(below))
 
+    def declared(self) -> list[str]:
+        """Vertex types that exist without any row: the core types and the hierarchy."""
+        return sorted({*CORE_TYPES, *self.parents, *(p for p in self.parents.values() if p)})
+
     def is_entity(self, label: str) -> bool:
         """Whether a label is the base entity type or lies below it."""
         seen: set[str] = set()

@@ -144,7 +144,9 @@ def plan_bulk(label: str, conditions: Sequence[Mapping[str, object]], safe_mode:
 def plan_records(graph: PropertyGraph, vids: Sequence[str] | DataFrame) -> Removal:
     """By record id."""
     if _short(vids):
-        return Removal(F.col("vid").isin(*vids))
+        # The record ids hold the labels, which prune the scan.
+        labels = sorted({v.split("/", 1)[0] for v in vids})
+        return Removal(F.col("label").isin(*labels) & F.col("vid").isin(*vids))
     table = vids if isinstance(vids, DataFrame) else graph.spark.createDataFrame([(v,) for v in vids], "vid string")
     return Removal(vids=table.select("vid").distinct())
 

@@ -205,7 +205,8 @@ def separate_labels(graph: PropertyGraph, relations: DataFrame,
     ``labels`` are the vertex labels if the caller has them at hand.
     """
     if labels is None:
-        labels = graph.vertices.select("label").distinct()
+        declared = graph.spark.createDataFrame([(x,) for x in graph.declared()], "label string")
+        labels = graph.vertices.select("label").union(declared).distinct()
     if isinstance(labels, DataFrame):
         marked = relations.join(labels.select("label", F.lit(True).alias("_taken")), "label", "left")
         taken = F.coalesce("_taken", F.lit(False))
@@ -302,10 +303,25 @@ def link(graph: PropertyGraph, pairs: DataFrame) -> PropertyGraph:
 # Plain record writes ----------------------------------------------------------
 
 
+def plain_records(label: str, rows: DataFrame, key: Column, props: Column, extra: list[Column] | None = None,
+                  **columns: Column) -> DataFrame:
+    """Rows of one type in vertex shape: text folded, empty properties and rows without
+    a key left out."""
+    if not label.strip() or "/" in label:
+        raise ValueError(f"{label!r} cannot be a type")
+    shaped = shape_vertices(rows, label, key, extra=extra, props=props, **columns)
+    texts = [f.name for f in VERTEX_SCHEMA.fields if isinstance(f.dataType, T.StringType) and f.name not in ("label", "vid")]
+    folded = {c: fold_punctuation(F.col(c)) for c in texts}
+    kept = F.map_filter(F.coalesce("props", no_props()), lambda _, v: v.isNotNull())
+    embedding = F.when(F.size("embedding") > 0, F.col("embedding"))
+    shaped = shaped.where(~is_blank(F.col("key"))).withColumns({**folded, "props": fold_values(kept), "embedding": embedding})
+    return shaped.withColumn("vid", vertex_id(F.col("label"), F.col("key")))
+
+
 def bulk_insert(graph: PropertyGraph, label: str, rows: DataFrame, key: Column,
                 props: Column, **columns: Column) -> PropertyGraph:
-    """Append rows of one type as they are (column ``key`` must be new)."""
-    added = shape_vertices(rows, label, key, props=props, **columns)
+    """Append rows of one type (column ``key`` must be new)."""
+    added = plain_records(label, rows, key, props, **columns)
     return graph.with_vertices(graph.vertices.unionByName(added))
 
 
@@ -313,24 +329,41 @@ def bulk_upsert(graph: PropertyGraph, label: str, rows: DataFrame, key: Column,
                 props: Column, property_names: Sequence[str] | None = None,
                 **columns: Column) -> PropertyGraph:
     """Insert or update rows of one type by a key column."""
-    ordered = shape_vertices(rows, label, key, extra=[seq.alias("seq")], props=props, **columns)
+    ordered = plain_records(label, rows, key, props, [seq.alias("seq")], **columns)
     return graph.with_vertices(merge_vertices(graph.vertices, collapse_nodes(ordered, property_names)))
 
 
 def update_where(graph: PropertyGraph, label: str, where: Column, props: dict[str, Column]) -> PropertyGraph:
-    """Set properties on the rows of a type that satisfy a predicate."""
+    """Set properties on the rows of a type that satisfy a predicate.
+
+    Declared properties go to their columns, the others to the map; NULL clears one.
+    """
+    if not props:
+        return graph
+    if "embedding" in props:
+        raise ValueError("embeddings are written with nodes")
     hit = F.coalesce((F.col("label") == label) & where, F.lit(False))
-    new = F.create_map(*[x for k, v in props.items() for x in (F.lit(k), v.cast("string"))])
-    return graph.with_vertices(graph.vertices.withColumn(
-        "props", F.when(hit, overlay(F.col("props"), new)).otherwise(F.col("props"))
-    ))
+    own = {k: v.cast("string") for k, v in props.items() if k not in DECLARED}
+    flagged = graph.vertices.withColumn("_hit", hit)
+    changed = {}
+    for name, value in props.items():
+        if name in DECLARED:
+            changed[name] = F.when(F.col("_hit"), value.cast("string")).otherwise(F.col(name))
+    if own:
+        new = F.map_filter(F.create_map(*[x for k, v in own.items() for x in (F.lit(k), v)]), lambda _, v: v.isNotNull())
+        rest = F.map_filter(F.coalesce("props", no_props()), lambda k, _: ~k.isin(*own))
+        changed["props"] = F.when(F.col("_hit"), overlay(rest, new)).otherwise(F.col("props"))
+    return graph.with_vertices(flagged.withColumns(changed).drop("_hit"))
 
 
 # Triples ----------------------------------------------------------------------
 
 
 def triples_graph(triples: DataFrame, node_label: str) -> PropertyGraph:
-    """Vertices and edges of (subject, relation, object) rows."""
+    """Vertices and edges of (subject, relation, object) rows; a row with a blank part
+    gives neither."""
+    triples = triples.where(
+        ~is_blank(F.col("subject")) & ~is_blank(F.col("relation")) & ~is_blank(F.col("object")))
     ends = triples.select(F.explode(F.array("subject", "object")).alias("id")).distinct()
     vertices = shape_vertices(ends, node_label, F.col("id"), id=F.col("id"))
     label = F.lit(node_label)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SALTS = 64
+# Up to this many rows Spark's window group limit prunes below the shuffle.
+PRUNED_BELOW_SHUFFLE = 1000
 
 
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
@@ -15,17 +17,20 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
 
     A label or a hub may hold a third of all rows, so groups are cut twice: first
     per (group, salt), spread over many tasks, then over the at most ``salts * k``
-    survivors.  Both filters are pushed below their shuffle by Spark's window
-    group limit.
+    survivors.  Spark's window group limit pushes these cuts below their shuffle for
+    small ``k``.  For a larger one a first cut per group and input partition, whose
+    rows are bounded by the size of a split, does the same.
     """
+    if k > PRUNED_BELOW_SHUFFLE:
+        parted = df.withColumn("_salt", F.spark_partition_id())
+        df = _first_ranked(parted, [*group, "_salt"], order, k).drop("_salt")
     salted = df.withColumn("_salt", F.spark_partition_id() % salts)
-    local = Window.partitionBy(*group, "_salt").orderBy(*order)
-    final = Window.partitionBy(*group).orderBy(*order)
-    return (
-        salted.withColumn("_rank", F.row_number().over(local)).where(F.col("_rank") <= k)
-        .withColumn("_rank", F.row_number().over(final)).where(F.col("_rank") <= k)
-        .drop("_salt", "_rank")
-    )
+    return _first_ranked(_first_ranked(salted, [*group, "_salt"], order, k), group, order, k).drop("_salt")
+
+
+def _first_ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
 
 def first_rows(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:

@@ -34,8 +34,10 @@ def fetch(graph: PropertyGraph, vids: DataFrame) -> DataFrame:
     return graph.vertices.join(vids.select("vid").distinct(), "vid", "left_semi")
 
 
-def all_nodes(graph: PropertyGraph, per_type: int = 50) -> DataFrame:
-    """Up to ``per_type`` vertices of every label, in key order."""
+def all_nodes(graph: PropertyGraph, per_type: int | None = 50) -> DataFrame:
+    """Up to ``per_type`` vertices of every label, in key order; None for all."""
+    if per_type is None:
+        return graph.vertices
     return top_per_group(graph.vertices, ["label"], [F.col("key")], per_type)
 
 

@@ -15,6 +15,8 @@ from knotwork.operators.sizes import mark
 from knotwork.session import cut_lineage
 
 EDGE_ORDER = ("label", "src", "dst")
+USED = "array<struct<label:string,src:string,dst:string>>"
+
 
 def display_name() -> Column:
     """What a triplet shows for a vertex: its name, else its id."""
@@ -163,13 +165,13 @@ def incident_edges(graph: PropertyGraph, starts: DataFrame, limit: int | None =
 
 def rel_map(graph: PropertyGraph, refs: DataFrame, depth: int = 2, limit: int = 30,
             ignore_rels: Sequence[str] | None = None, limit_first: bool = True,
-            one_hop: bool = True, bound: int | None = None) -> DataFrame:
+            one_hop: bool = False, bound: int | None = None) -> DataFrame:
     """Relationship map around nodes given by name or id (column ``ref``).
 
-    As in the modelled store, one hop is expanded whatever ``depth`` says, and the
-    limit applies before relations are ignored.  ``one_hop=False`` honours
-    ``depth``; ``limit_first=False`` ignores relations first.  ``bound`` is the
-    number of references when the caller knows it.
+    Relations up to ``depth`` hops away belong to it; ``one_hop`` expands a single
+    hop whatever ``depth`` says.  The limit applies before relations are ignored, or
+    after that with ``limit_first=False``.  ``bound`` is the number of references when
+    the caller knows it.
     """
     starts = start_vertices(graph, refs).select("vid").distinct()
     if not one_hop and depth > 1:
@@ -226,16 +228,18 @@ def paths(graph: PropertyGraph, starts: DataFrame, depth: int = 2, limit: int |
 
     ``path`` alternates relation and target; with ``final_target`` the last target
     stands after every relation.  Shorter paths come first, then alphabetical
-    order.  With a limit no vertex needs more than its first ``limit + depth``
-    outgoing edges, whatever its degree: later ones can only give paths that sort
-    behind ``limit`` others (``depth`` more allow for edges a path already used).
+    order.  With a limit a level is cut to the rows that are still missing; once they
+    are found no longer path is walked, and until then a level holds fewer rows than
+    the limit.  No vertex needs more than its first ``limit + depth`` outgoing edges,
+    whatever its degree: later ones can only give paths that sort behind ``limit``
+    others (``depth`` more allow for edges a path already used).
     """
     edges = graph.edges.select("label", "src", "dst")
     walks = starts.select(
         F.col("vid").alias("start"), F.col("vid").alias("end"),
-        F.array().cast("array<string>").alias("steps"), F.array().cast("array<string>").alias("used"),
+        F.array().cast("array<string>").alias("steps"), F.array().cast(USED).alias("used"),
     )
-    levels = []
+    levels, missing = [], limit or 0
     for level in range(1, depth + 1):
         nearby = edges
         if limit is not None:
@@ -243,7 +247,7 @@ def paths(graph: PropertyGraph, starts: DataFrame, depth: int = 2, limit: int |
             nearby = top_per_group(
                 edges.join(ends, "src", "left_semi"), ["src"], [F.col("label"), F.col("dst")], limit + depth
             )
-        step = F.concat_ws("|", "label", "src", "dst")
+        step = F.struct("label", "src", "dst")
         walks = walks.join(nearby, walks["end"] == nearby["src"]).where(
             ~F.array_contains("used", step)
         ).select(
@@ -251,9 +255,14 @@ def paths(graph: PropertyGraph, starts: DataFrame, depth: int = 2, limit: int |
             F.concat("steps", F.array("label", "dst")).alias("steps"),
             F.concat("used", F.array(step)).alias("used"),
         )
-        if level < depth and depth > 2:
+        if limit is not None:
+            walks = cut_lineage(first_rows(walks, ["start", "steps"], missing))
+            missing -= walks.count()
+        elif level < depth and depth > 2:
             walks = cut_lineage(walks)
         levels.append(walks.select("start", "end", F.lit(level).alias("length"), "steps"))
+        if limit is not None and missing <= 0:
+            break
     found = levels[0]
     for more in levels[1:]:
         found = found.union(more)

@@ -6,7 +6,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from knotwork.functions.text import BASE_ENTITY, TEXT_CHUNK
@@ -18,6 +17,8 @@ DEFAULT_TOP_K = 10
 
 # Query vectors sent to every task in one pass; longer lists are scored in blocks.
 MAX_QUERY_BYTES = 32 * 1024 * 1024
+# Scores held at once by a task.
+MAX_SCORES = 1 << 22
 
 
 def searchable(graph: PropertyGraph, dim: int, label: str | None = None) -> DataFrame:
@@ -64,7 +65,8 @@ def batch_vector_search(graph: PropertyGraph, searches: Sequence[dict]) -> DataF
 
     Every Arrow batch is multiplied with all query vectors of its width and only
     the best rows per search leave the task, so the number of (row, search) pairs
-    never shows up in a shuffle.  Query lists too large to ship are cut in blocks.
+    never shows up in a shuffle.  Query lists too large to ship are cut in blocks, and a
+    type stands for the types below it too.
     """
     prepared = [
         (i, s["type_name"], unit(check_vector(s["query_embedding"])), int(s.get("top_k") or DEFAULT_TOP_K))
@@ -90,48 +92,40 @@ def _blocks(prepared: list[tuple]) -> Iterator[list[tuple]]:
             yield group[at:at + size]
 
 
-def _best(vids: pa.Array, scores: np.ndarray, k: int) -> tuple[pa.Array, np.ndarray]:
-    """The ``k`` best rows by score, then record id."""
-    at = np.flatnonzero(~np.isnan(scores))
-    if len(at) > k:
-        edge = np.partition(scores[at], len(at) - k)[len(at) - k]
-        at = at[scores[at] >= edge]
-    names = vids.take(pa.array(at))
-    order = np.lexsort((np.array(names.to_pylist(), dtype=str), -scores[at]))[:k]
-    return names.take(pa.array(order)), scores[at][order]
-
-
 def _search_block(graph: PropertyGraph, block: list[tuple]) -> DataFrame:
     width = len(block[0][2])
     limits = {number: k for number, _, _, k in block}
-    by_type: dict[str, tuple[list[int], np.ndarray]] = {
-        name: ([i for i, n, _, _ in block if n == name], np.stack([q for _, n, q, _ in block if n == name]))
-        for name in sorted({name for _, name, _, _ in block})
-    }
+    by_type = {}
+    for name in sorted({name for _, name, _, _ in block}):
+        mine = [(i, q, k) for i, n, q, k in block if n == name]
+        by_type[name] = ([i for i, _, _ in mine], np.stack([q for _, q, _ in mine]), max(k for _, _, k in mine))
+    flags = [graph.in_type(name).alias(f"is_{i}") for i, name in enumerate(by_type)]
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = {number: (pa.array([], pa.string()), np.empty(0)) for number in limits}
+        kept = (np.empty(0, np.int64), np.empty(0, dtype=object), np.empty(0))
         for batch in batches:
             rows = unit_rows(batch.column("embedding"), width)
-            for name, (numbers, queries) in by_type.items():
-                at = np.flatnonzero(pc.equal(batch.column("label"), name).to_numpy(zero_copy_only=False))
-                vids = batch.column("vid").take(pa.array(at))
-                scores = similarities(rows[at], queries)
-                for column, number in enumerate(numbers):
-                    more = _best(vids, scores[:, column], limits[number])
-                    old = kept[number]
-                    kept[number] = _best(
-                        pa.concat_arrays([old[0], more[0]]), np.concatenate([old[1], more[1]]), limits[number]
-                    )
-        for number, (vids, scores) in kept.items():
-            yield pa.RecordBatch.from_pydict({
-                "search": pa.array(np.full(len(vids), number), pa.int64()),
-                "vid": vids, "score": pa.array(np.maximum(0.0, scores), pa.float64()),
-            })
-
-    rows = graph.vertices.where(
-        F.col("label").isin(*by_type) & has_width(F.col("embedding"), width)
-    ).select("vid", "label", "embedding")
+            names = np.array(batch.column("vid").to_pylist(), dtype=object)
+            for at, (numbers, queries, k) in enumerate(by_type.values()):
+                mine = np.flatnonzero(batch.column(f"is_{at}").to_numpy(zero_copy_only=False).astype(bool))
+                # At most MAX_SCORES scores at a time, whatever the batch and the queries.
+                step = max(1, MAX_SCORES // max(1, len(mine)))
+                for start in range(0, len(numbers) if len(mine) else 0, step):
+                    scores = similarities(rows[mine], queries[start:start + step])
+                    open_ = np.where(np.isnan(scores), -np.inf, scores)
+                    edge = -np.inf if len(mine) <= k else np.partition(open_, len(mine) - k, axis=0)[len(mine) - k]
+                    row, column = np.nonzero((open_ >= edge) & (open_ > -np.inf))
+                    more = (np.array(numbers)[start + column], names[mine[row]], scores[row, column])
+                    kept = _ranked([np.concatenate(x) for x in zip(kept, more)], limits)
+        yield pa.RecordBatch.from_pydict({
+            "search": pa.array(kept[0], pa.int64()), "vid": pa.array(kept[1], pa.string()),
+            "score": pa.array(np.maximum(0.0, kept[2]), pa.float64()),
+        })
+
+    within = F.lit(False)
+    for name in by_type:
+        within = within | graph.in_type(name)
+    rows = graph.vertices.where(within & has_width(F.col("embedding"), width)).select("vid", "embedding", *flags)
     partial = rows.mapInArrow(best, "search bigint, vid string, score double")
     order = [F.desc("score"), F.col("vid")]
     if len(set(limits.values())) == 1:
@@ -143,10 +137,23 @@ def _search_block(graph: PropertyGraph, block: list[tuple]) -> DataFrame:
     return best_rows.withColumn("_rank", rank).where(F.col("_rank") <= wanted).drop("_rank")
 
 
+def _ranked(found: list[np.ndarray], limits: dict[int, int]) -> tuple[np.ndarray, ...]:
+    """The best rows of every search by score, then record id."""
+    search, vid, score = found
+    order = np.lexsort((vid.astype(str), -score, search))
+    search, vid, score = search[order], vid[order], score[order]
+    starts = np.flatnonzero(np.append(True, search[1:] != search[:-1])) if len(search) else np.empty(0, int)
+    rank = np.arange(len(search)) - np.repeat(starts, np.diff(starts, append=len(search)))
+    keep = rank < np.array([limits[s] for s in search.tolist()], dtype=int)
+    return search[keep], vid[keep], score[keep]
+
+
 def vector_similarity(graph: PropertyGraph, vid: str, query: Sequence[float]) -> DataFrame:
     """Similarity of one stored record to a query."""
     values = check_vector(query)
-    row = graph.vertices.where((F.col("vid") == vid) & has_width(F.col("embedding"), len(values)))
+    # The record id holds the label, which prunes the scan.
+    mine = (F.col("label") == vid.split("/", 1)[0]) & (F.col("vid") == vid)
+    row = graph.vertices.where(mine & has_width(F.col("embedding"), len(values)))
     return row.select("vid", cosine(F.col("embedding"), values).alias("similarity"))
 
 

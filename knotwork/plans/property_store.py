@@ -7,12 +7,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from knotwork.model import MAX_LABEL_LIST, PropertyGraph, shape_vertices
+from knotwork.model import BASIC_TYPES, CORE_RELATIONS, PropertyGraph
 from knotwork.operators import delete as deletes, lookup, merge, scans, traverse, vector
-from knotwork.operators.sizes import fits_memory, not_stored
+from knotwork.operators.sizes import fits_memory, mark, not_stored
 from knotwork.plans import retrieval, sql
 from knotwork.plans.nodes import Relation, node_batch, reference, relation_batch
-from knotwork.session import cut_lineage, shared_dir, tune
+from knotwork.session import cut_lineage, shared_dir
 from knotwork.sources.store import GraphStore, Part
 
 
@@ -20,13 +20,18 @@ class PropertyStore:
     """A named graph with embeddings.
 
     ``path`` is a folder all executors can reach; without one the graph lives
-    under the shared checkpoint folder.
+    under the shared checkpoint folder.  Every read and every write starts from the
+    newest snapshot, so what other writers committed is seen.  The session's settings
+    are left alone; ``session.tune`` has the ones that suit hubs.
     """
 
+    # Stands for "50 or 100 per type, unless a filter already says what is wanted".
+    DEFAULT = object()
+
     def __init__(self, spark: SparkSession, path: str | None = None, create: bool = True,
                  include_basic_schema: bool = True, embedding_dimension: int | None = None,
                  parents: Mapping[str, str | None] | None = None, buckets: int = 1) -> None:
-        self.spark = tune(spark)
+        self.spark = spark
         self.basic = include_basic_schema
         self.dimension = embedding_dimension
         path = path or f"{shared_dir(spark)}/graph-{uuid.uuid4().hex}"
@@ -34,24 +39,30 @@ class PropertyStore:
 
     @property
     def graph(self) -> PropertyGraph:
+        self.disk.refresh()
         return self.disk.graph()
 
     # Reads --------------------------------------------------------------------
 
     def get(self, properties: Mapping[str, object] | None = None,
-            ids: Sequence[str] | DataFrame | None = None) -> DataFrame:
-        """Nodes by ids, else by properties, else up to 50 per type."""
+            ids: Sequence[str] | DataFrame | None = None, limit_per_type: int | None = 50) -> DataFrame:
+        """Nodes by ids, else by properties, else up to ``limit_per_type`` of every type
+        (None for all)."""
         if ids is not None and (isinstance(ids, DataFrame) or len(ids)):
             return lookup.nodes_by_ids(self.graph, ids)
         if properties:
             return lookup.nodes_by_properties(self.graph, properties)
-        return scans.all_nodes(self.graph)
+        return scans.all_nodes(self.graph, limit_per_type)
 
     def get_triplets(self, entity_names: Sequence[str] | None = None,
                      relation_names: Sequence[str] | None = None,
                      properties: Mapping[str, object] | None = None,
-                     ids: Sequence[str] | None = None) -> DataFrame:
-        found = traverse.triplet_listing(self.graph, entity_names, relation_names, properties, ids)
+                     ids: Sequence[str] | None = None, limit_per_type: int | None | object = DEFAULT) -> DataFrame:
+        """Triplets that satisfy all filters.  Without a filter, 100 per edge type unless
+        ``limit_per_type`` says otherwise; None for all."""
+        if limit_per_type is self.DEFAULT:
+            limit_per_type = None if entity_names or relation_names or properties or ids else 100
+        found = traverse.triplet_listing(self.graph, entity_names, relation_names, properties, ids, limit_per_type)
         return found.select("subject", "relation", "object")
 
     def get_triplets_by_type(self, subject_types: Sequence[str] | None = None,
@@ -61,8 +72,9 @@ class PropertyStore:
         return found.select("subject", "relation", "object")
 
     def get_rel_map(self, graph_nodes: Sequence[object] | DataFrame, depth: int = 2, limit: int = 30,
-                    ignore_rels: Sequence[str] | None = None, one_hop: bool = True) -> DataFrame:
-        """Relations around nodes, given as nodes, as names or ids, or as a table."""
+                    ignore_rels: Sequence[str] | None = None, one_hop: bool = False) -> DataFrame:
+        """Relations within ``depth`` hops of nodes, given as nodes, as names or ids, or as
+        a table; ``one_hop`` stops after the first."""
         graph, bound = self.graph, None
         if not isinstance(graph_nodes, DataFrame):
             refs = [reference(n) for n in graph_nodes]
@@ -99,22 +111,49 @@ class PropertyStore:
         return vector.vector_similarity(self.graph, vid, query_embedding)
 
     def retrieve(self, query_embedding: Sequence[float], similarity_top_k: int = 10,
-                 include_text: bool = True) -> DataFrame:
-        return retrieval.retrieve(self.graph, query_embedding, similarity_top_k, include_text)
+                 include_text: bool = True, limit_per_hit: int | None = 30) -> DataFrame:
+        return retrieval.retrieve(self.graph, query_embedding, similarity_top_k, include_text, limit_per_hit)
 
     def structured_query(self, query: str, param_map: Mapping[str, object] | None = None) -> DataFrame:
         """Spark SQL over one view per type.
 
         Properties are columns of the views; edge views have ``src`` and ``dst``.
-        The views come from the stored catalogue, no data is read for them.
+        The views come from the stored catalogue, no data is read for them, and they
+        exist only while the statement is analysed.
         """
-        known = self.disk.properties()
-        labels = {label: kind for kind, label in known} | {c: "vertex" for c in ("Entity", "TextChunk")}
-        sql.register_views(self.graph, {label: names for (_, label), names in known.items()}, labels)
-        return sql.run_sql(self.spark, query, param_map)
+        graph, known = self.graph, self.disk.properties()
+        labels = {label: kind for kind, label in known} | {c: "vertex" for c in self._declared()}
+        labels |= {label: "edge" for kind, label in known if kind == "edge"}
+        return sql.query_views(graph, query, param_map, {label: names for (_, label), names in known.items()}, labels)
 
     # Writes -------------------------------------------------------------------
 
+    def _declared(self) -> list[str]:
+        """Vertex types that need no row: core, basic (if chosen) and hierarchy types."""
+        return sorted({*self.disk.graph([], []).declared(), *(BASIC_TYPES if self.basic else [])})
+
+    def _check_types(self, vertices: DataFrame) -> None:
+        """Vertex and edge types share one namespace."""
+        taken = sorted({*self.disk.labels("edges"), *CORE_RELATIONS})
+        clash = vertices.where(F.col("label").isin(*taken)).select("label").first()
+        if clash:
+            raise ValueError(f"{clash.label!r} is an edge type and cannot be a vertex type")
+
+    def _fit(self, rows: DataFrame) -> DataFrame:
+        """Embeddings of another width than the store's are left out."""
+        if not self.dimension:
+            return rows
+        return rows.withColumn("embedding", F.when(F.size("embedding") == self.dimension, F.col("embedding")))
+
+    def _prepared(self, nodes: Sequence[object] | DataFrame, property_names: Sequence[str] | None = None,
+                  max_property_length: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """The usable rows of a batch, and one row per vertex of it; both settled."""
+        batch = nodes if isinstance(nodes, DataFrame) else node_batch(self.spark, nodes)
+        prepared = cut_lineage(self._fit(merge.prepare_nodes(batch, max_property_length)))
+        collapsed = cut_lineage(merge.collapse_nodes(prepared, property_names))
+        self._check_types(collapsed)
+        return prepared, collapsed
+
     def _merge(self, collapsed: DataFrame) -> dict[str, tuple[list[Part] | None, DataFrame]]:
         """The replacement that lays a collapsed batch over the parts it touches."""
         parts = self.disk.parts_of("vertices", collapsed)
@@ -124,54 +163,68 @@ class PropertyStore:
     def upsert_nodes(self, nodes: Sequence[object] | DataFrame, property_names: Sequence[str] | None = None,
                      max_property_length: int | None = None) -> None:
         """Merge nodes; only the parts that hold a node of the batch are rewritten."""
-        batch = nodes if isinstance(nodes, DataFrame) else node_batch(self.spark, nodes)
-        prepared = merge.prepare_nodes(batch, max_property_length)
-        if self.dimension:
-            fits = F.size("embedding") == self.dimension
-            prepared = prepared.withColumn("embedding", F.when(fits, F.col("embedding")))
-        prepared = cut_lineage(prepared)
-        collapsed = cut_lineage(merge.collapse_nodes(prepared, property_names))
+        self.disk.refresh()
+        prepared, collapsed = self._prepared(nodes, property_names, max_property_length)
         if collapsed.isEmpty():
             return
         sourced = prepared.where((F.col("kind") == "entity") & F.col("triplet_source_id").isNotNull())
         append = {}
         if not sourced.isEmpty():
-            chunks = merge.chunk_ids(self.graph.vertices).union(merge.chunk_ids(prepared))
+            chunks = merge.chunk_ids(self.disk.graph().vertices).union(merge.chunk_ids(prepared))
             append["edges"] = self._new_edges(merge.mentions(sourced, chunks))
         self.disk.change(replace=self._merge(collapsed), append=append)
 
     def upsert_relations(self, relations: Sequence[Relation] | DataFrame) -> None:
         """Add relations with known ends; stored edges are read by key only and kept."""
-        batch = relations if isinstance(relations, DataFrame) else relation_batch(self.spark, relations)
         graph = self.graph
-        usable = merge.separate_labels(graph, merge.usable_relations(batch), self.disk.labels("vertices"))
-        usable = cut_lineage(usable)
+        self.disk.change(append={"edges": self._new_edges(self._resolved(graph, relations))})
+
+    def _resolved(self, graph: PropertyGraph, relations: Sequence[Relation] | DataFrame,
+                  more_labels: Sequence[str] = ()) -> DataFrame:
+        """Edges of a relation batch whose ends are in the graph."""
+        batch = relations if isinstance(relations, DataFrame) else relation_batch(self.spark, relations)
+        taken = sorted({*self.disk.labels("vertices"), *self._declared(), *more_labels})
+        usable = cut_lineage(merge.separate_labels(graph, merge.usable_relations(batch), taken))
         refs = cut_lineage(merge.references(usable))
-        known = merge.endpoints(graph, refs, fits_memory(refs))
-        fresh = merge.first_edges(merge.fold_relations(merge.resolve_relations(graph, usable, known)))
-        self.disk.change(append={"edges": self._new_edges(fresh)})
+        known = cut_lineage(merge.endpoints(graph, refs, fits_memory(refs)))
+        return merge.first_edges(merge.fold_relations(merge.resolve_relations(graph, usable, known)))
 
-    def _new_edges(self, edges: DataFrame) -> DataFrame:
+    def _new_edges(self, edges: DataFrame, stored: DataFrame | None = None) -> DataFrame:
         """Edges that are not stored yet, compared with stored edges of their labels."""
         fresh = cut_lineage(edges)
-        labels = [r.label for r in fresh.select("label").distinct().limit(MAX_LABEL_LIST + 1).collect()]
-        stored = self.disk.graph(edge_labels=None if len(labels) > MAX_LABEL_LIST else labels).edges
+        if stored is None:
+            labels = [r.label for r in fresh.select("label").distinct().collect()]
+            stored = self.disk.graph(edge_labels=labels).edges
         return not_stored(fresh, stored, ["label", "src", "dst"], fits_memory(fresh))
 
     def bulk_insert(self, label: str, rows: DataFrame, key: Column, props: Column, **columns: Column) -> int:
-        """Append rows of a type; returns how many."""
-        added = shape_vertices(rows, label, key, props=props, **columns)
+        """Append rows of a type and return how many were written.
+
+        Rows without a key are left out; a key that comes twice or is stored is an error.
+        """
+        self.disk.refresh()
+        added = cut_lineage(self._fit(merge.plain_records(label, rows, key, props, **columns)))
+        self._check_types(added)
+        stored = self.disk.graph([label]).vertices.select("vid").join(mark(added, fits_memory(added)), "vid", "left_semi")
+        twice = added.groupBy("vid").count().where("count > 1").select("vid")
+        again = stored.union(twice).first()
+        if again:
+            raise ValueError(f"{again.vid!r} is there already")
+        written = added.count()
         self.disk.change(append={"vertices": added})
-        return rows.count()
+        return written
 
     def bulk_upsert(self, label: str, rows: DataFrame, key: Column, seq: Column, props: Column,
                     **columns: Column) -> int:
-        """Insert or update rows of a type by key; returns the number of rows given."""
-        ordered = shape_vertices(rows, label, key, extra=[seq.alias("seq")], props=props, **columns)
+        """Insert or update rows of a type by key; returns the number of rows with a key."""
+        self.disk.refresh()
+        ordered = cut_lineage(self._fit(merge.plain_records(label, rows, key, props, [seq.alias("seq")], **columns)))
+        self._check_types(ordered)
         self.disk.change(replace=self._merge(cut_lineage(merge.collapse_nodes(ordered))))
-        return rows.count()
+        return ordered.count()
 
     def update_where(self, label: str, where: Column, props: dict[str, Column]) -> None:
+        self.disk.refresh()
         graph = self.disk.graph([label])
         parts = self.disk.parts_of("vertices", graph.vertices.where(where))
         part = graph.with_vertices(self.disk.part("vertices", parts))
@@ -194,11 +247,38 @@ class PropertyStore:
 
     def refresh_documents(self, documents: Sequence[str], nodes: Sequence[object] | DataFrame,
                           relations: Sequence[Relation] | DataFrame = ()) -> None:
-        """Drop what came from documents, then write their new content."""
-        self.disk.remove(deletes.plan_documents(self.graph, documents))
-        self.upsert_nodes(nodes)
+        """Drop what came from documents and write their new content, as one change."""
+        graph = self.graph
+        gone, lost = self.disk.doomed(deletes.plan_documents(graph, documents))
+        few_gone, few_lost = fits_memory(gone), fits_memory(lost)
+
+        def left(rows: DataFrame, kind: str) -> DataFrame:
+            doomed, few, key = (gone, few_gone, ["label", "vid"]) if kind == "vertices" else (
+                lost, few_lost, ["label", "src", "dst"])
+            return rows.join(mark(doomed, few), key, "left_anti").select(*rows.columns)
+
+        prepared, collapsed = self._prepared(nodes)
+        parts = sorted({*self.disk.parts_of("vertices", gone), *self.disk.parts_of("vertices", collapsed)})
+        vertices = merge.merge_vertices(left(self.disk.part("vertices", parts), "vertices"), collapsed, fits_memory(collapsed))
+        vertices = cut_lineage(vertices)
+        kept = left(graph.vertices, "vertices")
+        after = graph.with_vertices(merge.merge_vertices(kept, collapsed, fits_memory(collapsed))).with_edges(
+            left(graph.edges, "edges"))
+        sourced = prepared.where((F.col("kind") == "entity") & F.col("triplet_source_id").isNotNull())
+        fresh = merge.mentions(sourced, merge.chunk_ids(after.vertices))
         if isinstance(relations, DataFrame) or len(relations):
-            self.upsert_relations(relations)
+            labels = [r.label for r in collapsed.select("label").distinct().collect()]
+            fresh = fresh.unionByName(self._resolved(after, relations, labels)).dropDuplicates(["label", "src", "dst"])
+        replace = {"vertices": (parts, vertices)}
+        lost_parts = self.disk.parts_of("edges", lost)
+        if lost_parts:
+            replace["edges"] = (lost_parts, left(self.disk.part("edges", lost_parts), "edges"))
+        self.disk.change(replace=replace, append={"edges": self._new_edges(fresh, after.edges)})
 
     def clear(self) -> None:
+        self.disk.refresh()
         self.disk.truncate()
+
+    def vacuum(self, older_than: float = 86_400.0) -> int:
+        """Delete stored files that are no longer in force."""
+        return self.disk.vacuum(older_than)

@@ -10,24 +10,34 @@ from knotwork.functions.text import TEXT_CHUNK
 from knotwork.model import PropertyGraph
 from knotwork.operators.lookup import literal_ids, settle, vertices_of
 from knotwork.operators.merge import upsert_nodes, upsert_relations
-from knotwork.operators.ranking import first_rows
+from knotwork.operators.ranking import first_rows, top_per_group
 from knotwork.operators.traverse import EDGE_ORDER, display_name, touching
 from knotwork.operators.vector import DEFAULT_TOP_K, vector_query
 from knotwork.session import cut_lineage
 
 
 def retrieve(graph: PropertyGraph, query: Sequence[float], top_k: int = DEFAULT_TOP_K,
-             include_text: bool = True, limit: int = 30) -> DataFrame:
+             include_text: bool = True, limit_per_hit: int | None = 30, limit: int | None = None) -> DataFrame:
     """Best entities for a query vector, the relations around them and the text
     they come from.
 
-    One row per relation, scored by its better end.  The hits and the relations
-    around them are bounded by ``top_k`` and ``limit`` and settled in turn, so every
-    table is read once: vectors for the hits, edges around them, the vertices and
-    chunks those name.
+    One row per relation, scored by its better end.  ``limit_per_hit`` counts for each
+    hit by itself, so a hub leaves room for the others, ``limit`` over all of them; None
+    lifts either.  Hits and relations are settled in turn, so every table is read once:
+    vectors for the hits, edges around them, the vertices and chunks those name.
     """
     hits = settle(vector_query(graph, query, top_k).select("vid", "score"), top_k)
-    around = settle(first_rows(touching(graph.edges.select(*EDGE_ORDER), hits, top_k), EDGE_ORDER, limit), limit)
+    found = touching(graph.edges.select(*EDGE_ORDER), hits, top_k)
+    if limit_per_hit is not None:
+        ends = found.select(*EDGE_ORDER, F.explode(F.array_distinct(F.array("src", "dst"))).alias("vid"))
+        ends = ends.join(hits.select("vid"), "vid", "left_semi")
+        order = [F.col(c) for c in EDGE_ORDER]
+        found = top_per_group(ends, ["vid"], order, limit_per_hit).select(*EDGE_ORDER).distinct()
+        bound = top_k * limit_per_hit
+        limit = bound if limit is None else min(limit, bound)
+    around = cut_lineage(found) if limit is None else settle(first_rows(found, EDGE_ORDER, limit), limit)
+    if limit is None:
+        limit = around.count()
     ends = vertices_of(graph, around, limit, "src", "dst").select(
         "vid", display_name().alias("shown"), F.col("triplet_source_id").alias("source")
     )

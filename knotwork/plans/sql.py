@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from knotwork.functions.props import DECLARED
 from knotwork.functions.text import BASE_ENTITY
@@ -14,18 +15,25 @@ from knotwork.operators.scans import polymorphic_scan, type_names
 
 def vertex_view(graph: PropertyGraph, label: str, properties: Sequence[str] = ()) -> DataFrame:
     """Rows of a type and the types below it; named properties become columns."""
-    own = [p for p in properties if p not in DECLARED and p != "embedding"]
-    return polymorphic_scan(graph, label).select(
-        "vid", "label", *DECLARED, "embedding", "props",
-        *[F.try_element_at("props", F.lit(p)).alias(p) for p in own],
-    )
+    fixed = ["vid", "label", *DECLARED, "embedding", "props"]
+    return polymorphic_scan(graph, label).select(*fixed, *_own(properties, fixed))
+
+
+def _own(properties: Sequence[str], fixed: Sequence[str]) -> list[Column]:
+    """Properties as columns.  SQL names know no case: a name like that of a fixed
+    column, or of another property, stays in ``props`` only."""
+    seen = {c.lower() for c in fixed}
+    shown = []
+    for p in sorted(properties):
+        if p.lower() not in seen:
+            seen.add(p.lower())
+            shown.append(F.try_element_at("props", F.lit(p)).alias(p))
+    return shown
 
 
 def edge_view(graph: PropertyGraph, label: str, properties: Sequence[str] = ()) -> DataFrame:
-    return graph.edges.where(F.col("label") == label).select(
-        edge_id().alias("eid"), "label", "src", "dst", "props",
-        *[F.try_element_at("props", F.lit(p)).alias(p) for p in properties],
-    )
+    fixed = ["eid", "label", "src", "dst", "props"]
+    return graph.edges.where(F.col("label") == label).withColumn("eid", edge_id()).select(*fixed, *_own(properties, fixed))
 
 
 def register_views(graph: PropertyGraph, properties: Mapping[str, Sequence[str]] | None = None,
@@ -46,6 +54,31 @@ def register_views(graph: PropertyGraph, properties: Mapping[str, Sequence[str]]
     return sorted(known)
 
 
+def query_views(graph: PropertyGraph, query: str, params: Mapping[str, object] | Sequence[object] | None = None,
+                properties: Mapping[str, Sequence[str]] | None = None, labels: Mapping[str, str] | None = None,
+                positional: bool = False) -> DataFrame:
+    """Run a statement over the views of one graph.
+
+    Only types that the statement names get a view, and the views go once it is
+    analysed, so another graph never answers for this one.  Two named types that differ
+    in case only cannot be told apart and are refused.
+    """
+    known = dict(labels) if labels is not None else {r.label: r.kind for r in type_names(graph).collect()}
+    known.setdefault(BASE_ENTITY, "vertex")
+    named = {x: k for x, k in known.items() if re.search(rf"(?<!\w){re.escape(x)}(?!\w)", query, re.I)}
+    folded: dict[str, str] = {}
+    for label in named:
+        if folded.setdefault(label.lower(), label) != label:
+            raise ValueError(f"types {folded[label.lower()]!r} and {label!r} have one name in SQL")
+    # Without any type in it the statement needs no view at all.
+    views = [v for v in register_views(graph, properties, named) if v in named or v == BASE_ENTITY]
+    try:
+        return run_sql(graph.spark, query, params, positional)
+    finally:
+        for view in views:
+            graph.spark.catalog.dropTempView(view)
+
+
 def run_sql(spark: SparkSession, query: str, params: Mapping[str, object] | Sequence[object] | None = None,
             positional: bool = False) -> DataFrame:
     """Run a statement with bound parameters.

@@ -11,7 +11,8 @@ from knotwork.functions.text import BASE_ENTITY
 from knotwork.model import PropertyGraph
 from knotwork.operators import delete as deletes, merge, scans, traverse
 from knotwork.plans import sql
-from knotwork.session import shared_dir, tune
+from knotwork.operators.sizes import fits_memory, not_stored
+from knotwork.session import cut_lineage, shared_dir
 from knotwork.sources.store import GraphStore
 
 TRIPLE = "subject string, relation string, object string"
@@ -22,13 +23,14 @@ class TripleStore:
 
     def __init__(self, spark: SparkSession, path: str | None = None, node_label: str = BASE_ENTITY,
                  create: bool = True) -> None:
-        self.spark = tune(spark)
+        self.spark = spark
         self.node_label = node_label
         self.schema = ""
         self.disk = GraphStore(spark, path or f"{shared_dir(spark)}/triples-{uuid.uuid4().hex}", create)
 
     @property
     def graph(self) -> PropertyGraph:
+        self.disk.refresh()
         return self.disk.graph()
 
     def _table(self, triples: Sequence[tuple[str, str, str]] | DataFrame) -> DataFrame:
@@ -54,11 +56,16 @@ class TripleStore:
         self.upsert_triplets([(subject, relation, obj)])
 
     def upsert_triplets(self, triples: Sequence[tuple[str, str, str]] | DataFrame) -> None:
+        """Make sure both ends and the edge of every triple exist; rows with a blank part
+        are left out.  Only stored rows of the labels concerned are read."""
+        self.disk.refresh()
         fresh = merge.triples_graph(self._table(triples), self.node_label)
-        graph = self.graph
+        vertices, edges = cut_lineage(fresh.vertices), cut_lineage(fresh.edges)
+        labels = [r.label for r in edges.select("label").distinct().collect()]
+        stored = self.disk.graph([self.node_label], labels)
         self.disk.change(append={
-            "vertices": fresh.vertices.join(graph.vertices.select("vid"), "vid", "left_anti"),
-            "edges": fresh.edges.join(graph.edges, ["label", "src", "dst"], "left_anti"),
+            "vertices": not_stored(vertices, stored.vertices, ["vid"], fits_memory(vertices)),
+            "edges": not_stored(edges, stored.edges, ["label", "src", "dst"], fits_memory(edges)),
         })
 
     def delete(self, subject: str, relation: str, obj: str) -> None:
@@ -77,10 +84,11 @@ class TripleStore:
 
     def query(self, query: str, param_map: Mapping[str, object] | None = None) -> DataFrame:
         """Spark SQL; the values of ``param_map`` fill ``?`` marks in order, as text."""
+        graph = self.graph
         labels = {c: "vertex" for c in [self.node_label, *self.disk.labels("vertices")]}
         labels |= {c: "edge" for c in self.disk.labels("edges")}
-        sql.register_views(self.graph, labels=labels)
-        return sql.run_sql(self.spark, query, param_map, positional=True)
+        return sql.query_views(graph, query, param_map, labels=labels, positional=True)
 
     def clear(self) -> None:
+        self.disk.refresh()
         self.disk.truncate()

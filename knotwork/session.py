@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 # endpoint joins skewed, so skewed partitions are split even where that costs
 # one more shuffle downstream.
 RUNTIME_CONF = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -25,7 +24,7 @@ EXCLUDED_RULE = "org.apache.spark.sql.catalyst.optimizer.PushDownLeftSemiAntiJoi
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to a session.  Callers decide: the stores never do."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     excluded = spark.conf.get("spark.sql.optimizer.excludedRules", None) or ""
@@ -43,6 +42,7 @@ def local_session(cpus: int | str = "*", app: str = "knotwork", memory: str = "8
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -50,13 +50,15 @@ def local_session(cpus: int | str = "*", app: str = "knotwork", memory: str = "8
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or the checkpoint folder that
+    the application has set.
 
     Only a local master without that setting gets a temporary folder; on a
     cluster a missing setting is an error, because a folder of one machine would
     not survive the loss of an executor.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):

@@ -1,0 +1,70 @@
+"""Small files of a store, through Spark's own file systems."""
+
+from __future__ import annotations
+
+import time
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
+
+
+def _system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def entries(spark: SparkSession, folder: str) -> dict[str, float]:
+    """Names in a folder and the seconds since each was changed; empty without the folder."""
+    system, place = _system(spark, folder)
+    if not system.exists(place):
+        return {}
+    now = time.time()
+    return {s.getPath().getName(): now - s.getModificationTime() / 1000 for s in system.listStatus(place)}
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    system, place = _system(spark, path)
+    stream = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, place = _system(spark, path)
+    system.delete(place, True)
+
+
+def claim(spark: SparkSession, folder: str, name: str, text: str) -> bool:
+    """Create a file with its content in one atomic step; False when it is there already.
+
+    The content is written aside first, then linked (local disks) or renamed without
+    overwriting (other file systems) to its name.
+    """
+    system, place = _system(spark, f"{folder}/{name}")
+    system.mkdirs(place.getParent())
+    if system.exists(place):
+        return False
+    _, aside = _system(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    stream = system.create(aside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    jvm = spark._jvm
+    try:
+        if system.getScheme() == "file":
+            paths = [jvm.java.nio.file.Path.of(p.toUri().getPath(), spark.sparkContext._gateway.new_array(jvm.String, 0))
+                     for p in (place, aside)]
+            jvm.java.nio.file.Files.createLink(*paths)
+        else:
+            none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration())
+            context.rename(aside, place, none)
+        return True
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        system.delete(aside, False)

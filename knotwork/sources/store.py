@@ -1,11 +1,13 @@
 """A graph kept as Parquet, partitioned by label, bucket and version.
 
-Nothing is changed in place: a write adds files under a new version and then one
-small snapshot that names the versions in force and the properties seen per type.
-A change rewrites only the (label, bucket) parts it touches, appended rows leave
-all stored files alone, and a job that dies half way leaves the last snapshot as
-it was.  Two writers that start from the same snapshot collide on its successor,
-and the second one fails.
+Nothing is changed in place: a write adds files under a new version and one small
+snapshot, under a name of its own, that lists the versions in force and the
+properties seen per type.  The snapshot takes effect when its number is claimed by
+an atomic, exclusive create.  A job that dies before that leaves files that nothing
+refers to; the last claim stays in force and later writers go on.  Two writers that
+start from the same snapshot claim the same number, and the second one fails.  A
+change rewrites only the (label, bucket) parts it touches, appended rows leave all
+stored files alone, and parts spread over many versions are merged after a while.
 """
 
 from __future__ import annotations
@@ -13,15 +15,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from knotwork.functions.props import DECLARED
-from knotwork.model import EDGE_SCHEMA, MAX_LABEL_LIST, VERTEX_SCHEMA, PropertyGraph
+from knotwork.model import EDGE_SCHEMA, VERTEX_SCHEMA, PropertyGraph
 from knotwork.operators.delete import Removal
 from knotwork.operators.scans import property_names
 from knotwork.operators.sizes import fits_memory, mark
 from knotwork.session import cut_lineage
+from knotwork.sources import files
 
 KINDS = {"vertices": VERTEX_SCHEMA, "edges": EDGE_SCHEMA}
 # The column whose hash gives the bucket of a row.
@@ -31,7 +33,6 @@ SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("label", T.StringType()),
     T.StructField("bucket", T.IntegerType()),
     T.StructField("value", T.StringType()),
-    T.StructField("snapshot", T.LongType()),
 ])
 PLACE = [T.StructField("bucket", T.IntegerType()), T.StructField("version", T.StringType())]
 
@@ -41,8 +42,12 @@ Part = tuple[str, int]
 State = dict[tuple[str, str, int], list[str]]
 
 
-def _missing(error: AnalysisException) -> bool:
-    return "PATH_NOT_FOUND" in str(error)
+# Versions of one kind in force beyond which parts are merged after a write.
+MAX_VERSIONS = 32
+
+
+class StaleSnapshot(RuntimeError):
+    """Another writer changed the graph since this one read it."""
 
 
 class GraphStore:
@@ -67,30 +72,34 @@ class GraphStore:
 
     # Reading ------------------------------------------------------------------
 
-    def _latest(self) -> tuple[int, State]:
-        try:
-            rows = self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{self.path}/snapshots")
-        except AnalysisException as error:
-            if not _missing(error):
-                raise
-            return -1, {}
-        number = rows.agg(F.max("snapshot")).first()[0]
-        if number is None:
-            return -1, {}
+    def _claims(self) -> list[int]:
+        return sorted(int(n) for n in files.entries(self.spark, f"{self.path}/claims") if n.isdigit())
+
+    def _snapshot(self, number: int) -> tuple[str, State]:
+        name = files.read_text(self.spark, f"{self.path}/claims/{number}")
+        rows = self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{self.path}/snapshots/{name}")
         state: State = {}
         # One row per label, bucket and version in force: the size of the schema.
-        for r in rows.where(F.col("snapshot") == number).collect():
+        for r in rows.collect():
             state.setdefault((r.kind, r.label, r.bucket), []).append(r.value)
-        return number, state
+        return name, state
 
-    def _files(self, kind: str) -> DataFrame | None:
+    def _latest(self) -> tuple[int, State]:
+        numbers = self._claims()
+        return (numbers[-1], self._snapshot(numbers[-1])[1]) if numbers else (-1, {})
+
+    def refresh(self) -> None:
+        """Go on from the newest snapshot, whoever wrote it."""
+        numbers = self._claims()
+        if numbers and numbers[-1] != self.number:
+            self.number, self.state = self._latest()
+
+    def _files(self, kind: str, versions: Iterable[str]) -> DataFrame:
+        """The given versions by their paths; nothing else is listed."""
         full = T.StructType([*KINDS[kind].fields, *PLACE])
-        try:
-            return self.spark.read.schema(full).parquet(f"{self.path}/{kind}")
-        except AnalysisException as error:
-            if not _missing(error):
-                raise
-            return None
+        root = f"{self.path}/{kind}"
+        return self.spark.read.schema(full).option("basePath", root).parquet(
+            *[f"{root}/version={v}" for v in sorted(versions)])
 
     def _read(self, kind: str, labels: Iterable[str] | None = None,
               parts: Iterable[Part] | None = None) -> DataFrame:
@@ -104,8 +113,7 @@ class GraphStore:
                 continue
             for version in versions:
                 by_version.setdefault(version, {}).setdefault(label, []).append(bucket)
-        files = self._files(kind) if by_version else None
-        if files is None:
+        if not by_version:
             return self.spark.createDataFrame([], KINDS[kind])
         # Partition columns only, so this decides which folders are read at all.
         in_force = F.lit(False)
@@ -117,7 +125,7 @@ class GraphStore:
                 in_force = in_force | (
                     (F.col("version") == version) & F.col("label").isin(*names) & F.col("bucket").isin(*numbers)
                 )
-        return files.where(in_force).select(*KINDS[kind].fieldNames())
+        return self._files(kind, by_version).where(in_force).select(*KINDS[kind].fieldNames())
 
     @property
     def parents(self) -> dict[str, str | None]:
@@ -161,27 +169,26 @@ class GraphStore:
         shaped = rows.select(*KINDS[kind].fieldNames()).withColumn("bucket", self.bucket(kind))
         # Rebalancing keeps files of one part together and splits a part that holds
         # most of the rows over several tasks.
-        shaped.hint("rebalance", "label", "bucket").withColumn("version", F.lit(version)).write.mode(
-            "append"
-        ).partitionBy("label", "bucket", "version").parquet(f"{self.path}/{kind}")
-        files = self._files(kind)
-        if files is None:
-            return version, set(), {}
-        written = files.where(F.col("version") == version)
+        shaped.hint("rebalance", "label", "bucket").write.mode("errorifexists").partitionBy(
+            "label", "bucket").parquet(f"{self.path}/{kind}/version={version}")
+        written = self._files(kind, [version])
+        parts = {(r.label, r.bucket) for r in written.select("label", "bucket").distinct().collect()}
         names = F.explode(property_names(written, [*DECLARED, "embedding"])).alias("property")
-        found = written.select("label", "bucket", names).distinct().collect()
-        properties: dict[str, set[str]] = {}
-        for r in found:
-            properties.setdefault(r.label, set()).update([r.property] if r.property else [])
-        return version, {(r.label, r.bucket) for r in found}, properties
+        properties: dict[str, set[str]] = {label: set() for label, _ in parts}
+        for r in written.select("label", names).distinct().collect():
+            properties[r.label].update([r.property] if r.property else [])
+        return version, parts, properties
 
     def _commit(self, state: State) -> None:
         rows = [(*key, value) for key, values in state.items() for value in values]
         number = self.number + 1
         columns = "kind string, label string, bucket int, value string"
+        name = uuid.uuid4().hex
         self.spark.createDataFrame(rows, columns).coalesce(1).write.mode("errorifexists").parquet(
-            f"{self.path}/snapshots/snapshot={number}"
+            f"{self.path}/snapshots/{name}"
         )
+        if not files.claim(self.spark, f"{self.path}/claims", str(number), name):
+            raise StaleSnapshot(f"snapshot {number} of {self.path} was written by another writer")
         self.number, self.state = number, state
 
     def change(self, replace: Mapping[str, tuple[Iterable[Part] | None, DataFrame]] | None = None,
@@ -209,28 +216,37 @@ class GraphStore:
                 key = (f"{kind} properties", label, 0)
                 state[key] = sorted(set(state.get(key, [])) | names)
         self._commit({key: values for key, values in state.items() if values})
+        if any(self._versions(kind, MAX_VERSIONS) for kind in KINDS):
+            self.compact()
+
+    def _versions(self, kind: str, above: int = 0) -> set[str]:
+        """The versions of a kind in force, if there are more than ``above``."""
+        found = {v for (k, _, _), versions in self.state.items() if k == kind for v in versions}
+        return found if len(found) > above else set()
 
-    def parts_of(self, kind: str, rows: DataFrame) -> list[Part] | None:
-        """(label, bucket) parts of some rows, or None when there are too many to list
-        and a change has to treat everything."""
+    def parts_of(self, kind: str, rows: DataFrame) -> list[Part]:
+        """(label, bucket) parts of some rows; like the snapshot, one entry per part."""
         found = rows.select("label", self.bucket(kind).alias("bucket")).distinct()
-        parts = [(r.label, r.bucket) for r in found.limit(MAX_LABEL_LIST + 1).collect()]
-        return None if len(parts) > MAX_LABEL_LIST else parts
+        return [(r.label, r.bucket) for r in found.collect()]
 
     def remove(self, removal: Removal) -> None:
         """Write a deletion: only parts that lose rows are rewritten."""
-        graph = self.graph()
-        gone = cut_lineage(removal.doomed_vertices(graph))
-        lost = cut_lineage(removal.doomed_edges(graph, gone, fits_memory(gone)))
+        gone, lost = self.doomed(removal)
         replace = {}
         for kind, doomed, key in (("vertices", gone, ["label", "vid"]), ("edges", lost, ["label", "src", "dst"])):
             parts = self.parts_of(kind, doomed)
-            if parts is None or parts:
+            if parts:
                 kept = self.part(kind, parts).join(mark(doomed, fits_memory(doomed)), key, "left_anti")
                 replace[kind] = (parts, kept)
         if replace:
             self.change(replace=replace)
 
+    def doomed(self, removal: Removal) -> tuple[DataFrame, DataFrame]:
+        """Keys of the vertices and edges that a deletion takes, settled."""
+        graph = self.graph()
+        gone = cut_lineage(removal.doomed_vertices(graph))
+        return gone, cut_lineage(removal.doomed_edges(graph, gone, fits_memory(gone)))
+
     def overwrite(self, graph: PropertyGraph) -> None:
         """Replace everything by another graph."""
         self.change(replace={"vertices": (None, graph.vertices), "edges": (None, graph.edges)})
@@ -244,11 +260,34 @@ class GraphStore:
         self._commit({key: v for key, v in self.state.items() if key[0] in ("parent", "buckets")})
 
     def compact(self) -> None:
-        """Rewrite parts that are spread over several versions."""
+        """Rewrite parts that are spread over several versions, and all parts of a kind
+        that is in too many versions."""
         replace = {}
         for kind in KINDS:
-            spread = [(label, b) for (k, label, b), v in self.state.items() if k == kind and len(v) > 1]
+            many = bool(self._versions(kind, MAX_VERSIONS))
+            spread = [(label, b) for (k, label, b), v in self.state.items() if k == kind and (many or len(v) > 1)]
             if spread:
                 replace[kind] = (spread, self.part(kind, spread))
         if replace:
             self.change(replace=replace)
+
+    def vacuum(self, older_than: float = 86_400.0, keep: int = 1) -> int:
+        """Delete files that none of the last ``keep`` snapshots names; returns how many
+        versions went.  Files younger than ``older_than`` seconds may belong to a writer
+        that is still at work and stay."""
+        numbers = self._claims()
+        kept = [self._snapshot(n) for n in numbers[-keep:]]
+        gone = 0
+        for kind in KINDS:
+            used = {v for _, state in kept for (k, _, _), versions in state.items() if k == kind for v in versions}
+            for name, age in files.entries(self.spark, f"{self.path}/{kind}").items():
+                if name.startswith("version=") and name.removeprefix("version=") not in used and age >= older_than:
+                    files.remove(self.spark, f"{self.path}/{kind}/{name}")
+                    gone += 1
+        names = {name for name, _ in kept}
+        for name, age in files.entries(self.spark, f"{self.path}/snapshots").items():
+            if name not in names and age >= older_than:
+                files.remove(self.spark, f"{self.path}/snapshots/{name}")
+        for number in numbers[:-keep]:
+            files.remove(self.spark, f"{self.path}/claims/{number}")
+        return gone

@@ -1,7 +1,6 @@
 """Versioned storage, document sources and SQL parameters."""
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import column
@@ -12,8 +11,9 @@ from knotwork.operators.merge import upsert_nodes
 from knotwork.plans.nodes import EntityNode, Relation
 from knotwork.plans.property_store import PropertyStore
 from knotwork.plans.sql import run_sql
+from knotwork.sources import files
 from knotwork.sources.documents import chunk_batch, json_vertices, read_text
-from knotwork.sources.store import GraphStore
+from knotwork.sources.store import GraphStore, StaleSnapshot
 
 
 def small(spark, names, label="N"):
@@ -83,9 +83,68 @@ def test_second_writer_fails(spark, tmp_path):
     first, second = GraphStore(spark, path), None
     second = GraphStore(spark, path)
     first.overwrite(small(spark, ["a"]))
-    with pytest.raises(AnalysisException):
+    with pytest.raises(StaleSnapshot):
         second.overwrite(small(spark, ["b"]))
     assert column(GraphStore(spark, path).graph().vertices, "key") == ["a"]
+    assert column(second.graph().vertices, "key") == []
+    second.refresh()
+    assert column(second.graph().vertices, "key") == ["a"]
+    second.overwrite(small(spark, ["b"]))
+    assert column(GraphStore(spark, path).graph().vertices, "key") == ["b"]
+
+
+def test_many_claims_of_one_number(spark, tmp_path):
+    """Many claims of one number from several threads: one wins, and its content is whole."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    folder = str(tmp_path / "claims")
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: files.claim(spark, folder, "0", f"text {i}"), range(24)))
+    assert sum(won) == 1
+    assert files.read_text(spark, f"{folder}/0") == f"text {won.index(True)}"
+    assert [n for n in files.entries(spark, folder) if not n.startswith(".")] == ["0"]
+
+
+def test_a_crashed_commit_does_not_block(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "g")
+    store = GraphStore(spark, path)
+    store.overwrite(small(spark, ["a"]))
+    (tmp_path / "g" / "snapshots" / "unclaimed" / "_temporary").mkdir(parents=True)
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "claim", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.overwrite(small(spark, ["b"]))
+    for opened in (store, GraphStore(spark, path)):
+        opened.refresh()
+        assert column(opened.graph().vertices, "key") == ["a"]
+    GraphStore(spark, path).overwrite(small(spark, ["c"]))
+    store.refresh()
+    assert column(store.graph().vertices, "key") == ["c"]
+
+
+def test_open_store_sees_other_writers(spark, tmp_path):
+    reader = PropertyStore(spark, str(tmp_path / "g"))
+    writer = PropertyStore(spark, str(tmp_path / "g"))
+    writer.upsert_nodes([EntityNode("a", "N")])
+    assert column(reader.get(), "name") == ["a"]
+    reader.upsert_nodes([EntityNode("b", "N")])
+    assert column(writer.get(), "name") == ["a", "b"]
+
+
+def test_many_appends_are_merged_and_vacuumed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("knotwork.sources.store.MAX_VERSIONS", 4)
+    store = GraphStore(spark, str(tmp_path / "g"))
+    for i in range(12):
+        store.change(append={"vertices": small(spark, [f"n{i}"]).vertices})
+    assert len(store._versions("vertices")) <= 4
+    wanted = sorted(f"n{i}" for i in range(12))
+    assert column(store.graph().vertices, "key") == wanted
+    assert store.vacuum(older_than=3_600) == 0
+    assert store.vacuum(older_than=0) > 0
+    held = list((tmp_path / "g" / "vertices").glob("version=*"))
+    assert len(held) == len(store._versions("vertices"))
+    for opened in (store, GraphStore(spark, str(tmp_path / "g"), create=False)):
+        assert column(opened.graph().vertices, "key") == wanted
 
 
 def test_labels_prune_partitions(spark, tmp_path):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from knotwork.functions import text
 
 NORMALIZED = [
-    ("Alder Software", "Alder"), ("  Acme Inc ", "Acme"), ("Acme Inc.", "Acme"), ("Acme Corp", "Acme"),
+    ("Harbour Software", "Harbour"), ("  Acme Inc ", "Acme"), ("Acme Inc.", "Acme"), ("Acme Corp", "Acme"),
     ("Acme Corp.", "Acme"), ("Acme Ltd", "Acme"), ("Acme Ltd.", "Acme"), ("Acme LLC", "Acme"),
     ("Acme Company", "Acme"), ("Acme Co.", "Acme"), ("Acme Co", "Acme Co"),
     ("Acme Corporation", "Acme Corporation"), ("Foo Ltd LLC", "Foo Ltd"), ("AB Inc", "AB Inc"),

@@ -25,7 +25,7 @@ def rounded(found):
 
 @query("R1 V1 T3 T4 J5 J6", HITS + ", text AS source_text FROM around")
 def retrieve_context(t: Tables):
-    return rounded(retrieve(t.graph, VECTOR, 10))
+    return rounded(retrieve(t.graph, VECTOR, 10, limit_per_hit=None, limit=30))
 
 
 @query("R1", HITS + " FROM around")

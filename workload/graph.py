@@ -187,13 +187,13 @@ def map_rows(found):
 @query("T4 F16", with_(V, E, FROM_ORDERS.format(limit=3000)) + MAP_COLUMNS + " WHERE label <> 'MENTIONS'")
 def rel_map_one_hop(t: Tables):
     """The limit counts ignored relations, as it applies before them."""
-    return map_rows(traverse.rel_map(t.graph, map_refs(t), 2, 3000, ["MENTIONS"]))
+    return map_rows(traverse.rel_map(t.graph, map_refs(t), 2, 3000, ["MENTIONS"], one_hop=True))
 
 
 @query("T4 F16", with_(V, E.replace("e AS (", "e0 AS ("), "e AS (SELECT * FROM e0 WHERE label <> 'FROM_NATION')",
                        FROM_ORDERS.format(limit=30)) + MAP_COLUMNS)
 def rel_map_ignore_first(t: Tables):
-    return map_rows(traverse.rel_map(t.graph, map_refs(t), 2, 30, ["FROM_NATION"], limit_first=False))
+    return map_rows(traverse.rel_map(t.graph, map_refs(t), 2, 30, ["FROM_NATION"], limit_first=False, one_hop=True))
 
 
 UNDIRECTED = "u AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e)"
@@ -206,7 +206,7 @@ SELECT src AS source, label AS relation, dst AS target FROM (SELECT * FROM e WHE
   OR dst IN (SELECT vid FROM reach) ORDER BY label, src, dst LIMIT 200)""")
 def rel_map_two_hops(t: Tables):
     refs = t("region").where(F.col("r_name") == "ASIA").select(F.col("r_name").alias("ref"))
-    return map_rows(traverse.rel_map(t.graph, refs, 2, 200, one_hop=False))
+    return map_rows(traverse.rel_map(t.graph, refs, 2, 200))
 
 
 @query("T6", with_(V, E, UNDIRECTED, HOPS.format(depth=3), recursive=True) + "SELECT vid, CAST(min(depth) AS INT) AS depth FROM hops GROUP BY vid")

@@ -23,7 +23,7 @@ def polymorphic_scan(t: Tables):
     return scans.polymorphic_scan(typed, "PARTY").select("vid", "label", "name")
 
 
-@query("S4 F11", with_(E) + "SELECT sha256(label || '|' || src || '|' || dst) AS eid, label, src, dst FROM e WHERE label = 'PLACED'")
+@query("S4 F11", with_(E) + "SELECT sha256(length(label) || ':' || label || length(src) || ':' || src || length(dst) || ':' || dst) AS eid, label, src, dst FROM e WHERE label = 'PLACED'")
 def edge_scan(t: Tables):
     return scans.edge_scan(t.graph, "PLACED")
 
@@ -169,7 +169,7 @@ def node_records(t: Tables):
     )
 
 
-@query("F13", with_(E) + """SELECT sha256(label || '|' || src || '|' || dst) AS eid, label, src AS source_id,
+@query("F13", with_(E) + """SELECT sha256(length(label) || ':' || label || length(src) || ':' || src || length(dst) || ':' || dst) AS eid, label, src AS source_id,
   dst AS target_id FROM e""")
 def relation_records(t: Tables):
     return scans.relation_view(t.graph.edges).drop("props")
