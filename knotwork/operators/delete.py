@@ -15,6 +15,7 @@ from knotwork.functions.text import TEXT_CHUNK, fold_literal, relation_name
 from knotwork.model import PropertyGraph, vertex_id
 from knotwork.operators.lookup import MAX_LITERALS, ids_table
 from knotwork.operators.traverse import touched, touching
+from knotwork.session import cut_lineage
 
 EDGE_KEY = ["label", "src", "dst"]
 
@@ -22,10 +23,12 @@ EDGE_KEY = ["label", "src", "dst"]
 @dataclass(frozen=True)
 class Removal:
     """Vertices that satisfy a predicate or are listed, whole edge types, and single
-    edges.  Edges at removed vertices follow by themselves."""
+    edges.  Edges at removed vertices follow by themselves.  ``found`` says that the
+    list came out of the vertices and holds their labels, so they need no second look."""
 
     where: Column | None = None
     vids: DataFrame | None = None
+    found: bool = False
     edge_types: tuple[str, ...] = ()
     edges: DataFrame | None = None
 
@@ -36,7 +39,9 @@ class Removal:
         if self.where is not None:
             found = narrow.where(F.coalesce(self.where, F.lit(False))).select("label", "vid")
         if self.vids is not None:
-            listed = narrow.select("label", "vid").join(self.vids.select("vid"), "vid", "left_semi")
+            listed = self.vids
+            if not self.found:
+                listed = narrow.select("label", "vid").join(self.vids.select("vid"), "vid", "left_semi")
             found = listed.select("label", "vid") if found is None else found.union(listed.select("label", "vid")).distinct()
         return narrow.select("label", "vid").limit(0) if found is None else found
 
@@ -73,10 +78,10 @@ class Removal:
 
 
 def _with_keys(graph: PropertyGraph, keys: DataFrame, answers: Column) -> Removal:
-    """The vertices one of whose ``answers`` is in a table of keys."""
-    named = graph.vertices.select("vid", F.explode(answers).alias("ref"))
+    """The vertices one of whose ``answers`` is in a table of keys, looked up once."""
+    named = graph.vertices.select("label", "vid", F.explode(answers).alias("ref"))
     hits = named.join(keys.where(F.col("ref").isNotNull()), "ref", "left_semi")
-    return Removal(vids=hits.select("vid").distinct())
+    return Removal(vids=cut_lineage(hits.select("label", "vid").distinct()), found=True)
 
 
 def _short(values: object) -> bool:
@@ -160,8 +165,9 @@ def plan_triples(graph: PropertyGraph, triples: DataFrame, node_label: str) -> R
         vertex_id(label, F.col("subject")).alias("src"),
         vertex_id(label, F.col("object")).alias("dst"),
     )
+    doomed = cut_lineage(doomed.distinct())
     kept = graph.edges.join(doomed, EDGE_KEY, "left_anti")
-    lonely = touched(doomed).join(touched(kept), "vid", "left_anti")
+    lonely = cut_lineage(touched(doomed).join(touched(kept), "vid", "left_anti"))
     return Removal(vids=lonely, edges=doomed)
 
 

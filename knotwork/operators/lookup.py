@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from knotwork.functions.props import all_equal, prop
 from knotwork.functions.text import TEXT_CHUNK, fold_literal, fold_punctuation, normalize_name
@@ -80,7 +80,8 @@ def nodes_by_ids(graph: PropertyGraph, ids: Sequence[str] | DataFrame) -> DataFr
     """Nodes by logical id; each id stops at the first type that knows it.
 
     Ids are taken as given, without name normalisation.  A short list is a plain
-    predicate that reaches the Parquet scan; a long list or a table is a join.
+    predicate that reaches the Parquet scan; a long list or a table is a join.  The
+    vertices are read twice: narrow to find the answers, whole for those chosen.
     """
     vertices = graph.vertices
     if not isinstance(ids, DataFrame):
@@ -88,9 +89,10 @@ def nodes_by_ids(graph: PropertyGraph, ids: Sequence[str] | DataFrame) -> DataFr
         if len(ids) <= MAX_LITERALS:
             vertices = vertices.where(_matches_any(ids))
     refs = ids_table(graph, ids).where(F.col("ref").isNotNull()).distinct()
-    answers = vertices.select("vid", "label", F.explode(_logical_ids()).alias("ref")).join(refs, "ref")
-    chosen = answers.groupBy("ref").agg(F.min(type_rank()).alias("best")).select("ref", "best.label")
-    hits = answers.join(chosen, ["ref", "label"]).select("vid").distinct()
+    answers = vertices.select("vid", "label", F.explode(_logical_ids()).alias("ref")).join(refs, "ref", "left_semi")
+    # A reference has few answers, so ranking them by type needs no join.
+    first = F.rank().over(Window.partitionBy("ref").orderBy(type_rank()))
+    hits = answers.withColumn("_rank", first).where(F.col("_rank") == 1).select("vid").distinct()
     return vertices.join(hits, "vid", "left_semi")
 
 
