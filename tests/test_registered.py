@@ -10,7 +10,7 @@ from workload.registry import COVERS
 pytestmark = pytest.mark.skipif(not TESTDATA.exists(), reason="no test tables")
 
 # Operators of the inventory that only exist as Python calls or are shown by tests.
-ELSEWHERE = {"S9", "D2", "A5"}
+ELSEWHERE = {"D2", "A5"}
 
 
 @pytest.fixture(scope="module")

@@ -1,13 +1,15 @@
 """Scans, lookups, predicates, catalogue and counts."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from knotwork.functions.props import json_field, prop
 from knotwork.model import PropertyGraph, shape_vertices
 from knotwork.operators import lookup, scans
-
 from knotwork.plans.sql import register_views, run_sql
-from knotwork.sources.documents import json_vertices
+from knotwork.session import shared_dir
+from knotwork.sources.documents import json_vertices, read_text
 from workload.registry import E, P, V, Tables, query, with_
 
 
@@ -249,3 +251,17 @@ def sql_views(t: Tables):
         FROM CUSTOMER person, NATION nation, FROM_NATION rel
         WHERE rel.src = person.vid AND rel.dst = nation.vid AND person.c_mktsegment IN ('BUILDING', 'MACHINERY')
         GROUP BY nation.name""")
+
+
+@query("S9", "SELECT doc_id, md5(text) AS text, 'text/plain' AS file_type, true AS named FROM documents")
+def text_files(t: Tables):
+    """Documents written as one text file each and read back whole, with their paths."""
+    folder = f"{shared_dir(t.spark)}/texts-{uuid.uuid4().hex}"
+    t("documents").select("doc_id", "text").write.partitionBy("doc_id").text(folder)
+    found = read_text(t.spark, folder)
+    # The writer ends a file with a line feed of its own.
+    own = F.substring("text", F.lit(1), F.length("text") - 1)
+    return found.select(
+        F.regexp_extract("file_path", "doc_id=([0-9]+)/", 1).cast("long").alias("doc_id"), F.md5(own.cast("binary")).alias("text"),
+        "file_type", F.col("file_path").endswith(F.col("file_name")).alias("named"),
+    )
