@@ -15,6 +15,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import Column, SparkSession, functions as F
 
+from knotwork.llm.common import in_slices
+
 # A non-space followed by a space or a line feed: no match of a pattern that takes white
 # space only at the front of a piece, or alone, can span this place, so the parts on both
 # sides are split alike together and apart.
@@ -43,17 +45,17 @@ def parts(text: str, size: int = PART_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-def coder(spark: SparkSession, rank_file: str, pattern: str) -> tuple[Callable[[Column], Column], Callable[[Column], Column]]:
-    """``(encode, decode)`` for the ranks of a local file (one "base64 rank" a line).
+def coder(spark: SparkSession, rank_file: str, pattern: str) -> tuple[Callable[[Column], Column], ...]:
+    """``(encode, decode, round_trip)`` for the ranks of a local file (one "base64 rank" a line).
 
-    The file is read once on the driver; its size is that of the vocabulary, not of the
-    data, and it travels to the executors as a broadcast value.
+    ``round_trip`` gives the ids of a text and the bytes that these ids decode to, where both
+    are wanted.  The file is read once on the driver; its size is that of the vocabulary, not
+    of the data, and it travels to the executors as a broadcast value.
     """
     with open(rank_file, "rb") as file:
         ranks = spark.sparkContext.broadcast(file.read())
 
-    @F.arrow_udf("array<int>")
-    def encode(texts: pa.Array) -> pa.Array:
+    def to_ids(texts: pa.Array) -> pa.Array:
         import numpy as np
 
         encoding = _encoding(ranks.value, pattern)
@@ -71,14 +73,19 @@ def coder(spark: SparkSession, rank_file: str, pattern: str) -> tuple[Callable[[
         values = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=pa.array(~valid))
 
-    @F.arrow_udf("binary")
-    def decode(lists: pa.Array) -> pa.Array:
+    def to_bytes(lists: pa.Array) -> pa.Array:
         encoding = _encoding(ranks.value, pattern)
         return pa.array(
-            [None if ids is None else encoding.decode_bytes(ids) for ids in (x.as_py() for x in lists)], pa.binary()
-        )
+            [None if ids is None else encoding.decode_bytes(ids) for ids in (x.as_py() for x in lists)], pa.binary())
+
+    def both(texts: pa.Array) -> pa.Array:
+        ids = to_ids(texts)
+        return pa.StructArray.from_arrays([ids, to_bytes(ids)], ["ids", "raw"])
 
-    return encode, decode
+    return (
+        F.arrow_udf(in_slices(to_ids), "array<int>"), F.arrow_udf(in_slices(to_bytes), "binary"),
+        F.arrow_udf(in_slices(both), "struct<ids:array<int>,raw:binary>"),
+    )
 
 
 def digest(ids: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 # A word of a text: a run of characters that are neither a space nor U+0009 to U+000D.
@@ -21,6 +24,27 @@ def hinted(df: DataFrame, rows: int, limit: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def in_slices(function: Callable[[pa.Array], pa.Array], rows: int = 256):
+    """``function`` as the body of an iterator UDF that works on a few rows at a time, so that
+    what it holds besides its input does not grow with the batch."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for start in range(0, len(batch), rows):
+                yield function(batch.slice(start, rows))
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of a few rows each, for the same reason."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; 0 for a null text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -27,7 +27,7 @@ from pyspark.sql.types import (
     ArrayType, BinaryType, IntegerType, LongType, StructField, StructType,
 )
 
-from knotwork.llm.common import hinted, whole_row
+from knotwork.llm.common import hinted, in_slices, slices, whole_row
 from knotwork.llm.components import components
 from knotwork.session import cut_lineage
 
@@ -138,8 +138,7 @@ def _signature(tokens) -> tuple:
     return len(tokens), sketch.tobytes(), one, two, from2, three, from3
 
 
-@F.arrow_udf(SIGNATURE)
-def signature(texts: pa.Array) -> pa.Array:
+def _signatures(texts: pa.Array) -> pa.Array:
     """Number of shingles, sketch and paths of each text; null without a word."""
     rows = []
     for text in texts.cast(pa.binary()):
@@ -150,13 +149,16 @@ def signature(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(columns, SIGNATURE.names, mask=pa.array([r is None for r in rows], pa.bool_()))
 
 
-@F.arrow_udf(LONGS)
-def shingles(texts: pa.Array) -> pa.Array:
+def _shingles(texts: pa.Array) -> pa.Array:
     import numpy as np
 
     return pa.array([shingle_hashes(t.as_py() or b"").view(np.int64) for t in texts.cast(pa.binary())], pa.list_(pa.int64()))
 
 
+signature = F.arrow_udf(in_slices(_signatures), SIGNATURE)
+shingles = F.arrow_udf(in_slices(_shingles), LONGS)
+
+
 def _roots(linked):
     """The smallest member of each member's connected part of a symmetric matrix."""
     import numpy as np
@@ -196,7 +198,7 @@ def link_sketches(batches):
     """Each list of (cid, n, sketch) as edges (u, v) to the smallest of its linked part."""
     import numpy as np
 
-    for batch in batches:
+    for batch in slices(batches):
         us, vs = [], []
         for members in batch.column("members"):
             values = members.values
@@ -238,7 +240,7 @@ def verify(batches):
     """
     import numpy as np
 
-    for batch in batches:
+    for batch in slices(batches):
         out = ([], [], [])
         for members in batch.column("members"):
             values = members.values

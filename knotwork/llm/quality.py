@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from knotwork.llm.common import WORD, hinted, whole_row
+from knotwork.llm.common import WORD, hinted, in_slices, whole_row
 from knotwork.session import cut_lineage
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -70,8 +70,7 @@ def _duplicate_lines(text: bytes) -> int:
     return repeats
 
 
-@F.arrow_udf(StructType([StructField(name, LongType()) for name in BASE]))
-def base_statistics(texts: pa.Array) -> pa.Array:
+def _base_statistics(texts: pa.Array) -> pa.Array:
     """Words, their code points, symbols, duplicate lines and repeated words of each text."""
     import numpy as np
 
@@ -88,6 +87,10 @@ def base_statistics(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(list(c), pa.int64()) for c in columns], list(BASE))
 
 
+base_statistics = F.arrow_udf(
+    in_slices(_base_statistics), StructType([StructField(name, LongType()) for name in BASE]))
+
+
 def normal_lines(text: Column) -> Column:
     """The lines of a text in lower case, white space collapsed and trimmed."""
     plain = F.translate(F.lower(text), "\t\x0b\x0c\r", "    ")

@@ -29,13 +29,13 @@ def rank_file() -> tuple[str, str]:
 
 def bpe_digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per document the number of ids, their digest and that of the decoded bytes."""
-    encode, decode = bpe.coder(spark, *rank_file())
-    ids = docs.select("doc_id", encode(F.coalesce("text", F.lit(""))).alias("ids"))
-    return ids.select(
+    _, _, round_trip = bpe.coder(spark, *rank_file())
+    coded = docs.select("doc_id", round_trip(F.coalesce("text", F.lit(""))).alias("coded"))
+    return coded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        bpe.digest(F.col("ids")).alias("ids_sha256"),
-        F.sha2(decode("ids"), 256).alias("decoded_sha256"),
+        F.size("coded.ids").cast("long").alias("n_tokens"),
+        bpe.digest(F.col("coded.ids")).alias("ids_sha256"),
+        F.sha2("coded.raw", 256).alias("decoded_sha256"),
     )
 
 

@@ -28,10 +28,12 @@ TEXTS = [
 
 def test_same_ids_as_whole_texts_and_exact_round_trip(spark, whole):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
-    encode, decode = bpe.coder(spark, *rank_file())
+    encode, decode, round_trip = bpe.coder(spark, *rank_file())
+    both = {r.doc_id: r.b for r in docs.select("doc_id", round_trip("text").alias("b")).collect()}
     rows = docs.select("doc_id", encode("text").alias("ids")).withColumn("raw", decode("ids")).collect()
     for row in rows:
         text = TEXTS[row.doc_id]
+        assert (both[row.doc_id].ids, both[row.doc_id].raw) == (row.ids, row.raw)
         if text is None:
             assert row.ids is None and row.raw is None
         else:
@@ -49,7 +51,7 @@ def test_parts_cut_only_where_ids_stay_the_same(whole):
 
 def test_ids_without_valid_text_decode_to_raw_bytes(spark, whole):
     ids = [whole.encode_single_token(b"\xe2"), whole.encode_single_token(b"a")]
-    _, decode = bpe.coder(spark, *rank_file())
+    _, decode, _ = bpe.coder(spark, *rank_file())
     row = spark.createDataFrame([(ids,)], "ids array<int>").select(decode("ids").alias("raw")).first()
     assert bytes(row.raw) == b"\xe2a"
 
