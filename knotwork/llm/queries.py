@@ -50,6 +50,37 @@ def op6_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+ORACLES["op5_line_frequency"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text IS NULL AS missing, coalesce(text, '') AS text FROM documents),
+w AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
+grams AS (SELECT rid, i, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
+inside AS (SELECT rid, unnest(range(i, i + 5)) AS pos
+  FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM grams) WHERE c > 1),
+again AS (SELECT rid, count(DISTINCT pos) AS n FROM inside GROUP BY rid),
+lines AS (SELECT rid, source, text, missing, unnest(string_split(text, chr(10))) AS line FROM d),
+dup AS (SELECT rid, sum(c - 1) AS n FROM (SELECT rid, line, count(*) AS c FROM lines
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid, line) GROUP BY rid),
+norm AS (SELECT rid, source, text, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) AS line,
+  len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM lines WHERE NOT missing),
+held AS (SELECT source, line, count(DISTINCT text) AS c FROM norm WHERE line <> '' GROUP BY source, line),
+hosts AS (SELECT source, count(DISTINCT text) AS c FROM d WHERE NOT missing GROUP BY source),
+common AS (SELECT held.source, line FROM held JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source
+  WHERE held.c > 20 AND held.c > 0.1 * hosts.c),
+lost AS (SELECT rid, sum(words) AS n FROM norm JOIN common
+  ON norm.line = common.line AND norm.source IS NOT DISTINCT FROM common.source GROUP BY rid),
+base AS (SELECT d.rid, doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(again.n, 0) AS BIGINT) AS n_repeat_words,
+  CAST(len(w) - coalesce(lost.n, 0) AS BIGINT) AS n_words_left
+  FROM d JOIN w ON w.rid = d.rid LEFT JOIN dup ON dup.rid = d.rid LEFT JOIN again ON again.rid = d.rid LEFT JOIN lost ON lost.rid = d.rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words_left,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_words_left >= 10 AS kept
+FROM base"""
+
+
 @query
 def op5_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return quality.rules(read(spark, folder, "documents")).select(
