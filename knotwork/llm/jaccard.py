@@ -155,7 +155,9 @@ def _shingles(texts: pa.Array) -> pa.Array:
     return pa.array([shingle_hashes(t.as_py() or b"").view(np.int64) for t in texts.cast(pa.binary())], pa.list_(pa.int64()))
 
 
-signature = F.arrow_udf(in_slices(_signatures), SIGNATURE)
+# Marked so that Catalyst runs it once: a deterministic one would be copied into the filter
+# on its result.
+signature = F.arrow_udf(in_slices(_signatures), SIGNATURE).asNondeterministic()
 shingles = F.arrow_udf(in_slices(_shingles), LONGS)
 
 

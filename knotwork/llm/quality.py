@@ -87,8 +87,10 @@ def _base_statistics(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(list(c), pa.int64()) for c in columns], list(BASE))
 
 
+# Marked so that Catalyst runs it once: a deterministic one would be copied into filters on
+# the verdict.
 base_statistics = F.arrow_udf(
-    in_slices(_base_statistics), StructType([StructField(name, LongType()) for name in BASE]))
+    in_slices(_base_statistics), StructType([StructField(name, LongType()) for name in BASE])).asNondeterministic()
 
 
 def normal_lines(text: Column) -> Column:

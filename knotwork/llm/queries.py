@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from knotwork.llm import bpe, jaccard, langid, mixing, pii, quality, secrets, vptree, warc, windows
+from knotwork.llm.common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,7 +19,7 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def rank_file() -> tuple[str, str]:
