@@ -30,7 +30,7 @@ from knotwork.llm.common import whole_row
 BUCKETS = 1 << 15
 MAX_CELLS = 1 << 22
 SMOOTHING = 0.5
-EM_STEPS, PENALTY, MAX_LANGUAGES = 25, 4.0, 4
+EM_STEPS, PENALTY = 25, 4.0
 PIECE = 1 << 18
 UNDETERMINED = "und"
 
@@ -144,7 +144,7 @@ def infer(words, penalty: float = PENALTY) -> tuple[list[int], list[float]]:
     active, share = [int(np.argmax(sums))], np.ones(1)
     total = np.log(likelihood[:, active[0]]).sum()
     cost = penalty * 0.5 * np.log(len(words) + 1)
-    while len(active) < min(words.shape[1], MAX_LANGUAGES):
+    while len(active) < words.shape[1]:
         # The language that explains best what the present set explains worst.
         mixed = likelihood[:, active] @ share
         gains = np.log1p(likelihood / mixed[:, None]).sum(axis=0)

@@ -62,6 +62,14 @@ def test_em_reaches_the_best_proportions():
     assert abs(share[0] - best) < 0.05
 
 
+def test_as_many_languages_as_the_penalty_allows():
+    words = np.full((600, 7), -20.0)
+    for lang in range(6):
+        words[100 * lang:100 * (lang + 1), lang] = 0.0
+    found, shares = langid.infer(words)
+    assert sorted(found) == list(range(6)) and np.allclose(shares, 1 / 6, atol=0.01)
+
+
 def test_no_labels_and_empty_table(spark):
     languages, table = langid.train(spark.createDataFrame([], "lang string, text string"))
     assert languages == []
