@@ -1,6 +1,7 @@
 """Secret scan: candidate strings, and a random forest that removes false positives.
 
-Candidates are long runs of the characters that keys and tokens are made of.  Each gets
+Candidates are long runs of the characters that keys and tokens are made of, and values of
+SHORTEST characters or more that are assigned to a secret's name.  Each gets
 features: length, shares and transitions of character classes, the share that dictionary words
 cover, and hashed words of its path and of the text to its left.  A random forest is trained
 on labelled findings (a bounded sample: at most MAX_TRAINING of each label, the ones with the
@@ -27,9 +28,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from knotwork.llm.pii import located
 from knotwork.session import cut_lineage
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
 # Names that a secret is assigned to.
-NAMED = r"(?i)(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key|credential)[\"']?\s*[:=]\s*[\"']?$"
+NAME = r"(?i)(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key|credential)[\"']?\s*+[:=]\s*+"
+NAMED = NAME + r"[\"']?$"
+SHORTEST = 6
+# A value in quotes goes up to the closing one; others end at white space, quotes and separators.
+VALUE = rf"(?:\"[^\"\r\n]{{{SHORTEST},}}+(?=\")|'[^'\r\n]{{{SHORTEST},}}+(?=')|[\"']?+[^\s\"'&,;]{{{SHORTEST},}}+)"
+# Not a second name ("token: secret: x"); that one has the value.
+ASSIGNED = rf"{NAME}(?![\"']?{NAME}){VALUE}"
 PLAIN = r"^(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+|[A-Za-z]?[a-z]+(?:[-_/+][A-Za-z]?[a-z]*)+|(.)\1+)$"
 MAX_TRAINING = 10_000
 TREES, DEPTH, SEED = 24, 6, 7
@@ -40,12 +47,34 @@ NUMBERS = ["length", "digits", "uppers", "marks", "distinct", "changes", "cluste
 
 def candidates(docs: DataFrame, text: str = "text", path: str = "source", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``row`` (the ``keep`` columns), path, start, end, value and the text before each candidate."""
-    return docs.filter(F.rlike(F.col(f"`{text}`"), F.lit(CANDIDATE))).select(
+    content = F.col(f"`{text}`")
+    found = docs.filter(F.rlike(content, F.lit(CANDIDATE)) | F.rlike(content, F.lit(ASSIGNED))).select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{path}`").cast("string").alias("path"),
-        F.explode(located(F.col(f"`{text}`"), CANDIDATE)).alias("m"),
+        F.array_sort(F.concat(_ordered(located(content, CANDIDATE)), _ordered(assigned(content)))).alias("found"))
+    # A value found both ways is one candidate.
+    return found.select("row", "path", F.explode(F.filter("found", lambda m, i: (i == 0) | (
+        F.struct(m["start"], m["end"]) != F.struct(*[F.get("found", i - 1)[c] for c in ("start", "end")])))).alias("m")
     ).select("row", "path", "m.start", "m.end", "m.value", "m.before")
 
 
+def _ordered(matches: Column) -> Column:
+    return F.transform(matches, lambda m: F.struct(*[m[c].alias(c) for c in ("start", "end", "value", "before")]))
+
+
+def assigned(text: Column) -> Column:
+    """The values assigned to a secret's name, like ``located``; ``before`` ends with the name."""
+
+    def place(m: Column) -> Column:
+        front = F.regexp_extract(m["value"], rf"^{NAME}[\"']?", 0)
+        value = F.substring(m["value"], F.length(front) + 1, F.length(m["value"]))
+        value = F.when(F.rlike(front, F.lit("[\"']$")), value).otherwise(F.rtrim(value, F.lit(".:)]}>")))
+        start = m["start"] + F.length(front)
+        return F.struct(value.alias("value"), F.concat(m["before"], front).alias("before"), start.alias("start"),
+                        (start + F.length(value)).alias("end"))
+
+    return F.filter(F.transform(located(text, ASSIGNED), place), lambda m: F.length(m["value"]) >= SHORTEST)
+
+
 def rule_labels(value: Column, before: Column) -> Column:
     """1 for a value assigned to a secret's name, 0 for plain words and numbers, else null."""
     mixed = F.rlike(value, F.lit("[0-9]")) & F.rlike(value, F.lit("[A-Za-z]"))

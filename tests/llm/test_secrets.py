@@ -45,6 +45,25 @@ def test_candidates(spark):
     assert sorted((r.row.doc_id, r.start, r.end, r.value) for r in got) == want
 
 
+def test_planted_forms(spark, dictionary):
+    key = "0123456789abcdef" * 2 + "a1b2c3d4"
+    planted = [
+        (f"TOKEN={key}", key), (f"set api_key={key} now", key), (f"http://x/y?access_token={key}&user=bob", key),
+        (f'x="{key}"', key), ("password: hunter2Secret, then", "hunter2Secret"), ("passwd=abc123", "abc123"),
+        ('"credential": "p@ss, w0rd!&x=1"', "p@ss, w0rd!&x=1"), ("token: secret: hunter2", "hunter2"), ("(secret = a1b2c3d4).", "a1b2c3d4"),
+        ("password: " + "z9" * 100, "z9" * 100),
+    ]
+    clean = ["password: abc", "the token is here", "a = b", "token =", None, ""]
+    docs = frame(spark, [(t, None) for t in [t for t, _ in planted] + clean])
+    got = {}
+    for r in secrets.scan(docs, dictionary).collect():
+        got.setdefault(r.row.doc_id, []).append((r.start, r.end, r.value, r.label))
+    for i, (text, value) in enumerate(planted):
+        at = text.index(value)
+        assert got[i] == [(at, at + len(value), value, None if i == 3 else 1)], text[:80]
+    assert set(got) == set(range(len(planted)))
+
+
 def test_coverage(spark, dictionary):
     values = ["serviceserviceservice", "configurationxxxxxxxx", "abcdefghijklmnopqrst", "ConfigServiceConfig0"]
     got = {r.value: round(r.coverage, 6) for r in secrets.coverage(
