@@ -263,14 +263,18 @@ def verify(batches):
 
 
 def in_blocks(rows: DataFrame, group: str, blocks: Column, item: list[str]) -> DataFrame:
-    """Lists ``members`` of at most two blocks of a group, one list for each pair of blocks."""
+    """Lists ``members`` of at most two blocks of a group, one list for each pair of blocks.
+
+    A list of two blocks of which one is empty is left out: its pairs are those of one block.
+    """
     spread = rows.withColumn("blocks", blocks).withColumn(
         "side", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return (
         spread.groupBy(group, F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
-        .agg(F.collect_list(F.struct("cid", "side", *item)).alias("members"))
-        .filter(F.size("members") > 1)
+        .agg(F.collect_list(F.struct("cid", "side", *item)).alias("members"),
+             F.min("side").alias("low"), F.max("side").alias("high"))
+        .filter((F.size("members") > 1) & ((F.col("i") == F.col("j")) | (F.col("low") != F.col("high")))).drop("low", "high")
     )
 
 

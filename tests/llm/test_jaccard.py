@@ -91,6 +91,17 @@ def test_large_buckets_and_blocks(spark, rows, monkeypatch):
     assert Counter(tuple(r) for r in got) == Counter(brute(rows))
 
 
+def test_empty_blocks_count_no_pair_again(spark, monkeypatch):
+    """Pairs whose two texts fall into one of several blocks or into two."""
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 100)
+    pairs = []
+    for n in range(16):
+        words = [f"w{n}x{i}" for i in range(150)]
+        pairs += [(2 * n, " ".join(words)), (2 * n + 1, " ".join(words + ["end"]))]
+    got = {r.doc_id: (r.class_id, r.links) for r in jaccard.join(frame(spark, pairs)).collect()}
+    assert got == {i: (i - i % 2, 1) for i, _ in pairs}
+
+
 def test_shuffle_joins_give_the_same(spark, rows, monkeypatch):
     monkeypatch.setattr(jaccard, "hinted", lambda df, n: df)
     got = jaccard.join(frame(spark, rows[100:])).collect()
