@@ -36,7 +36,16 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 SPACE = r"\x20\x09-\x0D"
 # A token that may be an identifier: it holds a digit, an at sign or a masked seed.
 TOKEN = rf"(?<![^{SPACE}])[^{SPACE}0-9@\x01]*+[0-9@\x01][^{SPACE}]*+"
-OPENING, CLOSING = r"^[(\[{<\"']+", r"[)\]}>\"'.,;:!?]+$"
+# Digit groups joined by one space, dot, dash or bracket, of tokens that are too short to be a
+# number or address alone.  Where there is no such run, a token stands for itself.
+SHORT = rf"(?!(?:[^{SPACE}0-9]*+[0-9]){{7}})(?!(?:[^{SPACE}.]*+\.){{3}}[0-9])"
+# What follows a bracketed area code, and a token that is no full number.
+LOCAL = SHORT.replace("{7}", "{10}")
+RUN = (rf"(?<![^{SPACE}]){SHORT}[(\[{{<\"'+]*+[0-9]++(?:(?:[)\]]\x20{LOCAL}|[)\]]?+(?:\x20{SHORT}|[.-])?+)[(\[]?+[0-9]++)++"
+       rf"[)\]}}>\"'.,;:!?]*+(?![^{SPACE}])")
+UNKNOWN = rf"{RUN}|{TOKEN}"
+# A bracket that closes inside the number is a part of it.
+OPENING, CLOSING = r"^[(\[{<\"']+(?![0-9]++[)\]][\x20.-]?+[0-9])", r"[)\]}>\"'.,;:!?]+$"
 CONTEXT = 80
 STEP = 256
 
@@ -153,11 +162,11 @@ def _preceded(matches: Column) -> Column:
 
 def edges(texts: DataFrame) -> DataFrame:
     """Distinct (pattern, instance, kind) of a table with ``text``; kind is null where unknown.
-    Only patterns with MIN_SEEDS seeds of one kind or more can matter; the others are left out."""
+    Only patterns with MIN_SEEDS instances or more can matter; the others are left out."""
     masked = texts.filter(F.rlike("text", F.lit("[0-9@]")))
     for kind in KINDS:
         masked = masked.select(_mask(F.col("text"), kind).alias("text"))
-    tokens = masked.select(located(F.col("text"), TOKEN).alias("found")).select(
+    tokens = masked.select(located(F.col("text"), UNKNOWN).alias("found")).select(
         F.explode(_preceded(F.col("found"))).alias("m"))
     seed = F.regexp_extract(F.col("m.value"), r"\x01([a-z])[a-p]{32}\x01", 1)
     kind = F.element_at(F.create_map(*[x for k in KINDS for x in (F.lit(k[0]), F.lit(k))]), seed)
@@ -165,28 +174,29 @@ def edges(texts: DataFrame) -> DataFrame:
         tokens.select(F.explode(_patterns(F.col("m.before"))).alias("pattern"), kind.alias("kind"),
                       F.lower(_tidy(F.col("m.value"))).alias("instance")).distinct()
     )
-    seeds = graph.filter(F.col("kind").isNotNull()).groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
-    rich = cut_lineage(seeds.filter(F.col("seeds") >= MIN_SEEDS).select("pattern").distinct())
+    rich = cut_lineage(graph.groupBy("pattern").agg(F.count("*").alias("held")).filter(F.col("held") >= MIN_SEEDS).select("pattern"))
     return graph.join(hinted(rich, rich.count()), "pattern", "left_semi")
 
 
 def learn(texts: DataFrame) -> DataFrame:
-    """Accepted (pattern, kind, confidence), scored in ROUNDS rounds over the graph."""
+    """Accepted (pattern, kind, confidence), scored in ROUNDS rounds over the graph.  In each a
+    pattern needs MIN_SEEDS seeds and believed instances."""
     graph = cut_lineage(edges(texts))
-    total = graph.groupBy("pattern").agg(F.count("*").alias("total"))
+    total = cut_lineage(graph.groupBy("pattern").agg(F.count("*").alias("total")))
     known = graph.filter(F.col("kind").isNotNull())
-    seeds = cut_lineage(known.groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).filter(
-        F.col("seeds") >= MIN_SEEDS).join(total, "pattern"))
+    seeds = cut_lineage(known.groupBy("pattern", "kind").agg(F.count("*").alias("seeds")))
     unknown = graph.filter(F.col("kind").isNull()).select("pattern", "instance")
     beliefs, accepted = None, None
     for _ in range(ROUNDS):
         scored = seeds
         if beliefs is not None:
-            gained = unknown.join(beliefs, "instance").groupBy("pattern", "kind").agg(F.sum("belief").alias("gained"))
-            scored = scored.join(gained, ["pattern", "kind"], "left")
+            gained = unknown.join(hinted(beliefs, beliefs.count()), "instance").groupBy("pattern", "kind").agg(
+                F.sum("belief").alias("gained"), F.count("*").alias("believed"))
+            scored = scored.join(gained, ["pattern", "kind"], "full").fillna(0)
         else:
-            scored = scored.withColumn("gained", F.lit(0.0))
-        confidence = (F.col("seeds") + F.coalesce("gained", F.lit(0.0))) / (F.col("total") + 1)
+            scored = scored.withColumns({"gained": F.lit(0.0), "believed": F.lit(0)})
+        scored = scored.filter(F.col("seeds") + F.col("believed") >= MIN_SEEDS).join(total, "pattern")
+        confidence = (F.col("seeds") + F.col("gained")) / (F.col("total") + 1)
         accepted = cut_lineage(scored.select("pattern", "kind", F.round(confidence, 9).alias("confidence")).filter(
             F.col("confidence") >= MIN_CONFIDENCE))
         beliefs = cut_lineage(
@@ -199,7 +209,7 @@ def learn(texts: DataFrame) -> DataFrame:
 def discovered(texts: DataFrame, accepted: DataFrame) -> DataFrame:
     """(key, added): spans that accepted patterns find in the texts of (key, text)."""
     candidates = texts.filter(F.rlike("text", F.lit("[0-9@]"))).select(
-        "key", base_spans(F.col("text")).alias("base"), located(F.col("text"), TOKEN).alias("found"))
+        "key", base_spans(F.col("text")).alias("base"), located(F.col("text"), UNKNOWN).alias("found"))
     tokens = candidates.select("key", "base", F.explode(_preceded(F.col("found"))).alias("m")).select(
         "key", "base", "m", F.explode(_patterns(F.col("m.before"))).alias("pattern"))
     hits = tokens.join(hinted(accepted, accepted.count()), "pattern")

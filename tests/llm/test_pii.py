@@ -100,6 +100,26 @@ def test_rounds_reach_patterns_that_share_instances(spark, monkeypatch):
     assert {r.pattern for r in pii.learn(graph).collect()} == {"dial:", "reach:"}
 
 
+def test_unseen_identifiers_with_spaces(spark):
+    texts = [f"Please call me: +1 (555) {200 + i}-{1000 + i} today" for i in range(60)]
+    texts += [f"my card no: 4111 1111 1111 1111, {i}" for i in range(3)]
+    unseen = ["(017) 555-7713", "555 987 6543", "555.987 6544", "555-987-6545"]
+    texts += [f"Please call me: {x}, at 9 today" for x in unseen] + ["Please call me: 555-987-6546 2 times", "Please call me: 12 of 13 days"]
+    out = pii.detect(frame(spark, texts)).collect()
+    found = {(k, texts[i][a:b]) for i, s in spans(out, "added").items() for k, a, b in s}
+    assert found == {("phone", x) for x in unseen + ["555-987-6546"]}
+
+
+def test_believed_instances_make_a_pattern_eligible(spark):
+    """"ring:" has four seeds only, but all its unknown instances are believed through "dial:"."""
+    texts = [f"dial: +1 555 300 {1000 + i}" for i in range(200)]
+    texts += [f"{name}: 555-400-{1000 + i}" for i in range(30) for name in ("dial", "ring")]
+    texts += [f"ring: +1 555 600 {1000 + i}" for i in range(4)]
+    texts += ["ring: 555-999-1234"]
+    graph = frame(spark, texts).select("text")
+    assert {r.pattern for r in pii.learn(graph).collect()} == {"dial:", "ring:"}
+
+
 def test_redaction(spark):
     texts = ["é a@b.c, 1.2.3.4!", "+44.1.2.3.4567 x", "none", "", "a@b.c"]
     spans_ = pii.in_order(F.concat("base", "added"))
