@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from knotwork.llm import bpe, jaccard, langid, mixing, pii, quality, secrets, vptree, warc, windows
-from knotwork.llm.common import small_batches
+from knotwork.llm import (
+    bpe, jaccard, langid, mixing, pii, quality, runs, secrets, vptree, warc, windows,
+)
+from knotwork.llm.common import WORD, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -146,3 +148,37 @@ def op8_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(read(spark, folder, "documents"), secrets.vocabulary(spark, rank_file()[0]))
     return found.select("row.doc_id", "start", "end", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
                         "label", "score", "secret")
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in texts whose id hashes to a multiple of 10, the words from some place
+    on repeat a stretch of that text.  No lambda: the words are found once, not for each word."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    seed = F.floor(hashed / 10)
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    picked = docs.select("doc_id", "text", F.when(hashed % 10 == 0, words).alias("words"), seed.alias("g"))
+    picked = picked.withColumn("n", F.size("words")).withColumn(
+        "a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    picked = picked.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    left = F.col("n") - F.col("a")
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    repeated = F.flatten(F.array_repeat(period, F.ceil(left / F.col("p")).cast("int")))
+    changed = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(repeated, F.lit(1), left))
+    return picked.select(
+        "doc_id", F.when(F.col("n") > 0, F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.collapse(planted_periods(read(spark, folder, "documents")))
+    # Exponents are compared as exact fractions: length * other's period.
+    best = F.expr("""aggregate(found.runs, cast(null as struct<start: bigint, length: bigint, period: bigint>),
+        (b, r) -> if(b is null or r.length * b.period > b.length * r.period, r, b))""")
+    lines = F.transform("found.runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    joined = F.concat(F.array_join(lines, "\n"), F.when(F.size(lines) > 0, "\n").otherwise(""))
+    return found.select("row.doc_id", "found", best.alias("best"), joined.alias("listed")).select(
+        "doc_id", F.size("found.runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("found.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
