@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from knotwork.llm import (
-    bpe, jaccard, langid, mixing, pii, quality, runs, secrets, vptree, warc, windows,
+    bpe, jaccard, langid, mixing, pii, quality, runs, secrets, toxicity, vptree, warc, whitening,
+    windows,
 )
 from knotwork.llm.common import WORD, small_batches
 
@@ -182,3 +183,25 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("found.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(rows, components=8).select(
+        "row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+@query
+def op11_toxic_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+
+    def held_out(doc_id: str):
+        return F.coalesce(langid.fold(F.col(doc_id)) == 0, F.lit(False))
+
+    labels = read(spark, folder, "labels").filter(~held_out("doc_id")).groupBy("doc_id").agg(
+        F.avg("toxic").alias("toxic")).filter("toxic IS NOT NULL")
+    lexicon = toxicity.train(docs.join(labels, "doc_id").select("text", "toxic"))
+    return toxicity.score(docs, lexicon).select(
+        "row.doc_id", held_out("row.doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("hits").cast("long").alias("n_hits"), F.round("weight", 6).alias("weight"))
