@@ -199,9 +199,7 @@ def op11_toxic_lexicon(spark: SparkSession, folder: str) -> DataFrame:
     def held_out(doc_id: str):
         return F.coalesce(langid.fold(F.col(doc_id)) == 0, F.lit(False))
 
-    labels = read(spark, folder, "labels").filter(~held_out("doc_id")).groupBy("doc_id").agg(
-        F.avg("toxic").alias("toxic")).filter("toxic IS NOT NULL")
-    lexicon = toxicity.train(docs.join(labels, "doc_id").select("text", "toxic"))
+    lexicon = toxicity.train(docs.filter(~held_out("doc_id")), read(spark, folder, "labels"))
     return toxicity.score(docs, lexicon).select(
         "row.doc_id", held_out("row.doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("hits").cast("long").alias("n_hits"), F.round("weight", 6).alias("weight"))

@@ -21,7 +21,8 @@ to every task; counts and the curve are over all training texts.
 
 Defined cases: a null, empty or blank text has no hit and the score of no hits; a training
 text counts once however many copies of it there are, with its most frequent label (toxic if
-even); rows without a text or label are not learned from; without a toxic or a clean training
+even), and several labels of one id count as their mean; rows without a text, id or label are
+not learned from; without a toxic or a clean training
 text every score is the smoothed share of toxic ones; texts of any length are used whole;
 repeated rows get equal results; an empty table gives an empty result; input columns may have
 any names, because rows come back inside ``row``.
@@ -42,6 +43,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from knotwork.llm.common import whole_row
+from knotwork.operators.sizes import fits_memory, mark
 from knotwork.session import cut_lineage
 
 # Letters of other scripts that look like Latin ones, and what they look like.
@@ -251,8 +253,7 @@ def term_counts(texts: DataFrame) -> DataFrame:
 
 def weights(texts: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
     """The significant terms and their weights, MAX_TERMS at most."""
-    counts = cut_lineage(term_counts(texts))
-    tried = counts.filter(F.col("toxic") >= MIN_TEXTS)
+    tried = cut_lineage(term_counts(texts).filter(F.col("toxic") >= MIN_TEXTS))
     number = tried.count()
     share_toxic = (F.col("toxic") + SMOOTHING) / (n_toxic + 2 * SMOOTHING)
     share_clean = (F.col("clean") + SMOOTHING) / (n_clean + 2 * SMOOTHING)
@@ -292,15 +293,32 @@ def _weight(hits: str, exceptions: Sequence[str] = ()) -> Column:
     return F.aggregate(hits, F.lit(0.0), add if exceptions else (lambda total, h: total + h["weight"]))
 
 
-def train(rows: DataFrame, exceptions: Sequence[str] = EXCEPTIONS) -> Lexicon:
-    """A lexicon from (text, toxic) rows; toxic is a number, 1 for toxic."""
-    rows = rows.toDF("text", "toxic").filter("text IS NOT NULL AND toxic IS NOT NULL")
-    # Copies are dropped by hash before the shuffle, in each task, and after it.
-    keyed = rows.select(F.xxhash64("text").alias("key"), F.length("text").alias("size"), "text", "toxic")
-    texts = cut_lineage(keyed.groupBy("key", "size").agg(
-        F.first("text").alias("text"), (F.avg("toxic") >= 0.5).alias("toxic")).select("text", "toxic"))
-    n = {r.toxic: r["count"] for r in texts.groupBy("toxic").count().collect()}
-    n_toxic, n_clean = n.get(True, 0), n.get(False, 0)
+def distinct_texts(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str) -> tuple[DataFrame, int, int]:
+    """The labelled texts as (text, toxic), each once, and how many are toxic and clean.
+
+    Labels, hashes and ids decide which row stands for a text; texts join what was chosen where
+    they are, without a shuffle, when that was measured to fit in memory.
+    """
+    known = labels.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{label}`").cast("double").alias("toxic")).filter(
+        "id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg(F.avg("toxic").alias("toxic"))
+    content = F.col(f"`{text}`")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(content).alias("key"), F.length(content).alias("size"),
+                       content.alias("text")).filter(F.col("text").isNotNull())
+    held = rows.drop("text").join(known, "id").groupBy("key", "size", "id").agg(F.count("*").alias("n"), F.first("toxic").alias("toxic"))
+    chosen = cut_lineage(held.groupBy("key", "size").agg(
+        F.min("id").alias("id"), F.min_by("n", "id").alias("n"), (F.sum(F.col("toxic") * F.col("n")) >= 0.5 * F.sum("n")).alias("toxic")))
+    counts = {r.toxic: r["count"] for r in chosen.groupBy("toxic").count().collect()}
+    fits = fits_memory(chosen)
+    texts = rows.join(mark(chosen, fits), ["id", "key", "size"])
+    again = texts.filter("n > 1").dropDuplicates(["key", "size"])  # rows repeated with their id
+    texts = texts.filter("n = 1").unionByName(again).select("text", "toxic")
+    return texts if fits else cut_lineage(texts), counts.get(True, 0), counts.get(False, 0)
+
+
+def train(docs: DataFrame, labels: DataFrame, exceptions: Sequence[str] = EXCEPTIONS, text: str = "text",
+          doc_id: str = "doc_id", label: str = "toxic") -> Lexicon:
+    """A lexicon from the documents whose id has a label: a number, 1 for toxic."""
+    texts, n_toxic, n_clean = distinct_texts(docs, labels, text, doc_id, label)
     if not n_toxic or not n_clean:
         share = (n_toxic + SMOOTHING) / (n_toxic + n_clean + 2 * SMOOTHING)
         return Lexicon({}, tuple(exceptions), _logit(share))

@@ -59,8 +59,12 @@ def test_matches_against_a_plain_search():
         assert n == len(toxicity._WORD.findall(fold(text)))
 
 
-def rows_of(spark, rows):
-    return spark.createDataFrame(rows, "text string, toxic double")
+def learn(spark, rows):
+    """From (text, label) rows: ids as places; the row of a text in many copies is repeated too."""
+    docs = [(i, text) for i, (text, _) in enumerate(rows)]
+    docs = spark.createDataFrame(docs + docs[:2], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, toxic) for i, (_, toxic) in enumerate(rows)] + [(None, 1.0), (-1, 1.0)], "doc_id long, toxic double")
+    return toxicity.train(docs, labels)
 
 
 def test_learning_and_exceptions(spark):
@@ -75,7 +79,7 @@ def test_learning_and_exceptions(spark):
     clean = [text() for _ in range(200)] + [text("bin nastyword") for _ in range(12)]
     toxic = [text("nastyword", "nastyword") for _ in range(30)] + [text(f"vile{e}", f"vile{e}") for e in "abcdefghijkmnopqrstu"]
     rows = [(t, 0.0) for t in clean] + [(t, 1.0) for t in toxic] + [(toxic[0], 1.0)] * 50 + [(None, 1.0), ("x", None), ("", 0.0)]
-    lexicon = toxicity.train(rows_of(spark, rows))
+    lexicon = learn(spark, rows)
     assert lexicon.weights["=nastyword"] > 1 and lexicon.weights["viie"] > 1
     assert not any(t.lstrip("=").startswith("word") for t in lexicon.weights)
     assert "bin nastyword" in lexicon.exceptions and min(lexicon.slopes) >= 0 and max(lexicon.slopes) > 0
@@ -95,7 +99,7 @@ def test_learning_and_exceptions(spark):
 def test_training_without_both_kinds(spark):
     docs = spark.createDataFrame([("some text",), (None,)], "text string")
     for rows, least in (([], 0.5), ([("a", 0.0)] * 3 + [("b c", 0.0)], 1 / 6), ([("a", 1.0)], 0.75), ([(None, 1.0)], 0.5)):
-        got = toxicity.score(docs, toxicity.train(rows_of(spark, rows))).collect()
+        got = toxicity.score(docs, learn(spark, rows)).collect()
         assert all(math.isclose(r.score, least) for r in got) and len(got) == 2
 
 
@@ -120,3 +124,12 @@ def test_held_out_accuracy(spark):
     pairs = sum((a > b) + 0.5 * (a == b) for a in toxic for b in clean) / (len(toxic) * len(clean))
     assert pairs >= 0.75 and sum(p for y, _, p in out if not y) == 0, (pairs, len(toxic))
     assert sorted(map(str, QUERIES["op11_toxic_lexicon"](spark, folder).collect())) == sorted(map(str, got))
+
+
+def test_texts_count_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a"), (2, "a"), (2, "a"), (3, "b"), (3, "b"), (4, "c"), (5, None), (6, "d"), (None, "e")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (4, 1), (4, 0), (4, 0), (5, 1), (6, None), (None, 1)], "doc_id long, toxic int")
+    for limit in (1 << 20, 0):
+        monkeypatch.setattr("knotwork.operators.sizes.MAX_BROADCAST_BYTES", limit)
+        texts, toxic, clean = toxicity.distinct_texts(docs, labels, "text", "doc_id", "toxic")
+        assert sorted(map(tuple, texts.collect())) == [("a", True), ("b", True), ("c", False)] and (toxic, clean) == (2, 1)
