@@ -11,6 +11,9 @@ from knotwork.functions.text import BASE_ENTITY, TEXT_CHUNK, is_blank
 from knotwork.model import BASIC_TYPES, CORE_RELATIONS, CORE_TYPES, PropertyGraph, edge_id
 from knotwork.operators.ranking import first_rows, top_per_group
 
+# Types that a summary for the driver may have.
+MAX_TYPES = 10_000
+
 
 def typed_scan(graph: PropertyGraph, label: str) -> DataFrame:
     """Vertices stored under exactly this label."""
@@ -155,31 +158,45 @@ def count_of(graph: PropertyGraph, base: str) -> DataFrame:
     return polymorphic_scan(graph, base).agg(F.count(F.lit(1)).alias("count"))
 
 
-def schema_summary(graph: PropertyGraph, basic: bool = False, per_type: int = 5,
-                   known: dict[tuple[str, str], list[str]] | None = None) -> dict:
-    """Types with properties and sample names, as one dictionary.
+def schema_table(graph: PropertyGraph, basic: bool = False, per_type: int = 5,
+                 known: DataFrame | None = None) -> DataFrame:
+    """(kind, label, properties, samples): one row per type, its properties sorted, and up to
+    ``per_type`` names of its vertices.
 
-    Collects schema-sized results only: one row per (type, property) and at most
-    ``per_type`` names per type.  ``known`` gives the types and properties when a
-    stored catalogue has them.
+    ``known`` is a stored catalogue (kind, label, property); without one the graph is scanned.
+    A type's properties and samples are gathered, never the types.
     """
-    properties: dict[tuple[str, str], list[str]] = {("vertex", t): [] for t in CORE_TYPES}
-    properties |= {("vertex", t): [] for t in (BASIC_TYPES if basic else [])}
-    properties |= {("edge", t): [] for t in CORE_RELATIONS}
+    core = [("vertex", t) for t in CORE_TYPES + (BASIC_TYPES if basic else [])] + [("edge", t) for t in CORE_RELATIONS]
+    named = graph.spark.createDataFrame(core, "kind string, label string").withColumn("property", F.lit(None).cast("string"))
     if known is None:
-        properties |= {(r.kind, r.label): [] for r in type_names(graph, basic).collect()}
-        for r in type_properties(graph).collect():
-            properties[(r.kind, r.label)].append(r.property)
-    else:
-        properties |= known
-    samples = [r.asDict() for r in sample_names(graph, per_type).orderBy("type", "name").collect()]
+        known = type_names(graph).withColumn("property", F.lit(None).cast("string")).union(type_properties(graph))
+    types = named.union(known.select("kind", "label", "property")).groupBy("kind", "label").agg(
+        F.sort_array(F.collect_set("property")).alias("properties"))
+    names = sample_names(graph, per_type).groupBy(F.col("type").alias("label")).agg(
+        F.sort_array(F.collect_list("name")).alias("samples"))
+    vertex = types.where("kind = 'vertex'").join(names, "label", "left")
+    edge = types.where("kind = 'edge'").withColumn("samples", F.lit(None).cast("array<string>"))
+    return vertex.unionByName(edge).select(
+        "kind", "label", "properties", F.coalesce("samples", F.array().cast("array<string>")).alias("samples"))
+
+
+def _bounded(rows: DataFrame, max_types: int) -> list:
+    """All rows of a schema for the driver, or an error when there are too many."""
+    found = rows.limit(max_types + 1).collect()
+    if len(found) > max_types:
+        raise ValueError(f"the graph has more than {max_types} types; use schema_table")
+    return sorted(found, key=lambda r: (r.kind, r.label))
+
+
+def schema_summary(graph: PropertyGraph, basic: bool = False, per_type: int = 5,
+                   known: DataFrame | None = None, max_types: int = MAX_TYPES) -> dict:
+    """Types with properties and sample names, as one dictionary of at most ``max_types`` types."""
+    rows = _bounded(schema_table(graph, basic, per_type, known), max_types)
 
     def listing(kind: str) -> list[dict]:
-        return [
-            {"name": label, "properties": sorted(props)}
-            for (k, label), props in sorted(properties.items()) if k == kind
-        ]
+        return [{"name": r.label, "properties": r.properties} for r in rows if r.kind == kind]
 
+    samples = [{"type": r.label, "name": name} for r in rows for name in r.samples]
     return {
         "vertex_types": listing("vertex"),
         "edge_types": listing("edge"),
@@ -188,9 +205,9 @@ def schema_summary(graph: PropertyGraph, basic: bool = False, per_type: int = 5,
     }
 
 
-def schema_text(graph: PropertyGraph) -> str:
-    """The type listing as text."""
-    names = type_names(graph).orderBy("kind", "label").collect()
+def schema_text(graph: PropertyGraph, max_types: int = MAX_TYPES) -> str:
+    """The type listing as text, for at most ``max_types`` types."""
+    names = _bounded(type_names(graph), max_types)
     vertex = [r.label for r in names if r.kind == "vertex"]
     edge = [r.label for r in names if r.kind == "edge"]
     return f"Vertex Types: {vertex}\nEdge Types: {edge}"

@@ -1,4 +1,4 @@
-"""The property store: reads as DataFrames, writes as atomic changes on disk."""
+"""The property store: reads as DataFrames, writes as changes of the stored tables."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from knotwork.operators.sizes import fits_memory, mark, not_stored
 from knotwork.plans import retrieval, sql
 from knotwork.plans.nodes import Relation, node_batch, reference, relation_batch
 from knotwork.session import cut_lineage, shared_dir
-from knotwork.sources.store import GraphStore, Part
+from knotwork.sources.store import GraphStore
 
 
 class PropertyStore:
@@ -21,7 +21,7 @@ class PropertyStore:
 
     ``path`` is a folder all executors can reach; without one the graph lives
     under the shared checkpoint folder.  Every read and every write starts from the
-    newest snapshot, so what other writers committed is seen.  The session's settings
+    tables as they are, so what other writers wrote is seen.  The session's settings
     are left alone; ``session.tune`` has the ones that suit hubs.
     """
 
@@ -91,7 +91,11 @@ class PropertyStore:
 
     def get_schema(self) -> dict:
         """Types, properties and sample names; only the samples need a scan."""
-        return scans.schema_summary(self.graph, self.basic, known=self.disk.properties())
+        return scans.schema_summary(self.graph, self.basic, known=self.disk.catalogue())
+
+    def get_schema_table(self) -> DataFrame:
+        """The same with one row per type, whatever the number of types."""
+        return scans.schema_table(self.graph, self.basic, known=self.disk.catalogue())
 
     def get_entity_names(self, limit: int | None = 100) -> DataFrame:
         return scans.entity_names(self.graph, limit)
@@ -121,21 +125,20 @@ class PropertyStore:
         The views come from the stored catalogue, no data is read for them, and they
         exist only while the statement is analysed.
         """
-        graph, known = self.graph, self.disk.properties()
-        labels = {label: kind for kind, label in known} | {c: "vertex" for c in self._declared()}
-        labels |= {label: "edge" for kind, label in known if kind == "edge"}
-        return sql.query_views(graph, query, param_map, {label: names for (_, label), names in known.items()}, labels)
+        graph = self.graph
+        return sql.query_views(graph, query, param_map, catalogue=self.disk.catalogue(), declared=self._declared())
 
     # Writes -------------------------------------------------------------------
 
     def _declared(self) -> list[str]:
         """Vertex types that need no row: core, basic (if chosen) and hierarchy types."""
-        return sorted({*self.disk.graph([], []).declared(), *(BASIC_TYPES if self.basic else [])})
+        return sorted({*PropertyGraph.empty(self.spark).declared(), *self.disk.parents,
+                       *(p for p in self.disk.parents.values() if p), *(BASIC_TYPES if self.basic else [])})
 
     def _check_types(self, vertices: DataFrame) -> None:
         """Vertex and edge types share one namespace."""
-        taken = sorted({*self.disk.labels("edges"), *CORE_RELATIONS})
-        clash = vertices.where(F.col("label").isin(*taken)).select("label").first()
+        core = self.spark.createDataFrame([(c,) for c in CORE_RELATIONS], "label string")
+        clash = vertices.join(self.disk.labels("edges").union(core), "label", "left_semi").select("label").first()
         if clash:
             raise ValueError(f"{clash.label!r} is an edge type and cannot be a vertex type")
 
@@ -154,11 +157,11 @@ class PropertyStore:
         self._check_types(collapsed)
         return prepared, collapsed
 
-    def _merge(self, collapsed: DataFrame) -> dict[str, tuple[list[Part] | None, DataFrame]]:
-        """The replacement that lays a collapsed batch over the parts it touches."""
-        parts = self.disk.parts_of("vertices", collapsed)
-        stored = self.disk.part("vertices", parts)
-        return {"vertices": (parts, merge.merge_vertices(stored, collapsed, fits_memory(collapsed)))}
+    def _merge(self, collapsed: DataFrame) -> None:
+        """Lay a settled batch over the parts it touches."""
+        stored = self.disk.part("vertices", self.disk.parts_of("vertices", collapsed))
+        self.disk.replace("vertices", merge.merge_vertices(stored, collapsed, fits_memory(collapsed)))
+        self.disk.note("vertices", collapsed)
 
     def upsert_nodes(self, nodes: Sequence[object] | DataFrame, property_names: Sequence[str] | None = None,
                      max_property_length: int | None = None) -> None:
@@ -168,34 +171,37 @@ class PropertyStore:
         if collapsed.isEmpty():
             return
         sourced = prepared.where((F.col("kind") == "entity") & F.col("triplet_source_id").isNotNull())
-        append = {}
+        fresh = None
         if not sourced.isEmpty():
             chunks = merge.chunk_ids(self.disk.graph().vertices).union(merge.chunk_ids(prepared))
-            append["edges"] = self._new_edges(merge.mentions(sourced, chunks))
-        self.disk.change(replace=self._merge(collapsed), append=append)
+            fresh = self._new_edges(merge.mentions(sourced, chunks))
+        self._merge(collapsed)
+        if fresh is not None:
+            self.disk.append("edges", fresh)
 
     def upsert_relations(self, relations: Sequence[Relation] | DataFrame) -> None:
         """Add relations with known ends; stored edges are read by key only and kept."""
         graph = self.graph
-        self.disk.change(append={"edges": self._new_edges(self._resolved(graph, relations))})
+        self.disk.append("edges", self._new_edges(self._resolved(graph, relations)))
 
     def _resolved(self, graph: PropertyGraph, relations: Sequence[Relation] | DataFrame,
-                  more_labels: Sequence[str] = ()) -> DataFrame:
+                  more_labels: DataFrame | None = None) -> DataFrame:
         """Edges of a relation batch whose ends are in the graph."""
         batch = relations if isinstance(relations, DataFrame) else relation_batch(self.spark, relations)
-        taken = sorted({*self.disk.labels("vertices"), *self._declared(), *more_labels})
+        taken = self.disk.labels("vertices").union(
+            self.spark.createDataFrame([(c,) for c in self._declared()], "label string"))
+        taken = (taken if more_labels is None else taken.union(more_labels.select("label"))).distinct()
         usable = cut_lineage(merge.separate_labels(graph, merge.usable_relations(batch), taken))
         refs = cut_lineage(merge.references(usable))
         known = cut_lineage(merge.endpoints(graph, refs, fits_memory(refs)))
         return merge.first_edges(merge.fold_relations(merge.resolve_relations(graph, usable, known)))
 
     def _new_edges(self, edges: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-        """Edges that are not stored yet, compared with stored edges of their labels."""
+        """Edges that are not stored yet, settled; compared with stored edges of their labels."""
         fresh = cut_lineage(edges)
         if stored is None:
-            labels = [r.label for r in fresh.select("label").distinct().collect()]
-            stored = self.disk.graph(edge_labels=labels).edges
-        return not_stored(fresh, stored, ["label", "src", "dst"], fits_memory(fresh))
+            stored = self.disk.graph(edge_labels=cut_lineage(fresh.select("label").distinct())).edges
+        return cut_lineage(not_stored(fresh, stored, ["label", "src", "dst"], fits_memory(fresh)))
 
     def bulk_insert(self, label: str, rows: DataFrame, key: Column, props: Column, **columns: Column) -> int:
         """Append rows of a type and return how many were written.
@@ -211,7 +217,7 @@ class PropertyStore:
         if again:
             raise ValueError(f"{again.vid!r} is there already")
         written = added.count()
-        self.disk.change(append={"vertices": added})
+        self.disk.append("vertices", added)
         return written
 
     def bulk_upsert(self, label: str, rows: DataFrame, key: Column, seq: Column, props: Column,
@@ -220,15 +226,20 @@ class PropertyStore:
         self.disk.refresh()
         ordered = cut_lineage(self._fit(merge.plain_records(label, rows, key, props, [seq.alias("seq")], **columns)))
         self._check_types(ordered)
-        self.disk.change(replace=self._merge(cut_lineage(merge.collapse_nodes(ordered))))
+        self._merge(cut_lineage(merge.collapse_nodes(ordered)))
         return ordered.count()
 
     def update_where(self, label: str, where: Column, props: dict[str, Column]) -> None:
         self.disk.refresh()
         graph = self.disk.graph([label])
-        parts = self.disk.parts_of("vertices", graph.vertices.where(where))
+        hit = graph.vertices.where(where)
+        parts = self.disk.parts_of("vertices", hit)
+        if parts.isEmpty():
+            return
         part = graph.with_vertices(self.disk.part("vertices", parts))
-        self.disk.change(replace={"vertices": (parts, merge.update_where(part, label, where, props).vertices)})
+        self.disk.replace("vertices", merge.update_where(part, label, where, props).vertices)
+        # Properties that any row has now; those cleared everywhere stay known.
+        self.disk.note("vertices", cut_lineage(self.disk.part("vertices", parts).where(F.col("label") == label)))
 
     def delete(self, entity_names: Sequence[str] | None = None, relation_names: Sequence[str] | None = None,
                properties: Mapping[str, object] | None = None, ids: Sequence[str] | None = None) -> None:
@@ -247,7 +258,8 @@ class PropertyStore:
 
     def refresh_documents(self, documents: Sequence[str], nodes: Sequence[object] | DataFrame,
                           relations: Sequence[Relation] | DataFrame = ()) -> None:
-        """Drop what came from documents and write their new content, as one change."""
+        """Drop what came from documents and write their new content.  Everything is computed
+        before anything is written."""
         graph = self.graph
         gone, lost = self.disk.doomed(deletes.plan_documents(graph, documents))
         few_gone, few_lost = fits_memory(gone), fits_memory(lost)
@@ -258,27 +270,27 @@ class PropertyStore:
             return rows.join(mark(doomed, few), key, "left_anti").select(*rows.columns)
 
         prepared, collapsed = self._prepared(nodes)
-        parts = sorted({*self.disk.parts_of("vertices", gone), *self.disk.parts_of("vertices", collapsed)})
-        vertices = merge.merge_vertices(left(self.disk.part("vertices", parts), "vertices"), collapsed, fits_memory(collapsed))
-        vertices = cut_lineage(vertices)
+        parts = cut_lineage(self.disk.parts_of("vertices", gone).union(self.disk.parts_of("vertices", collapsed)).distinct())
+        vertices = cut_lineage(merge.merge_vertices(
+            left(self.disk.part("vertices", parts), "vertices"), collapsed, fits_memory(collapsed)))
         kept = left(graph.vertices, "vertices")
         after = graph.with_vertices(merge.merge_vertices(kept, collapsed, fits_memory(collapsed))).with_edges(
             left(graph.edges, "edges"))
         sourced = prepared.where((F.col("kind") == "entity") & F.col("triplet_source_id").isNotNull())
         fresh = merge.mentions(sourced, merge.chunk_ids(after.vertices))
         if isinstance(relations, DataFrame) or len(relations):
-            labels = [r.label for r in collapsed.select("label").distinct().collect()]
-            fresh = fresh.unionByName(self._resolved(after, relations, labels)).dropDuplicates(["label", "src", "dst"])
-        replace = {"vertices": (parts, vertices)}
-        lost_parts = self.disk.parts_of("edges", lost)
-        if lost_parts:
-            replace["edges"] = (lost_parts, left(self.disk.part("edges", lost_parts), "edges"))
-        self.disk.change(replace=replace, append={"edges": self._new_edges(fresh, after.edges)})
+            fresh = fresh.unionByName(self._resolved(after, relations, collapsed)).dropDuplicates(["label", "src", "dst"])
+        added = self._new_edges(fresh, after.edges)
+        # All is settled.  Edges that go come first, edges that are new last: no edge lacks an end.
+        self.disk.without("edges", lost)
+        self.disk.replace("vertices", vertices, parts)
+        self.disk.note("vertices", collapsed)
+        self.disk.append("edges", added)
 
     def clear(self) -> None:
         self.disk.refresh()
         self.disk.truncate()
 
-    def vacuum(self, older_than: float = 86_400.0) -> int:
-        """Delete stored files that are no longer in force."""
-        return self.disk.vacuum(older_than)
+    def compact(self) -> None:
+        """Gather what many appends left in many files."""
+        self.disk.compact()

@@ -61,12 +61,11 @@ class TripleStore:
         self.disk.refresh()
         fresh = merge.triples_graph(self._table(triples), self.node_label)
         vertices, edges = cut_lineage(fresh.vertices), cut_lineage(fresh.edges)
-        labels = [r.label for r in edges.select("label").distinct().collect()]
-        stored = self.disk.graph([self.node_label], labels)
-        self.disk.change(append={
-            "vertices": not_stored(vertices, stored.vertices, ["vid"], fits_memory(vertices)),
-            "edges": not_stored(edges, stored.edges, ["label", "src", "dst"], fits_memory(edges)),
-        })
+        stored = self.disk.graph([self.node_label], cut_lineage(edges.select("label").distinct()))
+        vertices = cut_lineage(not_stored(vertices, stored.vertices, ["vid"], fits_memory(vertices)))
+        edges = cut_lineage(not_stored(edges, stored.edges, ["label", "src", "dst"], fits_memory(edges)))
+        self.disk.append("vertices", vertices)
+        self.disk.append("edges", edges)
 
     def delete(self, subject: str, relation: str, obj: str) -> None:
         self.delete_triplets([(subject, relation, obj)])
@@ -85,9 +84,8 @@ class TripleStore:
     def query(self, query: str, param_map: Mapping[str, object] | None = None) -> DataFrame:
         """Spark SQL; the values of ``param_map`` fill ``?`` marks in order, as text."""
         graph = self.graph
-        labels = {c: "vertex" for c in [self.node_label, *self.disk.labels("vertices")]}
-        labels |= {c: "edge" for c in self.disk.labels("edges")}
-        return sql.query_views(graph, query, param_map, labels=labels, positional=True)
+        return sql.query_views(graph, query, param_map, catalogue=self.disk.catalogue(),
+                               declared=[self.node_label], positional=True)
 
     def clear(self) -> None:
         self.disk.refresh()

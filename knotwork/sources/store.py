@@ -1,20 +1,22 @@
-"""A graph kept as Parquet, partitioned by label, bucket and version.
-
-Nothing is changed in place: a write adds files under a new version and one small
-snapshot, under a name of its own, that lists the versions in force and the
-properties seen per type.  The snapshot takes effect when its number is claimed by
-an atomic, exclusive create.  A job that dies before that leaves files that nothing
-refers to; the last claim stays in force and later writers go on.  Two writers that
-start from the same snapshot claim the same number, and the second one fails.  A
-change rewrites only the (label, bucket) parts it touches, appended rows leave all
-stored files alone, and parts spread over many versions are merged after a while.
+"""A graph kept as plain Parquet tables, partitioned by label and hash bucket.
+
+``vertices`` and ``edges`` hold the rows, ``catalogue`` the properties seen per type and
+``settings`` the number of buckets and the type hierarchy.  A change rewrites the
+(label, bucket) partitions it touches by dynamic partition overwrite; new edges are appended.
+Spark replaces the partitions when the job commits, so a job may read what it replaces and
+one that fails leaves the old rows.  A partition that loses its last row keeps one marker row;
+the column ``live`` tells rows from markers, and packs to next to nothing.
+
+One writer at a time.  A change of vertices and edges is two commits; every call settles what
+it will write before the first of them, and repeating a call that broke off gives what one
+call would have given.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from knotwork.functions.props import DECLARED
@@ -23,31 +25,17 @@ from knotwork.operators.delete import Removal
 from knotwork.operators.scans import property_names
 from knotwork.operators.sizes import fits_memory, mark
 from knotwork.session import cut_lineage
-from knotwork.sources import files
 
 KINDS = {"vertices": VERTEX_SCHEMA, "edges": EDGE_SCHEMA}
-# The column whose hash gives the bucket of a row.
+ONE = {"vertices": "vertex", "edges": "edge"}
+# The column whose hash gives the bucket of a row; rows of a file are sorted by it.
 BUCKET_KEY = {"vertices": "vid", "edges": "src"}
-SNAPSHOT_SCHEMA = T.StructType([
-    T.StructField("kind", T.StringType()),
-    T.StructField("label", T.StringType()),
-    T.StructField("bucket", T.IntegerType()),
-    T.StructField("value", T.StringType()),
-])
-PLACE = [T.StructField("bucket", T.IntegerType()), T.StructField("version", T.StringType())]
-
-# Stored kinds map (label, bucket) to the versions in force.  Further kinds keep
-# the type hierarchy ("parent"), properties per type and the number of buckets.
-Part = tuple[str, int]
-State = dict[tuple[str, str, int], list[str]]
-
-
-# Versions of one kind in force beyond which parts are merged after a write.
-MAX_VERSIONS = 32
-
-
-class StaleSnapshot(RuntimeError):
-    """Another writer changed the graph since this one read it."""
+ROW_KEY = {"vertices": ["label", "vid"], "edges": ["label", "src", "dst"]}
+# Columns that lookups name: a Bloom filter each lets a scan skip row groups.
+LOOKUPS = {"vertices": ("vid", "id", "name"), "edges": ("src", "dst")}
+FILES = {"parquet.block.size": str(8 * 1024 * 1024), "parquet.bloom.filter.adaptive.enabled": "true"}
+PART = ["label", "bucket"]
+CATALOGUE = "kind string, label string, property string"
 
 
 class GraphStore:
@@ -59,187 +47,141 @@ class GraphStore:
                  parents: Mapping[str, str | None] | None = None, buckets: int = 1) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
-        self.number, self.state = self._latest()
-        if self.number < 0:
+        self.parents: dict[str, str | None] = {}
+        self.buckets = buckets
+        if not self._open():
             if not create:
                 raise FileNotFoundError(f"no graph is stored at {path}")
-            state: State = {("buckets", "", 0): [str(buckets)]}
-            self._commit(state | self._parent_rows(parents or {}))
-
-    @staticmethod
-    def _parent_rows(parents: Mapping[str, str | None]) -> State:
-        return {("parent", child, 0): [parent or ""] for child, parent in parents.items()}
+            self._empty()
+            self._declare([("buckets", "", str(buckets)), *(("parent", c, p) for c, p in (parents or {}).items())])
+            self._open()
+
+    # Settings -----------------------------------------------------------------
+
+    def _open(self) -> bool:
+        """Read the settings: one row per declared type, which callers give by hand."""
+        try:
+            rows = self.spark.read.schema("kind string, name string, value string").parquet(f"{self.path}/settings").collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+        self.parents = {r.name: r.value for r in rows if r.kind == "parent"}
+        self.buckets = next(int(r.value) for r in rows if r.kind == "buckets")
+        return True
+
+    def _declare(self, rows: list[tuple[str, str, str | None]]) -> None:
+        self.spark.createDataFrame(rows, "kind string, name string, value string").coalesce(1).write.mode("append").parquet(
+            f"{self.path}/settings")
 
-    # Reading ------------------------------------------------------------------
+    def declare(self, parents: Mapping[str, str | None]) -> None:
+        """Add types to the hierarchy."""
+        self._declare([("parent", child, parent) for child, parent in parents.items()])
+        self._open()
 
-    def _claims(self) -> list[int]:
-        return sorted(int(n) for n in files.entries(self.spark, f"{self.path}/claims") if n.isdigit())
+    def refresh(self) -> None:
+        """Types that others declared; rows are always read as they are now."""
+        self._open()
 
-    def _snapshot(self, number: int) -> tuple[str, State]:
-        name = files.read_text(self.spark, f"{self.path}/claims/{number}")
-        rows = self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{self.path}/snapshots/{name}")
-        state: State = {}
-        # One row per label, bucket and version in force: the size of the schema.
-        for r in rows.collect():
-            state.setdefault((r.kind, r.label, r.bucket), []).append(r.value)
-        return name, state
+    # Reading ------------------------------------------------------------------
 
-    def _latest(self) -> tuple[int, State]:
-        numbers = self._claims()
-        return (numbers[-1], self._snapshot(numbers[-1])[1]) if numbers else (-1, {})
+    def _stored(self, kind: str) -> DataFrame:
+        """All rows with their bucket, as the files are now."""
+        fields = [*KINDS[kind].fields, T.StructField("live", T.BooleanType()), T.StructField("bucket", T.IntegerType())]
+        return self.spark.read.schema(T.StructType(fields)).parquet(f"{self.path}/{kind}").where("live").drop("live")
 
-    def refresh(self) -> None:
-        """Go on from the newest snapshot, whoever wrote it."""
-        numbers = self._claims()
-        if numbers and numbers[-1] != self.number:
-            self.number, self.state = self._latest()
-
-    def _files(self, kind: str, versions: Iterable[str]) -> DataFrame:
-        """The given versions by their paths; nothing else is listed."""
-        full = T.StructType([*KINDS[kind].fields, *PLACE])
-        root = f"{self.path}/{kind}"
-        return self.spark.read.schema(full).option("basePath", root).parquet(
-            *[f"{root}/version={v}" for v in sorted(versions)])
-
-    def _read(self, kind: str, labels: Iterable[str] | None = None,
-              parts: Iterable[Part] | None = None) -> DataFrame:
-        labels = None if labels is None else set(labels)
-        parts = None if parts is None else set(parts)
-        by_version: dict[str, dict[str, list[int]]] = {}
-        for (k, label, bucket), versions in self.state.items():
-            if k != kind or (labels is not None and label not in labels):
-                continue
-            if parts is not None and (label, bucket) not in parts:
-                continue
-            for version in versions:
-                by_version.setdefault(version, {}).setdefault(label, []).append(bucket)
-        if not by_version:
-            return self.spark.createDataFrame([], KINDS[kind])
-        # Partition columns only, so this decides which folders are read at all.
-        in_force = F.lit(False)
-        for version, held in by_version.items():
-            by_buckets: dict[tuple[int, ...], list[str]] = {}
-            for label, numbers in held.items():
-                by_buckets.setdefault(tuple(sorted(numbers)), []).append(label)
-            for numbers, names in by_buckets.items():
-                in_force = in_force | (
-                    (F.col("version") == version) & F.col("label").isin(*names) & F.col("bucket").isin(*numbers)
-                )
-        return self._files(kind, by_version).where(in_force).select(*KINDS[kind].fieldNames())
-
-    @property
-    def parents(self) -> dict[str, str | None]:
-        return {label: v[0] or None for (kind, label, _), v in self.state.items() if kind == "parent"}
-
-    @property
-    def buckets(self) -> int:
-        return int(self.state[("buckets", "", 0)][0])
+    def _read(self, kind: str, labels: Iterable[str] | DataFrame | None = None) -> DataFrame:
+        rows = self._stored(kind)
+        if isinstance(labels, DataFrame):
+            rows = rows.join(mark(_prunes(labels), fits_memory(labels)), "label", "left_semi")
+        elif labels is not None:
+            rows = rows.where(F.col("label").isin(*labels))
+        return rows.select(*KINDS[kind].fieldNames())
 
     def bucket(self, kind: str) -> Column:
         return F.pmod(F.xxhash64(BUCKET_KEY[kind]), F.lit(self.buckets)).cast("int")
 
-    def labels(self, kind: str) -> list[str]:
-        """Stored labels, from the snapshot alone."""
-        return sorted({label for k, label, _ in self.state if k == kind})
+    def graph(self, vertex_labels: Iterable[str] | DataFrame | None = None,
+              edge_labels: Iterable[str] | DataFrame | None = None) -> PropertyGraph:
+        """The stored graph, or the part under the given labels (a list, or a settled table)."""
+        return PropertyGraph(self._read("vertices", vertex_labels), self._read("edges", edge_labels), self.parents)
+
+    def catalogue(self) -> DataFrame:
+        """(kind, label, property) of all that was ever written since the store was emptied;
+        one row without a property stands for the type itself."""
+        return self.spark.read.schema(CATALOGUE).parquet(f"{self.path}/catalogue").distinct()
 
-    def properties(self) -> dict[tuple[str, str], list[str]]:
-        """(vertex or edge, type) to the properties seen so far, from the snapshot."""
-        known: dict[tuple[str, str], list[str]] = {}
-        for kind, name in (("vertices", "vertex"), ("edges", "edge")):
-            known |= {(name, label): [] for label in self.labels(kind)}
-            known |= {(name, label): v for (k, label, _), v in self.state.items() if k == f"{kind} properties"}
-        return known
+    def labels(self, kind: str) -> DataFrame:
+        """The types of a kind, as (label)."""
+        return self.catalogue().where((F.col("kind") == ONE[kind]) & F.col("property").isNull()).select("label")
 
-    def graph(self, vertex_labels: Iterable[str] | None = None,
-              edge_labels: Iterable[str] | None = None) -> PropertyGraph:
-        """The stored graph, or the part under the given labels."""
-        return PropertyGraph(self._read("vertices", vertex_labels), self._read("edges", edge_labels),
-                             self.parents)
+    def parts_of(self, kind: str, rows: DataFrame) -> DataFrame:
+        """(label, bucket) parts of some rows, settled."""
+        return cut_lineage(rows.select("label", self.bucket(kind).alias("bucket")).distinct())
 
-    def part(self, kind: str, parts: Iterable[Part] | None) -> DataFrame:
-        """Rows of some (label, bucket) parts; None for all."""
-        return self._read(kind, parts=parts)
+    def part(self, kind: str, parts: DataFrame) -> DataFrame:
+        """Rows of some settled (label, bucket) parts.  Small tables of parts are broadcast, and
+        with them Spark leaves the folders of all other parts alone."""
+        wanted = mark(_prunes(parts), fits_memory(parts))
+        return self._stored(kind).join(wanted, PART, "left_semi").select(*KINDS[kind].fieldNames())
 
     # Writing ------------------------------------------------------------------
 
-    def _write(self, kind: str, rows: DataFrame) -> tuple[str, set[Part], dict[str, set[str]]]:
-        """Write rows under a new version; returns it, the parts it holds and the
-        properties per label."""
-        version = uuid.uuid4().hex
-        shaped = rows.select(*KINDS[kind].fieldNames()).withColumn("bucket", self.bucket(kind))
-        # Rebalancing keeps files of one part together and splits a part that holds
-        # most of the rows over several tasks.
-        shaped.hint("rebalance", "label", "bucket").write.mode("errorifexists").partitionBy(
-            "label", "bucket").parquet(f"{self.path}/{kind}/version={version}")
-        written = self._files(kind, [version])
-        parts = {(r.label, r.bucket) for r in written.select("label", "bucket").distinct().collect()}
-        names = F.explode(property_names(written, [*DECLARED, "embedding"])).alias("property")
-        properties: dict[str, set[str]] = {label: set() for label, _ in parts}
-        for r in written.select("label", names).distinct().collect():
-            properties[r.label].update([r.property] if r.property else [])
-        return version, parts, properties
-
-    def _commit(self, state: State) -> None:
-        rows = [(*key, value) for key, values in state.items() for value in values]
-        number = self.number + 1
-        columns = "kind string, label string, bucket int, value string"
-        name = uuid.uuid4().hex
-        self.spark.createDataFrame(rows, columns).coalesce(1).write.mode("errorifexists").parquet(
-            f"{self.path}/snapshots/{name}"
-        )
-        if not files.claim(self.spark, f"{self.path}/claims", str(number), name):
-            raise StaleSnapshot(f"snapshot {number} of {self.path} was written by another writer")
-        self.number, self.state = number, state
-
-    def change(self, replace: Mapping[str, tuple[Iterable[Part] | None, DataFrame]] | None = None,
-               append: Mapping[str, DataFrame] | None = None) -> None:
-        """One atomic change.
-
-        ``replace`` gives, per kind, the (label, bucket) parts whose rows are
-        replaced (None: all) and their new rows; ``append`` gives rows to add.
-        """
-        state = {key: list(values) for key, values in self.state.items()}
-        written = []
-        for kind, (parts, rows) in (replace or {}).items():
-            written.append((kind, *self._write(kind, rows)))
-            dropped = None if parts is None else set(parts)
-            state = {
-                (k, label, b): v for (k, label, b), v in state.items()
-                if k != kind or (dropped is not None and (label, b) not in dropped)
-            }
-        for kind, rows in (append or {}).items():
-            written.append((kind, *self._write(kind, rows)))
-        for kind, version, parts, properties in written:
-            for label, bucket in parts:
-                state.setdefault((kind, label, bucket), []).append(version)
-            for label, names in properties.items():
-                key = (f"{kind} properties", label, 0)
-                state[key] = sorted(set(state.get(key, [])) | names)
-        self._commit({key: values for key, values in state.items() if values})
-        if any(self._versions(kind, MAX_VERSIONS) for kind in KINDS):
-            self.compact()
-
-    def _versions(self, kind: str, above: int = 0) -> set[str]:
-        """The versions of a kind in force, if there are more than ``above``."""
-        found = {v for (k, _, _), versions in self.state.items() if k == kind for v in versions}
-        return found if len(found) > above else set()
-
-    def parts_of(self, kind: str, rows: DataFrame) -> list[Part]:
-        """(label, bucket) parts of some rows; like the snapshot, one entry per part."""
-        found = rows.select("label", self.bucket(kind).alias("bucket")).distinct()
-        return [(r.label, r.bucket) for r in found.collect()]
+    def _write(self, kind: str, rows: DataFrame, parts: DataFrame | None = None):
+        """A writer of rows; ``parts`` get a marker row each."""
+        placed = rows.select(*KINDS[kind].fieldNames(), F.lit(True).alias("live"), self.bucket(kind).alias("bucket"))
+        if parts is not None:
+            placed = placed.unionByName(parts.withColumn("live", F.lit(False)), allowMissingColumns=True)
+        # Rebalancing keeps the rows of a part together and splits a part that holds most of
+        # the rows over several tasks.
+        ordered = placed.hint("rebalance", *PART).sortWithinPartitions(*PART, BUCKET_KEY[kind])
+        writer = ordered.write.format("parquet").partitionBy(*PART).options(**FILES)
+        for column in LOOKUPS[kind]:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        return writer
+
+    def _empty(self) -> None:
+        """Tables without rows, whatever was there."""
+        for kind in KINDS:
+            nothing = self.spark.createDataFrame([], KINDS[kind])
+            self._write(kind, nothing).mode("overwrite").option("partitionOverwriteMode", "static").save(f"{self.path}/{kind}")
+        self.spark.createDataFrame([], CATALOGUE).write.mode("overwrite").parquet(f"{self.path}/catalogue")
+
+    def append(self, kind: str, rows: DataFrame) -> None:
+        """Add settled rows to what is stored."""
+        self._write(kind, rows).mode("append").save(f"{self.path}/{kind}")
+        self.note(kind, rows)
+
+    def replace(self, kind: str, rows: DataFrame, emptied: DataFrame | None = None) -> None:
+        """Let the parts that ``rows`` lie in hold these rows, which may come from there, and
+        nothing else; ``emptied`` are settled parts that may have none left."""
+        writer = self._write(kind, rows, emptied).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").save(f"{self.path}/{kind}")
+
+    def note(self, kind: str, rows: DataFrame) -> None:
+        """Add the types and properties of settled rows to the catalogue."""
+        names = property_names(rows, [*DECLARED, "embedding"])
+        seen = rows.select(F.lit(ONE[kind]).alias("kind"), "label", F.explode(names).alias("property")).distinct()
+        key = ["kind", "label", "property"]
+        known = self.catalogue().select(*[F.col(c).alias(f"_{c}") for c in key])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
+        added = cut_lineage(seen.join(known, same, "left_anti"))
+        if not added.isEmpty():
+            added.write.mode("append").parquet(f"{self.path}/catalogue")
 
     def remove(self, removal: Removal) -> None:
-        """Write a deletion: only parts that lose rows are rewritten."""
+        """Write a deletion: only parts that lose rows are rewritten.  Edges go first, so that
+        repeating a deletion that broke off still finds the vertices."""
         gone, lost = self.doomed(removal)
-        replace = {}
-        for kind, doomed, key in (("vertices", gone, ["label", "vid"]), ("edges", lost, ["label", "src", "dst"])):
-            parts = self.parts_of(kind, doomed)
-            if parts:
-                kept = self.part(kind, parts).join(mark(doomed, fits_memory(doomed)), key, "left_anti")
-                replace[kind] = (parts, kept)
-        if replace:
-            self.change(replace=replace)
+        for kind, doomed in (("edges", lost), ("vertices", gone)):
+            self.without(kind, doomed)
+
+    def without(self, kind: str, doomed: DataFrame) -> None:
+        """Rewrite the parts of settled keys without these rows."""
+        parts = self.parts_of(kind, doomed)
+        if not parts.isEmpty():
+            kept = self.part(kind, parts).join(mark(doomed, fits_memory(doomed)), ROW_KEY[kind], "left_anti")
+            self.replace(kind, kept, parts)
 
     def doomed(self, removal: Removal) -> tuple[DataFrame, DataFrame]:
         """Keys of the vertices and edges that a deletion takes, settled."""
@@ -248,46 +190,27 @@ class GraphStore:
         return gone, cut_lineage(removal.doomed_edges(graph, gone, fits_memory(gone)))
 
     def overwrite(self, graph: PropertyGraph) -> None:
-        """Replace everything by another graph."""
-        self.change(replace={"vertices": (None, graph.vertices), "edges": (None, graph.edges)})
-
-    def declare(self, parents: Mapping[str, str | None]) -> None:
-        """Add types to the hierarchy."""
-        self._commit(self.state | self._parent_rows(parents))
+        """Replace everything by another graph, which may come from this store."""
+        held = {kind: cut_lineage(self._stored(kind).select(*PART).distinct()) for kind in KINDS}
+        new = {"vertices": graph.vertices, "edges": graph.edges}
+        if not all(parts.isEmpty() for parts in held.values()):
+            new["edges"] = cut_lineage(graph.edges)
+        for kind, rows in new.items():
+            self.replace(kind, rows, held[kind])
+        self.spark.createDataFrame([], CATALOGUE).write.mode("overwrite").parquet(f"{self.path}/catalogue")
+        for kind in KINDS:
+            self.note(kind, self._read(kind))
 
     def truncate(self) -> None:
         """Remove all vertices and edges; the type hierarchy stays."""
-        self._commit({key: v for key, v in self.state.items() if key[0] in ("parent", "buckets")})
+        self._empty()
 
     def compact(self) -> None:
-        """Rewrite parts that are spread over several versions, and all parts of a kind
-        that is in too many versions."""
-        replace = {}
-        for kind in KINDS:
-            many = bool(self._versions(kind, MAX_VERSIONS))
-            spread = [(label, b) for (k, label, b), v in self.state.items() if k == kind and (many or len(v) > 1)]
-            if spread:
-                replace[kind] = (spread, self.part(kind, spread))
-        if replace:
-            self.change(replace=replace)
-
-    def vacuum(self, older_than: float = 86_400.0, keep: int = 1) -> int:
-        """Delete files that none of the last ``keep`` snapshots names; returns how many
-        versions went.  Files younger than ``older_than`` seconds may belong to a writer
-        that is still at work and stay."""
-        numbers = self._claims()
-        kept = [self._snapshot(n) for n in numbers[-keep:]]
-        gone = 0
+        """Rewrite all parts, so that what many appends left is in few files."""
         for kind in KINDS:
-            used = {v for _, state in kept for (k, _, _), versions in state.items() if k == kind for v in versions}
-            for name, age in files.entries(self.spark, f"{self.path}/{kind}").items():
-                if name.startswith("version=") and name.removeprefix("version=") not in used and age >= older_than:
-                    files.remove(self.spark, f"{self.path}/{kind}/{name}")
-                    gone += 1
-        names = {name for name, _ in kept}
-        for name, age in files.entries(self.spark, f"{self.path}/snapshots").items():
-            if name not in names and age >= older_than:
-                files.remove(self.spark, f"{self.path}/snapshots/{name}")
-        for number in numbers[:-keep]:
-            files.remove(self.spark, f"{self.path}/claims/{number}")
-        return gone
+            self.replace(kind, self._read(kind))
+
+
+def _prunes(parts: DataFrame) -> DataFrame:
+    """Parts in a form that Spark uses to prune folders: it looks for a filter on this side."""
+    return parts.where(F.length("label") >= 0)

@@ -1,4 +1,4 @@
-"""Versioned storage, document sources and SQL parameters."""
+"""Stored tables, document sources and SQL parameters."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,13 +7,16 @@ from conftest import column
 from knotwork.functions.props import prop
 from knotwork.model import PropertyGraph, shape_edges, shape_vertices
 from knotwork.operators import sizes
+from knotwork.operators.delete import plan_types
+from knotwork.operators.lookup import nodes_by_ids
 from knotwork.operators.merge import upsert_nodes
+from knotwork.operators.scans import schema_summary, schema_table
 from knotwork.plans.nodes import EntityNode, Relation
 from knotwork.plans.property_store import PropertyStore
-from knotwork.plans.sql import run_sql
-from knotwork.sources import files
+from knotwork.plans.sql import query_views, run_sql
+from knotwork.session import cut_lineage
 from knotwork.sources.documents import chunk_batch, json_vertices, read_text
-from knotwork.sources.store import GraphStore, StaleSnapshot
+from knotwork.sources.store import FILES, GraphStore
 
 
 def small(spark, names, label="N"):
@@ -29,30 +32,119 @@ def test_missing_graph(spark, tmp_path):
     assert GraphStore(spark, str(tmp_path / "new"), create=False).graph().vertices.count() == 0
 
 
+def files_of(path):
+    return {str(f.relative_to(path)) for kind in ("vertices", "edges") for f in (path / kind).rglob("*.parquet")}
+
+
+def scanned_rows(df):
+    """Rows that the scan of a collected plan put out."""
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
 def test_only_touched_parts_change(spark, tmp_path):
-    path = str(tmp_path / "g")
-    store = GraphStore(spark, path, parents={"N": "Base"}, buckets=4)
+    path = tmp_path / "g"
+    store = GraphStore(spark, str(path), parents={"N": "Base"}, buckets=4)
     names = [f"n{i}" for i in range(20)]
     store.overwrite(small(spark, names))
     odd = "odd label/=%"
-    store.change(append={"vertices": small(spark, ["c"], odd).vertices})
-    before = dict(store.state)
-    part = next((label, b) for k, label, b in store.state if k == "vertices" and label == odd)
-    store.change(replace={"vertices": ([part], small(spark, ["c"], odd).vertices)})
-    changed = {key for key in store.state if store.state[key] != before.get(key)}
-    assert changed == {("vertices", *part)}
-    again = GraphStore(spark, path, create=False)
+    store.append("vertices", small(spark, ["c"], odd).vertices)
+    store.note("vertices", small(spark, ["c"], odd).vertices)
+    before = files_of(path)
+    store.replace("vertices", small(spark, ["c"], odd).vertices)
+    changed = before ^ files_of(path)
+    assert len(changed) == 2 and len({f.rsplit("/", 1)[0] for f in changed}) == 1
+    again = GraphStore(spark, str(path), create=False)
     assert again.buckets == 4 and again.parents == {"N": "Base"}
     assert column(again.graph().vertices, "key") == sorted([*names, "c"])
     assert column(again.graph(["N"]).vertices, "key") == sorted(names)
-    one = again.part("vertices", [("N", 2)])
+    parts = spark.createDataFrame([("N", 2)], "label string, bucket int")
+    one = again.part("vertices", parts)
     assert one.count() == one.where(F.pmod(F.xxhash64("vid"), F.lit(4)) == 2).count() > 0
-    assert again.properties()[("vertex", odd)] == ["name"]
-    store.change(append={"edges": small(spark, ["n1"]).edges})
-    assert max(len(v) for (k, _, _), v in store.state.items() if k == "edges") == 2
+    assert "dynamicpruning" in one._jdf.queryExecution().executedPlan().toString()
+    found = again.catalogue().where(F.col("label") == odd).collect()
+    assert {(r.kind, r.property) for r in found} == {("vertex", None), ("vertex", "name")}
+    assert column(again.labels("vertices"), "label") == sorted(["N", odd]) and column(again.labels("edges"), "label") == ["LOOP"]
+    store.append("edges", small(spark, ["n1"]).edges)
+    held = len(files_of(path))
     store.compact()
-    assert max(len(v) for (k, _, _), v in store.state.items() if k == "edges") == 1
-    assert store.graph().edges.count() == 21
+    assert len(files_of(path)) < held and store.graph().edges.count() == 21
+
+
+def test_a_part_may_lose_all_rows(spark, tmp_path):
+    store = GraphStore(spark, str(tmp_path / "g"), buckets=2)
+    both = small(spark, ["a", "b", "c"])
+    store.overwrite(both.with_vertices(both.vertices.union(small(spark, ["x"], "M").vertices)))
+    store.remove(plan_types(["N", "LOOP"]))
+    assert column(store.graph().vertices, "key") == ["x"] and store.graph().edges.count() == 0
+    store.remove(plan_types(["N", "none"]))
+    store.append("vertices", small(spark, ["b"]).vertices)
+    assert column(store.graph().vertices, "key") == ["b", "x"]
+    # What comes from the store may replace it.
+    store.overwrite(store.graph().with_vertices(store.graph().vertices.where("label = 'M'")))
+    assert column(store.graph().vertices, "key") == ["x"] and column(store.labels("vertices"), "label") == ["M"]
+    store.truncate()
+    assert store.graph().vertices.count() == 0 and store.catalogue().count() == 0
+
+
+def test_a_broken_write_leaves_the_old_rows(spark, tmp_path):
+    store = GraphStore(spark, str(tmp_path / "g"))
+    store.overwrite(small(spark, ["a", "b"]))
+    broken = store.graph().vertices.withColumn("name", F.when(F.col("key") == "b", F.raise_error(F.lit("lost"))).otherwise("new"))
+    with pytest.raises(Exception, match="lost"):
+        store.replace("vertices", broken)
+    assert column(store.graph().vertices, "name") == ["a", "b"]
+
+
+def test_session_settings_do_not_matter(spark, tmp_path):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    try:
+        for mode in ("dynamic", "static"):
+            spark.conf.set(key, mode)
+            store = GraphStore(spark, str(tmp_path / mode))
+            store.overwrite(small(spark, ["a"]))
+            store.replace("vertices", small(spark, ["b"], "M").vertices)
+            assert column(store.graph().vertices, "key") == ["a", "b"]
+            store.truncate()
+            assert store.graph().vertices.count() == 0
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_lookups_skip_stored_rows(spark, tmp_path, monkeypatch):
+    """Ten ids or names out of 100,000 rows: sorted row groups and Bloom filters leave the rest unread."""
+    monkeypatch.setitem(FILES, "parquet.block.size", str(64 * 1024))
+    rows = spark.range(0, 100_000, 1, 2).select(F.sha2(F.col("id").cast("string"), 256).alias("n"), F.xxhash64("id").cast("string").alias("m"))
+    vertices = shape_vertices(rows, "N", F.col("n"), name=F.col("m"), id=F.reverse("n"))
+    store = GraphStore(spark, str(tmp_path / "g"))
+    store.overwrite(PropertyGraph.empty(spark).with_vertices(vertices))
+    some = vertices.where(F.col("vid").substr(1, 4).isin("N/00", "N/ab")).limit(10).collect()
+    for name in ("vid", "id", "name"):
+        wanted = [r[name] for r in some]
+        found = store.graph().vertices.where(F.col(name).isin(*wanted)).select("vid")
+        assert column(found, "vid") == sorted(r.vid for r in some)
+        found = store.graph().vertices.where(F.col(name).isin(*wanted)).select("vid")
+        found.collect()
+        assert scanned_rows(found) < 10_000, name
+    ids = [r.id for r in some]
+    asked = nodes_by_ids(store.graph(), ids)
+    assert column(asked, "vid") == sorted(r.vid for r in some)
+
+
+def test_very_many_types(spark, tmp_path):
+    """A hundred thousand types: written, listed and joined without passing the driver."""
+    store = GraphStore(spark, str(tmp_path / "g"))
+    rows = spark.range(100_000).select(F.concat(F.lit("T"), "id").alias("label"), F.lit("1").alias("key"))
+    store.note("vertices", cut_lineage(shape_vertices(rows, F.col("label"), F.col("key"), name=F.col("label"))))
+    table = schema_table(store.graph(), known=store.catalogue())
+    assert table.where("kind = 'vertex' AND array_contains(properties, 'name')").count() == 100_000
+    with pytest.raises(ValueError, match="types"):
+        schema_summary(store.graph(), known=store.catalogue())
+    assert len(schema_summary(store.graph(), known=store.catalogue().where("label < 'T10'"))["vertex_types"]) == 4
+    # A statement over few of them collects only those.
+    found = query_views(store.graph(), "SELECT count(name) AS n FROM T77", catalogue=store.catalogue())
+    assert found.first().n == 0
 
 
 def test_small_and_large_batches_merge_alike(spark, tmp_path, monkeypatch):
@@ -70,58 +162,6 @@ def test_small_and_large_batches_merge_alike(spark, tmp_path, monkeypatch):
     assert states[0] == states[1] and len(states[0]) == 12
 
 
-def test_unfinished_writes_stay_invisible(spark, tmp_path):
-    path = str(tmp_path / "g")
-    store = GraphStore(spark, path)
-    store.overwrite(small(spark, ["a"]))
-    store._write("vertices", small(spark, ["lost"]).vertices)
-    assert column(GraphStore(spark, path).graph().vertices, "key") == ["a"]
-
-
-def test_second_writer_fails(spark, tmp_path):
-    path = str(tmp_path / "g")
-    first, second = GraphStore(spark, path), None
-    second = GraphStore(spark, path)
-    first.overwrite(small(spark, ["a"]))
-    with pytest.raises(StaleSnapshot):
-        second.overwrite(small(spark, ["b"]))
-    assert column(GraphStore(spark, path).graph().vertices, "key") == ["a"]
-    assert column(second.graph().vertices, "key") == []
-    second.refresh()
-    assert column(second.graph().vertices, "key") == ["a"]
-    second.overwrite(small(spark, ["b"]))
-    assert column(GraphStore(spark, path).graph().vertices, "key") == ["b"]
-
-
-def test_many_claims_of_one_number(spark, tmp_path):
-    """Many claims of one number from several threads: one wins, and its content is whole."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    folder = str(tmp_path / "claims")
-    with ThreadPoolExecutor(8) as pool:
-        won = list(pool.map(lambda i: files.claim(spark, folder, "0", f"text {i}"), range(24)))
-    assert sum(won) == 1
-    assert files.read_text(spark, f"{folder}/0") == f"text {won.index(True)}"
-    assert [n for n in files.entries(spark, folder) if not n.startswith(".")] == ["0"]
-
-
-def test_a_crashed_commit_does_not_block(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "g")
-    store = GraphStore(spark, path)
-    store.overwrite(small(spark, ["a"]))
-    (tmp_path / "g" / "snapshots" / "unclaimed" / "_temporary").mkdir(parents=True)
-    with monkeypatch.context() as patched:
-        patched.setattr(files, "claim", lambda *a: 1 / 0)
-        with pytest.raises(ZeroDivisionError):
-            store.overwrite(small(spark, ["b"]))
-    for opened in (store, GraphStore(spark, path)):
-        opened.refresh()
-        assert column(opened.graph().vertices, "key") == ["a"]
-    GraphStore(spark, path).overwrite(small(spark, ["c"]))
-    store.refresh()
-    assert column(store.graph().vertices, "key") == ["c"]
-
-
 def test_open_store_sees_other_writers(spark, tmp_path):
     reader = PropertyStore(spark, str(tmp_path / "g"))
     writer = PropertyStore(spark, str(tmp_path / "g"))
@@ -131,28 +171,12 @@ def test_open_store_sees_other_writers(spark, tmp_path):
     assert column(writer.get(), "name") == ["a", "b"]
 
 
-def test_many_appends_are_merged_and_vacuumed(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("knotwork.sources.store.MAX_VERSIONS", 4)
-    store = GraphStore(spark, str(tmp_path / "g"))
-    for i in range(12):
-        store.change(append={"vertices": small(spark, [f"n{i}"]).vertices})
-    assert len(store._versions("vertices")) <= 4
-    wanted = sorted(f"n{i}" for i in range(12))
-    assert column(store.graph().vertices, "key") == wanted
-    assert store.vacuum(older_than=3_600) == 0
-    assert store.vacuum(older_than=0) > 0
-    held = list((tmp_path / "g" / "vertices").glob("version=*"))
-    assert len(held) == len(store._versions("vertices"))
-    for opened in (store, GraphStore(spark, str(tmp_path / "g"), create=False)):
-        assert column(opened.graph().vertices, "key") == wanted
-
-
 def test_labels_prune_partitions(spark, tmp_path):
     store = GraphStore(spark, str(tmp_path / "g"))
     both = small(spark, ["a"])
     store.overwrite(both.with_vertices(both.vertices.union(small(spark, ["b"], "M").vertices)))
     plan = store.graph().vertices.where("label = 'M'").select("name")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "ReadSchema: struct<name:string>" in plan
+    assert "PartitionFilters: [" in plan and "ReadSchema: struct<name:string,live:boolean>" in plan
     assert store.graph().vertices.where("label = 'M'").inputFiles()
 
 
