@@ -104,28 +104,35 @@ class PropertyGraph:
     def in_type(self, base: str) -> Column:
         """Rows of a type or of any type below it, as a predicate on ``label``
         (so partitions of other labels are never read)."""
-        label = F.col("label")
-        if base == BASE_ENTITY:
-            named = {TEXT_CHUNK} | set(self.parents) | {p for p in self.parents.values() if p}
-            return ~label.isin(*sorted(t for t in named if not self.is_entity(t)))
-        below = {base}
-        while more := {t for t, p in self.parents.items() if p in below} - below:
-            below |= more
-        return label.isin(*sorted(below))
+        inside, labels = types_of(self.parents, base)
+        held = F.col("label").isin(*labels)
+        return held if inside else ~held
 
     def declared(self) -> list[str]:
         """Vertex types that exist without any row: the core types and the hierarchy."""
         return sorted({*CORE_TYPES, *self.parents, *(p for p in self.parents.values() if p)})
 
-    def is_entity(self, label: str) -> bool:
-        """Whether a label is the base entity type or lies below it."""
-        seen: set[str] = set()
-        while label != BASE_ENTITY:
-            if label == TEXT_CHUNK or label in seen:
-                return False
-            seen.add(label)
-            parent = self.parents.get(label, BASE_ENTITY)
-            if parent is None:
-                return False
-            label = parent
-        return True
+
+def is_entity(parents: Mapping[str, str | None], label: str) -> bool:
+    """Whether a label is the base entity type or lies below it."""
+    seen: set[str] = set()
+    while label != BASE_ENTITY:
+        if label == TEXT_CHUNK or label in seen:
+            return False
+        seen.add(label)
+        parent = parents.get(label, BASE_ENTITY)
+        if parent is None:
+            return False
+        label = parent
+    return True
+
+
+def types_of(parents: Mapping[str, str | None], base: str) -> tuple[bool, list[str]]:
+    """The labels of a type and of those below it: the listed ones (True), or all but them."""
+    if base == BASE_ENTITY:
+        named = {TEXT_CHUNK} | set(parents) | {p for p in parents.values() if p}
+        return False, sorted(t for t in named if not is_entity(parents, t))
+    below = {base}
+    while more := {t for t, p in parents.items() if p in below} - below:
+        below |= more
+    return True, sorted(below)

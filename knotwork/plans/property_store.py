@@ -8,7 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from knotwork.model import BASIC_TYPES, CORE_RELATIONS, PropertyGraph
-from knotwork.operators import delete as deletes, lookup, merge, scans, traverse, vector
+from knotwork.operators import delete as deletes, lookup, merge, nearest, scans, traverse, vector
+from knotwork.operators.lsh import Projection
 from knotwork.operators.sizes import fits_memory, mark, not_stored
 from knotwork.plans import retrieval, sql
 from knotwork.plans.nodes import Relation, node_batch, reference, relation_batch
@@ -100,10 +101,23 @@ class PropertyStore:
     def get_entity_names(self, limit: int | None = 100) -> DataFrame:
         return scans.entity_names(self.graph, limit)
 
-    def vector_query(self, query_embedding: Sequence[float] | None, similarity_top_k: int | None = None) -> DataFrame:
+    def create_vector_index(self, tables: int = 8, cells: int = 3, cell: float | None = None) -> None:
+        """An index for approximate search, which all later writes keep up to date."""
+        if not self.dimension:
+            raise ValueError("an index needs an embedding dimension")
+        self.disk.create_index(Projection(self.dimension, tables, cells, cell), 2 * self.disk.buckets + 14)
+
+    def vector_query(self, query_embedding: Sequence[float] | None, similarity_top_k: int | None = None,
+                     approximate: bool = False, type_name: str | None = None) -> DataFrame:
+        """The nearest entities; with ``approximate`` only those that the index finds."""
         if query_embedding and self.dimension and len(query_embedding) != self.dimension:
             raise ValueError(f"the query must have {self.dimension} elements")
-        return vector.vector_query(self.graph, query_embedding, similarity_top_k)
+        graph = self.graph
+        if not approximate or not query_embedding:
+            return vector.vector_query(graph, query_embedding, similarity_top_k, type_name)
+        if self.disk.index is None:
+            raise ValueError("call create_vector_index first")
+        return self.disk.index.search(graph, query_embedding, similarity_top_k or vector.DEFAULT_TOP_K, type_name)
 
     def vector_search(self, type_name: str, query_embedding: Sequence[float], top_k: int = 10) -> DataFrame:
         return vector.vector_query(self.graph, query_embedding, top_k, type_name)
@@ -111,6 +125,15 @@ class PropertyStore:
     def batch_vector_search(self, searches: Sequence[dict]) -> DataFrame:
         return vector.batch_vector_search(self.graph, searches)
 
+    def vector_query_table(self, queries: DataFrame, similarity_top_k: int = 10) -> DataFrame:
+        """The nearest entities of every query of a table (query_id, embedding, optionally type)."""
+        return nearest.nearest_join(self.graph, queries, similarity_top_k)
+
+    def retrieve_table(self, queries: DataFrame, similarity_top_k: int = 10, include_text: bool = True,
+                       limit_per_hit: int | None = 30) -> DataFrame:
+        """Relations and texts around the nearest entities of every query of a table."""
+        return retrieval.retrieve_table(self.graph, queries, similarity_top_k, include_text, limit_per_hit)
+
     def get_vector_similarity(self, vid: str, query_embedding: Sequence[float]) -> DataFrame:
         return vector.vector_similarity(self.graph, vid, query_embedding)
 
@@ -160,6 +183,7 @@ class PropertyStore:
     def _merge(self, collapsed: DataFrame) -> None:
         """Lay a settled batch over the parts it touches."""
         stored = self.disk.part("vertices", self.disk.parts_of("vertices", collapsed))
+        self.disk.enter("vertices", collapsed)
         self.disk.replace("vertices", merge.merge_vertices(stored, collapsed, fits_memory(collapsed)))
         self.disk.note("vertices", collapsed)
 
@@ -283,6 +307,7 @@ class PropertyStore:
         added = self._new_edges(fresh, after.edges)
         # All is settled.  Edges that go come first, edges that are new last: no edge lacks an end.
         self.disk.without("edges", lost)
+        self.disk.enter("vertices", collapsed)
         self.disk.replace("vertices", vertices, parts)
         self.disk.note("vertices", collapsed)
         self.disk.append("edges", added)

@@ -10,7 +10,9 @@ from knotwork.functions.text import TEXT_CHUNK
 from knotwork.model import PropertyGraph
 from knotwork.operators.lookup import literal_ids, settle, vertices_of
 from knotwork.operators.merge import upsert_nodes, upsert_relations
+from knotwork.operators.nearest import nearest_join
 from knotwork.operators.ranking import first_rows, top_per_group
+from knotwork.operators.sizes import fits_memory, mark
 from knotwork.operators.traverse import EDGE_ORDER, display_name, touching
 from knotwork.operators.vector import DEFAULT_TOP_K, vector_query
 from knotwork.session import cut_lineage
@@ -77,3 +79,43 @@ def ingest(graph: PropertyGraph, chunks: DataFrame, entities: DataFrame, relatio
     merged = upsert_nodes(graph, chunks.unionByName(entities), property_names)
     merged = merged.with_vertices(cut_lineage(merged.vertices))
     return upsert_relations(merged, relations)
+
+
+def retrieve_table(graph: PropertyGraph, queries: DataFrame, top_k: int = DEFAULT_TOP_K, include_text: bool = True,
+                   limit_per_hit: int | None = 30) -> DataFrame:
+    """``retrieve`` for a whole table of queries (query_id, embedding, optionally type): one row
+    per query and relation.
+
+    Hits of all queries are found in one pass.  The relations around a vertex are looked up
+    once, whatever number of queries hit it.
+    """
+    hits = cut_lineage(nearest_join(graph, queries, top_k).select("query_id", "vid", "score"))
+    found = cut_lineage(hits.select("vid").distinct())
+    fits = fits_memory(found)
+    ends = graph.edges.select(*EDGE_ORDER, F.explode(F.array_distinct(F.array("src", "dst"))).alias("vid")).join(
+        mark(found, fits), "vid", "left_semi")
+    if limit_per_hit is not None:
+        ends = top_per_group(ends, ["vid"], [F.col(c) for c in EDGE_ORDER], limit_per_hit)
+    around = cut_lineage(hits.join(ends, "vid").select("query_id", *EDGE_ORDER).distinct())
+    named = cut_lineage(around.select(F.explode(F.array("src", "dst")).alias("vid")).distinct())
+    vertices = graph.vertices.join(mark(named, fits_memory(named)), "vid", "left_semi").select(
+        "vid", display_name().alias("shown"), F.col("triplet_source_id").alias("source"))
+
+    def end(rows: DataFrame, vid: str, shown: str) -> DataFrame:
+        own = vertices.select(F.col("vid").alias(vid), F.col("shown").alias(shown), F.col("source").alias(f"{vid}_source"))
+        hit = hits.select("query_id", F.col("vid").alias(vid), F.col("score").alias(f"{vid}_score"))
+        return rows.join(own, vid).join(hit, ["query_id", vid], "left")
+
+    src_score, dst_score = (F.coalesce(c, F.lit(-1.0)) for c in ("src_score", "dst_score"))
+    rows = end(end(around, "src", "subject"), "dst", "object").select(
+        "query_id", "subject", F.col("label").alias("relation"), "object", F.greatest("src_score", "dst_score").alias("score"),
+        F.when(src_score >= dst_score, F.col("src_source")).otherwise(F.col("dst_source")).alias("source_id"),
+    )
+    if not include_text:
+        return rows
+    rows = cut_lineage(rows)
+    wanted = cut_lineage(rows.select(F.col("source_id").alias("id")).where("id IS NOT NULL").distinct())
+    chunks = graph.vertices.where(F.col("label") == TEXT_CHUNK).join(mark(wanted, fits_memory(wanted)), "id", "left_semi")
+    text = chunks.select(F.col("id").alias("source_id"), F.col("text").alias("source_text"))
+    return rows.join(text, "source_id", "left").select(
+        "query_id", "subject", "relation", "object", "score", "source_id", "source_text")

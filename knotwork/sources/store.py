@@ -1,7 +1,8 @@
 """A graph kept as plain Parquet tables, partitioned by label and hash bucket.
 
-``vertices`` and ``edges`` hold the rows, ``catalogue`` the properties seen per type and
-``settings`` the number of buckets and the type hierarchy.  A change rewrites the
+``vertices`` and ``edges`` hold the rows, ``catalogue`` the properties seen per type,
+``settings`` the number of buckets and the type hierarchy, and ``index``, if there is one, the
+buckets of an approximate vector search, which every write of vertices keeps up to date.  A change rewrites the
 (label, bucket) partitions it touches by dynamic partition overwrite; new edges are appended.
 Spark replaces the partitions when the job commits, so a job may read what it replaces and
 one that fails leaves the old rows.  A partition that loses its last row keeps one marker row;
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from knotwork.functions.props import DECLARED
 from knotwork.model import EDGE_SCHEMA, VERTEX_SCHEMA, PropertyGraph
 from knotwork.operators.delete import Removal
+from knotwork.operators.lsh import LshIndex, Projection
 from knotwork.operators.scans import property_names
 from knotwork.operators.sizes import fits_memory, mark
 from knotwork.session import cut_lineage
@@ -36,6 +38,7 @@ LOOKUPS = {"vertices": ("vid", "id", "name"), "edges": ("src", "dst")}
 FILES = {"parquet.block.size": str(8 * 1024 * 1024), "parquet.bloom.filter.adaptive.enabled": "true"}
 PART = ["label", "bucket"]
 CATALOGUE = "kind string, label string, property string"
+SETTINGS = "kind string, name string, value string"
 
 
 class GraphStore:
@@ -49,29 +52,38 @@ class GraphStore:
         self.path = path.rstrip("/")
         self.parents: dict[str, str | None] = {}
         self.buckets = buckets
+        self.index: LshIndex | None = None
         if not self._open():
             if not create:
                 raise FileNotFoundError(f"no graph is stored at {path}")
-            self._empty()
             self._declare([("buckets", "", str(buckets)), *(("parent", c, p) for c, p in (parents or {}).items())])
             self._open()
 
     # Settings -----------------------------------------------------------------
 
-    def _open(self) -> bool:
-        """Read the settings: one row per declared type, which callers give by hand."""
+    def _table(self, name: str, schema: str | T.StructType) -> DataFrame | None:
+        """A stored table as its files are now; None before its first row is written."""
         try:
-            rows = self.spark.read.schema("kind string, name string, value string").parquet(f"{self.path}/settings").collect()
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
+            return None
+
+    def _open(self) -> bool:
+        """Read the settings: one row per declared type, which callers give by hand."""
+        settings = self._table("settings", SETTINGS)
+        if settings is None:
             return False
+        rows = settings.collect()
         self.parents = {r.name: r.value for r in rows if r.kind == "parent"}
         self.buckets = next(int(r.value) for r in rows if r.kind == "buckets")
+        if self.index is None and any(r.kind == "index" for r in rows):
+            self.index = LshIndex(self.spark, f"{self.path}/index")
         return True
 
     def _declare(self, rows: list[tuple[str, str, str | None]]) -> None:
-        self.spark.createDataFrame(rows, "kind string, name string, value string").coalesce(1).write.mode("append").parquet(
+        self.spark.createDataFrame(rows, SETTINGS).coalesce(1).write.mode("append").parquet(
             f"{self.path}/settings")
 
     def declare(self, parents: Mapping[str, str | None]) -> None:
@@ -79,8 +91,17 @@ class GraphStore:
         self._declare([("parent", child, parent) for child, parent in parents.items()])
         self._open()
 
+    def create_index(self, projection: Projection, slots: int = 16) -> None:
+        """An approximate index of what is stored, kept from now on."""
+        if self.index is not None:
+            raise ValueError("the graph has an index already")
+        made = LshIndex.create(self.spark, f"{self.path}/index", projection, slots)
+        made.add(self._read("vertices"))
+        self._declare([("index", "", None)])
+        self.index = made
+
     def refresh(self) -> None:
-        """Types that others declared; rows are always read as they are now."""
+        """Types and the index that others declared; rows are always read as they are now."""
         self._open()
 
     # Reading ------------------------------------------------------------------
@@ -88,7 +109,9 @@ class GraphStore:
     def _stored(self, kind: str) -> DataFrame:
         """All rows with their bucket, as the files are now."""
         fields = [*KINDS[kind].fields, T.StructField("live", T.BooleanType()), T.StructField("bucket", T.IntegerType())]
-        return self.spark.read.schema(T.StructType(fields)).parquet(f"{self.path}/{kind}").where("live").drop("live")
+        schema = T.StructType(fields)
+        rows = self._table(kind, schema)
+        return (self.spark.createDataFrame([], schema) if rows is None else rows).where("live").drop("live")
 
     def _read(self, kind: str, labels: Iterable[str] | DataFrame | None = None) -> DataFrame:
         rows = self._stored(kind)
@@ -109,7 +132,8 @@ class GraphStore:
     def catalogue(self) -> DataFrame:
         """(kind, label, property) of all that was ever written since the store was emptied;
         one row without a property stands for the type itself."""
-        return self.spark.read.schema(CATALOGUE).parquet(f"{self.path}/catalogue").distinct()
+        rows = self._table("catalogue", CATALOGUE)
+        return self.spark.createDataFrame([], CATALOGUE) if rows is None else rows.distinct()
 
     def labels(self, kind: str) -> DataFrame:
         """The types of a kind, as (label)."""
@@ -140,18 +164,20 @@ class GraphStore:
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         return writer
 
-    def _empty(self) -> None:
-        """Tables without rows, whatever was there."""
-        for kind in KINDS:
-            nothing = self.spark.createDataFrame([], KINDS[kind])
-            self._write(kind, nothing).mode("overwrite").option("partitionOverwriteMode", "static").save(f"{self.path}/{kind}")
-        self.spark.createDataFrame([], CATALOGUE).write.mode("overwrite").parquet(f"{self.path}/catalogue")
-
     def append(self, kind: str, rows: DataFrame) -> None:
         """Add settled rows to what is stored."""
+        self.enter(kind, rows)
         self._write(kind, rows).mode("append").save(f"{self.path}/{kind}")
         self.note(kind, rows)
 
+    def enter(self, kind: str, rows: DataFrame) -> None:
+        """Enter settled rows into the index.  Entries come before rows, because an entry
+        without its row does no harm."""
+        if kind == "vertices" and self.index is not None:
+            vectors = rows.where(F.size("embedding") > 0)
+            if not vectors.isEmpty():
+                self.index.add(vectors)
+
     def replace(self, kind: str, rows: DataFrame, emptied: DataFrame | None = None) -> None:
         """Let the parts that ``rows`` lie in hold these rows, which may come from there, and
         nothing else; ``emptied`` are settled parts that may have none left."""
@@ -191,24 +217,33 @@ class GraphStore:
 
     def overwrite(self, graph: PropertyGraph) -> None:
         """Replace everything by another graph, which may come from this store."""
-        held = {kind: cut_lineage(self._stored(kind).select(*PART).distinct()) for kind in KINDS}
-        new = {"vertices": graph.vertices, "edges": graph.edges}
-        if not all(parts.isEmpty() for parts in held.values()):
-            new["edges"] = cut_lineage(graph.edges)
+        fresh = self._table("vertices", CATALOGUE) is None and self._table("edges", CATALOGUE) is None
+        # Edges may come from vertices that are about to be replaced.
+        new = {"vertices": graph.vertices, "edges": graph.edges if fresh else cut_lineage(graph.edges)}
+        held = {kind: None if fresh else cut_lineage(self._stored(kind).select(*PART).distinct()) for kind in KINDS}
         for kind, rows in new.items():
             self.replace(kind, rows, held[kind])
         self.spark.createDataFrame([], CATALOGUE).write.mode("overwrite").parquet(f"{self.path}/catalogue")
         for kind in KINDS:
             self.note(kind, self._read(kind))
+        if self.index is not None:
+            self.index.rebuild(self._read("vertices"))
 
     def truncate(self) -> None:
         """Remove all vertices and edges; the type hierarchy stays."""
-        self._empty()
+        for kind in KINDS:
+            nothing = self.spark.createDataFrame([], KINDS[kind])
+            self._write(kind, nothing).mode("overwrite").option("partitionOverwriteMode", "static").save(f"{self.path}/{kind}")
+        self.spark.createDataFrame([], CATALOGUE).write.mode("overwrite").parquet(f"{self.path}/catalogue")
+        if self.index is not None:
+            self.index.clear()
 
     def compact(self) -> None:
-        """Rewrite all parts, so that what many appends left is in few files."""
+        """Rewrite all parts, so that what many appends left is in few files, and the index."""
         for kind in KINDS:
             self.replace(kind, self._read(kind))
+        if self.index is not None:
+            self.index.rebuild(self._read("vertices"))
 
 
 def _prunes(parts: DataFrame) -> DataFrame:

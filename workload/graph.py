@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from knotwork.model import PropertyGraph, shape_vertices
 from knotwork.operators import lookup, merge, traverse
-from knotwork.plans.sql import register_views, run_sql
+from knotwork.plans.sql import query_views, register_views, run_sql
 from workload.registry import E, P, V, Tables, query, with_
 from workload.rules import normal_sql
 from workload.writes import TRIPLES, stored_triples, triples
@@ -252,3 +252,49 @@ def paths_upto_depth(t: Tables):
 @query("T8 A8", with_(E) + "SELECT vid, CAST(count(*) AS BIGINT) AS degree FROM (SELECT src AS vid FROM e UNION ALL SELECT dst FROM e) GROUP BY vid")
 def degree(t: Tables):
     return traverse.degree(t.graph)
+
+
+def known(t: Tables, **types: str):
+    """A catalogue of some types."""
+    return t.spark.createDataFrame([(kind, label, None) for label, kind in types.items()], "kind string, label string, property string")
+
+
+@query("Q2 T1 J7", with_(V, E) + """SELECT c.name AS customer, n.name AS nation, r.name AS region FROM e f
+JOIN v c ON c.vid = f.src AND c.label = 'CUSTOMER' JOIN v n ON n.vid = f.dst JOIN e i ON i.src = n.vid AND i.label = 'IN_REGION'
+JOIN v r ON r.vid = i.dst WHERE f.label = 'FROM_NATION'""")
+def sql_neighbours(t: Tables):
+    """Two steps along named relations in one statement."""
+    return query_views(t.graph, """
+        SELECT c.name AS customer, n.name AS nation, r.name AS region
+        FROM CUSTOMER c, LATERAL out_v(c.vid, 'FROM_NATION') f JOIN NATION n ON n.vid = f.vid,
+             LATERAL out_v(n.vid, 'IN_REGION') i JOIN REGION r ON r.vid = i.vid
+        """, catalogue=known(t, CUSTOMER="vertex", NATION="vertex", REGION="vertex"))
+
+
+@query("Q2 T3 T8", with_(V, E) + """SELECT n.vid, x.label, count(*) AS edges, count(DISTINCT x.src) AS sources FROM v n
+JOIN e x ON x.src = n.vid OR x.dst = n.vid WHERE n.label = 'NATION' GROUP BY n.vid, x.label""")
+def sql_incident_edges(t: Tables):
+    """Edges at every nation, counted by type; parameters are bound."""
+    return query_views(t.graph, """
+        SELECT n.vid, x.label, count(*) AS edges, count(DISTINCT x.src) AS sources
+        FROM V n, LATERAL both_e(n.vid) x WHERE n.label = :label GROUP BY n.vid, x.label""", {"label": "NATION"}, catalogue=known(t, NONE="edge"))
+
+
+@query("Q2 T2 T6", with_(V, E, UNDIRECTED, HOPS.format(depth=2), recursive=True) + "SELECT DISTINCT u.b AS vid FROM hops JOIN u ON u.a = hops.vid")
+def sql_traverse(t: Tables):
+    """Neighbours of all that is within two hops, by a recursive statement."""
+    return query_views(t.graph, """
+        WITH RECURSIVE reach(vid, depth) AS (
+          SELECT vid, 0 FROM REGION WHERE name = 'ASIA'
+          UNION ALL SELECT n.vid, depth + 1 FROM reach, LATERAL both_v(reach.vid) n WHERE depth < 2)
+        SELECT DISTINCT n.vid FROM (SELECT DISTINCT vid FROM reach) r, LATERAL both_v(r.vid) n""", catalogue=known(t, REGION="vertex"))
+
+
+@query("Q2 T6", with_(V, E, UNDIRECTED, HOPS.format(depth=2), recursive=True) + "SELECT vid, min(depth) AS depth FROM hops GROUP BY vid")
+def sql_hops(t: Tables):
+    """The hop at which a vertex is first reached, as ``k_hop`` gives it."""
+    return query_views(t.graph, """
+        WITH RECURSIVE reach(vid, depth) AS (
+          SELECT vid, 0 FROM REGION WHERE name = 'ASIA'
+          UNION ALL SELECT n.vid, depth + 1 FROM reach, LATERAL both_v(reach.vid) n WHERE depth < 2)
+        SELECT vid, min(depth) AS depth FROM reach GROUP BY vid""", catalogue=known(t, REGION="vertex"))
