@@ -4,7 +4,8 @@ Equal texts are one class from the start.  Each class is the set of its five-wor
 In every run a set extends each of its paths by those shared tokens (shingles) whose hash
 under the path falls below ``1 / (rate * size)``, so similar sets go down the same paths
 and unlike sets part.  Paths held by few sets are buckets; longer paths split the others.
-Sets of a bucket are compared by brute force, first on a 256-bin sketch, then exactly.
+Sets of a bucket are compared by brute force, first on a 256-bin sketch, then exactly; in large
+buckets all meet one of them first, and only what that leaves apart is compared further.
 Runs are repeated so that a pair at the threshold is missed with a probability below 1e-2.
 
 Similar sketches link the classes of a bucket into candidate groups.  The shingles of each
@@ -180,8 +181,17 @@ def _roots(linked):
     return label
 
 
+def _near(same, either, sizes, others):
+    """Rows of bins whose agreement leaves a similarity of THRESHOLD possible (five deviations)."""
+    import numpy as np
+
+    union = either.sum(axis=1)
+    least = THRESHOLD * union - 5 * np.sqrt(THRESHOLD * (1 - THRESHOLD) * union) - 1
+    return (same.sum(axis=1) >= least) & (np.minimum(sizes, others) >= THRESHOLD * np.maximum(sizes, others))
+
+
 def _alike(sizes, sketches):
-    """Pairs whose sketches leave a similarity of THRESHOLD possible (five deviations)."""
+    """Pairs of sketches that may be similar."""
     import numpy as np
 
     count = len(sizes)
@@ -189,13 +199,22 @@ def _alike(sizes, sketches):
     filled = sketches > 0
     for i in range(count - 1):
         same = (sketches[i] == sketches[i + 1:]) & filled[i]
-        union = (filled[i] | filled[i + 1:]).sum(axis=1)
-        least = THRESHOLD * union - 5 * np.sqrt(THRESHOLD * (1 - THRESHOLD) * union) - 1
-        ratio = np.minimum(sizes[i], sizes[i + 1:]) >= THRESHOLD * np.maximum(sizes[i], sizes[i + 1:])
-        alike[i, i + 1:] = (same.sum(axis=1) >= least) & ratio
+        alike[i, i + 1:] = _near(same, filled[i] | filled[i + 1:], sizes[i], sizes[i + 1:])
     return alike | alike.T
 
 
+def _sketches(column):
+    import numpy as np
+
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS)
+
+
+def _edges(us, vs) -> pa.RecordBatch:
+    import numpy as np
+
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (us, vs)], ["u", "v"])
+
+
 def link_sketches(batches):
     """Each list of (cid, n, sketch) as edges (u, v) to the smallest of its linked part."""
     import numpy as np
@@ -205,14 +224,59 @@ def link_sketches(batches):
         for members in batch.column("members"):
             values = members.values
             ids = values.field("cid").to_numpy()
-            sketches = np.frombuffer(b"".join(values.field("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
-            roots = _roots(_alike(values.field("n").to_numpy(), sketches))
+            roots = _roots(_alike(values.field("n").to_numpy(), _sketches(values.field("sketch"))))
             linked = roots != np.arange(len(ids))
             us.append(ids[linked])
             vs.append(ids[roots[linked]])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(us) if us else [], pa.int64()), pa.array(np.concatenate(vs) if vs else [], pa.int64())],
-            ["u", "v"])
+        yield _edges(us, vs)
+
+
+def link_pivots(batches):
+    """The pairs (cid, pivot) with their sketches that may be similar, as edges."""
+    import numpy as np
+
+    for batch in slices(batches, 4096):
+        sizes = [batch.column(c).to_numpy() for c in ("n", "pivot_n")]
+        a, b = (_sketches(batch.column(c)) for c in ("sketch", "pivot_sketch"))
+        near = _near((a == b) & (a > 0), (a > 0) | (b > 0), *sizes)
+        yield _edges([batch.column("cid").to_numpy()[near]], [batch.column("pivot").to_numpy()[near]]) if len(near) else _edges([], [])
+
+
+def link_parts(batches):
+    """Each list of (cid, n, sketch, comp, side) as one edge for each pair of components that
+    it links anew.  Of a list with two sides only links across count: those inside a side come
+    out of that side's own list."""
+    import numpy as np
+
+    for batch in slices(batches):
+        us, vs = [], []
+        for members in batch.column("members"):
+            values = members.values
+            comp, side = values.field("comp").to_numpy(), values.field("side").to_numpy()
+            alike = _alike(values.field("n").to_numpy(), _sketches(values.field("sketch")))
+            alike &= comp[:, None] != comp[None, :]
+            if side.min() != side.max():
+                # What a side links inside is one part for the other side.
+                same = comp[:, None] == comp[None, :]
+                parts = _roots((alike | same) & (side[:, None] == side[None, :]))
+                alike &= side[:, None] != side[None, :]
+            else:
+                parts = np.arange(len(comp))
+            x, y = np.nonzero(np.triu(alike))
+            keep = np.unique(np.stack([parts[x], parts[y]], axis=1), axis=0)
+            if side.min() == side.max() and len(keep):
+                # One tree for each linked part.
+                kinds, number = np.unique(comp, return_inverse=True)
+                linked = np.zeros((len(kinds), len(kinds)), bool)
+                linked[number[keep[:, 0]], number[keep[:, 1]]] = True
+                roots = _roots(linked | linked.T)
+                moved = roots != np.arange(len(kinds))
+                us.append(kinds[moved])
+                vs.append(kinds[roots[moved]])
+            else:
+                us.append(comp[keep[:, 0]])
+                vs.append(comp[keep[:, 1]])
+        yield _edges(us, vs)
 
 
 def _common(lists, count):
@@ -297,6 +361,43 @@ def buckets(classes: DataFrame) -> DataFrame:
     return functools.reduce(DataFrame.union, done)
 
 
+def large_links(held: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Edges (u, v) that link what is similar in the large buckets (path, cid).
+
+    First every member meets one pivot, the smallest of its bucket; near copies share few
+    pivots, so this is a few comparisons for each member, however many buckets they share.
+    What the pivots link is one component.  Only buckets with several components are compared
+    further: in blocks, and never within the largest component of a bucket.
+    """
+    pivots = held.groupBy("path").agg(F.min("cid").alias("pivot"))
+    pairs = held.join(hinted(pivots, pivots.count()), "path").filter("cid != pivot").select("cid", "pivot").distinct()
+    of_pivot = sketched.select(F.col("cid").alias("pivot"), F.col("n").alias("pivot_n"), F.col("sketch").alias("pivot_sketch"))
+    linked = cut_lineage(pairs.join(sketched, "cid").join(of_pivot, "pivot").mapInArrow(link_pivots, "u long, v long"))
+    known = cut_lineage(components(linked))
+    placed = cut_lineage(held.join(known.select(F.col("node").alias("cid"), "root"), "cid", "left").select(
+        "path", "cid", F.coalesce("root", "cid").alias("comp")))
+    sizes = placed.groupBy("path", "comp").agg(F.count("*").alias("n"))
+    open_ = cut_lineage(sizes.groupBy("path").agg(
+        F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"))
+        .filter("n_main < n_all").select(
+            "path", "main", F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK).cast("int").alias("rest"),
+            F.ceil(F.col("n_main") / BLOCK).cast("int").alias("mains")))
+    rows = placed.join(hinted(open_, open_.count()), "path")
+    # Blocks of the largest component come after the others and meet only those.
+    main = F.col("comp") == F.col("main")
+    hashed = F.xxhash64("cid")
+    rows = rows.withColumn("side", F.when(main, F.col("rest") + F.pmod(hashed, F.col("mains"))).otherwise(
+        F.pmod(hashed, F.col("rest"))).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(
+        F.lit(0), F.when(main, F.col("rest")).otherwise(F.col("rest") + F.col("mains")) - 1)))
+    lists = rows.select("path", "cid", "comp", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j")).join(
+        sketched, "cid").groupBy("path", "i", "j").agg(
+        F.collect_list(F.struct("cid", "n", "sketch", "comp", "side")).alias("members"),
+        F.min("side").alias("low"), F.max("side").alias("high"))
+    lists = lists.filter((F.size("members") > 1) & ((F.col("i") == F.col("j")) | (F.col("low") != F.col("high"))))
+    return linked.union(lists.select("members").mapInArrow(link_parts, "u long, v long"))
+
+
 def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(key, copies, first_id, class_id, links, chosen) for each distinct text with a word.
 
@@ -320,11 +421,8 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     sketched = classes.select("cid", "sig.n", "sig.sketch")
     small = small.join(sketched, "cid").groupBy("path").agg(
         F.collect_list(F.struct("cid", "n", "sketch")).alias("members"))
-    large = found.filter(F.col("held") > BUCKET).join(sketched, "cid")
-    large = in_blocks(large, "path", F.ceil(F.col("held") / BLOCK).cast("int"), ["n", "sketch"])
-    lists = small.select("members").union(large.select(F.transform(
-        "members", lambda m: F.struct(m["cid"].alias("cid"), m["n"].alias("n"), m["sketch"].alias("sketch")))))
-    edges = lists.mapInArrow(link_sketches, "u long, v long")
+    edges = small.mapInArrow(link_sketches, "u long, v long").union(
+        large_links(cut_lineage(found.filter(F.col("held") > BUCKET).select("path", "cid")), sketched))
     grouped = cut_lineage(components(edges).withColumnRenamed("node", "cid").withColumnRenamed("root", "comp"))
 
     members = grouped.join(classes.select("cid", "key", "copies", "first_id", F.col("sig.n").alias("n")), "cid")

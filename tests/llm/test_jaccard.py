@@ -135,3 +135,20 @@ def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{TESTDATA}/documents.parquet").collect()]
     got = QUERIES["op2_ngram_jaccard"](spark, str(TESTDATA)).collect()
     assert Counter(tuple(r) for r in got) == Counter(brute(docs))
+
+
+def test_links_of_large_buckets_are_linear(spark, monkeypatch):
+    """Edges of one group of near copies: a few for each, whatever the size of the group."""
+    made = []
+    monkeypatch.setattr(jaccard, "BLOCK", 64)
+    rng = random.Random(2)
+    for size in (300, 600, 1200):
+        words = [f"w{rng.randrange(400)}" for _ in range(150)]
+        texts = list({near(rng, words, rng.randint(0, 5)) for _ in range(size)})
+        docs = frame(spark, list(enumerate(texts)))
+        classes = docs.select(F.monotonically_increasing_id().alias("cid"), jaccard.signature("text").alias("sig"))
+        classes = jaccard.cut_lineage(classes)
+        found = jaccard.buckets(classes).filter(F.col("held") > jaccard.BUCKET).select("path", "cid")
+        edges = jaccard.large_links(jaccard.cut_lineage(found), classes.select("cid", "sig.n", "sig.sketch"))
+        made.append(edges.count() / len(texts))
+    assert max(made) < 12, made
