@@ -2,7 +2,9 @@
 
 Nulls: a null text has null ids and a null id list decodes to null (the query turns
 null texts into empty ones first).  Empty texts have no ids.  Repeated rows are encoded
-each for itself.  Texts of any length are encoded whole.
+each for itself.  Texts of any length are encoded whole; long runs of white space, on which
+the library's pattern gives up, are encoded as the piece that the pattern would match.  An
+empty table gives an empty result, and columns may have any names: these are column functions.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ from knotwork.llm.common import in_slices
 # space only at the front of a piece, or alone, can span this place, so the parts on both
 # sides are split alike together and apart.
 SAFE_BOUNDARY = re.compile(r"(?<=\S)(?=[ \n])")
+# White space as the pattern knows it; a run of this many goes past the pattern.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = re.compile(f"(?<![{WHITE}])[{WHITE}]{{1024,}}")
 # Characters given to the library at once, at least; parts end at the next safe boundary.
 PART_CHARS = 1 << 18
 
@@ -33,6 +38,24 @@ def _encoding(ranks: bytes, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
+@lru_cache(maxsize=4)
+def _one_piece(ranks: bytes):
+    """An encoding that takes its text as one piece."""
+    return _encoding(ranks, r"(?s:.+)")
+
+
+def segments(text: str) -> Iterator[tuple[bool, str]]:
+    """``text`` in order, as (is a piece of white space, segment).  Of a long run the pattern
+    matches all at the end of a text, and all but the last character before a word."""
+    start = 0
+    for run in LONG_RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        yield False, text[start:run.start()]
+        yield True, text[run.start():end]
+        start = end
+    yield False, text[start:]
+
+
 def parts(text: str, size: int = PART_CHARS) -> Iterator[str]:
     """``text`` in order, cut only at safe boundaries, each part at least ``size`` long."""
     start = 0
@@ -66,9 +89,11 @@ def coder(spark: SparkSession, rank_file: str, pattern: str) -> tuple[Callable[[
             if text is None:
                 valid[row] = False
             elif text:
-                for part in parts(text):
-                    ids.append(encoding.encode_to_numpy(part, disallowed_special=()))
-                    count += len(ids[-1])
+                for white, segment in segments(text):
+                    coding = _one_piece(ranks.value) if white else encoding
+                    for part in [segment] if white else parts(segment):
+                        ids.append(coding.encode_to_numpy(part, disallowed_special=()))
+                        count += len(ids[-1])
             offsets[row + 1] = offsets[row] + count
         values = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=pa.array(~valid))

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import time
 
 import pytest
 import public_tokenizers
@@ -49,6 +50,24 @@ def test_parts_cut_only_where_ids_stay_the_same(whole):
             assert [i for part in cut for i in whole.encode_ordinary(part)] == whole.encode_ordinary(text)
 
 
+def test_long_runs_of_white_space(spark, whole):
+    """Runs that the pattern can still take, against whole texts; longer ones against their piece."""
+    encode, _, round_trip = bpe.coder(spark, *rank_file())
+    middle = [f"{a}{w * 3000}{b}" for w in (" ", "\n", "\t", "\u3000", " \n", "\x85", "\x1c") for a in ("", "a", "a b ") for b in ("", "b", "\nc", "1")]
+    middle += ["x" + " " * 1023 + "y", " " * 1024, (" " * 1500 + "ab\n") * 5]
+    rows = spark.createDataFrame([(t,) for t in middle], "text string").select("text", encode("text").alias("ids")).collect()
+    assert len(rows) == len(middle) and all(r.ids == whole.encode_ordinary(r.text) for r in rows)
+    one = tiktoken.Encoding("one", pat_str="(?s:.+)", mergeable_ranks=whole._mergeable_ranks, special_tokens={})
+    long_ = [c * 2_000_000 + w for c in " \n\t" for w in ("", "word")]
+    began = time.time()
+    got = spark.createDataFrame([(t,) for t in long_], "text string").select("text", round_trip("text").alias("b")).collect()
+    assert time.time() - began < 60 and len(got) == len(long_)
+    for r in got:
+        run, word = (r.text[:1_999_999], r.text[1_999_999:]) if r.text[-1] == "d" else (r.text, "")
+        assert r.b.ids == one.encode_ordinary(run) + whole.encode_ordinary(word)
+        assert bytes(r.b.raw) == r.text.encode()
+
+
 def test_ids_without_valid_text_decode_to_raw_bytes(spark, whole):
     ids = [whole.encode_single_token(b"\xe2"), whole.encode_single_token(b"a")]
     _, decode, _ = bpe.coder(spark, *rank_file())
