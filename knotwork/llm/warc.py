@@ -8,7 +8,8 @@ from the response's id, so reruns and retried tasks give the same records.
 
 Defined cases: a null payload is empty and gives records with an empty text; a null URI leaves
 out the header and the links stay as written; null or malformed HTTP headers give status null;
-bytes that do not decode are replaced; repeated responses give repeated records; an empty
+bytes that do not decode are replaced; pages of any length are read whole, in time that grows
+with their length whatever is left unclosed; repeated responses give repeated records; an empty
 table gives an empty result; input columns may have any names (they come back inside ``row``).
 """
 
@@ -33,18 +34,22 @@ from knotwork.llm.common import whole_row
 VERSION = "WARC/1.1"
 NAMESPACE = uuid.UUID("5b0a7d6c-7a43-4d3a-9a52-0d6c4b1f9e21")
 
-# What is never text, and elements after which a line ends.
-SILENT = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|head|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+# What is never text, and elements after which a line ends.  No pattern here scans further than
+# what it takes: where a tag, an element or a value ends is looked up once.
+SILENT = re.compile(r"<!--|<(script|style|head|noscript|template)\b", re.I)
+CLOSING = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("script", "style", "head", "noscript", "template")}
 BREAK = re.compile(
     r"</?(?:p|div|br|hr|li|ul|ol|tr|table|h[1-6]|nav|article|section|header|footer|blockquote|pre|title|body|html)\b[^>]*>", re.I)
 TAG = re.compile(r"<[a-zA-Z/!?][^>]*>?")
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
-LINK = re.compile(r"<(a|link|img|script|iframe|form)\b[^>]*?\b(href|src|action)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.S | re.I)
+TITLE, TITLE_END = re.compile(r"<title\b[^>]*>", re.I), re.compile(r"</title", re.I)
+LINKING = re.compile(r"<(a|link|img|script|iframe|form)\b", re.I)
+LINK_NAME = re.compile(r"\b(href|src|action)\s*=\s*", re.I)
+LINK_VALUE = re.compile(r"\"[^\"]*\"|'[^']*'|[^\s>]+")
 CHARSET = re.compile(r"charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", re.I)
 
 RECORD = StructType([
     StructField("record_type", StringType()), StructField("record_id", StringType()), StructField("refers_to", StringType()),
-    StructField("target_uri", StringType()), StructField("content_type", StringType()), StructField("payload_digest", StringType()),
+    StructField("target_uri", StringType()), StructField("date", StringType()), StructField("content_type", StringType()), StructField("payload_digest", StringType()),
     StructField("block_digest", StringType()), StructField("content_length", LongType()), StructField("links", LongType()),
     StructField("block", StringType()),
 ])
@@ -61,13 +66,62 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(NAMESPACE, chr(0).join(parts))}>"
 
 
+def without_silent(page: str) -> str:
+    """A page with a space for each comment, script and the like; unclosed ones reach its end."""
+    parts, at, search = [], 0, 0
+    while (found := SILENT.search(page, search)) is not None:
+        if found[1] is None:
+            end = page.find("-->", found.end())
+            end = len(page) if end < 0 else end + 3
+        else:
+            opened = page.find(">", found.end())
+            if opened < 0:  # not a tag; only comments can follow
+                search = found.end()
+                if (comment := page.find("<!--", search)) < 0:
+                    break
+                search = comment
+                continue
+            closed = CLOSING[found[1].lower()].search(page, opened + 1)
+            end = closed.end() if closed else len(page)
+        parts += [page[at:found.start()], " "]
+        at = search = end
+    return "".join([*parts, page[at:]])
+
+
 def plain_text(page: str) -> str:
     """The visible text: block elements end lines, white space is collapsed, empty lines go."""
-    text = TAG.sub("", BREAK.sub("\n", SILENT.sub(" ", page)))
+    text = without_silent(page)
+    last = text.rfind(">") + 1  # no tag ends after it
+    text = TAG.sub("", BREAK.sub("\n", text[:last]) + text[last:])
     lines = (" ".join(line.split()) for line in entities.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def title_of(page: str) -> str | None:
+    """What stands between the first title tag and the next title end, if there are both."""
+    end = None
+    for end in TITLE_END.finditer(page):
+        pass
+    last = page.rfind(">", 0, end.start()) + 1 if end else 0
+    opened = TITLE.search(page, 0, last)
+    return page[opened.end():TITLE_END.search(page, opened.end()).start()] if opened else None
+
+
+def links_of(page: str) -> Iterator[tuple[str, str, str]]:
+    """(element, attribute, value as written): the first link attribute after each linking element
+    and before the tag ends."""
+    at = 0
+    while (found := LINKING.search(page, at)) is not None:
+        end = page.find(">", found.end())
+        end = len(page) if end < 0 else end
+        name, value = LINK_NAME.search(page, found.end(), end), None
+        while name is not None and (value := LINK_VALUE.match(page, name.end())) is None:
+            name = LINK_NAME.search(page, name.end(), end)
+        if name is not None:
+            yield found[1], name[1], value[0]
+        at = end if value is None else value.end()
+
+
 def parse_http(head: str | None) -> tuple[int | None, dict[str, str]]:
     """Status and headers of an HTTP head; names in lower case, the last of equal names wins."""
     lines = (head or "").replace("\r\n", "\n").split("\n")
@@ -88,9 +142,9 @@ def derive_one(uri: str | None, identity: str, date: str | None, head: str | Non
     """The metadata and the conversion record of one response."""
     status, headers = parse_http(head)
     page = _decoded(payload, headers)
-    text, title = plain_text(page), TITLE.search(page)
+    text, title = plain_text(page), title_of(page)
     links = []
-    for tag, name, value in LINK.findall(page):
+    for tag, name, value in links_of(page):
         target = entities.unescape(value.strip("\"'").strip())
         try:
             target = urljoin(uri or "", target)
@@ -102,14 +156,14 @@ def derive_one(uri: str | None, identity: str, date: str | None, head: str | Non
         "source": {"WARC-Type": "response", "WARC-Record-ID": identity, "WARC-Target-URI": uri, "WARC-Date": date,
                    "WARC-Payload-Digest": source, "Payload-Length": len(payload)},
         "http": {"status": status, "headers": headers},
-        "html": {"title": " ".join(entities.unescape(title[1]).split()) if title else None, "links": links},
+        "html": {"title": " ".join(entities.unescape(title).split()) if title is not None else None, "links": links},
         "text": {"words": len(text.split()), "lines": text.count("\n") + 1 if text else 0},
     }, ensure_ascii=False, sort_keys=True)
     out = []
     for kind, mime, block in (("metadata", "application/json", metadata), ("conversion", "text/plain", text)):
         raw = block.encode("utf-8", "replace")
         out.append({
-            "record_type": kind, "record_id": record_id(identity, kind), "refers_to": identity, "target_uri": uri,
+            "record_type": kind, "record_id": record_id(identity, kind), "refers_to": identity, "target_uri": uri, "date": date,
             "content_type": mime, "payload_digest": source, "block_digest": digest(raw), "content_length": len(raw),
             "links": len(links), "block": raw.decode(),
         })
@@ -133,10 +187,11 @@ def derive(responses: DataFrame, uri: Column, identity: Column, date: Column, ht
 
 
 def as_bytes(record: dict, date: str | None = None) -> bytes:
-    """A record in the WARC file format."""
+    """A record in the WARC file format; ``date`` stands for one that the record lacks."""
     named = [
         ("WARC-Type", record["record_type"]), ("WARC-Record-ID", record["record_id"]), ("WARC-Refers-To", record["refers_to"]),
-        ("WARC-Target-URI", record["target_uri"]), ("WARC-Date", date), ("WARC-Block-Digest", record["block_digest"]),
+        ("WARC-Target-URI", record["target_uri"]), ("WARC-Date", record["date"] or date), ("WARC-Block-Digest", record["block_digest"]),
+        ("WARC-Payload-Digest", record["payload_digest"]),
         ("Content-Type", record["content_type"]), ("Content-Length", str(record["content_length"])),
     ]
     head = "".join(f"{k}: {v}\r\n" for k, v in named if v is not None)

@@ -3,7 +3,11 @@
 import base64
 import gzip
 import hashlib
+import html
 import json
+import random
+import re
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -117,3 +121,42 @@ def test_query_against_the_standard_parser(spark):
             reader.feed(page.html)
             assert r.block.split() == "".join(reader.words).split()
             assert r.links == reader.links
+
+
+# One backtracking pattern for each step: slow on hostile pages, plain to read.
+SILENT = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|head|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
+LINK = re.compile(r"<(a|link|img|script|iframe|form)\b[^>]*?\b(href|src|action)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.S | re.I)
+
+
+def test_steps_equal_backtracking_patterns():
+    rng = random.Random(4)
+    tokens = ["<a ", "<A", "<img", "<script", "</script", "<style>", "</style >", "<!--", "-->", "<p", "<p>", "</p>", "<title", "<title>",
+              "</title>", "</TITLE", ">", "<", " ", "\n", "href", "src=", "href = ", "'", '"', "=", "x", "action='y'", "<head>", "</head\t>", "<template a>"]
+    for _ in range(20_000):
+        page = "".join(rng.choices(tokens, k=rng.randrange(1, 16)))
+        silent = SILENT.sub(" ", page)
+        assert warc.without_silent(page) == silent, page
+        found = TITLE.search(page)
+        assert warc.title_of(page) == (found[1] if found else None), page
+        assert list(warc.links_of(page)) == LINK.findall(page), page
+        text = warc.TAG.sub("", warc.BREAK.sub("\n", silent))
+        lines = (" ".join(line.split()) for line in html.unescape(text).split("\n"))
+        assert warc.plain_text(page) == "\n".join(line for line in lines if line), page
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<script ", "<title>", "<title ", "<p ", "<!--", "<a href=\"", "<a href='x ", "<style>", "</title <title ",
+                                   "<script></script ", "<a href", "<a x>", "<", "&lt", "<img src= >"])
+def test_hostile_pages(piece):
+    for page in (piece * (1_000_000 // len(piece)), piece * (1_000_000 // len(piece)) + ">"):
+        began = time.time()
+        warc.derive_one("http://a/", "<urn:uuid:1>", None, None, page.encode())
+        assert time.time() - began < 8
+
+
+def test_date_and_digests_are_written(spark):
+    pages = spark.createDataFrame([("http://a/", "<p>x</p>")], "url string, html string")
+    for r in warc.page_records(pages, date="2024-05-06T07:08:09Z").collect():
+        head = warc.as_bytes(r.asDict()).split(b"\r\n\r\n")[0].decode().split("\r\n")
+        assert "WARC-Date: 2024-05-06T07:08:09Z" in head and f"WARC-Payload-Digest: {r.payload_digest}" in head
+        assert r.date == "2024-05-06T07:08:09Z"
