@@ -243,7 +243,7 @@ def link_pivots(batches):
 
 
 def link_parts(batches):
-    """Each list of (cid, n, sketch, comp, side) as one edge for each pair of components that
+    """Each list of (cid, n, sketch, comp, side) as one edge for each pair of parts (comp) that
     it links anew.  Of a list with two sides only links across count: those inside a side come
     out of that side's own list."""
     import numpy as np
@@ -366,16 +366,17 @@ def large_links(held: DataFrame, sketched: DataFrame) -> DataFrame:
 
     First every member meets one pivot, the smallest of its bucket; near copies share few
     pivots, so this is a few comparisons for each member, however many buckets they share.
-    What the pivots link is one component.  Only buckets with several components are compared
-    further: in blocks, and never within the largest component of a bucket.
+    What one pivot links is one part, and so is what its own smallest pivot links.  Only buckets
+    with several parts are compared further: in blocks, and never within the largest part.
     """
     pivots = held.groupBy("path").agg(F.min("cid").alias("pivot"))
     pairs = held.join(hinted(pivots, pivots.count()), "path").filter("cid != pivot").select("cid", "pivot").distinct()
     of_pivot = sketched.select(F.col("cid").alias("pivot"), F.col("n").alias("pivot_n"), F.col("sketch").alias("pivot_sketch"))
     linked = cut_lineage(pairs.join(sketched, "cid").join(of_pivot, "pivot").mapInArrow(link_pivots, "u long, v long"))
-    known = cut_lineage(components(linked))
-    placed = cut_lineage(held.join(known.select(F.col("node").alias("cid"), "root"), "cid", "left").select(
-        "path", "cid", F.coalesce("root", "cid").alias("comp")))
+    least = cut_lineage(linked.groupBy("u").agg(F.min("v").alias("v")))
+    known = least.join(least.select(F.col("u").alias("v"), F.col("v").alias("w")), "v", "left").select(
+        F.col("u").alias("cid"), F.coalesce("w", "v").alias("root"))
+    placed = cut_lineage(held.join(known, "cid", "left").select("path", "cid", F.coalesce("root", "cid").alias("comp")))
     sizes = placed.groupBy("path", "comp").agg(F.count("*").alias("n"))
     open_ = cut_lineage(sizes.groupBy("path").agg(
         F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"))

@@ -31,15 +31,15 @@ def rank_file() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
-def bpe_digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Per document the number of ids, their digest and that of the decoded bytes."""
+def bpe_digests(spark: SparkSession, docs: DataFrame, ids: bool = False) -> DataFrame:
+    """Per document the number of ids, their digest and that of the decoded bytes, and the ids."""
     _, _, round_trip = bpe.coder(spark, *rank_file())
     coded = docs.select("doc_id", round_trip(F.coalesce("text", F.lit(""))).alias("coded"))
     return coded.select(
         "doc_id",
         F.size("coded.ids").cast("long").alias("n_tokens"),
         bpe.digest(F.col("coded.ids")).alias("ids_sha256"),
-        F.sha2("coded.raw", 256).alias("decoded_sha256"),
+        F.sha2("coded.raw", 256).alias("decoded_sha256"), *([F.col("coded.ids").alias("ids")] if ids else []),
     )
 
 

@@ -31,19 +31,25 @@ def normal(line):
     return " ".join(WORD.findall(line.lower()))
 
 
-def verdicts(rows, min_documents=20, max_share=0.1):
-    """(base, base_failed, left, clean, kept) of (text, host) rows."""
+def common_lines(rows, min_documents=20, max_share=0.1):
+    """The normalised lines above the limits for each host of (text, host) rows."""
     texts = defaultdict(set)
     for text, host in rows:
         if text is not None:
             texts[host].add(text)
-    common = {}
+    common = defaultdict(set)
     for host, held in texts.items():
         count = defaultdict(int)
         for text in held:
             for line in {normal(x) for x in text.split("\n")} - {""}:
                 count[line] += 1
         common[host] = {x for x, n in count.items() if n > min_documents and n > max_share * len(held)}
+    return common
+
+
+def verdicts(rows):
+    """(base, base_failed, left, clean, kept) of (text, host) rows."""
+    common = common_lines(rows)
     out = []
     for text, host in rows:
         b = base(text)
