@@ -6,7 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from knotwork.session import cut_lineage
+
 SALTS = 64
+# Rows that one task may sort for a limit.
+ONE_TASK = 10_000
 # Up to this many rows Spark's window group limit prunes below the shuffle.
 PRUNED_BELOW_SHUFFLE = 1000
 
@@ -34,5 +38,25 @@ def _first_ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column],
 
 
 def first_rows(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
-    """``LIMIT n`` made deterministic; plans as a per-partition top-n and one merge."""
-    return df.orderBy(*order).limit(n)
+    """``LIMIT n`` made deterministic.
+
+    Up to ONE_TASK rows this is a top-n per partition and one merge.  For more, the rows are
+    dealt by ranges of the order and sorted inside each range; the counts of the ranges, one
+    number each, say which come in whole and which one is cut, so no task sorts ``n`` rows.
+    The order must tell all rows apart.
+    """
+    if n <= ONE_TASK:
+        return df.orderBy(*order).limit(n)
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = cut_lineage(ranges.withColumn("_range", F.spark_partition_id()))
+    counts = sorted((r["_range"], r["count"]) for r in ranges.groupBy("_range").count().collect())
+    whole, missing = -1, n
+    for number, count in counts:
+        if count > missing:
+            break
+        whole, missing = number, missing - count
+    kept = ranges.where(F.col("_range") <= whole)
+    if missing and counts and whole < counts[-1][0]:
+        cut = min(number for number, _ in counts if number > whole)
+        kept = kept.union(ranges.where(F.col("_range") == cut).orderBy(*order).limit(missing))
+    return kept.drop("_range")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from knotwork.model import EDGE_SCHEMA, PropertyGraph, shape_vertices
 from knotwork.operators import delete, lookup, merge, scans, traverse
-from knotwork.operators.ranking import top_per_group
+from knotwork.operators.ranking import first_rows, top_per_group
 
 
 def random_graph(spark, seed, vertices=25, edges=60):
@@ -145,3 +145,15 @@ def test_catalogue_and_samples(spark):
     }
     assert [r.name for r in scans.sample_names(graph).orderBy("name").collect()] == ["00", "01", "02", "03", "04"]
     assert sum(r.degree for r in traverse.degree(graph).collect()) == 2 * graph.edges.count()
+
+
+@pytest.mark.parametrize("n", [5, 40, 41, 333, 999, 1000, 1001, 5000])
+def test_large_limits_are_cut_by_ranges(spark, n, monkeypatch):
+    """The same rows, in order, as one sort of all of them; no task sorts them all."""
+    monkeypatch.setattr("knotwork.operators.ranking.ONE_TASK", 40)
+    rows = spark.range(1000).select((F.col("id") * 7919 % 1000 % 10).alias("a"), (F.col("id") * 31 % 1000).alias("b"), F.lit("x" * 50).alias("c"))
+    got = first_rows(rows.repartition(6), ["a", F.desc("b")], n)
+    assert [(r.a, r.b) for r in got.collect()] == sorted(((i * 7919 % 1000 % 10, i * 31 % 1000) for i in range(1000)), key=lambda r: (r[0], -r[1]))[:n]
+    if n == 999:  # only the range that is cut is sorted again
+        assert "_range" in got._jdf.queryExecution().executedPlan().toString()
+    assert first_rows(rows.limit(0), ["a", "b"], n).count() == 0

@@ -265,3 +265,9 @@ def text_files(t: Tables):
         F.regexp_extract("file_path", "doc_id=([0-9]+)/", 1).cast("long").alias("doc_id"), F.md5(own.cast("binary")).alias("text"),
         "file_type", F.col("file_path").endswith(F.col("file_name")).alias("named"),
     )
+
+
+@query("L2 O2", with_(V) + "SELECT vid FROM v WHERE label IN ('ORDERS', 'CUSTOMER') ORDER BY label, key LIMIT 11000")
+def records_large_limit(t: Tables):
+    """A limit beyond what one task sorts: whole ranges, and one that is cut."""
+    return scans.records(t.graph, ["ORDERS", "CUSTOMER"], limit=11_000).select("vid")
