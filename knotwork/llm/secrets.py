@@ -3,7 +3,8 @@
 Candidates are long runs of the characters that keys and tokens are made of, and values of
 SHORTEST characters or more that are assigned to a secret's name.  Each gets
 features: length, shares and transitions of character classes, the share that dictionary words
-cover, and hashed words of its path and of the text to its left.  A random forest is trained
+cover, and hashed words of its path and of the text to its left, without the names that its label
+was read from.  A random forest is trained
 on labelled findings (a bounded sample: at most MAX_TRAINING of each label, the ones with the
 smallest hash) and scores every candidate.
 
@@ -11,8 +12,8 @@ Findings are labelled by ``rule_labels`` where the text itself says so (assigned
 such as "token", or plainly words or numbers); any column of 0, 1 and null can be given instead.
 
 Defined cases: a null text has no candidates; a null path has no words; positions are code
-points, ends exclusive; findings with equal values train once; without findings of both
-labels there is no forest: labelled findings keep their label and others score 0; an empty
+points, ends exclusive; texts of any length are scanned whole; findings with equal values train
+once, with the smallest of their contexts; without findings of both labels there is no forest: labelled findings keep their label and others score 0; an empty
 table gives an empty result; the columns named in ``keep`` may have any names (they come back
 inside ``row``).
 """
@@ -32,6 +33,7 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
 # Names that a secret is assigned to.
 NAME = r"(?i)(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key|credential)[\"']?\s*+[:=]\s*+"
 NAMED = NAME + r"[\"']?$"
+NAME_WORDS = ["token", "secret", "password", "passwd", "api", "apikey", "access", "accesskey", "private", "privatekey", "key", "credential"]
 SHORTEST = 6
 # A value in quotes goes up to the closing one; others end at white space, quotes and separators.
 VALUE = rf"(?:\"[^\"\r\n]{{{SHORTEST},}}+(?=\")|'[^'\r\n]{{{SHORTEST},}}+(?=')|[\"']?+[^\s\"'&,;]{{{SHORTEST},}}+)"
@@ -41,7 +43,7 @@ PLAIN = r"^(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+|[A-Za-z]?[a-z]+(?:[-_/+][A-Za-z]?[a-z]*
 MAX_TRAINING = 10_000
 TREES, DEPTH, SEED = 24, 6, 7
 WORD_BINS, PATH_BINS = 64, 16
-SHORTEST_WORD, LONGEST_WORD = 4, 9
+SHORTEST_WORD = 4
 NUMBERS = ["length", "digits", "uppers", "marks", "distinct", "changes", "clusters", "coverage"]
 
 
@@ -82,18 +84,24 @@ def rule_labels(value: Column, before: Column) -> Column:
 
 
 def coverage(values: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """(value, covered): the share of each distinct value's characters inside dictionary words."""
-    distinct = values.select("value").distinct()
-    spots = distinct.select("value", F.explode(F.sequence(F.lit(1), F.length("value") - SHORTEST_WORD + 1)).alias("at")).select(
-        "value", "at", F.explode(F.sequence(F.lit(SHORTEST_WORD), F.lit(LONGEST_WORD))).alias("size"))
-    spots = spots.filter(F.col("at") + F.col("size") - 1 <= F.length("value"))
-    words = dictionary.select(F.lower("word").alias("word")).filter(
-        F.length("word").between(SHORTEST_WORD, LONGEST_WORD)).distinct()
-    hits = spots.withColumn("word", F.lower(F.substring("value", F.col("at"), F.col("size")))).join(words, "word")
-    reached = hits.groupBy("value", "at").agg(F.max("size").alias("size"))
-    inside = reached.select("value", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("at")).distinct()
-    covered = inside.groupBy("value").agg(F.count("*").alias("n"))
-    return distinct.join(covered, "value", "left").select(
+    """(value, covered): the share of each distinct value's characters inside dictionary words.
+
+    Words are looked up by their first letters, so each place of a value is one row whatever
+    lengths the dictionary has; a row carries no more of the value than its longest word.
+    """
+    words = dictionary.select(F.lower("word").alias("word")).filter(F.length("word") >= SHORTEST_WORD).distinct()
+    longest = words.agg(F.max(F.length("word"))).first()[0] or SHORTEST_WORD
+    lookup = words.groupBy(F.left("word", F.lit(SHORTEST_WORD)).alias("stem")).agg(F.collect_list("word").alias("words"))
+    distinct = values.select("value").distinct().withColumn("key", F.unhex(F.md5("value")))
+    places = F.sequence(F.lit(1), F.length("value") - SHORTEST_WORD + 1)
+    spots = distinct.filter(F.length("value") >= SHORTEST_WORD).select("key", F.explode(F.transform(places, lambda at: F.struct(
+        at.alias("at"), F.lower(F.substring(F.col("value"), at, F.lit(longest))).alias("piece")))).alias("s")).select("key", "s.*")
+    held = spots.withColumn("stem", F.left("piece", F.lit(SHORTEST_WORD))).join(lookup, "stem")
+    size = F.array_max(F.transform("words", lambda w: F.when(F.startswith(F.col("piece"), w), F.length(w))))
+    inside = held.withColumn("size", size).filter("size IS NOT NULL").select(
+        "key", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("at")).distinct()
+    covered = inside.groupBy("key").agg(F.count("*").alias("n"))
+    return distinct.join(covered, "key", "left").select(
         "value", (F.coalesce("n", F.lit(0)) / F.length("value")).alias("coverage"))
 
 
@@ -105,7 +113,9 @@ def features(found: DataFrame, dictionary: DataFrame) -> DataFrame:
         return F.regexp_count(value, F.lit(pattern)) / size
 
     changes = r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])|(?<=[A-Za-z0-9])(?=[+/_=-])"
-    words = F.slice(F.filter(F.split(F.lower("before"), "[^a-z]+"), lambda w: w != ""), -3, 3)
+    # The name that a label is read from is no feature, or the forest would learn the rule.
+    front = F.lower(F.regexp_replace("before", NAMED, ""))
+    words = F.slice(F.filter(F.split(front, "[^a-z]+"), lambda w: (w != "") & ~w.isin(NAME_WORDS)), -3, 3)
     names = F.filter(F.split(F.lower(F.coalesce("path", F.lit(""))), "[^a-z]+"), lambda w: w != "")
     return found.join(coverage(found, dictionary), "value").withColumns({
         "length": size.cast("double"), "digits": share("[0-9]"), "uppers": share("[A-Z]"), "marks": share("[^A-Za-z0-9]"),
@@ -116,7 +126,8 @@ def features(found: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame) -> PipelineModel | None:
     """A forest for features with ``label``; None without findings of both labels."""
-    ordered = labelled.filter(F.col("label").isNotNull()).dropDuplicates(["value", "label"]).withColumn("order", F.xxhash64("value"))
+    ordered = labelled.filter(F.col("label").isNotNull()).groupBy("value", "label").agg(
+        F.min(F.struct("words", "names", *NUMBERS)).alias("least")).select("value", "label", "least.*", F.xxhash64("value").alias("order"))
     samples = [ordered.filter(F.col("label") == x).orderBy("order", "value").limit(MAX_TRAINING) for x in (0, 1)]
     # Bounded and in one order, so that the same findings always give the same forest.
     sample = cut_lineage(samples[0].union(samples[1]).coalesce(1).sortWithinPartitions("order", "label").select(

@@ -45,6 +45,31 @@ def test_candidates(spark):
     assert sorted((r.row.doc_id, r.start, r.end, r.value) for r in got) == want
 
 
+def scan_by_hand(text):
+    """Long runs of key characters, each with at most two '=' behind it, character by character."""
+    letters = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
+    out, at = [], 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end] in letters:
+            end += 1
+        if end - at >= 20:
+            marks = 0
+            while marks < 2 and text[end + marks:end + marks + 1] == "=":
+                marks += 1
+            out.append((at, end + marks, text[at:end + marks]))
+        at = max(end, at + 1)
+    return out
+
+
+def test_candidates_by_hand(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("aZ09+/_-aaaaaaaaaaaaaaaaaaaaaaaa= .é\n") for _ in range(rng.randint(0, 300))) for _ in range(200)]
+    got = secrets.candidates(frame(spark, [(t, None) for t in texts])).collect()
+    assert sorted((r.row.doc_id, r.start, r.end, r.value) for r in got) == [
+        (i, *m) for i, t in enumerate(texts) for m in scan_by_hand(t)]
+
+
 def test_planted_forms(spark, dictionary):
     key = "0123456789abcdef" * 2 + "a1b2c3d4"
     planted = [
@@ -68,7 +93,7 @@ def test_coverage(spark, dictionary):
     values = ["serviceserviceservice", "configurationxxxxxxxx", "abcdefghijklmnopqrst", "ConfigServiceConfig0"]
     got = {r.value: round(r.coverage, 6) for r in secrets.coverage(
         spark.createDataFrame([(v,) for v in values * 2], "value string"), dictionary).collect()}
-    assert got == {values[0]: 1.0, values[1]: round(6 / 21, 6), values[2]: 0.0, values[3]: round(19 / 20, 6)}
+    assert got == {values[0]: 1.0, values[1]: round(13 / 21, 6), values[2]: 0.0, values[3]: round(19 / 20, 6)}
 
 
 def test_held_out_accuracy(spark, dictionary):
@@ -92,6 +117,22 @@ def test_reruns_agree_and_forest_needs_both_labels(spark, dictionary):
     assert len(only) == 5 and all(r.secret and r.score == 1.0 for r in only)
 
 
+def test_equal_values_in_other_contexts_train_alike(spark, dictionary):
+    rng = random.Random(4)
+    values = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(30)]
+    rows = [(f"{rng.choice(WORDS)} {rng.choice(WORDS)} token = {v} here", f"src/{rng.choice(WORDS)}.py") for v in values for _ in range(6)]
+    rows += rows_(5, 20)[3::4] + rows_(6, 20)[2::4]
+    found = secrets.candidates(frame(spark, rows))
+    found = secrets.features(found.withColumn("label", secrets.rule_labels(F.col("value"), F.col("before"))), dictionary)
+    assert not {w for r in found.select("words").collect() for w in r.words} & set(secrets.NAME_WORDS)
+    order = [list(range(len(rows))), list(reversed(range(len(rows))))]
+    runs = []
+    for n, places in zip((3, 7), order):
+        docs = spark.createDataFrame([(i, *rows[i], 1, 2) for i in places], SCHEMA).repartition(n)
+        runs.append(sorted((r.row.doc_id, r.start, r.score) for r in secrets.scan(docs, dictionary).collect()))
+    assert runs[0] == runs[1]
+
+
 def test_empty_table(spark, dictionary):
     assert secrets.scan(spark.createDataFrame([], SCHEMA), dictionary).collect() == []
 
