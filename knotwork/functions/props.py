@@ -52,6 +52,21 @@ def json_field(key: str, path: str) -> Column:
     return F.get_json_object(prop(key), path)
 
 
+def with_nested(vertices: DataFrame, **columns: str) -> DataFrame:
+    """``vertices`` with a VARIANT column for each ``name=property`` that holds JSON text.
+
+    The text is parsed once, whatever number of fields is read; text that is no JSON, and a
+    property that is not there, give NULL.
+    """
+    return vertices.withColumns({name: F.try_parse_json(prop(key)) for name, key in columns.items()})
+
+
+def nested_field(column: str, path: str, kind: str) -> Column:
+    """The field at ``path`` of a parsed property as a value of SQL type ``kind``; NULL when
+    there is none or it is of another kind."""
+    return F.try_variant_get(F.col(column), path, kind)
+
+
 def encode(df: DataFrame, column: str) -> Column:
     """One typed column as property text: nested values as JSON, scalars as strings."""
     dtype = df.schema[column].dataType

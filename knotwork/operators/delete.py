@@ -14,6 +14,7 @@ from knotwork.functions.props import all_equal, prop
 from knotwork.functions.text import TEXT_CHUNK, fold_literal, relation_name
 from knotwork.model import PropertyGraph, vertex_id
 from knotwork.operators.lookup import MAX_LITERALS, ids_table
+from knotwork.operators.sizes import fits_memory, mark
 from knotwork.operators.traverse import touched, touching
 from knotwork.session import cut_lineage
 
@@ -59,7 +60,8 @@ class Removal:
         """The graph that is left.
 
         Edges are anti joined with the removed ids only (usually few), not semi
-        joined with all vertices that stay.
+        joined with all vertices that stay.  The ids are found once and, where they
+        were measured to fit, sent to the edges, which then stay where they are.
         """
         vertices, edges = graph.vertices, graph.edges
         if self.edge_types:
@@ -68,8 +70,11 @@ class Removal:
             edges = edges.join(self.edges, EDGE_KEY, "left_anti").select(*edges.columns)
         if self.where is not None or self.vids is not None:
             gone = self.doomed_vertices(graph).select(F.col("vid").alias("_gone"))
+            if not (self.found and self.where is None):
+                gone = cut_lineage(gone)
+            fits = fits_memory(gone)
             for end in ("src", "dst"):
-                edges = edges.join(gone, F.col(end) == F.col("_gone"), "left_anti")
+                edges = edges.join(mark(gone, fits), F.col(end) == F.col("_gone"), "left_anti")
         if self.where is not None:
             vertices = vertices.where(~F.coalesce(self.where, F.lit(False)))
         if self.vids is not None:

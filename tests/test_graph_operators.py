@@ -157,3 +157,33 @@ def test_large_limits_are_cut_by_ranges(spark, n, monkeypatch):
     if n == 999:  # only the range that is cut is sorted again
         assert "_range" in got._jdf.queryExecution().executedPlan().toString()
     assert first_rows(rows.limit(0), ["a", "b"], n).count() == 0
+
+
+def test_nested_properties_are_typed(spark):
+    from knotwork.functions.props import nested_field, with_nested
+
+    bodies = ['{"n": 1.5, "list": [1, "x", null], "deep": {"a": {"b": true}}}', '{"n": "1.5"}', "no json", "", None, "[7, 8]", "null"]
+    rows = spark.createDataFrame([(i, {"body": b} if b is not None else {}) for i, b in enumerate(bodies)], "i int, props map<string,string>")
+    fields = {"n": ("$.n", "double"), "first": ("$.list[0]", "int"), "word": ("$.list[1]", "int"), "b": ("$.deep.a.b", "boolean"),
+              "size": ("$", "array<int>"), "far": ("$.list[9]", "int")}
+    got = with_nested(rows, parsed="body").select("i", *[nested_field("parsed", *f).alias(n) for n, f in fields.items()]).orderBy("i").collect()
+    assert [tuple(r)[1:] for r in got] == [
+        (1.5, 1, None, True, None, None), (1.5, None, None, None, None, None), (None,) * 6, (None,) * 6, (None,) * 6,
+        (None, None, None, None, [7, 8], None), (None,) * 6]
+
+
+def test_deleted_ids_are_found_once_and_sent_to_the_edges(spark):
+    from knotwork.sources.tables import tables_graph
+    from conftest import TESTDATA
+
+    graph = tables_graph(spark, str(TESTDATA))
+    nations = [r.name for r in graph.vertices.where("label = 'NATION'").orderBy("name").select("name").collect()]
+    first, last = nations[0], nations[-1]
+    names = spark.createDataFrame([(first,), (last,)], "ref string")
+    ends = F.col("src").isin(f"NATION/{first}", f"NATION/{last}") | F.col("dst").isin(f"NATION/{first}", f"NATION/{last}")
+    assert not graph.edges.where(ends).isEmpty()
+    for left in (delete.plan_names(graph, [first, last]).apply(graph), delete.plan_names(graph, names).apply(graph)):
+        plan = left.edges._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert left.edges.where(ends).isEmpty()
+        assert left.vertices.where("label = 'NATION'").count() == len(nations) - 2

@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from knotwork.functions.props import json_field, prop
+from knotwork.functions.props import json_field, nested_field, prop, with_nested
 from knotwork.model import PropertyGraph, shape_vertices
 from knotwork.operators import lookup, scans
 from knotwork.plans.sql import register_views, run_sql
@@ -148,6 +148,25 @@ def json_field_filter(t: Tables):
     return vertices.where(k >= 50).select("vid", k.alias("k"))
 
 
+@query("F10 N7", """SELECT 'EVENT/' || event_id AS vid, CAST(json_extract(body, '$.value') AS DOUBLE) AS amount,
+  json_extract_string(body, '$.meta.kind') AS kind, CAST(json_extract(body, '$.ids[1]') AS BIGINT) AS second,
+  CAST(json_array_length(body, '$.ids') AS INT) AS n_ids, CAST(json_extract(body, '$.meta.inner.k') AS INT) AS k,
+  CAST(json_extract(body, '$.nowhere[3].x') AS BIGINT) AS missing, TRY_CAST(json_extract_string(body, '$.meta.kind') AS INT) AS other_kind
+FROM (SELECT event_id, to_json({'value': value, 'ids': [event_id, user_id], 'meta': {'kind': event_type, 'inner': CAST(props AS JSON)}}) AS body
+  FROM events) WHERE CAST(json_extract(body, '$.ids[1]') AS BIGINT) % 3 = 0""")
+def json_typed_fields(t: Tables):
+    events, key = t("events"), F.col("event_id").cast("string")
+    inner = F.from_json("props", "k int")
+    body = F.to_json(F.struct(
+        "value", F.array("event_id", "user_id").alias("ids"), F.struct(F.col("event_type").alias("kind"), inner.alias("inner")).alias("meta")))
+    vertices = with_nested(shape_vertices(events, "EVENT", key, id=key, props=F.create_map(F.lit("body"), body)), parsed="body")
+    return vertices.where(nested_field("parsed", "$.ids[1]", "bigint") % 3 == 0).select(
+        "vid", nested_field("parsed", "$.value", "double").alias("amount"), nested_field("parsed", "$.meta.kind", "string").alias("kind"),
+        nested_field("parsed", "$.ids[1]", "bigint").alias("second"),
+        F.size(nested_field("parsed", "$.ids", "array<bigint>")).alias("n_ids"), nested_field("parsed", "$.meta.inner.k", "int").alias("k"),
+        nested_field("parsed", "$.nowhere[3].x", "bigint").alias("missing"), nested_field("parsed", "$.meta.kind", "int").alias("other_kind"))
+
+
 @query("S11", """SELECT 'MESSAGE/' || conv_id || ':' || turn AS vid, role AS name, CAST(turn AS VARCHAR) AS turn,
   CAST(to_json({'role': role, 'turn': turn}) AS VARCHAR) AS origin FROM conversations""")
 def json_insert(t: Tables):
