@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from knotwork.functions.props import PROPS_TYPE, props_from
@@ -10,6 +15,35 @@ from knotwork.model import shape_vertices
 from knotwork.operators.merge import NODE_BATCH, batch_of
 
 
+# Files of one folder.
+SHELF = 1000
+
+
+def write_text(documents: DataFrame, folder: str, name: Column, text: Column) -> None:
+    """One text file per row below ``folder``, named by ``name``, task and row, so equal names
+    do not meet.  A missing text gives an empty file; every file ends with a line feed.
+
+    The tasks put the files where they stay, some to a folder: Spark's own writer opens a folder
+    per value, and with local files starts a process for each file's permissions.  A task that is
+    repeated writes the same files again.
+    """
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = FileSystem.from_uri(folder)
+        task, row = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for called, body in zip(batch.column("name").to_pylist(), batch.column("text")):
+                shelf = f"{root}/shelf={task}-{row // SHELF}"
+                if row % SHELF == 0:
+                    files.create_dir(shelf, recursive=True)
+                with files.open_output_stream(f"{shelf}/{called}_{task}-{row}.txt") as out:
+                    out.write((body.as_py() or b"") + b"\n")
+                row += 1
+        yield pa.RecordBatch.from_arrays([pa.array([row])], ["written"])
+
+    rows = documents.select(name.alias("name"), text.cast("binary").alias("text"))
+    rows.mapInArrow(write, "written long").agg(F.sum("written")).first()
+
+
 def read_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text files as documents: one row per file with its name and path."""
     files = spark.read.text(path, wholetext=True).withColumn("file_path", F.input_file_name())

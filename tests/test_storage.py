@@ -15,7 +15,7 @@ from knotwork.plans.nodes import EntityNode, Relation
 from knotwork.plans.property_store import PropertyStore
 from knotwork.plans.sql import query_views, run_sql
 from knotwork.session import cut_lineage
-from knotwork.sources.documents import chunk_batch, json_vertices, read_text
+from knotwork.sources.documents import chunk_batch, json_vertices, read_text, write_text
 from knotwork.sources.store import FILES, GraphStore
 
 
@@ -25,6 +25,17 @@ def small(spark, names, label="N"):
     return PropertyGraph(shape_vertices(rows, label, F.col("n"), name=F.col("n")), edges)
 
 
+def test_text_files_are_put_in_place_by_the_tasks(spark, tmp_path):
+    """No folder for a file, no checksum file beside it, equal names kept apart."""
+    rows = [(i % 1500, f"text {i}\n") for i in range(2500)] + [(7, None), (8, "")]
+    write_text(spark.createDataFrame(rows, "n long, text string").coalesce(2), f"{tmp_path}/texts",
+               F.col("n").cast("string"), F.col("text"))
+    files = [p for p in (tmp_path / "texts").rglob("*") if p.is_file()]
+    assert len(files) == len(rows) and len({p.parent for p in files}) <= 4
+    read = [(int(r.file_name.split("_")[0]), r.text) for r in read_text(spark, f"{tmp_path}/texts").collect()]
+    assert sorted(read) == sorted((n, (text or "") + "\n") for n, text in rows)
+
+
 def test_missing_graph(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         GraphStore(spark, str(tmp_path / "none"), create=False)

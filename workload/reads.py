@@ -9,7 +9,7 @@ from knotwork.model import PropertyGraph, shape_vertices
 from knotwork.operators import lookup, scans
 from knotwork.plans.sql import register_views, run_sql
 from knotwork.session import shared_dir
-from knotwork.sources.documents import json_vertices, read_text
+from knotwork.sources.documents import json_vertices, read_text, write_text
 from workload.registry import E, P, V, Tables, query, with_
 
 
@@ -276,12 +276,12 @@ def sql_views(t: Tables):
 def text_files(t: Tables):
     """Documents written as one text file each and read back whole, with their paths."""
     folder = f"{shared_dir(t.spark)}/texts-{uuid.uuid4().hex}"
-    t("documents").select("doc_id", "text").write.partitionBy("doc_id").text(folder)
+    write_text(t("documents"), folder, F.col("doc_id").cast("string"), F.col("text"))
     found = read_text(t.spark, folder)
     # The writer ends a file with a line feed of its own.
     own = F.substring("text", F.lit(1), F.length("text") - 1)
     return found.select(
-        F.regexp_extract("file_path", "doc_id=([0-9]+)/", 1).cast("long").alias("doc_id"), F.md5(own.cast("binary")).alias("text"),
+        F.regexp_extract("file_name", "^(-?[0-9]+)_", 1).try_cast("long").alias("doc_id"), F.md5(own.cast("binary")).alias("text"),
         "file_type", F.col("file_path").endswith(F.col("file_name")).alias("named"),
     )
 
