@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from knotwork.functions.props import all_equal
 from knotwork.functions.text import TEXT_CHUNK
 from knotwork.model import PropertyGraph, edge_id
-from knotwork.operators.lookup import literal_ids, settle, start_vertices, vertices_of
+from knotwork.operators.lookup import MAX_LITERALS, literal_ids, settle, start_vertices, vertices_of
 from knotwork.operators.ranking import first_rows, top_per_group
-from knotwork.operators.sizes import mark
+from knotwork.operators.sizes import MAX_BROADCAST_BYTES, fits_memory, mark, measured_bytes
 from knotwork.session import cut_lineage
 
 EDGE_ORDER = ("label", "src", "dst")
-USED = "array<struct<label:string,src:string,dst:string>>"
 
 
 def display_name() -> Column:
@@ -157,6 +157,26 @@ def touching(edges: DataFrame, starts: DataFrame, bound: int | None = None, fits
     return flagged.where(F.col("_out") | F.col("_in")).drop("_out", "_in")
 
 
+def types_among(settled: DataFrame) -> list[str] | None:
+    """The types that settled record ids (column ``vid``) begin with, or None when they are
+    too many for a predicate."""
+    found = settled.select(_type_of("vid").alias("type")).where(F.col("type").isNotNull()).distinct()
+    types = sorted(r.type for r in found.limit(MAX_LITERALS + 1).collect())
+    return types if len(types) <= MAX_LITERALS else None
+
+
+def _type_of(vid: str) -> Column:
+    return F.substring_index(vid, "/", 1)
+
+
+def at_types(rows: DataFrame, types: list[str] | None, *ends: str) -> DataFrame:
+    """Rows with a record id of one of the types in some of the columns.  Other rows cannot
+    meet vertices of these types, so they are left out before any shuffle."""
+    if types is None:
+        return rows
+    return rows.where(reduce(Column.__or__, [_type_of(end).isin(*types) if types else F.lit(False) for end in ends]))
+
+
 def incident_edges(graph: PropertyGraph, starts: DataFrame, limit: int | None = None) -> DataFrame:
     """Edges in either direction around the start vertices."""
     edges = touching(graph.edges, starts)
@@ -179,7 +199,11 @@ def rel_map(graph: PropertyGraph, refs: DataFrame, depth: int = 2, limit: int =
     else:
         starts = settle(starts, bound)
     wanted = None if not ignore_rels else ~F.col("label").isin(*ignore_rels)
-    edges = touching(graph.edges, starts, bound)
+    if bound is None:
+        near = at_types(graph.edges, types_among(starts), "src", "dst")
+        edges = touching(near, starts, fits=fits_memory(starts))
+    else:
+        edges = touching(graph.edges, starts, bound)
     if wanted is not None and not limit_first:
         edges = edges.where(wanted)
     edges = first_rows(edges, EDGE_ORDER, limit)
@@ -191,20 +215,30 @@ def rel_map(graph: PropertyGraph, refs: DataFrame, depth: int = 2, limit: int =
 def k_hop(graph: PropertyGraph, starts: DataFrame, depth: int) -> DataFrame:
     """Vertices within ``depth`` undirected hops: ``vid`` and smallest ``depth``.
 
-    Breadth first over a table of frontiers.  The frontier is made distinct before
-    each join, visited vertices are removed, and every level is written to the
-    checkpoint folder so the plan does not grow with the number of hops.
+    Breadth first over a table of frontiers.  Visited vertices are removed, and every
+    level is written to the checkpoint folder so the plan does not grow with the number
+    of hops.  Vertices that were measured to fit are sent to the edges.
     """
-    around = both_ways(graph.edges)
     frontier = cut_lineage(starts.select("vid").distinct())
-    reached = frontier.withColumn("depth", F.lit(0))
+    reached, held = frontier.withColumn("depth", F.lit(0)), 0
     for level in range(1, depth + 1):
-        step = around.join(frontier, "vid", "left_semi").select(F.col("neighbor").alias("vid")).distinct()
-        frontier = cut_lineage(step.join(reached, "vid", "left_anti"))
+        own = measured_bytes(frontier)
+        held += own
+        step = _around(graph.edges, frontier, own <= MAX_BROADCAST_BYTES)
+        visited = mark(reached.select("vid"), held <= MAX_BROADCAST_BYTES)
+        frontier = cut_lineage(step.join(visited, "vid", "left_anti"))
         reached = reached.union(frontier.withColumn("depth", F.lit(level)))
     return reached
 
 
+def _around(edges: DataFrame, settled: DataFrame, fits: bool) -> DataFrame:
+    """Neighbours of settled vertices, each once."""
+    types = types_among(settled)
+    ways = at_types(both_ways(at_types(edges, types, "src", "dst")), types, "vid")
+    found = ways.join(mark(settled.select("vid"), fits), "vid", "left_semi")
+    return found.select(F.col("neighbor").alias("vid")).distinct()
+
+
 def both_ways(edges: DataFrame) -> DataFrame:
     """Every edge seen from either end, out of one scan."""
     ends = F.array(
@@ -217,9 +251,7 @@ def both_ways(edges: DataFrame) -> DataFrame:
 def k_hop_neighbors(graph: PropertyGraph, starts: DataFrame, depth: int) -> DataFrame:
     """Neighbours of everything within ``depth`` hops, each once."""
     reached = k_hop(graph, starts, depth).select("vid")
-    return both_ways(graph.edges).join(reached, "vid", "left_semi").select(
-        F.col("neighbor").alias("vid")
-    ).distinct()
+    return _around(graph.edges, reached, fits_memory(reached))
 
 
 def paths(graph: PropertyGraph, starts: DataFrame, depth: int = 2, limit: int | None = 30,
@@ -235,25 +267,23 @@ def paths(graph: PropertyGraph, starts: DataFrame, depth: int = 2, limit: int |
     others (``depth`` more allow for edges a path already used).
     """
     edges = graph.edges.select("label", "src", "dst")
-    walks = starts.select(
-        F.col("vid").alias("start"), F.col("vid").alias("end"),
-        F.array().cast("array<string>").alias("steps"), F.array().cast(USED).alias("used"),
-    )
+    first = cut_lineage(starts.select(F.col("vid").alias("start")))
+    walks = first.select("start", F.col("start").alias("end"), F.array().cast("array<string>").alias("steps"))
     levels, missing = [], limit or 0
     for level in range(1, depth + 1):
-        nearby = edges
+        ends = cut_lineage(walks.select(F.col("end").alias("vid")).distinct())
+        nearby = at_types(edges, types_among(ends), "src")
+        # Edges that leave few ends are few, unless one is a hub, and sent to the walks if so.
+        few = fits_memory(ends)
+        if few or limit is not None:
+            nearby = nearby.join(mark(ends.select(F.col("vid").alias("src")), few), "src", "left_semi")
         if limit is not None:
-            ends = walks.select(F.col("end").alias("src")).distinct()
-            nearby = top_per_group(
-                edges.join(ends, "src", "left_semi"), ["src"], [F.col("label"), F.col("dst")], limit + depth
-            )
-        step = F.struct("label", "src", "dst")
-        walks = walks.join(nearby, walks["end"] == nearby["src"]).where(
-            ~F.array_contains("used", step)
-        ).select(
-            "start", F.col("dst").alias("end"),
-            F.concat("steps", F.array("label", "dst")).alias("steps"),
-            F.concat("used", F.array(step)).alias("used"),
+            nearby = top_per_group(nearby, ["src"], [F.col("label"), F.col("dst")], limit + depth)
+        elif few and level > 1:
+            nearby = cut_lineage(nearby)
+            nearby = mark(nearby, fits_memory(nearby))
+        walks = walks.join(nearby, walks["end"] == nearby["src"]).where(~_walked(level - 1)).select(
+            "start", F.col("dst").alias("end"), F.concat("steps", F.array("label", "dst")).alias("steps"),
         )
         if limit is not None:
             walks = cut_lineage(first_rows(walks, ["start", "steps"], missing))
@@ -275,6 +305,16 @@ def paths(graph: PropertyGraph, starts: DataFrame, depth: int = 2, limit: int |
     )).drop("steps")
 
 
+def _walked(length: int) -> Column:
+    """Whether an edge is one of the ``length`` edges that a path consists of."""
+    same = F.lit(False)
+    for i in range(length):
+        src = F.col("start") if i == 0 else F.get("steps", F.lit(2 * i - 1))
+        edge = zip(("label", "src", "dst"), (F.get("steps", F.lit(2 * i)), src, F.get("steps", F.lit(2 * i + 1))))
+        same = same | reduce(Column.__and__, [F.col(name).eqNullSafe(value) for name, value in edge])
+    return same
+
+
 # Degrees and leftovers --------------------------------------------------------
 
 

@@ -187,3 +187,33 @@ def test_deleted_ids_are_found_once_and_sent_to_the_edges(spark):
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
         assert left.edges.where(ends).isEmpty()
         assert left.vertices.where("label = 'NATION'").count() == len(nations) - 2
+
+
+def test_edges_of_other_types_stay_out_of_hops(spark):
+    graph, rows = random_graph(spark, 4, 30, 35)
+    other = spark.createDataFrame([("A", f"X/{i}", f"Y{i}/0", {}) for i in range(1200)], EDGE_SCHEMA)
+    more = graph.with_edges(graph.edges.union(other))
+    start = graph.vertices.where(F.col("vid") == "N/03")
+    assert traverse.types_among(start) == ["N"]
+    assert traverse.at_types(more.edges, ["N"], "src", "dst").count() == len(rows)
+    assert traverse.types_among(other.select(F.col("dst").alias("vid"))) is None
+    wanted = sorted(map(tuple, traverse.k_hop(graph, start, 3).collect()))
+    assert sorted(map(tuple, traverse.k_hop(more, start, 3).collect())) == wanted
+    all_x = spark.createDataFrame([("X/0",)], "vid string")
+    assert {(r.vid, r.depth) for r in traverse.k_hop(more, all_x, 2).collect()} == {("X/0", 0), ("Y0/0", 1)}
+    starts = other.select(F.col("dst").alias("vid"))
+    assert traverse.k_hop_neighbors(more, starts, 1).count() == 2400
+
+
+def test_walks_carry_no_second_copy_of_their_edges(spark):
+    """A path is told from its steps: parallel edges and missing labels count as edges of their own."""
+    rows = [("A", "N/1", "N/2"), ("B", "N/1", "N/2"), (None, "N/2", "N/1"), ("A", "N/2", "N/2")]
+    edges = spark.createDataFrame([(*r, {}) for r in rows], EDGE_SCHEMA)
+    start = spark.createDataFrame([("N/1",)], "vid string")
+    found = traverse.paths(PropertyGraph(start, edges), start, 4, None, final_target=False)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "used#" not in plan
+    longest = [tuple(r.path) for r in found.where("length = 4").collect()]
+    assert sorted(longest, key=str) == sorted([
+        ("A", "N/2", None, "N/1", "B", "N/2", "A", "N/2"), ("B", "N/2", None, "N/1", "A", "N/2", "A", "N/2"),
+        ("A", "N/2", "A", "N/2", None, "N/1", "B", "N/2"), ("B", "N/2", "A", "N/2", None, "N/1", "A", "N/2")], key=str)
