@@ -60,3 +60,11 @@ def test_punctuation_is_the_same_for_columns_and_literals(spark):
 
 def test_relation_name(spark):
     assert evaluate(spark, [("works for",), ("KNOWS",)], text.relation_name) == ["WORKS_FOR", "KNOWS"]
+
+
+def test_rows_of_a_small_file_are_spread(spark):
+    from workload.rules import spread
+
+    rows = spark.range(1000).coalesce(1)
+    assert spread(rows).rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in spread(rows).collect()) == list(range(1000))

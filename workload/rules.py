@@ -70,12 +70,17 @@ def normalize_names(t: Tables):
     return _with_endings(t, ENDINGS).select("raw", text.normalize_name(F.col("raw")).alias("name"))
 
 
+def spread(rows):
+    """Rows of a small file over all cores, because every one of them becomes many."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def _with_endings(t: Tables, endings: list[str]):
     base = (
         t("part").select("p_name").union(t("customer").select("c_name")).union(t("nation").select("n_name"))
         .union(t("supplier").select(F.concat(F.lit("  "), "s_name"))).toDF("base")
     )
-    forms = base.select("base", F.explode(literals(*endings)).alias("ending"))
+    forms = spread(base).select("base", F.explode(literals(*endings)).alias("ending"))
     short = t.spark.createDataFrame([(s,) for s in SHORT], "raw string")
     return forms.select(F.concat("base", "ending").alias("raw")).union(short)
 
@@ -93,7 +98,7 @@ LABELS = ["person", " Tech-Nology ", "works at", "a/b", "", "__", "café 1", "x.
   UNION ALL SELECT o_orderpriority FROM orders UNION ALL SELECT unnest({words(*LABELS)}))""")
 def canonical_labels(t: Tables):
     endings = literals(" Group", "-", " (a)", "_1", " & co")
-    forms = t("customer").select("c_mktsegment", F.explode(endings).alias("ending"))
+    forms = spread(t("customer").select("c_mktsegment")).select("c_mktsegment", F.explode(endings).alias("ending"))
     raw = forms.select(F.concat("c_mktsegment", "ending").alias("raw")).union(t("orders").select("o_orderpriority"))
     given = t.spark.createDataFrame([(x,) for x in LABELS], "raw string")
     return raw.union(given).select("raw", text.canonical_label(F.col("raw")).alias("label"))
@@ -104,7 +109,7 @@ def canonical_labels(t: Tables):
     p_name || hint AS name FROM part, unnest({words(*HINTS)}) AS u(hint)) WHERE trim(name) <> ''""")
 def entity_types(t: Tables):
     size = F.col("p_size")
-    forms = t("part").select(
+    forms = spread(t("part").select("p_size", "p_type", "p_brand", "p_name")).select(
         F.when(size > 25, F.col("p_type")).when(size > 10, F.concat_ws("/", "p_type", "p_brand"))
         .otherwise("").alias("label"),
         "p_name", F.explode(literals(*HINTS)).alias("hint"),
