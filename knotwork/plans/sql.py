@@ -86,6 +86,14 @@ def _known(graph: PropertyGraph, catalogue: DataFrame | None, names: set[str],
     return found | {r.label: (r.kind, r.own) for r in rows.orderBy(F.desc("kind")).collect()}
 
 
+def _both_ways(edges: DataFrame) -> DataFrame:
+    """Edges seen from either end (``this`` and ``other``), loops once, out of one scan."""
+    there = F.struct(F.col("src").alias("this"), F.col("dst").alias("other"))
+    back = F.struct(F.col("dst").alias("this"), F.col("src").alias("other"))
+    ways = F.when(F.col("src") != F.col("dst"), F.array(there, back)).otherwise(F.array(there))
+    return edges.select("*", F.inline(ways))
+
+
 def query_views(graph: PropertyGraph, query: str, params: Mapping[str, object] | Sequence[object] | None = None,
                 catalogue: DataFrame | None = None, declared: Sequence[str] = (), positional: bool = False) -> DataFrame:
     """Run a statement over the views of one graph.
@@ -112,8 +120,7 @@ def query_views(graph: PropertyGraph, query: str, params: Mapping[str, object] |
         views["E"] = edges
     if called:
         views["_edges"] = edges
-        back = edges.where("src <> dst").withColumns({"this": F.col("dst"), "other": F.col("src")})
-        views["_ways"] = edges.withColumns({"this": F.col("src"), "other": F.col("dst")}).union(back)
+        views["_ways"] = _both_ways(edges)
     made = []
     try:
         for view, rows in views.items():
