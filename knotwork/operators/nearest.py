@@ -21,38 +21,43 @@ from knotwork.functions.vectors import similarities, unit_rows
 from knotwork.model import PropertyGraph, types_of
 from knotwork.operators.ranking import top_per_group
 from knotwork.operators.sizes import fits_memory
-from knotwork.operators.vector import DEFAULT_TOP_K, MAX_SCORES
+from knotwork.operators.vector import DEFAULT_TOP_K
 from knotwork.session import cut_lineage
 
-# Rows of a tile.
+# Rows of a tile, and queries that are scored at once against one.
 TILE = 8192
+BLOCK = 128
 FOUND = StructType([
     StructField("number", LongType()), StructField("vid", StringType()), StructField("label", StringType()),
     StructField("score", DoubleType()),
 ])
 
+ARROW = pa.schema([("number", pa.int64()), ("vid", pa.string()), ("label", pa.string()), ("score", pa.float64())])
+
 
 class Best:
-    """The best ``k`` rows of each query so far, by score, then record id."""
+    """The best ``k`` rows of each query so far, by score, then record id.  Queries come in
+    blocks, each with rows of its own, so adding to one does not touch the others."""
 
     def __init__(self, k: int) -> None:
         self.k = k
-        self.number, self.score = np.empty(0, np.int64), np.empty(0)
-        self.vid, self.label = np.empty(0, object), np.empty(0, object)
+        self.blocks: dict[int, tuple] = {}
 
-    def add(self, number, vid, label, score) -> None:
-        number, score = np.concatenate([self.number, number]), np.concatenate([self.score, score])
-        vid, label = np.concatenate([self.vid, vid]), np.concatenate([self.label, label])
+    def add(self, block: int, number, vid, label, score) -> None:
+        if block in self.blocks:
+            held = zip(self.blocks[block], (number, vid, label, score))
+            number, vid, label, score = (np.concatenate(pair) for pair in held)
         order = np.lexsort((vid.astype(str), -score, number))
         starts = np.flatnonzero(np.append(True, np.diff(number[order]) != 0)) if len(order) else np.empty(0, int)
         rank = np.arange(len(order)) - np.repeat(starts, np.diff(starts, append=len(order)))
         order = order[rank < self.k]
-        self.number, self.vid, self.label, self.score = number[order], vid[order], label[order], score[order]
+        self.blocks[block] = number[order], vid[order], label[order], score[order]
 
-    def batch(self) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([
-            pa.array(self.number), pa.array(self.vid, pa.string()), pa.array(self.label, pa.string()),
-            pa.array(np.maximum(0.0, self.score))], FOUND.names)
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        for number, vid, label, score in self.blocks.values():
+            yield pa.RecordBatch.from_arrays([
+                pa.array(number, pa.int64()), pa.array(vid, pa.string()), pa.array(label, pa.string()),
+                pa.array(np.maximum(0.0, score), pa.float64())], FOUND.names)
 
 
 class Queries:
@@ -67,18 +72,19 @@ class Queries:
             self.groups.append((inside, labels, numbers[mine], units[mine]))
 
     def meet(self, vids, labels, rows, best: Best) -> None:
-        """Score rows for the queries, at most MAX_SCORES at a time."""
+        """Score rows for the queries, a tile of rows and a block of queries at a time."""
         for inside, wanted, numbers, units in self.groups:
-            mine = np.flatnonzero(np.isin(labels, np.array(wanted, object)) == inside)
-            step = max(1, MAX_SCORES // max(1, len(mine)))
-            for start in range(0, len(numbers) if len(mine) else 0, step):
-                scores = similarities(rows[mine], units[start:start + step])
-                scores = np.where(np.isnan(scores), -np.inf, scores)
-                least = np.full(scores.shape[1], -np.inf)
-                if len(mine) > best.k:
-                    least = np.partition(scores, len(mine) - best.k, axis=0)[len(mine) - best.k]
-                row, column = np.nonzero((scores >= least) & (scores > -np.inf))
-                best.add(numbers[start + column], vids[mine[row]], labels[mine[row]], scores[row, column])
+            own = np.flatnonzero(np.isin(labels, np.array(wanted, object)) == inside)
+            for at in range(0, len(own), TILE):
+                mine = own[at:at + TILE]
+                for start in range(0, len(numbers), BLOCK):
+                    scores = similarities(rows[mine], units[start:start + BLOCK])
+                    scores[np.isnan(scores)] = -np.inf
+                    least = np.full(scores.shape[1], -np.inf)
+                    if len(mine) > best.k:
+                        least = np.partition(scores, len(mine) - best.k, axis=0)[len(mine) - best.k]
+                    row, column = np.nonzero((scores >= least) & (scores > -np.inf))
+                    best.add(int(numbers[start]), numbers[start + column], vids[mine[row]], labels[mine[row]], scores[row, column])
 
 
 def _objects(column: pa.Array):
@@ -112,15 +118,17 @@ def _broadcast(graph: PropertyGraph, asked: DataFrame, rows: DataFrame, k: int)
     by_width: dict[int, list] = {}
     for r in asked.collect():
         by_width.setdefault(len(r.embedding), []).append(r)
+    # Made ready once, so that a task holds the vectors once.
     given = {
-        width: (np.array([r.number for r in group]), [r.type for r in group], np.array([r.embedding for r in group]))
+        width: Queries(np.array([r.number for r in group]), [r.type for r in group],
+                       _units(np.array([r.embedding for r in group])), parents)
         for width, group in by_width.items()
     }
     shared = graph.spark.sparkContext.broadcast(given)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(k)
-        known = {w: Queries(n, t, _units(x), parents) for w, (n, t, x) in shared.value.items()}
+        known = shared.value
         for batch in batches:
             for start in range(0, batch.num_rows, TILE):
                 part = batch.slice(start, TILE)
@@ -129,7 +137,7 @@ def _broadcast(graph: PropertyGraph, asked: DataFrame, rows: DataFrame, k: int)
                     own = part.filter(pa.array(widths == width))
                     known[width].meet(_objects(own.column("vid")), _objects(own.column("label")),
                                       unit_rows(own.column("embedding"), width), best)
-        yield best.batch()
+        yield from best.batches()
 
     wanted = rows.where(F.col("width").isin(*given))
     return wanted.mapInArrow(run, FOUND)
@@ -160,7 +168,7 @@ def _tiled(graph: PropertyGraph, asked: DataFrame, rows: DataFrame, k: int) -> D
             known = Queries(q.column("number").to_numpy(), q.column("type").to_pylist(),
                             unit_rows(q.column("embedding"), width), parents)
             known.meet(_objects(v.column("vid")), _objects(v.column("label")), unit_rows(v.column("embedding"), width), best)
-        return pa.Table.from_batches([best.batch()])
+        return pa.Table.from_batches(list(best.batches()), ARROW)
 
     keys = ["width", "q", "v"]
     left, right = dealt(asked, "number", "q", "v").groupBy(*keys), dealt(rows, "vid", "v", "q").groupBy(*keys)

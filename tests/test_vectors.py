@@ -210,3 +210,17 @@ def test_approximate_recall(spark, tmp_path):
 def test_bad_vectors(bad):
     with pytest.raises(ValueError):
         check_vector(bad)
+
+
+def test_best_rows_are_kept_by_blocks_of_queries(spark, graph, monkeypatch):
+    """Adding rows for one block of queries leaves those of the others alone."""
+    best = nearest.Best(2)
+    for block, number in ((0, 0), (128, 130), (0, 0)):
+        best.add(block, np.array([number] * 3), np.array(["b", "a", "c"], object), np.array(["T"] * 3, object), np.array([0.5, 0.5, 0.9]))
+    rows = [tuple(r.values()) for batch in best.batches() for r in batch.to_pylist()]
+    assert rows == [(0, "c", "T", 0.9), (0, "c", "T", 0.9), (130, "c", "T", 0.9), (130, "a", "T", 0.5)]
+    queries = np.random.default_rng(5).normal(size=(300, 6)).tolist()
+    table = spark.createDataFrame(list(enumerate(queries)), "query_id long, embedding array<double>")
+    got = {(r.query_id, r.vid) for r in nearest.nearest_join(graph, table, 1).collect()}
+    assert got == {(i, brute(graph, queries[i], None)[0][0]) for i in (0, 127, 128, 299)} | {x for x in got if x[0] not in (0, 127, 128, 299)}
+    assert len(got) == 300
