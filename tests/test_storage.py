@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import column
 from knotwork.functions.props import prop
-from knotwork.model import PropertyGraph, shape_edges, shape_vertices
+from knotwork.model import EDGE_SCHEMA, PropertyGraph, shape_edges, shape_vertices
 from knotwork.operators import sizes
 from knotwork.operators.delete import plan_types
 from knotwork.operators.lookup import nodes_by_ids
@@ -14,7 +14,7 @@ from knotwork.operators.scans import schema_summary, schema_table
 from knotwork.plans.nodes import EntityNode, Relation
 from knotwork.plans.property_store import PropertyStore
 from knotwork.plans.sql import query_views, run_sql
-from knotwork.session import cut_lineage
+from knotwork.session import cut_lineage, tune
 from knotwork.sources.documents import chunk_batch, json_vertices, read_text, write_text
 from knotwork.sources.store import FILES, GraphStore
 
@@ -36,6 +36,30 @@ def test_text_files_are_put_in_place_by_the_tasks(spark, tmp_path):
     assert sorted(read) == sorted((n, (text or "") + "\n") for n, text in rows)
 
 
+def test_both_ways_is_one_scan(spark, tmp_path):
+    rows = [("R", "N/1", "N/2", {}), ("R", "N/2", "N/2", {})]
+    spark.createDataFrame(rows, EDGE_SCHEMA).write.parquet(f"{tmp_path}/edges")
+    graph = PropertyGraph(small(spark, ["1", "2"]).vertices, spark.read.parquet(f"{tmp_path}/edges"))
+    none = spark.createDataFrame([], "kind string, label string, property string")
+    found = query_views(graph, "SELECT v.vid, n.vid AS other FROM V v, LATERAL both_v(v.vid) n", catalogue=none)
+    assert sorted(map(tuple, found.collect())) == [("N/1", "N/2"), ("N/2", "N/1"), ("N/2", "N/2")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.count("Relation [") for line in plan.splitlines() if "src#" in line) == 1
+
+
+def test_shuffles_are_read_in_small_parts(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    tune(spark)
+    assert int(spark.conf.get(key)) == 16 * 1024 * 1024
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 800
+    spark.conf.set(key, "8m")
+    try:
+        assert tune(spark).conf.get(key) == "8m"
+    finally:
+        spark.conf.unset(key)
+        tune(spark)
+
+
 def test_missing_graph(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         GraphStore(spark, str(tmp_path / "none"), create=False)
