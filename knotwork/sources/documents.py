@@ -20,8 +20,8 @@ SHELF = 1000
 
 
 def write_text(documents: DataFrame, folder: str, name: Column, text: Column) -> None:
-    """One text file per row below ``folder``, named by ``name``, task and row, so equal names
-    do not meet.  A missing text gives an empty file; every file ends with a line feed.
+    """One text file per name and task below ``folder``, called by name, task and number, which
+    holds the texts of that name, each ended by a line feed (a missing one is empty).
 
     The tasks put the files where they stay, some to a folder: Spark's own writer opens a folder
     per value, and with local files starts a process for each file's permissions.  A task that is
@@ -29,18 +29,23 @@ def write_text(documents: DataFrame, folder: str, name: Column, text: Column) ->
     """
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = FileSystem.from_uri(folder)
-        task, row = TaskContext.get().partitionId(), 0
+        task, number, last, out = TaskContext.get().partitionId(), 0, None, None
         for batch in batches:
             for called, body in zip(batch.column("name").to_pylist(), batch.column("text")):
-                shelf = f"{root}/shelf={task}-{row // SHELF}"
-                if row % SHELF == 0:
-                    files.create_dir(shelf, recursive=True)
-                with files.open_output_stream(f"{shelf}/{called}_{task}-{row}.txt") as out:
-                    out.write((body.as_py() or b"") + b"\n")
-                row += 1
-        yield pa.RecordBatch.from_arrays([pa.array([row])], ["written"])
-
-    rows = documents.select(name.alias("name"), text.cast("binary").alias("text"))
+                if out is None or called != last:
+                    if out is not None:
+                        out.close()
+                    shelf = f"{root}/shelf={task}-{number // SHELF}"
+                    if number % SHELF == 0:
+                        files.create_dir(shelf, recursive=True)
+                    out = files.open_output_stream(f"{shelf}/{called}_{task}-{number}.txt")
+                    last, number = called, number + 1
+                out.write((body.as_py() or b"") + b"\n")
+        if out is not None:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([number])], ["written"])
+
+    rows = documents.select(name.alias("name"), text.cast("binary").alias("text")).sortWithinPartitions("name")
     rows.mapInArrow(write, "written long").agg(F.sum("written")).first()
 
 

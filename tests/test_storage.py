@@ -26,14 +26,15 @@ def small(spark, names, label="N"):
 
 
 def test_text_files_are_put_in_place_by_the_tasks(spark, tmp_path):
-    """No folder for a file, no checksum file beside it, equal names kept apart."""
-    rows = [(i % 1500, f"text {i}\n") for i in range(2500)] + [(7, None), (8, "")]
-    write_text(spark.createDataFrame(rows, "n long, text string").coalesce(2), f"{tmp_path}/texts",
+    """No folder for a file and no checksum file beside it; a name's texts in a task share a file."""
+    rows = [(i, f"text {i}\n") for i in range(2500)] + [(7, "more"), (3000, None), (3001, "")]
+    write_text(spark.createDataFrame(rows, "n long, text string").coalesce(1), f"{tmp_path}/texts",
                F.col("n").cast("string"), F.col("text"))
     files = [p for p in (tmp_path / "texts").rglob("*") if p.is_file()]
-    assert len(files) == len(rows) and len({p.parent for p in files}) <= 4
-    read = [(int(r.file_name.split("_")[0]), r.text) for r in read_text(spark, f"{tmp_path}/texts").collect()]
-    assert sorted(read) == sorted((n, (text or "") + "\n") for n, text in rows)
+    assert len(files) == 2502 and len({p.parent for p in files}) == 3
+    read = {int(r.file_name.split("_")[0]): r.text for r in read_text(spark, f"{tmp_path}/texts").collect()}
+    assert sorted(read.pop(7).split("\n")) == ["", "", "more", "text 7"]
+    assert read == {n: (text or "") + "\n" for n, text in rows if n != 7}
 
 
 def test_both_ways_is_one_scan(spark, tmp_path):
