@@ -46,10 +46,11 @@ class Removal:
             found = listed.select("label", "vid") if found is None else found.union(listed.select("label", "vid")).distinct()
         return narrow.select("label", "vid").limit(0) if found is None else found
 
-    def doomed_edges(self, graph: PropertyGraph, gone: DataFrame, fits: bool = False) -> DataFrame:
-        """Keys of the edges that go, given the vertices that go."""
+    def doomed_edges(self, graph: PropertyGraph, gone: DataFrame, fits: bool = False,
+                     bound: int | None = None) -> DataFrame:
+        """Keys of the edges that go, given the vertices that go (``bound`` rows, if counted)."""
         edges = graph.edges.select(*EDGE_KEY)
-        found = touching(edges, gone, fits=fits).select(*EDGE_KEY)
+        found = touching(edges, gone, bound, fits).select(*EDGE_KEY)
         if self.edge_types:
             found = found.union(edges.where(F.col("label").isin(*self.edge_types)))
         if self.edges is not None:

@@ -151,14 +151,16 @@ class GraphStore:
 
     # Writing ------------------------------------------------------------------
 
-    def _write(self, kind: str, rows: DataFrame, parts: DataFrame | None = None):
-        """A writer of rows; ``parts`` get a marker row each."""
+    def _write(self, kind: str, rows: DataFrame, parts: DataFrame | None = None, in_place: bool = False):
+        """A writer of rows; ``parts`` get a marker row each.  Rows that come as they are stored
+        may stay in their tasks (``in_place``): their order is left to restore, which is little."""
         placed = rows.select(*KINDS[kind].fieldNames(), F.lit(True).alias("live"), self.bucket(kind).alias("bucket"))
         if parts is not None:
             placed = placed.unionByName(parts.withColumn("live", F.lit(False)), allowMissingColumns=True)
         # Rebalancing keeps the rows of a part together and splits a part that holds most of
         # the rows over several tasks.
-        ordered = placed.hint("rebalance", *PART).sortWithinPartitions(*PART, BUCKET_KEY[kind])
+        spread = placed if in_place else placed.hint("rebalance", *PART)
+        ordered = spread.sortWithinPartitions(*PART, BUCKET_KEY[kind])
         writer = ordered.write.format("parquet").partitionBy(*PART).options(**FILES)
         for column in LOOKUPS[kind]:
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
@@ -178,16 +180,18 @@ class GraphStore:
             if not vectors.isEmpty():
                 self.index.add(vectors)
 
-    def replace(self, kind: str, rows: DataFrame, emptied: DataFrame | None = None) -> None:
+    def replace(self, kind: str, rows: DataFrame, emptied: DataFrame | None = None, in_place: bool = False) -> None:
         """Let the parts that ``rows`` lie in hold these rows, which may come from there, and
         nothing else; ``emptied`` are settled parts that may have none left."""
-        writer = self._write(kind, rows, emptied).mode("overwrite")
+        writer = self._write(kind, rows, emptied, in_place).mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").save(f"{self.path}/{kind}")
 
     def note(self, kind: str, rows: DataFrame) -> None:
         """Add the types and properties of settled rows to the catalogue."""
         names = property_names(rows, [*DECLARED, "embedding"])
-        seen = rows.select(F.lit(ONE[kind]).alias("kind"), "label", F.explode(names).alias("property")).distinct()
+        # Most rows of a type have the same names: sets of names are made distinct before they are opened.
+        sets = rows.select("label", names.alias("names")).distinct()
+        seen = sets.select(F.lit(ONE[kind]).alias("kind"), "label", F.explode("names").alias("property")).distinct()
         key = ["kind", "label", "property"]
         known = self.catalogue().select(*[F.col(c).alias(f"_{c}") for c in key])
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
@@ -203,17 +207,19 @@ class GraphStore:
             self.without(kind, doomed)
 
     def without(self, kind: str, doomed: DataFrame) -> None:
-        """Rewrite the parts of settled keys without these rows."""
+        """Rewrite the parts of settled keys without these rows.  Keys that fit are sent to the
+        rows, which are then written by the tasks that read them."""
         parts = self.parts_of(kind, doomed)
         if not parts.isEmpty():
-            kept = self.part(kind, parts).join(mark(doomed, fits_memory(doomed)), ROW_KEY[kind], "left_anti")
-            self.replace(kind, kept, parts)
+            fits = fits_memory(doomed)
+            kept = self.part(kind, parts).join(mark(doomed, fits), ROW_KEY[kind], "left_anti")
+            self.replace(kind, kept, parts, in_place=fits)
 
     def doomed(self, removal: Removal) -> tuple[DataFrame, DataFrame]:
         """Keys of the vertices and edges that a deletion takes, settled."""
         graph = self.graph()
         gone = cut_lineage(removal.doomed_vertices(graph))
-        return gone, cut_lineage(removal.doomed_edges(graph, gone, fits_memory(gone)))
+        return gone, cut_lineage(removal.doomed_edges(graph, gone, fits_memory(gone), gone.count()))
 
     def overwrite(self, graph: PropertyGraph) -> None:
         """Replace everything by another graph, which may come from this store."""

@@ -1,13 +1,13 @@
 """Stored tables, document sources and SQL parameters."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from conftest import column
 from knotwork.functions.props import prop
 from knotwork.model import EDGE_SCHEMA, PropertyGraph, shape_edges, shape_vertices
 from knotwork.operators import sizes
-from knotwork.operators.delete import plan_types
+from knotwork.operators.delete import plan_records, plan_types
 from knotwork.operators.lookup import nodes_by_ids
 from knotwork.operators.merge import upsert_nodes
 from knotwork.operators.scans import schema_summary, schema_table
@@ -123,6 +123,47 @@ def test_a_part_may_lose_all_rows(spark, tmp_path):
     assert store.graph().vertices.count() == 0 and store.catalogue().count() == 0
 
 
+def test_few_deletions_move_no_rows(spark, tmp_path, monkeypatch):
+    """Rows that stay are written by the tasks that read them; edges are found without a join."""
+    store = GraphStore(spark, str(tmp_path / "g"))
+    names = [f"n{i:04}" for i in range(500)]
+    store.overwrite(small(spark, names))
+    moved, hint = [], DataFrame.hint
+    monkeypatch.setattr(DataFrame, "hint", lambda df, name, *rest: moved.append(name) or hint(df, name, *rest))
+    removal = plan_records(store.graph(), ["N/n0007", "N/n0499"])
+    gone, lost = store.doomed(removal)
+    plan = removal.doomed_edges(store.graph(), gone, True, gone.count())._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and lost.count() == 2
+    store.remove(removal)
+    assert "rebalance" not in moved
+    left = sorted(set(names) - {"n0007", "n0499"})
+    assert column(store.graph().vertices, "key") == left
+    assert column(store.graph().edges, "src") == [f"N/{n}" for n in left]
+    stored = spark.read.parquet(f"{tmp_path}/g/vertices").where("live").withColumn("file", F.input_file_name())
+    for row in stored.groupBy("file").agg(F.collect_list("vid").alias("vids")).collect():
+        assert row.vids == sorted(row.vids)
+
+
+def test_many_deletions_are_gathered(spark, tmp_path, monkeypatch):
+    """Keys that do not fit in memory are joined by a shuffle, and parts are put together after it."""
+    monkeypatch.setattr(sizes, "MAX_BROADCAST_BYTES", 0)
+    store = GraphStore(spark, str(tmp_path / "g"))
+    store.overwrite(small(spark, ["a", "b", "c"]))
+    store.remove(plan_records(store.graph(), ["N/b"]))
+    assert column(store.graph().vertices, "key") == ["a", "c"]
+    assert column(store.graph().edges, "src") == ["N/a", "N/c"]
+
+
+def test_names_of_properties_are_noted_by_sets(spark, tmp_path):
+    """Rows are reduced to their sets of names before a row becomes many."""
+    store = GraphStore(spark, str(tmp_path / "g"))
+    rows = spark.createDataFrame([("a", {"x": "1"}), ("b", {"x": "2", "y": "3"}), ("c", {}), ("d", None)],
+                                 "n string, p map<string,string>")
+    store.append("vertices", cut_lineage(shape_vertices(rows, "N", F.col("n"), props=F.col("p"))))
+    noted = {(r.kind, r.label, r.property) for r in store.catalogue().collect()}
+    assert noted == {("vertex", "N", None), ("vertex", "N", "x"), ("vertex", "N", "y")}
+
+
 def test_a_broken_write_leaves_the_old_rows(spark, tmp_path):
     store = GraphStore(spark, str(tmp_path / "g"))
     store.overwrite(small(spark, ["a", "b"]))
