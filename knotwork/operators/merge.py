@@ -17,7 +17,7 @@ from knotwork.model import (
     EDGE_SCHEMA, VERTEX_SCHEMA, PropertyGraph, shape_edges, shape_vertices, vertex_id,
 )
 from knotwork.operators.lookup import type_rank
-from knotwork.operators.sizes import mark, not_stored
+from knotwork.operators.sizes import KEY_HASH, hashed, mark, not_stored
 
 # Nodes to write.  ``kind`` is entity, chunk or generic; ``seq`` orders the batch
 # and must be unique in it.
@@ -187,9 +187,12 @@ def add_edges(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     return stored.select(*columns).unionByName(added.select(*columns))
 
 
-def first_edges(edges: DataFrame) -> DataFrame:
-    """One edge per (label, src, dst); the earliest of the batch gives the properties."""
-    return edges.groupBy("label", "src", "dst").agg(F.min_by("props", "seq").alias("props"))
+def first_edges(edges: DataFrame, keyed: bool = False) -> DataFrame:
+    """One edge per (label, src, dst); the earliest of the batch gives the properties.
+    ``keyed`` keeps the hash of the key, so that a join by key needs no other shuffle."""
+    key = ["label", "src", "dst"]
+    first = hashed(edges, *key).groupBy(KEY_HASH, *key).agg(F.min_by("props", "seq").alias("props"))
+    return first if keyed else first.drop(KEY_HASH)
 
 
 def usable_relations(batch: DataFrame) -> DataFrame:
@@ -220,24 +223,29 @@ def endpoints(graph: PropertyGraph, refs: DataFrame, fits: bool = False) -> Data
     """``ref`` to ``vid``: a text chunk by its raw id, any other vertex by its
     normalised name; the first type in search order wins.
 
-    Vertices are cut to the wanted names before types are compared.  ``fits`` says
-    that the references were measured and may be broadcast.
+    ``fits`` says that the references were measured and may be broadcast: vertices are
+    then cut to the wanted names where they are, before types are compared.
     """
     wanted = refs.select("ref").where(F.col("ref").isNotNull()).distinct().select(
         "ref", fold_punctuation(F.col("ref")).alias("raw"),
         fold_punctuation(normalize_name(F.col("ref"))).alias("name"),
     )
     chunk = F.col("label") == TEXT_CHUNK
-    by_id = graph.vertices.where(chunk).select(F.col("id").alias("raw"), F.col("vid").alias("chunk")).join(
-        mark(wanted.select("raw"), fits), "raw", "left_semi"
+    by_id = graph.vertices.where(chunk).select(F.col("id").alias("raw"), F.col("vid").alias("chunk"))
+    by_name = graph.vertices.where(~chunk & F.col("name").isNotNull()).select("name", "label", "vid")
+    if fits:
+        by_id = by_id.join(F.broadcast(wanted.select("raw")), "raw", "left_semi")
+        by_name = by_name.join(F.broadcast(wanted.select("name")), "name", "left_semi")
+    best = (
+        hashed(by_name, "name").groupBy(KEY_HASH, "name").agg(F.min(type_rank("vid")).alias("best"))
+        .select(KEY_HASH, "name", F.col("best.vid").alias("entity"))
     )
-    by_name = (
-        graph.vertices.where(~chunk & F.col("name").isNotNull()).select("name", "label", "vid")
-        .join(mark(wanted.select("name"), fits), "name", "left_semi")
-        .groupBy("name").agg(F.min(type_rank("vid")).alias("best"))
-        .select("name", F.col("best.vid").alias("entity"))
-    )
-    found = wanted.join(by_id, "raw", "left").join(by_name, "name", "left")
+    # Many references are moved by id only if there are chunks at all.
+    if fits or not by_id.isEmpty():
+        wanted = wanted.join(by_id, "raw", "left")
+    else:
+        wanted = wanted.withColumn("chunk", F.lit(None).cast("string"))
+    found = hashed(wanted, "name").join(best, [KEY_HASH, "name"], "left")
     vid = F.coalesce("chunk", "entity")
     return found.select("ref", vid.alias("vid")).where(F.col("vid").isNotNull())
 
@@ -255,9 +263,10 @@ def resolve_relations(graph: PropertyGraph, relations: DataFrame, known: DataFra
     """
     if known is None:
         known = endpoints(graph, references(relations))
-    source = known.select(F.col("ref").alias("source_id"), F.col("vid").alias("src"))
-    target = known.select(F.col("ref").alias("target_id"), F.col("vid").alias("dst"))
-    return relations.join(source, "source_id").join(target, "target_id")
+    for end, vid in (("source_id", "src"), ("target_id", "dst")):
+        found = hashed(known.select(F.col("ref").alias(end), F.col("vid").alias(vid)), end)
+        relations = hashed(relations, end).join(found, [KEY_HASH, end]).drop(KEY_HASH)
+    return relations
 
 
 def fold_relations(relations: DataFrame) -> DataFrame:

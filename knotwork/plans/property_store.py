@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from knotwork.model import BASIC_TYPES, CORE_RELATIONS, PropertyGraph
 from knotwork.operators import delete as deletes, lookup, merge, nearest, scans, traverse, vector
 from knotwork.operators.lsh import Projection
-from knotwork.operators.sizes import fits_memory, mark, not_stored
+from knotwork.operators.sizes import KEY_HASH, fits_memory, mark, not_stored
 from knotwork.plans import retrieval, sql
 from knotwork.plans.nodes import Relation, node_batch, reference, relation_batch
 from knotwork.session import cut_lineage, shared_dir
@@ -205,20 +205,29 @@ class PropertyStore:
 
     def upsert_relations(self, relations: Sequence[Relation] | DataFrame) -> None:
         """Add relations with known ends; stored edges are read by key only and kept."""
-        graph = self.graph
-        self.disk.append("edges", self._new_edges(self._resolved(graph, relations)))
+        usable, few, edges = self._resolved(self.graph, relations)
+        if few:
+            added = self._new_edges(edges.drop(KEY_HASH))
+        else:
+            # The labels of the batch are known before its edges, which are then computed once.
+            stored = self.disk.graph(edge_labels=cut_lineage(usable.select("label").distinct())).edges
+            added = cut_lineage(not_stored(edges, stored, ["label", "src", "dst"]))
+        self.disk.append("edges", added)
 
     def _resolved(self, graph: PropertyGraph, relations: Sequence[Relation] | DataFrame,
-                  more_labels: DataFrame | None = None) -> DataFrame:
-        """Edges of a relation batch whose ends are in the graph."""
+                  more_labels: DataFrame | None = None) -> tuple[DataFrame, bool, DataFrame]:
+        """A settled relation batch, whether what it refers to fits in memory, and the edges of
+        the batch whose ends are in the graph."""
         batch = relations if isinstance(relations, DataFrame) else relation_batch(self.spark, relations)
         taken = self.disk.labels("vertices").union(
             self.spark.createDataFrame([(c,) for c in self._declared()], "label string"))
         taken = (taken if more_labels is None else taken.union(more_labels.select("label"))).distinct()
         usable = cut_lineage(merge.separate_labels(graph, merge.usable_relations(batch), taken))
         refs = cut_lineage(merge.references(usable))
-        known = cut_lineage(merge.endpoints(graph, refs, fits_memory(refs)))
-        return merge.first_edges(merge.fold_relations(merge.resolve_relations(graph, usable, known)))
+        few = fits_memory(refs)
+        known = cut_lineage(merge.endpoints(graph, refs, few))
+        resolved = merge.fold_relations(merge.resolve_relations(graph, usable, known))
+        return usable, few, merge.first_edges(resolved, keyed=True)
 
     def _new_edges(self, edges: DataFrame, stored: DataFrame | None = None) -> DataFrame:
         """Edges that are not stored yet, settled; compared with stored edges of their labels."""
@@ -303,7 +312,8 @@ class PropertyStore:
         sourced = prepared.where((F.col("kind") == "entity") & F.col("triplet_source_id").isNotNull())
         fresh = merge.mentions(sourced, merge.chunk_ids(after.vertices))
         if isinstance(relations, DataFrame) or len(relations):
-            fresh = fresh.unionByName(self._resolved(after, relations, collapsed)).dropDuplicates(["label", "src", "dst"])
+            _, _, edges = self._resolved(after, relations, collapsed)
+            fresh = fresh.unionByName(edges.drop(KEY_HASH)).dropDuplicates(["label", "src", "dst"])
         added = self._new_edges(fresh, after.edges)
         # All is settled.  Edges that go come first, edges that are new last: no edge lacks an end.
         self.disk.without("edges", lost)

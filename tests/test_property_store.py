@@ -246,6 +246,33 @@ def test_edge_ids_do_not_depend_on_separators(spark):
     assert edges.select(edge_id()).distinct().count() == 2
 
 
+def test_large_relation_batches_are_settled_once(store, spark, monkeypatch):
+    """A batch beyond what fits in memory: the same edges, computed once, sorted by hash."""
+    from knotwork.operators import merge, sizes
+    from knotwork.plans import property_store
+
+    harbour(store)
+    store.upsert_nodes([ChunkNode("She was launched in May.", "Hull")])
+    monkeypatch.setattr(sizes, "MAX_BROADCAST_BYTES", 0)
+    settled, cut = [], property_store.cut_lineage
+    monkeypatch.setattr(property_store, "cut_lineage", lambda df: settled.append(df) or cut(df))
+    rows = [("CALLS_AT", "Skua", "Bergen LLC", {"berth": "2"}, 5), ("CALLS_AT", " Skua", "Bergen", {"berth": "1"}, 4),
+            ("SAILS_TO", "Skua", "Bergen", None, 6), ("SAILS_TO", "Tern", "Atlantis", None, 7),
+            ("SAILS_TO", "Tern", None, None, 8), ("SAILS_TO", "Tern", "Hull", None, None), (" ", "Tern", "Skua", None, 9)]
+    batch = spark.createDataFrame(rows, merge.RELATION_BATCH)
+    edges = [tuple(r) for r in store.graph.edges.select("label", "src", "dst").collect()]
+    for _ in range(2):
+        settled.clear()
+        store.upsert_relations(batch)
+        # The batch, its references, what they name, its labels, and the new edges.
+        assert len(settled) == 5
+        assert any("xxhash64" in df._jdf.queryExecution().optimizedPlan().toString() for df in settled)
+        got = {(r.label, r.src, r.dst): r.props for r in store.graph.edges.collect()}
+        assert store.graph.edges.count() == len(got) == len(edges) + 2
+        assert got["CALLS_AT", "VESSEL/Skua", "PORT/Bergen"] == {"berth": "1"}
+        assert ("SAILS_TO", "VESSEL/Tern", "TextChunk/Hull") in got
+
+
 def test_refresh_computes_before_it_writes(store, monkeypatch):
     harbour(store)
     store.upsert_nodes([ChunkNode("old", "c1", {"ref_doc_id": "d1"}), EntityNode("Gone", "PORT", {"doc_id": "d1"})])
