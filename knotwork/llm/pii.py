@@ -17,31 +17,44 @@ may have any names (they come back inside ``row``).
 
 from __future__ import annotations
 
+import string
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from knotwork.llm.common import hinted, whole_row
 from knotwork.session import cut_lineage
 
+# Classes of characters name each one.  Those with ranges become chains of interface calls in Java,
+# whose type checks threads of one JVM wait for, so that more cores would not shorten a scan.
+DIGIT = "0123456789"
+HOST = f"{string.ascii_letters}{DIGIT}-"
+NAME = rf"._%+{HOST}"
+SPACE = r"\x20\x09\x0A\x0B\x0C\x0D"
 # The base patterns.  Possessive quantifiers match what greedy ones would,
 # because what follows a run is never part of it; a run is entered only at its start or
 # where the last match ended.
 KINDS = {
-    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
-    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "email": rf"(?:\G|(?<![{NAME}]))[{NAME}]++@[{HOST}]++(?:\.[{HOST}]++)++",
+    "ip": rf"(?<![{DIGIT}])[{DIGIT}]++\.[{DIGIT}]++\.[{DIGIT}]++\.[{DIGIT}]++",
+    "card": rf"[{DIGIT}](?:[\x20-]?[{DIGIT}])++",
+    "phone": rf"\+[{DIGIT}][\x20().{DIGIT}-]+[{DIGIT}]",
 }
 # A kind cannot occur in a text without this.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-SPACE = r"\x20\x09-\x0D"
+# Every valid card holds this.
+CARD = rf"[{DIGIT}](?:[\x20-]?[{DIGIT}]){{15}}"
+# A text without these has neither a seed nor a token.
+ANY = rf"[{DIGIT}@]"
 # A token that may be an identifier: it holds a digit, an at sign or a masked seed.
-TOKEN = rf"(?<![^{SPACE}])[^{SPACE}0-9@\x01]*+[0-9@\x01][^{SPACE}]*+"
+TOKEN = rf"(?<![^{SPACE}])[^{SPACE}{DIGIT}@\x01]*+[{DIGIT}@\x01][^{SPACE}]*+"
 # Digit groups joined by one space, dot, dash or bracket, of tokens that are too short to be a
 # number or address alone.  Where there is no such run, a token stands for itself.
-SHORT = rf"(?!(?:[^{SPACE}0-9]*+[0-9]){{7}})(?!(?:[^{SPACE}.]*+\.){{3}}[0-9])"
+SHORT = rf"(?!(?:[^{SPACE}{DIGIT}]*+[{DIGIT}]){{7}})(?!(?:[^{SPACE}.]*+\.){{3}}[{DIGIT}])"
 # What follows a bracketed area code, and a token that is no full number.
 LOCAL = SHORT.replace("{7}", "{10}")
-RUN = (rf"(?<![^{SPACE}]){SHORT}[(\[{{<\"'+]*+[0-9]++(?:(?:[)\]]\x20{LOCAL}|[)\]]?+(?:\x20{SHORT}|[.-])?+)[(\[]?+[0-9]++)++"
+RUN = (rf"(?<![^{SPACE}])(?=[(\[{{<\"'+]*+[{DIGIT}]){SHORT}[(\[{{<\"'+]*+[{DIGIT}]++"
+       rf"(?:(?:[)\]]\x20{LOCAL}|[)\]]?+(?:\x20{SHORT}|[.-])?+)[(\[]?+[{DIGIT}]++)++"
        rf"[)\]}}>\"'.,;:!?]*+(?![^{SPACE}])")
 UNKNOWN = rf"{RUN}|{TOKEN}"
 # A bracket that closes inside the number is a part of it.
@@ -52,15 +65,21 @@ STEP = 256
 ROUNDS, MIN_SEEDS, MIN_CONFIDENCE = 3, 5, 0.8
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once; what a lambda or several places name is
+    otherwise worked out for each of them."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _valid(kind: str, value: Column) -> Column:
     digits = F.regexp_replace(value, "[^0-9]", "")
     if kind == "ip":
         part = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
         return F.rlike(value, F.lit(rf"^{part}(?:\.{part}){{3}}$"))
     if kind == "card":
-        return F.length(digits).between(16, 19) & F.call_function("luhn_check", digits)
+        return _let(digits, lambda d: F.length(d).between(16, 19) & F.call_function("luhn_check", d))
     if kind == "phone":
-        return F.length(digits).between(8, 15)
+        return _let(F.length(digits), lambda n: n.between(8, 15))
     return F.lit(True)
 
 
@@ -83,33 +102,55 @@ def _starts(lengths: Column) -> Column:
         return F.aggregate(values, first, lambda acc, x: F.struct(
             (acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
 
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / STEP).cast("int")),
-        lambda b: F.slice(lengths, b * STEP + 1, F.lit(STEP)))
-    sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda acc, x: acc + x))
-    each = F.transform(F.arrays_zip(blocks.alias("b"), running(sums, F.lit(0)).alias("s")), lambda x: running(x["b"], x["s"]))
-    return F.when(F.size(lengths) > 0, F.flatten(each)).otherwise(F.array().cast("array<long>"))
+    def summed(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda acc, x: acc + x))
+        return _let(running(sums, F.lit(0)), lambda s: F.flatten(F.transform(blocks, lambda b, i: running(b, F.get(s, i)))))
+
+    def cut(values: Column) -> Column:
+        last = F.floor((F.size(values) - 1) / STEP).cast("int")
+        return _let(F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(values, b * STEP + 1, F.lit(STEP))), summed)
+
+    return _let(lengths, lambda n: F.when(F.size(n) > 0, cut(n)).otherwise(F.array().cast("array<long>")))
 
 
 def _matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
+def _pieces(text: Column, pattern: str, body: Callable[[Column, Column], Column], none: Column) -> Column:
+    """``body`` of the matches and of the gaps around them; ``none`` for a text without a match."""
+    return _let(_matches(text, pattern), lambda values: F.when(
+        F.size(values) > 0, _let(F.split(text, pattern, -1), lambda gaps: body(values, gaps))).otherwise(none))
+
+
+def _front(gap: Column) -> Column:
+    return F.substring(gap, -CONTEXT, CONTEXT)
+
+
 def located(text: Column, pattern: str) -> Column:
     """array<struct<value, before, start, end>> of all matches; ``before`` ends where the match
     starts, begins after the match before it and is cut to its last CONTEXT characters."""
-    values, gaps = _matches(text, pattern), F.split(text, pattern, -1)
-    starts = _starts(F.transform(F.arrays_zip(values.alias("v"), F.slice(gaps, F.lit(1), F.size(values)).alias("g")),
-                                 lambda x: (F.length(x["v"]) + F.length(x["g"])).cast("long")))
 
-    def place(x: Column) -> Column:
-        start = x["s"] + F.length(x["g"])
-        return F.struct(x["v"].alias("value"), F.substring(x["g"], -CONTEXT, CONTEXT).alias("before"),
-                        start.alias("start"), (start + F.length(x["v"])).alias("end"))
+    def placed(values: Column, gaps: Column) -> Column:
+        lengths = F.transform(values, lambda v, i: (F.length(v) + F.length(F.get(gaps, i))).cast("long"))
 
-    zipped = F.arrays_zip(values.alias("v"), F.slice(gaps, F.lit(1), F.size(values)).alias("g"), starts.alias("s"))
-    none = F.array().cast("array<struct<value:string,before:string,start:bigint,end:bigint>>")
-    return F.when(F.rlike(text, F.lit(pattern)), F.transform(zipped, place)).otherwise(none)
+        def place(v: Column, gap: Column, at: Column) -> Column:
+            start = at + F.length(gap)
+            return F.struct(v.alias("value"), _front(gap).alias("before"), start.alias("start"), (start + F.length(v)).alias("end"))
+
+        return _let(_starts(lengths), lambda at: F.transform(values, lambda v, i: place(v, F.get(gaps, i), F.get(at, i))))
+
+    return _pieces(text, pattern, placed, F.array().cast("array<struct<value:string,before:string,start:bigint,end:bigint>>"))
+
+
+def preceded(text: Column, pattern: str) -> Column:
+    """array<struct<value, before>> of all matches, as ``located`` gives them."""
+    return _pieces(text, pattern, lambda values, gaps: F.transform(values, lambda v, i: F.struct(
+        v.alias("value"), _front(F.get(gaps, i)).alias("before"))), F.array().cast("array<struct<value:string,before:string>>"))
+
+
+def _may_hold(text: Column, kind: str) -> Column:
+    return F.contains(text, F.lit(NEEDS[kind])) if NEEDS[kind] else F.rlike(text, F.lit(CARD))
 
 
 def base_spans(text: Column) -> Column:
@@ -120,24 +161,24 @@ def base_spans(text: Column) -> Column:
         spans = F.transform(
             F.filter(located(text, pattern), lambda m: _valid(kind, m["value"])),
             lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end")))
-        found.append(F.when(F.contains(text, F.lit(NEEDS[kind])), spans).otherwise(none) if NEEDS[kind] else spans)
+        found.append(F.when(_may_hold(text, kind), spans).otherwise(none))
     return F.concat(*found)
 
 
 def _mask(text: Column, kind: str) -> Column:
     """``text`` with valid matches of a kind as one token of letters each, in which no other
     kind can match."""
-    pattern, mark = KINDS[kind], "\x01" + kind[0]
-    values, gaps = _matches(text, pattern), F.split(text, pattern, -1)
+    mark = "\x01" + kind[0]
 
     def seal(v: Column) -> Column:
         name = F.translate(F.md5(v.cast("binary")), "0123456789", "ghijklmnop")
         return F.when(_valid(kind, v), F.concat(F.lit(mark), name, F.lit("\x01"))).otherwise(v)
 
-    pieces = F.transform(F.arrays_zip(gaps.alias("g"), F.transform(values, seal).alias("v")),
-                         lambda x: F.concat(x["g"], F.coalesce(x["v"], F.lit(""))))
-    holds = F.contains(text, F.lit(NEEDS[kind])) if NEEDS[kind] else F.rlike(text, F.lit("[0-9]"))
-    return F.when(holds, F.array_join(pieces, "")).otherwise(text)
+    def sealed(values: Column, gaps: Column) -> Column:
+        return F.array_join(F.transform(gaps, lambda g, i: F.concat(
+            g, F.when(i < F.size(values), seal(F.get(values, i))).otherwise(F.lit("")))), "")
+
+    return F.when(_may_hold(text, kind), _pieces(text, KINDS[kind], sealed, text)).otherwise(text)
 
 
 def _tidy(token: Column) -> Column:
@@ -147,27 +188,30 @@ def _tidy(token: Column) -> Column:
 def _patterns(before: Column) -> Column:
     """The last word before a token and the last two, in lower case, digits masked."""
     plain = F.regexp_replace(F.regexp_replace(F.lower(before), r"\x01(.)[^\x01]*\x01", "<$1>"), "[0-9]+", "#")
-    words = F.filter(F.split(plain, rf"[{SPACE}]+"), lambda w: w != "")
-    last, two = F.element_at(words, -1), F.array_join(F.slice(words, -2, 2), " ")
-    return F.when(F.size(words) == 1, F.array(last)).when(F.size(words) > 1, F.array(last, two)).otherwise(
-        F.array().cast("array<string>"))
+
+    def ends(words: Column) -> Column:
+        last, two = F.element_at(words, -1), F.array_join(F.slice(words, -2, 2), " ")
+        return F.when(F.size(words) == 1, F.array(last)).when(F.size(words) > 1, F.array(last, two)).otherwise(
+            F.array().cast("array<string>"))
+
+    return _let(F.filter(F.split(plain, rf"[{SPACE}]+"), lambda w: w != ""), ends)
 
 
-def _preceded(matches: Column) -> Column:
-    """Matches whose ``before`` is extended by the match in front of it."""
+def _extended(matches: Column, *names: str) -> Column:
+    """Matches, with the fields ``names``, whose ``before`` is extended by the match in front of it."""
     return F.transform(matches, lambda m, i: F.struct(
-        m["value"].alias("value"), m["start"].alias("start"), m["end"].alias("end"),
+        *[m[n].alias(n) for n in names],
         F.concat(F.when(i > 0, F.element_at(matches, F.greatest(i, F.lit(1)))["value"]).otherwise(F.lit("")), m["before"]).alias("before")))
 
 
 def edges(texts: DataFrame) -> DataFrame:
     """Distinct (pattern, instance, kind) of a table with ``text``; kind is null where unknown.
     Only patterns with MIN_SEEDS instances or more can matter; the others are left out."""
-    masked = texts.filter(F.rlike("text", F.lit("[0-9@]")))
+    masked = texts.filter(F.rlike("text", F.lit(ANY)))
     for kind in KINDS:
         masked = masked.select(_mask(F.col("text"), kind).alias("text"))
-    tokens = masked.select(located(F.col("text"), UNKNOWN).alias("found")).select(
-        F.explode(_preceded(F.col("found"))).alias("m"))
+    tokens = masked.select(preceded(F.col("text"), UNKNOWN).alias("found")).select(
+        F.explode(_extended(F.col("found"), "value")).alias("m"))
     seed = F.regexp_extract(F.col("m.value"), r"\x01([a-z])[a-p]{32}\x01", 1)
     kind = F.element_at(F.create_map(*[x for k in KINDS for x in (F.lit(k[0]), F.lit(k))]), seed)
     graph = cut_lineage(
@@ -208,9 +252,9 @@ def learn(texts: DataFrame) -> DataFrame:
 
 def discovered(texts: DataFrame, accepted: DataFrame) -> DataFrame:
     """(key, added): spans that accepted patterns find in the texts of (key, text)."""
-    candidates = texts.filter(F.rlike("text", F.lit("[0-9@]"))).select(
+    candidates = texts.filter(F.rlike("text", F.lit(ANY))).select(
         "key", base_spans(F.col("text")).alias("base"), located(F.col("text"), UNKNOWN).alias("found"))
-    tokens = candidates.select("key", "base", F.explode(_preceded(F.col("found"))).alias("m")).select(
+    tokens = candidates.select("key", "base", F.explode(_extended(F.col("found"), "value", "start", "end")).alias("m")).select(
         "key", "base", "m", F.explode(_patterns(F.col("m.before"))).alias("pattern"))
     hits = tokens.join(hinted(accepted, accepted.count()), "pattern")
     value = F.col("m.value")

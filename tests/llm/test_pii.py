@@ -67,6 +67,25 @@ def test_base_spans(spark):
         assert got[i] == brute(text), text and text[:80]
 
 
+def test_texts_are_matched_once(spark):
+    """Nothing that a lambda names matches the text again, and no class has ranges."""
+    text = " ".join(f"é{i} n{i}" if i % 3 else f"{i}@x" for i in range(3_000))
+    docs = spark.createDataFrame([(text,), ("none",), (None,)], "text string")
+    found = docs.select(pii.located(F.col("text"), pii.TOKEN).alias("found"), pii.preceded(F.col("text"), pii.TOKEN).alias("short"))
+    want, last = [], 0
+    for m in re.finditer(r"(?<!\S)[^\s0-9@]*[0-9@]\S*", text):
+        want.append((m[0], text[last:m.start()][-pii.CONTEXT:], m.start(), m.end()))
+        last = m.end()
+    rows = found.collect()
+    assert [tuple(m) for m in rows[0].found] == want and [tuple(m) for m in rows[0].short] == [w[:2] for w in want]
+    assert [list(r.found) for r in rows[1:]] == [[], []]
+    for column in (pii.located(F.col("text"), pii.TOKEN), pii.preceded(F.col("text"), pii.TOKEN), pii._mask(F.col("text"), "ip")):
+        plan = docs.select(column.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all(") == 1 and plan.count("split(") == 1
+    for pattern in (*pii.KINDS.values(), pii.CARD, pii.ANY, pii.UNKNOWN):
+        assert not re.search("0-9|A-Z|a-z|x09-", pattern)
+
+
 @pytest.fixture(scope="module")
 def spoken():
     rng = random.Random(1)
