@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow.fs import FileSystem
+from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -17,6 +18,8 @@ from knotwork.operators.merge import NODE_BATCH, batch_of
 
 # Files of one folder.
 SHELF = 1000
+# Bytes of texts that a task reads before it hands them on.
+READ_BYTES = 4_000_000
 
 
 def write_text(documents: DataFrame, folder: str, name: Column, text: Column) -> None:
@@ -50,8 +53,16 @@ def write_text(documents: DataFrame, folder: str, name: Column, text: Column) ->
 
 
 def read_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Text files as documents: one row per file with its name and path."""
-    files = spark.read.text(path, wholetext=True).withColumn("file_path", F.input_file_name())
+    """Text files as documents: one row per file with its name and path.
+
+    A folder that ``write_text`` made is listed by the tasks, so that the driver holds an entry for
+    SHELF files.  Spark's source reads all else; it keeps one for each file on the driver.
+    """
+    shelves = _shelves(path) if isinstance(path, str) else []
+    if shelves:
+        files = _read_shelves(spark, path, shelves)
+    else:
+        files = spark.read.text(path, wholetext=True).withColumn("file_path", F.input_file_name())
     name = F.element_at(F.split("file_path", "/"), -1)
     return files.select(
         F.col("value").alias("text"), "file_path", name.alias("file_name"),
@@ -59,6 +70,53 @@ def read_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def _shelves(folder: str) -> list[str]:
+    """The folders of ``write_text`` in ``folder``; none where there are other entries as well or
+    the folder is not to be seen from here."""
+    try:
+        files, root = FileSystem.from_uri(folder)
+        entries = files.get_file_info(FileSelector(root))
+    except (pa.ArrowException, OSError):
+        return []
+    made = [x.base_name for x in entries if x.type == FileType.Directory and re.fullmatch(r"shelf=[0-9]+-[0-9]+", x.base_name)]
+    return made if len(made) == len(entries) else []
+
+
+def _hidden(name: str) -> bool:
+    """What Spark's file sources pass over."""
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def _escaped(path: str) -> str:
+    """``path`` as a part of a URI, as ``input_file_name`` writes it."""
+    return re.sub(r'[\x00-\x20"#%<>?\[\\\]^`{|}\x7f-\xa0]', lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), path)
+
+
+def _read_shelves(spark: SparkSession, folder: str, shelves: list[str]) -> DataFrame:
+    """(value, file_path) of the files of the shelves, each of which is listed and read by a task."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = FileSystem.from_uri(folder)
+        above = folder.rstrip("/") if "://" in folder else f"file://{_escaped(root)}"
+        for batch in batches:
+            for shelf in batch.column("shelf").to_pylist():
+                texts, paths, held = [], [], 0
+                for entry in files.get_file_info(FileSelector(f"{root}/{shelf}")):
+                    if entry.type != FileType.File or _hidden(entry.base_name):
+                        continue
+                    with files.open_input_stream(entry.path, compression=None) as file:
+                        texts.append(file.read())
+                    paths.append(f"{above}/{shelf}/{_escaped(entry.base_name)}")
+                    held += len(texts[-1])
+                    if held >= READ_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array(paths)], ["value", "file_path"])
+                        texts, paths, held = [], [], 0
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array(paths, pa.string())], ["value", "file_path"])
+
+    listed = spark.createDataFrame(spark.sparkContext.parallelize([(s,) for s in shelves], len(shelves)), "shelf string")
+    return listed.mapInArrow(read, "value binary, file_path string").withColumn("value", F.col("value").cast("string"))
+
+
 def chunk_batch(documents: DataFrame, chunk_id: Column, ref_doc_id: Column, seq: Column,
                 metadata: list[str] | None = None, text: str = "text") -> DataFrame:
     """Documents as a chunk batch; ``metadata`` columns become properties."""

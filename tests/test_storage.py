@@ -37,6 +37,21 @@ def test_text_files_are_put_in_place_by_the_tasks(spark, tmp_path):
     assert read == {n: (text or "") + "\n" for n, text in rows if n != 7}
 
 
+def test_written_texts_are_listed_by_the_tasks(spark, tmp_path, monkeypatch):
+    """The plan holds folders and no files; rows and paths are those of Spark's own source."""
+    rows = [(f"{i} é%", f"text {i}\n") for i in range(1200)] + [("_x", "left out"), (".y", "left out"), ("none", None)]
+    folder = f"{tmp_path}/texts of é"
+    write_text(spark.createDataFrame(rows, "n string, text string").coalesce(1), folder, F.col("n"), F.col("text"))
+    read = read_text(spark, folder)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "InMemoryFileIndex" not in plan and read.rdd.getNumPartitions() == 2
+    monkeypatch.setattr("knotwork.sources.documents._shelves", lambda path: [])
+    own = read_text(spark, folder)
+    assert "FileScan" in own._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, own.collect()))
+    assert read.count() == 1201 and read.columns == own.columns
+
+
 def test_both_ways_is_one_scan(spark, tmp_path):
     rows = [("R", "N/1", "N/2", {}), ("R", "N/2", "N/2", {})]
     spark.createDataFrame(rows, EDGE_SCHEMA).write.parquet(f"{tmp_path}/edges")
